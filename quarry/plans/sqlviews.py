@@ -104,3 +104,18 @@ def with_views(body: str, *names: str) -> str:
 def register_view(name: str, sql: str, deps: list[str]) -> None:
     VIEWS[name] = sql
     DEPS[name] = deps
+
+VIEWS["reviews"] = """
+SELECT d.doc_id AS id, d.text, l.quality AS label FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
+DEPS["reviews"] = []
+
+# whitespace tokens: runs of whitespace collapse, no empty tokens
+SQL_TOKENS = "CASE WHEN trim(regexp_replace({t}, '\\s+', ' ', 'g')) = '' THEN []::VARCHAR[] ELSE string_split(trim(regexp_replace({t}, '\\s+', ' ', 'g')), ' ') END"
+
+VIEWS["sentences"] = """
+SELECT CASE WHEN doc_id % 10 < 8 THEN 'train' WHEN doc_id % 10 = 8 THEN 'validation' ELSE 'test' END AS split,
+       doc_id AS id, tokens, list_transform(tokens, lambda t: CAST(length(t) % 9 AS INTEGER)) AS ner_tags
+FROM (SELECT doc_id, """ + SQL_TOKENS.format(t="text") + """ AS tokens FROM documents)"""
+DEPS["sentences"] = []
+
+SQL_TAG_NAMES = "['O', 'B-PER', 'I-PER', 'B-ORG', 'I-ORG', 'B-LOC', 'I-LOC', 'B-MISC', 'I-MISC']"
