@@ -18,6 +18,8 @@ _MODULES = (
     "quarry.plans.text_queries",
     "quarry.plans.weak_queries",
     "quarry.plans.ml_queries",
+    "quarry.plans.model_queries",
+    "quarry.plans.run_queries",
     "quarry.plans.io_queries",
 )
 
