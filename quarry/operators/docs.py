@@ -8,10 +8,12 @@ Two layouts, as in the reference's store:
 * ``customers`` — one document per customer
   ``{CustomerID, Chunk, Country, Invoices[{InvoiceNo, InvoiceDate, Items[]}]}``.
 
-Arrays are bounded.  A document holds at most ``max_items`` items (or
-``max_invoices`` invoice entries); a larger group is split into several
-documents that share the key and differ in ``Chunk``, with elements assigned
-by a hash of their own key.  A hot invoice or customer therefore never turns
+Arrays are bounded.  A group with more than ``max_items`` items (or
+``max_invoices`` invoice entries) is split into ``ceil(n / max)`` documents
+that share the key and differ in ``Chunk``; elements are assigned by a hash
+of their own key, so each chunk holds ``max`` elements in expectation (a
+balls-in-bins load: the fullest chunk exceeds it by a few standard
+deviations, never by a factor of the group size).  A hot invoice or customer therefore never turns
 into one giant row or one task-sized group.  For ordinary groups ``Chunk`` is
 0 and there is exactly one document per key.  Flattening the documents gives
 back the same rows whatever the chunking.

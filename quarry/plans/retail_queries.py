@@ -516,3 +516,13 @@ SELECT InvoiceNo, StockCode, Quantity FROM retail ORDER BY RowKey LIMIT 5""", "r
 def q_head_n(spark: SparkSession, sf: str) -> DataFrame:
     r = retail_view(spark, sf)
     return r.orderBy("RowKey").limit(5).select("InvoiceNo", "StockCode", "Quantity")
+
+
+@query("udaf_group_apply", with_views("""
+SELECT CustomerID, Country, InvoiceNo, InvoiceDate,
+       CAST(row_number() OVER (PARTITION BY CustomerID ORDER BY InvoiceNo) - 1 AS INTEGER) AS pos, n_items
+FROM (SELECT CustomerID, Country, InvoiceNo, InvoiceDate, count(*) AS n_items FROM cust_items
+      GROUP BY CustomerID, Country, InvoiceNo, InvoiceDate)""", "cust_items"))
+def q_udaf_group_apply(spark: SparkSession, sf: str) -> DataFrame:
+    """group → list of records: ``collect_list(struct)`` per customer (no Python)."""
+    return q_nest_invoices(spark, sf)
