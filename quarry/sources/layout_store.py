@@ -83,3 +83,26 @@ def rewrite_buckets(spark: SparkSession, path: str, key: str, keys: DataFrame, n
     (new.repartition(len(buckets), "bucket").sortWithinPartitions(key).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
     return sorted(buckets)
+
+
+def build_and_write_layouts(spark: SparkSession, retail_df: DataFrame, base: str, n_buckets: int,
+                            order: str = "RowKey") -> dict[str, str]:
+    """Ingest: flat rows → written document tables, each step reading the
+    previous written table (no lineage is recomputed, and a lost executor
+    only re-runs the current step).
+
+    rollup (one row per invoice × stock code) → headers (one per invoice) →
+    customer_refs, transactions → customers (from the written transactions).
+    """
+    from quarry.operators import docs
+    b = base.rstrip("/")
+    docs.item_rollup(retail_df, order).write.mode("overwrite").parquet(f"{b}/_rollup")
+    rollup = spark.read.parquet(f"{b}/_rollup")
+    docs.invoice_headers(rollup).write.mode("overwrite").parquet(f"{b}/_headers")
+    headers = spark.read.parquet(f"{b}/_headers")
+    paths = {"customer_refs": write_table(docs.customer_refs(headers), f"{b}/customer_refs", "CustomerID", n_buckets),
+             "transactions": write_table(docs.nest_items(rollup, headers), f"{b}/transactions", "InvoiceNo", n_buckets)}
+    tx = read_table(spark, paths["transactions"]).drop("bucket")
+    refs = read_table(spark, paths["customer_refs"]).drop("bucket")
+    paths["customers"] = write_table(docs.nest_invoices(tx, refs), f"{b}/customers", "CustomerID", n_buckets)
+    return paths
