@@ -71,7 +71,7 @@ def q_src_split_dict(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("src_head_slice", with_views("""
-SELECT id, len(tokens) AS n_tokens FROM sentences WHERE split = 'train' ORDER BY id LIMIT 20""", "sentences"))
+SELECT id, CAST(len(tokens) AS INTEGER) AS n_tokens FROM sentences WHERE split = 'train' ORDER BY id LIMIT 20""", "sentences"))
 def q_src_head_slice(spark: SparkSession, sf: str) -> DataFrame:
     df, _ = files.read_split(spark, _split_dataset(spark, sf), "train")
     return files.head_slice(df, "id", 20).select("id", F.size("tokens").alias("n_tokens"))

@@ -153,7 +153,7 @@ def q_class_distribution(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("dataset_profile", """
-SELECT count(*) AS n_rows, max(len(embedding)) AS n_features, count(DISTINCT label) AS n_classes FROM embeddings""")
+SELECT count(*) AS n_rows, CAST(max(len(embedding)) AS INTEGER) AS n_features, count(DISTINCT label) AS n_classes FROM embeddings""")
 def q_dataset_profile(spark: SparkSession, sf: str) -> DataFrame:
     return embeddings(spark, sf).agg(F.count(F.lit(1)).alias("n_rows"), F.max(F.size("embedding")).alias("n_features"),
                                      F.count_distinct("label").alias("n_classes"))

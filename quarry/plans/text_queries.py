@@ -40,7 +40,7 @@ def q_clean_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("fn_tokenize_any_word", f"""
-SELECT id, len(tokens) AS n_tokens, list_has_any(tokens, {PARAM_WORDS!r}) AS any_word
+SELECT id, CAST(len(tokens) AS INTEGER) AS n_tokens, list_has_any(tokens, {PARAM_WORDS!r}) AS any_word
 FROM (SELECT doc_id AS id, {SQL_TOKENS.format(t="text")} AS tokens FROM documents)""")
 def q_tokenize_any_word(spark: SparkSession, sf: str) -> DataFrame:
     d = table(spark, sf, "documents", "doc_id", "text")

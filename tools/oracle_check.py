@@ -46,6 +46,25 @@ def norm(v):
     return v
 
 
+SPARK_TO_DUCK = {
+    "int": "INTEGER", "bigint": "BIGINT", "smallint": "SMALLINT", "tinyint": "TINYINT",
+    "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "date": "DATE",
+}
+
+
+def type_diffs(df, con, sql):
+    """Columns whose Spark type does not map to the DuckDB type of the oracle."""
+    rel = con.sql(sql)
+    duck = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    out = []
+    for name, t in df.dtypes:
+        want = SPARK_TO_DUCK.get(t, t.upper())
+        if name in duck and duck[name] != want and not (t.startswith("decimal") and duck[name].startswith("DECIMAL")):
+            out.append((name, t, duck[name]))
+    return out
+
+
 def spark_rows(df):
     cols = df.columns
     order = sorted(range(len(cols)), key=lambda i: cols[i])
@@ -108,7 +127,8 @@ def main() -> int:
             diff = [(a, b) for a, b in zip(srows, drows) if a != b][:3]
             print(f"FAIL {name}: rows spark={len(srows)} duck={len(drows)} first diffs={diff}")
             continue
-        print(f"OK   {name}: {len(srows)} rows {ts:.1f}s")
+        td = type_diffs(df, con, ORACLE[name])
+        print(f"OK   {name}: {len(srows)} rows {ts:.1f}s" + (f"  TYPES {td}" if td else ""))
     print(f"{len(names) - bad}/{len(names)} passed")
     return 1 if bad else 0
 
