@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.sources.tables import join_small
+from quarry.sources.tables import join_small, with_scalars
 
 
 def insert_rows(table: DataFrame, new: DataFrame) -> DataFrame:
@@ -31,7 +31,7 @@ def push_invoice(customers: DataFrame, customer_id: int, invoice: Column) -> Dat
     is_customer = F.col("CustomerID") == F.lit(customer_id)
     target = customers.filter(is_customer).agg(F.min("Chunk").alias("_target"))
     hit = is_customer & (F.col("Chunk") == F.col("_target"))
-    return (customers.crossJoin(F.broadcast(target))  # one row: global aggregate
+    return (with_scalars(customers, target)
             .withColumn("Invoices", F.when(hit, F.array_append("Invoices", invoice))
                         .otherwise(F.col("Invoices")))
             .drop("_target"))

@@ -26,6 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.sources.tables import with_scalars
+
 ITEM_FIELDS = ["StockCode", "Description", "Quantity", "UnitPrice"]
 MAX_ITEMS = 2048
 MAX_INVOICES = 512
@@ -169,7 +171,7 @@ def doc_count_check(retail: DataFrame, layouts: dict[str, DataFrame]) -> DataFra
     tx = layouts["transactions"].agg(F.count_distinct("InvoiceNo").alias("tx_docs"))
     refs = layouts["customer_refs"].agg(F.count(F.lit(1)).alias("ref_docs"))
     cust = layouts["customers"].agg(F.count_distinct("CustomerID").alias("cust_docs"))
-    row = keys.crossJoin(tx).crossJoin(refs).crossJoin(cust)  # four one-row aggregates
+    row = with_scalars(with_scalars(with_scalars(keys, tx), refs), cust)
     return row.select(F.explode(F.array(
         F.struct(F.lit("transactions").alias("check_name"), F.col("tx_docs").alias("documents"), F.col("invoices").alias("expected")),
         F.struct(F.lit("customer_refs").alias("check_name"), F.col("ref_docs").alias("documents"), F.col("customers").alias("expected")),

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.windows import rank_key, rank_within
-from quarry.sources.tables import join_small
+from quarry.sources.tables import join_small, with_scalars
 
 
 # ------------------------------------------------------------------ splits / samples
@@ -39,7 +39,7 @@ def split_holdout(df: DataFrame, id_col: str, test_size: float = 0.2, seed: int
         ranked.agg(F.count(F.lit(1)).alias("_n"))
     sizes = sizes.withColumn("_n_test", F.ceil(F.col("_n") * F.lit(test_size)))
     j = (join_small(ranked, sizes, groups, "inner", max_rows=100_000) if groups
-         else ranked.crossJoin(F.broadcast(sizes)))  # one-row global count
+         else with_scalars(ranked, sizes))
     return (j.withColumn("split", F.when(F.col("_rank") <= F.col("_n_test"), "test").otherwise("train"))
             .drop("_key", "_rank", "_n", "_n_test"))
 
@@ -49,7 +49,7 @@ def split_ratio(df: DataFrame, id_col: str, first: float = 0.8, seed: int = 42,
     """``random_split(ds, [int(first·n), n − int(first·n)])`` with exact sizes."""
     ranked = _with_rank(df, id_col, seed)
     n = ranked.agg(F.count(F.lit(1)).alias("_n"))
-    j = ranked.crossJoin(F.broadcast(n))  # one-row global count
+    j = with_scalars(ranked, n)
     cut = F.floor(F.col("_n") * F.lit(first))
     return (j.withColumn("split", F.when(F.col("_rank") <= cut, names[0]).otherwise(names[1]))
             .drop("_key", "_rank", "_n"))
@@ -60,13 +60,13 @@ def balanced_subset(df: DataFrame, id_col: str, label: str, limit: int, seed: in
     from the leftovers; ``limit == -1`` or ``limit ≥ n`` keeps all rows."""
     stats = df.agg(F.count(F.lit(1)).alias("_n"), F.count_distinct(label).alias("_k"))
     per_class = F.floor(F.lit(limit) / F.col("_k"))
-    ranked = _with_rank(df, id_col, seed, [label]).crossJoin(F.broadcast(stats))  # one-row aggregate
+    ranked = with_scalars(_with_rank(df, id_col, seed, [label]), stats)
     keep_all = (F.lit(limit) == -1) | (F.lit(limit) >= F.col("_n"))
     first_pass = ranked.withColumn("_take", keep_all | (F.col("_rank") <= per_class))
     taken = first_pass.agg(F.count(F.when(F.col("_take"), 1)).alias("_taken"))
     left = (first_pass.filter(~F.col("_take")).drop("_rank")
             .transform(lambda d: rank_within(d, [], "_key", [id_col], name="_rank2"))
-            .crossJoin(F.broadcast(taken))  # one-row aggregate
+            .transform(lambda d: with_scalars(d, taken))
             .filter(F.col("_rank2") <= F.lit(limit) - F.col("_taken"))
             .drop("_rank2", "_taken"))
     chosen = first_pass.filter("_take").drop("_rank", "_take")
@@ -81,7 +81,7 @@ def standardize_columns(train: DataFrame, test: DataFrame, cols: Sequence[str])
                       *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols])
 
     def apply(df: DataFrame) -> DataFrame:
-        j = df.crossJoin(F.broadcast(stats))  # one-row fitted statistics
+        j = with_scalars(df, stats)
         for c in cols:
             s = F.when(F.col(f"_s_{c}") == 0, F.lit(1.0)).otherwise(F.col(f"_s_{c}"))
             j = j.withColumn(c, (F.col(c) - F.col(f"_m_{c}")) / s)
@@ -101,7 +101,7 @@ def fit_vector_stats(train: DataFrame, vec: str) -> DataFrame:
 
 
 def standardize_vectors(df: DataFrame, vec: str, stats: DataFrame, out: str | None = None) -> DataFrame:
-    j = df.crossJoin(F.broadcast(stats))  # one-row fitted statistics
+    j = with_scalars(df, stats)
     z = F.zip_with(F.zip_with(vec, "_mean", lambda x, m: x.cast("double") - m), "_std", lambda d, s: d / s)
     return j.withColumn(out or vec, z).drop("_mean", "_std")
 
@@ -130,7 +130,7 @@ def tfidf(docs: DataFrame, id_col: str = "id", text_col: str = "text", max_featu
     vocab = (tc.groupBy("term").agg(F.sum("tf").alias("_total"), F.count(F.lit(1)).alias("_df"))
              .orderBy(F.desc("_total"), F.asc("term")).limit(max_features))
     n_docs = docs.agg(F.count(F.lit(1)).alias("_n"))
-    idf = (vocab.crossJoin(F.broadcast(n_docs))  # one-row count
+    idf = (with_scalars(vocab, n_docs)
            .select("term", (F.log((1 + F.col("_n")) / (1 + F.col("_df"))) + 1).alias("_idf")))
     w = tc.join(F.broadcast(idf), "term").withColumn("_w", F.col("tf") * F.col("_idf"))
     norm = Window.partitionBy(id_col)
@@ -170,8 +170,10 @@ def confusion_counts(pred: DataFrame, y: str, p: str) -> DataFrame:
 def confusion_matrix(pred: DataFrame, y: str, p: str) -> DataFrame:
     """Truth × prediction counts including zero cells over the observed labels."""
     cc = confusion_counts(pred, y, p)
-    labels = cc.select(F.col("y").alias("l")).union(cc.select(F.col("p").alias("l"))).distinct()
-    grid = labels.select(F.col("l").alias("y")).crossJoin(labels.select(F.col("l").alias("p")))  # labels × labels
+    # the observed label set as one array (its size is the number of classes)
+    labels = cc.agg(F.array_sort(F.array_distinct(F.concat(F.collect_set("y"), F.collect_set("p")))).alias("_l"))
+    grid = (labels.select(F.explode("_l").alias("y"), "_l")
+            .select("y", F.explode("_l").alias("p")))  # classes² cells: the matrix itself
     return grid.join(cc, ["y", "p"], "left").select("y", "p", F.coalesce("n", F.lit(0)).alias("n"))
 
 
@@ -203,7 +205,7 @@ def weighted_prf(pred: DataFrame, y: str, p: str) -> DataFrame:
     s = F.sum("support")
     out = m.agg(*[F.coalesce(F.sum(F.col(c) * F.col("support")) / F.when(s > 0, s), F.lit(0.0)).alias(c)
                   for c in ["precision", "recall", "f1"]])
-    return out.crossJoin(accuracy(pred, y, p).select("accuracy"))  # two one-row aggregates
+    return with_scalars(out, accuracy(pred, y, p).select("accuracy"))
 
 
 def classification_report(pred: DataFrame, y: str, p: str) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.sources.tables import join_small
+from quarry.sources.tables import join_small, with_scalars
 
 KEY_SPACE = 2 ** 31
 LCG_A, LCG_C = 1103515245, 12345
@@ -55,7 +55,7 @@ def rank_within(df: DataFrame, groups: Sequence[str], key: str, tiebreak: Sequen
 def per_class_sequence(df: DataFrame, label: str, id_col: str, n_buckets: int = 256) -> DataFrame:
     """Running number per class in id order, starting at 0 (per-class file counters)."""
     ids = df.agg(F.min(id_col).alias("lo"), F.max(id_col).alias("hi"))
-    span = df.crossJoin(F.broadcast(ids))  # one-row global aggregate
+    span = with_scalars(df, ids)
     keyed = span.withColumn("_k", (F.col(id_col) - F.col("lo")).cast("long")).drop("lo", "hi")
     hi = keyed.agg(F.max("_k")).first()[0] or 0
     out = rank_within(keyed, [label], "_k", [id_col], n_buckets=n_buckets, key_space=int(hi) + 1, name="_seq")

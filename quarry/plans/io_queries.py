@@ -12,7 +12,7 @@ from quarry.plans.sqlviews import with_views
 from quarry.session import scratch_path
 from quarry.sources import files
 from quarry.sources.retail import RETAIL_COLUMNS, convert_csv_to_parquet, read_csv, retail_view, write_csv
-from quarry.sources.tables import table
+from quarry.sources.tables import table, with_scalars
 from quarry.sources.text import TAG_NAMES, sentences
 from quarry.streaming import jobs
 
@@ -204,7 +204,7 @@ def q_sink_json_result(spark: SparkSession, sf: str) -> DataFrame:
     epochs = mlops.epoch_loss_weighted(batches(spark, sf), ["run_id", "epoch"])
     per_epoch = epochs.groupBy("run_id").agg(F.array_sort(F.collect_list(F.struct("epoch", "loss", "accuracy"))).alias("epochs"))
     samples = q_sample_predictions(spark, sf).agg(F.collect_list(F.struct("predicted", "actual")).alias("samples"))
-    doc = (per_epoch.crossJoin(samples)  # one-row sample list (20 rows by construction)
+    doc = (with_scalars(per_epoch, samples)
            .withColumn("classes", F.array(*[F.lit(c) for c in CLASS_NAMES]))
            .withColumn("num_epochs", F.size("epochs")))
     path = scratch_path(spark, "results-json")
@@ -259,7 +259,7 @@ def q_stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     src = scratch_path(spark, "upsert-in")
     for seg in ["BUILDING", "MACHINERY"]:  # two arriving files → two micro-batches
         upd.filter(F.col("c_mktsegment") == seg).drop("c_mktsegment").coalesce(1).write.mode("append").parquet(src)
-    target = scratch_path(spark, "refs-versions")
-    jobs.init_versioned(refs, target)
-    jobs.upsert_stream(spark, src, refs.schema, target, ["CustomerID"], scratch_path(spark, "upsert-ckpt"))
-    return jobs.read_latest(spark, target)
+    from quarry.sources import layout_store as store
+    target = store.write_table(refs, scratch_path(spark, "refs-bucketed"), "CustomerID", 8)
+    jobs.upsert_stream(spark, src, refs.schema, target, ["CustomerID"], scratch_path(spark, "upsert-ckpt"), 8)
+    return spark.read.parquet(target).drop("bucket")

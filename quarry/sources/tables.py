@@ -37,3 +37,12 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_row
     if is_bounded(small, max_rows):
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
+
+
+def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a global aggregate (exactly one row) to every row.
+
+    ``one_row`` must be an ungrouped ``agg(...)`` result, so the join
+    broadcasts a single row; no pairs are generated.
+    """
+    return df.crossJoin(F.broadcast(one_row))

@@ -4,8 +4,8 @@
   and appended to the output table, malformed rows go to a quarantine table
   (the request/response service of the reference, as a stream).
 * ``upsert_stream`` — micro-batches of keyed rows replace-or-insert into a
-  target table; each batch writes a new table version, so a replayed batch
-  (after a failure) gives the same result.
+  hash-bucketed target table; each batch rewrites only the buckets it
+  touches, and the keyed upsert makes a replayed batch harmless.
 
 Both run with ``trigger(availableNow=True)`` and a checkpoint in the shared
 folder, so a restarted job resumes where it stopped.
@@ -42,44 +42,27 @@ def score_stream(spark: SparkSession, source: str, schema: T.StructType, is_vali
 
 
 def upsert_stream(spark: SparkSession, source: str, schema: T.StructType, target: str, keys: Sequence[str],
-                  checkpoint: str, order: str | None = None, fmt: str = "parquet") -> str:
-    """Apply every micro-batch to the target table; returns the final version path.
-
-    ``target`` is a folder of versions ``v=<epoch>``; the newest complete
-    version is the table.  Writing a whole new version per batch keeps each
-    step idempotent (a retried epoch rewrites the same version).
+                  checkpoint: str, n_buckets: int, order: str | None = None, fmt: str = "parquet") -> str:
+    """Apply every micro-batch to a hash-bucketed target table.
+
+    Only the buckets that hold a key of the batch are read, upserted and
+    replaced (dynamic partition overwrite), so a batch costs the size of its
+    buckets, not of the table.  The upsert is idempotent, so a replayed
+    epoch — or one that failed half-way through its commit — converges to
+    the same table.
     """
-    versions = f"{target.rstrip('/')}"
+    from quarry.sources import layout_store as store
+    key = keys[0]
     stream = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", 1).load(source)
 
-    def latest(sess: SparkSession) -> DataFrame:
-        return sess.read.parquet(versions)
-
     def handle(batch: DataFrame, epoch_id: int) -> None:
         sess = batch.sparkSession
-        current = latest(sess)
-        prev = current.filter(F.col("v") < epoch_id)
-        if prev.limit(1).count():
-            last_v = prev.agg(F.max("v")).first()[0]
-            base = prev.filter(F.col("v") == last_v).drop("v")
-        else:
-            base = current.filter(F.col("v") == -1).drop("v")
-        new = upsert_replace(base, batch.select(*base.columns), keys, order)
-        (new.withColumn("v", F.lit(epoch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("v").parquet(versions))
+        cols = [c for c in sess.read.parquet(target).columns if c != "bucket"]
+        src = batch.select(*cols)
+        store.rewrite_buckets(sess, target, key, src.select(key), n_buckets,
+                              lambda part: upsert_replace(part, src, keys, order))
 
     q = (stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return versions
-
-
-def init_versioned(df: DataFrame, target: str) -> None:
-    """Write the initial table as version −1."""
-    (df.withColumn("v", F.lit(-1)).write.mode("overwrite").partitionBy("v").parquet(target))
-
-
-def read_latest(spark: SparkSession, target: str) -> DataFrame:
-    t = spark.read.parquet(target)
-    last = t.agg(F.max("v").alias("_last"))
-    return t.join(F.broadcast(last), F.col("v") == F.col("_last")).drop("v", "_last")  # one-row aggregate
+    return target
