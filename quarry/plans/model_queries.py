@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quarry.operators import ml, models
 from quarry.plans.ml_queries import CLASS_NAMES, SEED, embeddings
 from quarry.plans.registry import query
-from quarry.session import scratch_path
+from quarry.session import checkpoint_dir, scratch_path
 
 RF_SETTINGS = [
     {"model": "rf", "n_estimators": 50, "max_depth": 3, "random_state": 42},
@@ -24,9 +24,12 @@ LR_SETTINGS = [
 
 
 def split_features(spark: SparkSession, sf: str, stratify: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Train / test feature rows, checkpointed once: every fit and
+    evaluation pass then reads the cut table instead of re-running the split."""
+    checkpoint_dir(spark)
     e = embeddings(spark, sf)
     sp = ml.split_holdout(e, "vec_id", 0.2, SEED, stratify="label" if stratify else None)
-    sp = models.with_features(sp, vec="embedding")
+    sp = models.with_features(sp, vec="embedding").checkpoint()
     return sp.filter("split = 'train'"), sp.filter("split = 'test'")
 
 
@@ -100,13 +103,14 @@ def q_weak_vs_full(spark: SparkSession, sf: str) -> DataFrame:
     from quarry.plans.ml_queries import review_tfidf
     from quarry.plans.weak_queries import REVIEW_LFS, review_matrix
 
-    w = review_tfidf(spark, sf)
-    vocab = ml.vocabulary_index(w)
+    checkpoint_dir(spark)
+    w = review_tfidf(spark, sf).checkpoint()          # lineage cut: reused by vocab, vectors
+    vocab = ml.vocabulary_index(w).checkpoint()
     n_terms = vocab.count()
     vecs = ml.to_sparse_vectors(w, "id", vocab, n_terms)
     L = review_matrix(spark, sf).withColumn("weak", weak.majority_vote(REVIEW_LFS))
     data = vecs.join(L.select("id", "label", "weak"), "id")
-    sp = ml.split_holdout(data, "id", 0.2, SEED)
+    sp = ml.split_holdout(data, "id", 0.2, SEED).checkpoint()   # read by two fits and evaluations
     train, test = sp.filter("split = 'train'"), sp.filter("split = 'test' AND label IS NOT NULL")
     out = None
     for source, col, rows in [("weak", "weak", train.filter(F.col("weak") != weak.ABSTAIN)),
