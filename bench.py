@@ -82,7 +82,7 @@ def main() -> None:
     cust = lambda: handle(cust_path)
     def reads():
         return [
-            lambda: store.lookup(spark, tx_path, "InvoiceNo", INVOICE, n_buckets).collect(),
+            lambda: store.lookup(tx(), "InvoiceNo", INVOICE, n_buckets).collect(),
             lambda: retail.find_invoice_nested(cust(), INVOICE).collect(),
             lambda: retail.invoices_by_customer(tx(), CUSTOMER).collect(),
             lambda: retail.invoices_by_month(tx(), CUSTOMER, YEAR, MONTH).collect(),
@@ -120,15 +120,15 @@ def main() -> None:
     tx().schema, cust().schema  # re-open the changed tables (untimed, like a server's cursor)
     # Find by ID (cold), Single Invoice (same call, warm)
     for label in ("find_by_id", "single_invoice"):
-        timed(q, f"tx_{label}", lambda: store.lookup(spark, tx_path, "InvoiceNo", INVOICE, n_buckets).collect(), reps=REPS)
+        timed(q, f"tx_{label}", lambda: store.lookup(tx(), "InvoiceNo", INVOICE, n_buckets).collect(), reps=REPS)
         timed(q, f"cust_{label}", lambda: retail.find_invoice_nested(cust(), INVOICE).collect(), reps=REPS)
     # Customer Invoices
     timed(q, "tx_customer_invoices", lambda: retail.invoices_by_customer(tx(), CUSTOMER).collect(), reps=REPS)
-    timed(q, "cust_customer_invoices", lambda: store.lookup(spark, cust_path, "CustomerID", CUSTOMER, n_buckets).collect(), reps=REPS)
+    timed(q, "cust_customer_invoices", lambda: store.lookup(cust(), "CustomerID", CUSTOMER, n_buckets).collect(), reps=REPS)
     # Customer Invoices by Month/Year
     timed(q, "tx_invoices_by_month", lambda: retail.invoices_by_month(tx(), CUSTOMER, YEAR, MONTH).collect(), reps=REPS)
     timed(q, "cust_invoices_by_month", lambda: retail.invoices_by_month_nested(
-        store.lookup(spark, cust_path, "CustomerID", CUSTOMER, n_buckets), CUSTOMER, YEAR, MONTH).collect(), reps=REPS)
+        store.lookup(cust(), "CustomerID", CUSTOMER, n_buckets), CUSTOMER, YEAR, MONTH).collect(), reps=REPS)
     # Product Sales
     timed(q, "tx_product_sales", lambda: retail.product_sales(tx(), STOCK).collect(), reps=REPS)
     timed(q, "cust_product_sales", lambda: retail.product_sales_nested(cust(), STOCK).collect(), reps=REPS)

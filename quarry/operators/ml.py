@@ -245,9 +245,7 @@ def threshold_alert(metrics: DataFrame, metric: str, threshold: float, title: st
 def select_best_run(runs: DataFrame, metric: str, order: str, start: float = 0.0) -> DataFrame:
     """The first run (in ``order``) with the largest metric, if it beats ``start``:
     a strict ``>`` scan keeps the earliest of tied maxima."""
-    w = Window.orderBy(F.desc(metric), F.asc(order))  # over the run table: one row per run
-    return (runs.filter(F.col(metric) > F.lit(start))
-            .withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r"))
+    return runs.filter(F.col(metric) > F.lit(start)).orderBy(F.desc(metric), F.asc(order)).limit(1)
 
 
 # ------------------------------------------------------------------ epoch metrics

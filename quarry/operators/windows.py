@@ -31,16 +31,24 @@ def rank_key(id_col: str | Column, seed: int = 0) -> Column:
                   F.lit(KEY_SPACE))
 
 
+ROWS_PER_BUCKET = 1_000_000
+
+
 def rank_within(df: DataFrame, groups: Sequence[str], key: str, tiebreak: Sequence[str] = (),
-                n_buckets: int = 256, key_space: int = KEY_SPACE, name: str = "rank") -> DataFrame:
+                n_buckets: int | None = None, key_space: int = KEY_SPACE, name: str = "rank") -> DataFrame:
     """Exact 1-based ``row_number`` per group ordered by ``key`` (then ``tiebreak``).
 
     ``key`` must be a non-negative integer below ``key_space``; buckets are
     equal-width ranges of it, so a uniform key (``rank_key``) gives even
     buckets.  Only the (group, bucket) count table — at most
-    ``groups × n_buckets`` rows — is windowed as a whole.
+    ``groups × n_buckets`` rows — is windowed as a whole.  By default the
+    bucket count follows the data (one bucket per ~1M rows, at least 64),
+    so a bucket stays task-sized at any scale.
     """
-    width = max(1, key_space // n_buckets)
+    if n_buckets is None:
+        n_buckets = max(64, -(-df.count() // ROWS_PER_BUCKET))
+    n_buckets = max(1, min(n_buckets, key_space))
+    width = max(1, -(-key_space // n_buckets))
     b = df.withColumn("_bucket", F.floor(F.col(key) / F.lit(width)).cast("int"))
     gcols = list(groups)
     counts = b.groupBy(*gcols, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
@@ -52,7 +60,7 @@ def rank_within(df: DataFrame, groups: Sequence[str], key: str, tiebreak: Sequen
     return out.withColumn(name, (F.col("_off") + F.col("_rn")).cast("long")).drop("_bucket", "_rn", "_off")
 
 
-def per_class_sequence(df: DataFrame, label: str, id_col: str, n_buckets: int = 256) -> DataFrame:
+def per_class_sequence(df: DataFrame, label: str, id_col: str, n_buckets: int | None = None) -> DataFrame:
     """Running number per class in id order, starting at 0 (per-class file counters)."""
     ids = df.agg(F.min(id_col).alias("lo"), F.max(id_col).alias("hi"))
     span = with_scalars(df, ids)

@@ -25,6 +25,26 @@ def bucket_of(key: Column, n_buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(n_buckets)).cast("int")
 
 
+def literal_bucket(value, dtype: str, n_buckets: int) -> int:
+    """The bucket of one key value, computed on the driver with the same
+    XXH64 (seed 42) Spark applies to the column type, so a lookup needs no
+    extra job to find its partition folder."""
+    import struct
+
+    import xxhash
+    if dtype == "string":
+        raw = str(value).encode("utf-8")
+    elif dtype == "int":
+        raw = struct.pack("<i", int(value))
+    elif dtype == "bigint":
+        raw = struct.pack("<q", int(value))
+    else:
+        raise TypeError(f"bucket keys are string, int or bigint, not {dtype}")
+    h = xxhash.xxh64_intdigest(raw, seed=42)
+    h = h - 2 ** 64 if h >= 2 ** 63 else h
+    return h % n_buckets   # Python's % is already non-negative, as pmod
+
+
 def write_table(df: DataFrame, path: str, key: str, n_buckets: int) -> str:
     (df.withColumn("bucket", bucket_of(F.col(key), n_buckets))
        .repartition(n_buckets, "bucket")
@@ -44,11 +64,10 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def lookup(spark: SparkSession, path: str, key: str, value, n_buckets: int) -> DataFrame:
-    """Rows with ``key == value``, scanning one bucket folder."""
-    b = F.pmod(F.xxhash64(F.lit(value)), F.lit(n_buckets)).cast("int")
-    bucket = spark.range(1).select(b).first()[0]  # constant of the literal
-    return read_table(spark, path).filter((F.col("bucket") == bucket) & (F.col(key) == F.lit(value)))
+def lookup(table: DataFrame, key: str, value, n_buckets: int) -> DataFrame:
+    """Rows with ``key == value`` of a bucketed table, scanning one bucket folder."""
+    bucket = literal_bucket(value, dict(table.dtypes)[key], n_buckets)
+    return table.filter((F.col("bucket") == bucket) & (F.col(key) == F.lit(value)))
 
 
 def rewrite_bucket(spark: SparkSession, path: str, key: str, value, n_buckets: int,
@@ -56,8 +75,9 @@ def rewrite_bucket(spark: SparkSession, path: str, key: str, value, n_buckets: i
     """Apply ``change`` to the bucket that holds ``key == value`` and replace
     only that partition folder.  Returns the bucket number."""
     checkpoint_dir(spark)
-    b = spark.range(1).select(F.pmod(F.xxhash64(F.lit(value)), F.lit(n_buckets)).cast("int")).first()[0]
-    part = read_table(spark, path).filter(F.col("bucket") == b)
+    table = read_table(spark, path)
+    b = literal_bucket(value, dict(table.dtypes)[key], n_buckets)
+    part = table.filter(F.col("bucket") == b)
     new = change(part.drop("bucket")).withColumn("bucket", F.lit(b)).checkpoint(eager=True)
     (new.sortWithinPartitions(key).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))

@@ -15,7 +15,9 @@ def _table(spark):
 
 def test_lookup_prunes_and_rewrite_changes_one_bucket(spark):
     path = store.write_table(_table(spark), tempfile.mkdtemp() + "/t", "k", 8)
-    assert store.lookup(spark, path, "k", 17, 8).select("v").first()["v"] == "v17"
+    assert store.lookup(spark.read.parquet(path), "k", 17, 8).select("v").first()["v"] == "v17"
+    got = {r["k"]: r["bucket"] for r in spark.read.parquet(path).collect()}
+    assert all(store.literal_bucket(k, "int", 8) == b for k, b in got.items())
     before = {r["k"]: r["bucket"] for r in spark.read.parquet(path).collect()}
     b = store.rewrite_bucket(spark, path, "k", 17, 8, lambda d: d.filter(F.col("k") != 17))
     after = spark.read.parquet(path)
