@@ -126,3 +126,13 @@ def build_and_write_layouts(spark: SparkSession, retail_df: DataFrame, base: str
     refs = read_table(spark, paths["customer_refs"]).drop("bucket")
     paths["customers"] = write_table(docs.nest_invoices(tx, refs), f"{b}/customers", "CustomerID", n_buckets)
     return paths
+
+
+def find_holder(table: DataFrame, key: str, predicate: Column, n_buckets: int) -> DataFrame:
+    """``find_one`` on a non-key predicate: stop at the first matching
+    document (``limit(1)`` lets Spark scan partitions incrementally), then
+    return every chunk of that document through a one-bucket lookup."""
+    first = table.filter(predicate).select(key).limit(1).collect()  # at most one key value
+    if not first:
+        return table.limit(0)
+    return lookup(table, key, first[0][0], n_buckets)
