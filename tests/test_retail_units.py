@@ -112,11 +112,8 @@ def test_push_then_pull_is_identity(spark):
 def test_upsert_twice_equals_once(spark):
     t = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     s = spark.createDataFrame([(2, "B", 1), (2, "B2", 2), (3, "c", 1)], "k int, v string, o int")
-    once = dml.upsert_replace(t, s.drop("o"), ["k"]) if False else dml.upsert_replace(
-        t, s, ["k"], order="o") if False else None
-    src = s.groupBy("k").agg(F.max_by("v", "o").alias("v"))
-    once = dml.upsert_replace(t, src, ["k"])
-    twice = dml.upsert_replace(once, src, ["k"])
+    once = dml.upsert_replace(t, s, ["k"], order="o")   # last row per key in the source wins
+    twice = dml.upsert_replace(once, s, ["k"], order="o")
     assert sorted(once.collect()) == sorted(twice.collect()) == [(1, "a"), (2, "B2"), (3, "c")]
 
 
