@@ -21,13 +21,8 @@ def duck():
     return con
 
 
-SLOW = {"sweep_random_forest", "sweep_logistic", "weak_vs_full"}
-
-
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    if name in SLOW:
-        pytest.skip("model sweep: covered by tools/oracle_check.py runs")
     scols, srows = spark_rows(QUERIES[name](spark, SF))
     if name not in ORACLE:
         assert scols
