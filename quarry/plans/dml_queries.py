@@ -68,9 +68,8 @@ SELECT CustomerID, count(DISTINCT InvoiceNo) + CASE WHEN CustomerID = {CUSTOMER}
 FROM cust_items GROUP BY CustomerID""", "cust_items"))
 def q_push_invoice(spark: SparkSession, sf: str) -> DataFrame:
     c = layouts(spark, sf)["customers"]
-    inv = _one_invoice(spark).select(F.struct("InvoiceNo", "InvoiceDate", "Items").alias("inv")).first()["inv"]
-    entry = F.struct(F.lit(inv["InvoiceNo"]).alias("InvoiceNo"),
-                     F.lit(inv["InvoiceDate"]).cast("timestamp_ntz").alias("InvoiceDate"),
+    entry = F.struct(F.lit(NEW_INVOICE).alias("InvoiceNo"),
+                     F.lit("2011-12-09 12:00:00").cast("timestamp_ntz").alias("InvoiceDate"),
                      F.array(F.struct(F.lit("P01").alias("StockCode"), F.lit("Test Item").alias("Description"),
                                       F.lit(2).cast("long").alias("Quantity"),
                                       F.lit(10.99).cast("decimal(18,2)").alias("UnitPrice"))).alias("Items"))

@@ -138,3 +138,19 @@ def test_synthetic_rows_follow_reference_formulas(spark):
     assert it["StockCode"] == "TEST0013" and it["Quantity"] == 4 and float(it["UnitPrice"]) == 18.99
     upd = {r["invoice_no"]: r["new_quantity"] for r in dml.synthetic_updates(ids).collect()}
     assert upd == {"800000": 5, "800013": 18}
+
+
+def test_hot_invoice_is_split_into_bounded_chunks(spark):
+    """One invoice holds a third of all rows: its items are spread over
+    ceil(n / max_items) documents of about max_items each, never one row."""
+    from decimal import Decimal
+    rows = [("HOT", f"S{i:04d}", "d", 1, dt.datetime(2011, 1, 1), Decimal("1.00"), 1, "UK") for i in range(1000)]
+    rows += [(f"I{i}", f"S{i % 50:04d}", "d", 1, dt.datetime(2011, 1, 1), Decimal("1.00"), 2 + i % 7, "FR")
+             for i in range(2000)]
+    from quarry.sources.retail import RETAIL_SCHEMA
+    df = spark.createDataFrame(rows, RETAIL_SCHEMA).withColumn("RowKey", F.struct("InvoiceNo", "StockCode"))
+    tx = docs.build_layouts(df, max_items=100)["transactions"]
+    hot = tx.filter("InvoiceNo = 'HOT'").select(F.size("Items").alias("n")).collect()
+    assert len(hot) == 10 and sum(r["n"] for r in hot) == 1000
+    assert max(r["n"] for r in hot) < 200   # balls-in-bins load around 100
+    assert tx.filter("InvoiceNo <> 'HOT'").filter("Chunk <> 0").count() == 0
