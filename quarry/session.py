@@ -29,6 +29,9 @@ def get_spark(master: str | None = None, app: str = "quarry", shuffle_partitions
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "16g"))
     )
+    event_dir = os.environ.get("QUARRY_EVENT_LOG_DIR")
+    if event_dir:  # stage / task timings without the UI: Spark's event log in a scratch folder
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
