@@ -25,6 +25,12 @@ def month_range(year: int, month: int) -> tuple[dt.datetime, dt.datetime]:
     return start, end
 
 
+def ntz(ts: dt.datetime) -> Column:
+    """A timestamp_ntz literal built from text, so no session or OS time zone
+    can shift it (a Python datetime literal goes through local time)."""
+    return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+
+
 def revenue(qty: Column | str = "Quantity", price: Column | str = "UnitPrice") -> Column:
     q = F.col(qty) if isinstance(qty, str) else qty
     p = F.col(price) if isinstance(price, str) else price
@@ -71,14 +77,14 @@ def invoices_by_customer_nested(customers: DataFrame, customer_id: int) -> DataF
 def invoices_by_month(tx: DataFrame, customer_id: int, year: int, month: int) -> DataFrame:
     start, end = month_range(year, month)
     return tx.filter((F.col("CustomerID") == F.lit(customer_id))
-                     & (F.col("InvoiceDate") >= F.lit(start).cast("timestamp_ntz"))
-                     & (F.col("InvoiceDate") < F.lit(end).cast("timestamp_ntz")))
+                     & (F.col("InvoiceDate") >= ntz(start))
+                     & (F.col("InvoiceDate") < ntz(end)))
 
 
 def invoices_by_month_nested(customers: DataFrame, customer_id: int, year: int, month: int) -> DataFrame:
     """Invoice entries of one customer in one month; missing customer → no rows."""
     start, end = month_range(year, month)
-    lo, hi = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
+    lo, hi = ntz(start), ntz(end)
     kept = F.filter("Invoices", lambda i: (i["InvoiceDate"] >= lo) & (i["InvoiceDate"] < hi))
     return (customers.filter(F.col("CustomerID") == F.lit(customer_id))
             .select(F.inline(kept)))

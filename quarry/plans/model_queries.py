@@ -10,6 +10,8 @@ from quarry.plans.ml_queries import CLASS_NAMES, SEED, embeddings
 from quarry.plans.registry import query
 from quarry.session import checkpoint_dir, scratch_path
 
+# Fixed values that must equal the reference's sweep: four forests, three
+# logistic regressions.
 RF_SETTINGS = [
     {"model": "rf", "n_estimators": 50, "max_depth": 3, "random_state": 42},
     {"model": "rf", "n_estimators": 100, "max_depth": 5, "random_state": 42},
