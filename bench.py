@@ -123,8 +123,7 @@ def main() -> None:
 
     # Create Invoice
     timed(q, "tx_create_invoice", lambda: store.append_rows(new_tx, tx_path, "InvoiceNo", n_buckets))
-    timed(q, "cust_create_invoice", lambda: store.rewrite_bucket(
-        spark, cust_path, "CustomerID", CUSTOMER, n_buckets, lambda d: dml.push_invoice(d, CUSTOMER, entry)))
+    timed(q, "cust_create_invoice", lambda: store.push_as_chunk(spark, cust_path, cust(), CUSTOMER, entry, n_buckets))
     changed(tx_path)
     changed(cust_path)
     tx().schema, cust().schema  # re-open the changed tables (untimed, like a server's cursor)

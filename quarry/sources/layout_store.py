@@ -136,3 +136,22 @@ def find_holder(table: DataFrame, key: str, predicate: Column, n_buckets: int) -
     if not first:
         return table.limit(0)
     return lookup(table, key, first[0][0], n_buckets)
+
+
+def push_as_chunk(spark: SparkSession, path: str, customers: DataFrame, customer_id: int, entry: Column,
+                  n_buckets: int) -> bool:
+    """``$push`` on the chunked customer layout without rewriting anything:
+    the new invoice entry is appended as one more chunk document of that
+    customer (a customer's document is the union of its chunks, so every
+    query sees the same result as an in-place push).  Returns False when the
+    customer does not exist (the push matches no document)."""
+    current = lookup(customers, "CustomerID", customer_id, n_buckets)
+    head = current.agg(F.max("Chunk").alias("_c"), F.first("Country").alias("_country")).first()
+    if head is None or head["_c"] is None:
+        return False
+    doc = spark.range(1).select(F.lit(customer_id).cast("int").alias("CustomerID"),
+                                F.lit(head["_c"] + 1).cast("int").alias("Chunk"),
+                                F.lit(head["_country"]).alias("Country"),
+                                F.array(entry).alias("Invoices"))
+    append_rows(doc, path, "CustomerID", n_buckets)
+    return True

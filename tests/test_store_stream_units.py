@@ -49,3 +49,25 @@ def test_upsert_stream_replay_is_harmless(spark):
     jobs.upsert_stream(spark, src_dir, st, target, ["k"], base + "/ckpt2", 4)
     twice = sorted(spark.read.parquet(target).drop("bucket").collect())
     assert once == twice and len(once) == 201
+
+
+def test_push_as_chunk_equals_in_place_push(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    from quarry.operators import docs
+    from quarry.sources.retail import RETAIL_SCHEMA
+    rows = [("1", "A", "a", 1, dt.datetime(2011, 1, 1), Decimal("1.00"), 7, "UK"),
+            ("2", "B", "b", 2, dt.datetime(2011, 2, 1), Decimal("2.00"), 7, "UK")]
+    r = spark.createDataFrame(rows, RETAIL_SCHEMA).withColumn("RowKey", F.struct("InvoiceNo", "StockCode"))
+    cust = docs.build_layouts(r)["customers"]
+    path = store.write_table(cust, tempfile.mkdtemp() + "/c", "CustomerID", 4)
+    entry = F.struct(F.lit("9").alias("InvoiceNo"), F.lit("2011-03-01").cast("timestamp_ntz").alias("InvoiceDate"),
+                     F.expr("array(named_struct('StockCode', 'Z', 'Description', 'z', 'Quantity', CAST(3 AS BIGINT), "
+                            "'UnitPrice', CAST(1.5 AS DECIMAL(18,2))))").alias("Items"))
+    assert store.push_as_chunk(spark, path, spark.read.parquet(path), 7, entry, 4)
+    assert not store.push_as_chunk(spark, path, spark.read.parquet(path), 999, entry, 4)
+    appended = docs.unwind_two_level(spark.read.parquet(path).drop("bucket"))
+    in_place = docs.unwind_two_level(dml.push_invoice(cust, 7, entry))
+    key = lambda df: sorted(tuple(x) for x in df.select("CustomerID", "InvoiceNo", "StockCode", "Quantity").collect())
+    assert key(appended) == key(in_place)
