@@ -12,23 +12,38 @@ from pyspark.sql import SparkSession
 def get_spark(master: str | None = None, app: str = "quarry", shuffle_partitions: int | None = None) -> SparkSession:
     """Build (or reuse) a session with AQE on and the UI off.
 
-    On a cluster the master and most settings come from ``spark-submit``;
-    these defaults only fill what is unset.
+    Under ``spark-submit`` (a master already configured by the launch) only
+    settings the launch left unset are filled in — shuffle partitions,
+    memory and file-split sizes stay whatever the cluster chose.  Local runs
+    (tests, bench) get small-machine defaults.
     """
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = (
-        SparkSession.builder.appName(app)
-        .master(master or f"local[{cpus}]")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus) * 2))
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "16g"))
-    )
+    from pyspark import SparkConf
+
+    launched = SparkConf()  # spark-submit / spark-defaults settings, if any
+    cluster = master is None and launched.contains("spark.master") and not launched.get("spark.master", "").startswith("local")
+    builder = SparkSession.builder.appName(app)
+    defaults = {
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+    }
+    if not cluster:
+        cpus = os.environ.get("BENCH_CPUS", "8")
+        builder = builder.master(master or f"local[{cpus}]")
+        defaults.update({
+            "spark.sql.shuffle.partitions": str(shuffle_partitions or int(cpus) * 2),
+            "spark.sql.session.timeZone": "UTC",
+            "spark.driver.memory": os.environ.get("QUARRY_DRIVER_MEMORY", "16g"),
+        })
+    elif shuffle_partitions:
+        defaults["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for k, v in defaults.items():
+        if cluster and launched.contains(k):
+            continue  # the launch decided
+        builder = builder.config(k, v)
     event_dir = os.environ.get("QUARRY_EVENT_LOG_DIR")
     if event_dir:  # stage / task timings without the UI: Spark's event log in a scratch folder
         builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
