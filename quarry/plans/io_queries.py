@@ -156,7 +156,10 @@ def q_sink_table_replace(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
-@query("ddl_tables")
+@query("ddl_tables", with_views("""
+SELECT 'retail.products' AS table_name, 'StockCode:string,Description:string' AS columns, count(DISTINCT StockCode) AS n_rows FROM retail
+UNION ALL SELECT 'retail.invoices', 'InvoiceNo:string,InvoiceDate:timestamp_ntz,CustomerID:int,Country:string', count(DISTINCT InvoiceNo) FROM retail
+UNION ALL SELECT 'retail.invoice_items', 'InvoiceNo:string,StockCode:string,Quantity:int,UnitPrice:decimal(18,2)', count(*) FROM retail""", "retail"))
 def q_ddl_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Create the 2NF tables from schema constants, insert the data, report
     columns and row counts per table."""
@@ -195,7 +198,9 @@ def q_sink_upsert_batch(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(p2)
 
 
-@query("sink_json_result")
+@query("sink_json_result", with_views("""
+SELECT run_id, count(DISTINCT epoch) AS num_epochs, (SELECT CAST(least(count(*), 20) AS INTEGER) FROM embeddings) AS n_samples, 10 AS n_classes
+FROM batches GROUP BY run_id""", "batches"))
 def q_sink_json_result(spark: SparkSession, sf: str) -> DataFrame:
     """Result document: per-epoch metrics, accuracy, counts, class names and
     sample predictions, written as JSON and read back."""
