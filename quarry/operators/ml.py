@@ -265,13 +265,26 @@ def epoch_loss_batch_mean(batches: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 # ------------------------------------------------------------------ drift
 
-def hash_normal(id_col: str, seed: int, salt: int, loc: float = 0.0, scale: float = 1.0) -> Column:
-    """N(loc, scale) draw that depends only on (id, seed, salt) — Box–Muller
-    over two hash-derived uniforms; reproducible under any partitioning."""
-    def u(k: int) -> Column:
-        h = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed), F.lit(salt), F.lit(k)), F.lit(2 ** 52))
-        return (h.cast("double") + 0.5) / float(2 ** 52)
-    z = F.sqrt(-2.0 * F.log(u(1))) * F.cos(2.0 * math.pi * u(2))
+M31 = 2 ** 31
+
+
+def portable_uniform(id_col: str | Column, seed: int, salt: Column | int, k: int) -> Column:
+    """U(0, 1) draw that depends only on (id, seed, salt, k): two rounds of a
+    31-bit multiplicative step with xor-shift mixing.  Integer arithmetic
+    below 2^62, so no overflow, and SQL engines can reproduce it exactly."""
+    i = F.col(id_col) if isinstance(id_col, str) else id_col
+    s = salt if isinstance(salt, Column) else F.lit(salt)
+    h = F.pmod(F.pmod(i.cast("long"), F.lit(M31)) * F.lit(1103515245)
+               + F.lit(12345 + 7919 * seed + 15485863 * k) + s.cast("long") * F.lit(104729), F.lit(M31))
+    h = F.pmod(h.bitwiseXOR(F.shiftright(h, 13)) * F.lit(1103515245) + F.lit(12345), F.lit(M31))
+    h = h.bitwiseXOR(F.shiftright(h, 16))
+    return (h.cast("double") + 0.5) / float(M31)
+
+
+def portable_normal(id_col: str | Column, seed: int, salt: Column | int, loc: float = 0.0, scale: float = 1.0) -> Column:
+    """N(loc, scale) by Box–Muller over two ``portable_uniform`` draws;
+    reproducible under any partitioning."""
+    z = F.sqrt(-2.0 * F.log(portable_uniform(id_col, seed, salt, 1))) * F.cos(2.0 * math.pi * portable_uniform(id_col, seed, salt, 2))
     return F.lit(loc) + F.lit(scale) * z
 
 
@@ -280,20 +293,14 @@ def drift_shift(df: DataFrame, id_col: str, cols: Sequence[str], seed: int = 0,
     """Add N(loc, scale) noise to every feature column (simulated drift)."""
     out = df
     for i, c in enumerate(cols):
-        out = out.withColumn(c, F.col(c) + hash_normal(id_col, seed, i, loc, scale))
+        out = out.withColumn(c, F.col(c) + portable_normal(id_col, seed, i, loc, scale))
     return out
 
 
 def drift_shift_vector(df: DataFrame, id_col: str, vec: str, seed: int = 0,
                        loc: float = 0.5, scale: float = 0.1) -> DataFrame:
-    """Same, for every element of an array feature column."""
-    def noise(x: Column, i: Column) -> Column:
-        h1 = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed), i, F.lit(1)), F.lit(2 ** 52))
-        h2 = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed), i, F.lit(2)), F.lit(2 ** 52))
-        u1 = (h1.cast("double") + 0.5) / float(2 ** 52)
-        u2 = (h2.cast("double") + 0.5) / float(2 ** 52)
-        return x.cast("double") + F.lit(loc) + F.lit(scale) * F.sqrt(-2.0 * F.log(u1)) * F.cos(2.0 * math.pi * u2)
-    return df.withColumn(vec, F.transform(vec, noise))
+    """Same, for every element of an array feature column (element index = salt)."""
+    return df.withColumn(vec, F.transform(vec, lambda x, i: x.cast("double") + portable_normal(id_col, seed, i, loc, scale)))
 
 
 # ------------------------------------------------------------------ parameter grid

@@ -78,11 +78,20 @@ def q_sweep_lr(spark: SparkSession, sf: str) -> DataFrame:
     return models.sweep(train, test, LR_SETTINGS)
 
 
-@query("drift_shift")
+def _u_sql(seed: int, k: int) -> str:
+    h = f"(((vec_id % 2147483648) * 1103515245 + {12345 + 7919 * seed + 15485863 * k} + pos * 104729) % 2147483648)"
+    h = f"((xor({h}, {h} >> 13) * 1103515245 + 12345) % 2147483648)"
+    return f"((CAST(xor({h}, {h} >> 16) AS DOUBLE) + 0.5) / 2147483648.0)"
+
+
+@query("drift_shift", f"""
+SELECT vec_id, pos, round(CAST(x AS DOUBLE) + 0.5 + 0.1 * sqrt(-2.0 * ln({_u_sql(99, 1)})) * cos(2.0 * pi() * {_u_sql(99, 2)}), 6) AS value
+FROM (SELECT vec_id, unnest(embedding) AS x, unnest(range(len(embedding))) AS pos FROM embeddings)""")
 def q_drift_shift(spark: SparkSession, sf: str) -> DataFrame:
     e = embeddings(spark, sf)
     shifted = ml.drift_shift_vector(e, "vec_id", "embedding", seed=99)
-    return shifted.select("vec_id", F.posexplode("embedding").alias("pos", "value"))
+    return (shifted.select("vec_id", F.posexplode("embedding").alias("pos", "value"))
+            .select("vec_id", F.col("pos").cast("long").alias("pos"), F.round("value", 6).alias("value")))
 
 
 @query("drift_compare")
