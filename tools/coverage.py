@@ -49,16 +49,22 @@ def _used(fn, depth: int, seen: set) -> set:
     seen.add(fn)
     src = inspect.getsource(fn)
     found = set()
+    scope = dict(fn.__globals__)
+    for mod_name, names in re.findall(r"from (quarry[\w.]*) import ([\w, ]+)", src):
+        import importlib
+        m = importlib.import_module(mod_name)
+        for n in [x.strip() for x in names.split(",")]:
+            scope[n] = getattr(m, n, None)
     for alias, name in re.findall(r"\b(\w+)\.(\w+)\(", src):
-        mod = fn.__globals__.get(alias)
+        mod = scope.get(alias)
         if inspect.ismodule(mod) and mod.__name__.startswith("quarry.") and not mod.__name__.startswith("quarry.plans"):
             found.add(f"{mod.__name__.removeprefix('quarry.')}.{name}")
     for name in re.findall(r"(?<![\w.])(\w+)\(", src):
-        obj = fn.__globals__.get(name)
+        obj = scope.get(name)
         mod = getattr(obj, "__module__", "") or ""
         if callable(obj) and mod.startswith("quarry.") and not mod.startswith("quarry.plans"):
             found.add(f"{mod.removeprefix('quarry.')}.{name}")
-        elif inspect.isfunction(obj) and mod.startswith("quarry.plans") and mod != "quarry.plans.registry":
+        elif inspect.isfunction(obj) and mod.startswith("quarry.plans") and mod not in ("quarry.plans.registry", "quarry.plans.sqlviews"):
             if not name.startswith(("q_", "_")):
                 found.add(f"{mod.removeprefix('quarry.')}.{name}")
             found |= _used(obj, depth - 1, seen)
