@@ -22,7 +22,12 @@ IN_LIST = ["7", "42", "100", "1000", "9999"]
 
 
 def layouts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return docs.build_layouts(retail_view(spark, sf))
+    """Document tables of ``sf``: built once into the shared folder, then read
+    (see ``layout_store.stored_layouts``)."""
+    from quarry.sources.layout_store import stored_layouts
+    tables, n_buckets = stored_layouts(spark, sf)
+    tables["_n_buckets"] = n_buckets
+    return tables
 
 
 def _dbl(c: str) -> F.Column:
@@ -214,8 +219,7 @@ SELECT check_name, documents, expected, documents = expected AS ok FROM (
   UNION ALL SELECT 'customers', (SELECT count(DISTINCT CustomerID) FROM cust_items), (SELECT count(DISTINCT CustomerID) FROM retail))""",
     "retail", "headers", "refs", "cust_items"))
 def q_doc_count(spark: SparkSession, sf: str) -> DataFrame:
-    r = retail_view(spark, sf)
-    return docs.doc_count_check(r, docs.build_layouts(r))
+    return docs.doc_count_check(retail_view(spark, sf), layouts(spark, sf))
 
 
 # ------------------------------------------------------------------ unwinding
@@ -270,7 +274,10 @@ def q_match_after_unwind(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("find_invoice", with_views(f"SELECT {ITEM_COLS_SQL} FROM tx_items WHERE InvoiceNo = '{INVOICE}'", "tx_items"))
 def q_find_invoice(spark: SparkSession, sf: str) -> DataFrame:
-    return docs.unwind_items(retail.find_invoice(layouts(spark, sf)["transactions"], INVOICE)).withColumn("UnitPrice", _dbl("UnitPrice"))
+    from quarry.sources.layout_store import lookup
+    lay = layouts(spark, sf)
+    found = lookup(lay["_bucketed"]["transactions"], "InvoiceNo", INVOICE, lay["_n_buckets"]).drop("bucket")
+    return docs.unwind_items(found).withColumn("UnitPrice", _dbl("UnitPrice"))
 
 
 @query("find_invoice_nested", with_views(f"""
@@ -285,7 +292,9 @@ def q_find_invoice_nested(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("find_customer_info", with_views(f"SELECT CustomerID, Country FROM refs WHERE CustomerID = {CUSTOMER}", "refs"))
 def q_customer_info(spark: SparkSession, sf: str) -> DataFrame:
-    return retail.customer_info(layouts(spark, sf)["customer_refs"], CUSTOMER)
+    from quarry.sources.layout_store import lookup
+    lay = layouts(spark, sf)
+    return lookup(lay["_bucketed"]["customer_refs"], "CustomerID", CUSTOMER, lay["_n_buckets"]).drop("bucket")
 
 
 @query("invoices_by_customer", with_views(f"SELECT {ITEM_COLS_SQL} FROM tx_items WHERE CustomerID = {CUSTOMER}", "tx_items"))
@@ -298,7 +307,9 @@ def q_inv_by_cust(spark: SparkSession, sf: str) -> DataFrame:
 SELECT CustomerID, Country, InvoiceNo, InvoiceDate, StockCode, Description, Quantity, CAST(UnitPrice AS DOUBLE) AS UnitPrice
 FROM cust_items WHERE CustomerID = {CUSTOMER}""", "cust_items"))
 def q_inv_by_cust_nested(spark: SparkSession, sf: str) -> DataFrame:
-    c = retail.invoices_by_customer_nested(layouts(spark, sf)["customers"], CUSTOMER)
+    from quarry.sources.layout_store import lookup
+    lay = layouts(spark, sf)
+    c = lookup(lay["_bucketed"]["customers"], "CustomerID", CUSTOMER, lay["_n_buckets"]).drop("bucket")
     return docs.unwind_two_level(c).withColumn("UnitPrice", _dbl("UnitPrice"))
 
 

@@ -155,3 +155,56 @@ def push_as_chunk(spark: SparkSession, path: str, customers: DataFrame, customer
                                 F.array(entry).alias("Invoices"))
     append_rows(doc, path, "CustomerID", n_buckets)
     return True
+
+
+LAYOUT_TABLES = ("_rollup", "_headers", "customer_refs", "transactions", "customers")
+_FINGERPRINTS: dict = {}   # (context, folder, file listing) → (fingerprint, buckets) within a session
+ROWS_PER_BUCKET = 50_000_000
+
+
+def stored_layouts(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], int]:
+    """The document tables of a source folder, built once and then read.
+
+    The reference ingests its collections once and queries them many times;
+    so do we.  The tables are written under the shared checkpoint folder in a
+    sub-folder named by a fingerprint of the source (input file names and row
+    counts, both read from parquet metadata), so a changed source gets a fresh
+    build and an unchanged one is never rebuilt.  The bucket count follows
+    the data (one bucket per ~50M lines, at least 16).  Returns the tables
+    (without the ``bucket`` column) and the bucket count.
+    """
+    import hashlib
+
+    from quarry.sources.retail import retail_view
+    from quarry.sources.tables import table
+
+    sources = {name: table(spark, sf_dir, name) for name in ("lineitem", "orders", "customer", "nation", "part")}
+    listing = tuple((name, tuple(sorted(t.inputFiles()))) for name, t in sources.items())
+    memo = (id(spark.sparkContext), sf_dir, listing)
+    if memo in _FINGERPRINTS:
+        key, n_buckets = _FINGERPRINTS[memo]
+    else:
+        counts = {name: t.count() for name, t in sources.items()}   # parquet footer metadata
+        parts = [f"{name}:{counts[name]}:{','.join(files)}" for name, files in listing]
+        key = hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+        n_buckets = max(16, -(-counts["lineitem"] // ROWS_PER_BUCKET))
+        _FINGERPRINTS[memo] = (key, n_buckets)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/quarry-layouts/{key}"
+    ready = f"{base}/_READY"
+    if not _exists(spark, ready):
+        build_and_write_layouts(spark, retail_view(spark, sf_dir), base, n_buckets)
+        spark.createDataFrame([(key,)], "key string").write.mode("overwrite").json(ready)
+    out = {}
+    for name in LAYOUT_TABLES:
+        df = spark.read.parquet(f"{base}/{name}")
+        out[name.lstrip("_")] = df.drop("bucket") if "bucket" in df.columns else df
+    out["_bucketed"] = {n: spark.read.parquet(f"{base}/{n}") for n in ("transactions", "customers", "customer_refs")}
+    return out, n_buckets
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.json(path).limit(1).collect()
+        return True
+    except Exception:  # noqa: BLE001 - absent marker
+        return False
