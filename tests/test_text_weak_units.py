@@ -82,3 +82,26 @@ def test_dict_merge_right_wins(spark):
     df = spark.sql("SELECT map('a', '1', 'b', '2') AS m1, map('b', '3', 'c', '4') AS m2")
     got = df.select(scalars.dict_merge("m1", "m2").alias("m")).first()["m"]
     assert got == {"a": "1", "b": "3", "c": "4"}
+
+
+def test_label_model_weights_reliable_lfs(spark):
+    """Three LFs with accuracies 0.95 / 0.65 / 0.6: the EM posterior should
+    match the truth at least as often as majority vote on voted rows."""
+    import random
+    rng = random.Random(7)
+    rows = []
+    for i in range(3000):
+        y = rng.randint(0, 1)
+        votes = []
+        for acc, cov in [(0.95, 0.7), (0.65, 0.9), (0.6, 0.9)]:
+            if rng.random() < cov:
+                votes.append(y if rng.random() < acc else 1 - y)
+            else:
+                votes.append(-1)
+        rows.append((i, y, *votes))
+    L = spark.createDataFrame(rows, "id int, y int, a int, b int, c int")
+    lm = weak.label_model(L, ["a", "b", "c"], seed=3).withColumn("mv", weak.majority_vote(["a", "b", "c"]))
+    voted = lm.filter("greatest(a, b, c) > -1")
+    acc_lm = voted.agg(F.avg((F.col("pred") == F.col("y")).cast("double"))).first()[0]
+    acc_mv = voted.agg(F.avg((F.col("mv") == F.col("y")).cast("double"))).first()[0]
+    assert acc_lm >= acc_mv - 0.01 and acc_lm > 0.8
