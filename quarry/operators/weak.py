@@ -84,17 +84,22 @@ def lf_token_regex(name: str, pattern: str, label: int, tokens: str = "tokens",
     return LabelingFunction(name, lambda: vote_if(tx.any_token_matches(tokens, pattern, ignore_case), label))
 
 
-def lf_words(name: str, words: Sequence[str], label: int, text_col: str = "clean") -> LabelingFunction:
-    """``label`` when any whitespace token of ``text_col`` is in ``words``."""
+def lf_words(name: str, words: Sequence[str], label: int, text_col: str = "clean",
+             tokens_col: str | None = None) -> LabelingFunction:
+    """``label`` when any whitespace token of ``text_col`` is in ``words``
+    (or of the already-split ``tokens_col``, so several LFs share one split)."""
+    if tokens_col is not None:
+        wanted = F.array(*[F.lit(w) for w in sorted(set(words))])
+        return LabelingFunction(name, lambda: vote_if(F.arrays_overlap(F.col(tokens_col), wanted), label))
     return LabelingFunction(name, lambda: vote_if(tx.any_word_in(text_col, words), label))
 
 
-def lf_positive(text_col: str = "clean") -> LabelingFunction:
-    return lf_words("lf_positive", POSITIVE_WORDS, POS, text_col)
+def lf_positive(text_col: str = "clean", tokens_col: str | None = None) -> LabelingFunction:
+    return lf_words("lf_positive", POSITIVE_WORDS, POS, text_col, tokens_col)
 
 
-def lf_negative(text_col: str = "clean") -> LabelingFunction:
-    return lf_words("lf_negative", NEGATIVE_WORDS, NEG, text_col)
+def lf_negative(text_col: str = "clean", tokens_col: str | None = None) -> LabelingFunction:
+    return lf_words("lf_negative", NEGATIVE_WORDS, NEG, text_col, tokens_col)
 
 
 def lf_exclaim(text_col: str = "text", more_than: int = 2) -> LabelingFunction:

@@ -47,9 +47,10 @@ FROM sentences""", ["sentences"])
 
 
 def review_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    r = reviews(spark, sf).withColumn("clean", tx.clean_text("text"))
-    lfs = [weak.lf_positive(), weak.lf_negative(), weak.lf_exclaim(),
-           weak.lf_words("lf_the", ["the"], weak.POS), weak.lf_words("lf_der", ["der"], weak.NEG)]
+    r = reviews(spark, sf).withColumn("tok", tx.tokens(tx.clean_text("text")))   # split once, shared by the word LFs
+    lfs = [weak.lf_positive(tokens_col="tok"), weak.lf_negative(tokens_col="tok"), weak.lf_exclaim(),
+           weak.lf_words("lf_the", ["the"], weak.POS, tokens_col="tok"),
+           weak.lf_words("lf_der", ["der"], weak.NEG, tokens_col="tok")]
     return weak.apply_lfs(r, lfs, keep=["label"])
 
 
