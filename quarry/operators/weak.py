@@ -49,7 +49,15 @@ def python_lf(name: str, fn: Callable[[str], int], column: str = "text") -> Labe
     """An LF written as a plain Python function of one string.
 
     Runs as an Arrow-batched pandas UDF (the slow path; prefer Column LFs).
+    The package is shipped to the Python workers, since ``fn`` may refer to it.
     """
+    from pyspark.sql import SparkSession
+
+    from quarry.session import ship_package
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ship_package(active)
+
     @F.pandas_udf(T.IntegerType())
     def _apply(s: pd.Series) -> pd.Series:
         return s.map(lambda v: ABSTAIN if v is None else int(fn(v))).astype("int32")

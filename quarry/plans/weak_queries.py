@@ -231,7 +231,9 @@ def clean_text_py(s: str) -> str:
 @query("udf_row_apply", r"""
 SELECT page_id, lower(regexp_replace(regexp_replace(html, '<br\s*/?>', ' ', 'g'), '[^\p{L}\p{N}_\s'']', '', 'g')) AS text FROM pages""")
 def q_udf_row_apply(spark: SparkSession, sf: str) -> DataFrame:
+    from quarry.session import ship_package
     from quarry.sources.tables import table
+    ship_package(spark)   # the UDF calls clean_text_py from this package
 
     @F.pandas_udf(T.StringType())
     def clean(s: pd.Series) -> pd.Series:

@@ -73,3 +73,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/quarry-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quarry`` importable in the Python workers (``addPyFile`` of a
+    zip of the package, once per context) — needed by Python UDFs whose
+    closures refer to library code.  Where the package is installed on every
+    node this is harmless."""
+    import shutil
+
+    import quarry
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(quarry.__file__))
+    out = tempfile.mkdtemp(prefix="quarry-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out, "quarry"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir="quarry")
+    sc.addPyFile(archive)
+    _SHIPPED.add(id(sc))
