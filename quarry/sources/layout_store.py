@@ -159,6 +159,7 @@ def push_as_chunk(spark: SparkSession, path: str, customers: DataFrame, customer
 
 LAYOUT_TABLES = ("_rollup", "_headers", "customer_refs", "transactions", "customers")
 _FINGERPRINTS: dict = {}   # (context, folder, file listing) → (fingerprint, buckets) within a session
+_BUILD_LOCK = __import__("threading").Lock()
 ROWS_PER_BUCKET = 50_000_000
 
 
@@ -191,9 +192,10 @@ def stored_layouts(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFram
         _FINGERPRINTS[memo] = (key, n_buckets)
     base = f"{checkpoint_dir(spark).rstrip('/')}/quarry-layouts/{key}"
     ready = f"{base}/_READY"
-    if not _exists(spark, ready):
-        build_and_write_layouts(spark, retail_view(spark, sf_dir), base, n_buckets)
-        spark.createDataFrame([(key,)], "key string").write.mode("overwrite").json(ready)
+    with _BUILD_LOCK:   # one build per snapshot even if queries run from several threads
+        if not _exists(spark, ready):
+            build_and_write_layouts(spark, retail_view(spark, sf_dir), base, n_buckets)
+            spark.createDataFrame([(key,)], "key string").write.mode("overwrite").json(ready)
     out = {}
     for name in LAYOUT_TABLES:
         df = spark.read.parquet(f"{base}/{name}")
