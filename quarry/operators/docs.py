@@ -141,6 +141,40 @@ def unwind_items(transactions: DataFrame, outer: bool = False) -> DataFrame:
                     *[F.col(f"_it.{c}").alias(c) for c in ITEM_FIELDS]))
 
 
+def item_fields(tx: DataFrame, fields: Sequence[str],
+                keep: Sequence[str] = ("InvoiceNo", "InvoiceDate", "CustomerID")) -> DataFrame:
+    """One row per item carrying only ``fields``.
+
+    The unwind starts from the field arrays (``Items.Quantity``, ...), zipped
+    back together, so the parquet scan reads just those leaves of the nested
+    column (exploding whole item structs would read every field).
+    """
+    z = F.arrays_zip(*[F.col(f"Items.{f}").alias(f) for f in fields])
+    return (tx.select(*keep, F.explode(z).alias("_it"))
+            .select(*keep, *[F.col(f"_it.{f}").alias(f) for f in fields]))
+
+
+def customer_item_fields(customers: DataFrame, fields: Sequence[str],
+                         keep: Sequence[str] = ("CustomerID", "Country")) -> DataFrame:
+    """Item rows of the customer layout built from per-field arrays of the
+    flattened items (the scan skips the invoice-level fields; Spark does not
+    prune leaves below two array levels)."""
+    items = F.flatten(F.col("Invoices.Items"))
+    z = F.arrays_zip(*[items[f].alias(f) for f in fields])
+    return (customers.select(*keep, F.explode(z).alias("_it"))
+            .select(*keep, *[F.col(f"_it.{f}").alias(f) for f in fields]))
+
+
+def customer_invoice_item_fields(customers: DataFrame, fields: Sequence[str],
+                                 keep: Sequence[str] = ("CustomerID", "Country")) -> DataFrame:
+    """Item rows of the customer layout that also carry their InvoiceNo."""
+    inv = (customers.select(*keep, F.explode("Invoices").alias("_inv"))
+           .select(*keep, "_inv.InvoiceNo", *[F.col("_inv.Items")[f].alias(f"_a_{f}") for f in fields]))
+    z = F.arrays_zip(*[F.col(f"_a_{f}").alias(f) for f in fields])
+    return (inv.select(*keep, "InvoiceNo", F.explode(z).alias("_it"))
+            .select(*keep, "InvoiceNo", *[F.col(f"_it.{f}").alias(f) for f in fields]))
+
+
 def unwind_invoices(customers: DataFrame) -> DataFrame:
     """One row per invoice entry of a customer document."""
     return (customers.select("CustomerID", "Country", F.explode("Invoices").alias("_inv"))

@@ -14,7 +14,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.docs import ITEM_FIELDS, customer_items, unwind_items
+from quarry.operators.docs import (ITEM_FIELDS, customer_invoice_item_fields, customer_item_fields,
+                                   item_fields)
 from quarry.sources.tables import join_small
 
 
@@ -118,7 +119,8 @@ def product_search_nested(customers: DataFrame, term: str, limit: int = 20) -> D
 def product_sales(tx: DataFrame, stock_code: str) -> DataFrame:
     """Σqty and Σqty·price of one stock code (unwind → match → group)."""
     code = F.lit(stock_code)
-    rows = unwind_items(tx.filter(F.exists("Items", lambda i: i["StockCode"] == code)))
+    docs_hit = tx.filter(F.exists(F.col("Items.StockCode"), lambda c: c == code))
+    rows = item_fields(docs_hit, ["StockCode", "Quantity", "UnitPrice"], keep=[])
     return (rows.filter(F.col("StockCode") == code).groupBy("StockCode")
             .agg(F.sum("Quantity").alias("totalQuantity"),
                  F.sum(revenue()).alias("totalRevenue")))
@@ -126,9 +128,8 @@ def product_sales(tx: DataFrame, stock_code: str) -> DataFrame:
 
 def product_sales_nested(customers: DataFrame, stock_code: str) -> DataFrame:
     code = F.lit(stock_code)
-    docs = customers.filter(F.exists("Invoices", lambda inv: F.exists(
-        inv["Items"], lambda i: i["StockCode"] == code)))
-    rows = customer_items(docs)
+    docs = customers.filter(F.exists(F.flatten(F.col("Invoices.Items"))["StockCode"], lambda c: c == code))
+    rows = customer_item_fields(docs, ["StockCode", "Quantity", "UnitPrice"], keep=[])
     return (rows.filter(F.col("StockCode") == code).groupBy("StockCode")
             .agg(F.sum("Quantity").alias("totalQuantity"),
                  F.sum(revenue()).alias("totalRevenue")))
@@ -145,13 +146,14 @@ def _customer_totals(items: DataFrame) -> DataFrame:
 def top_customers(tx: DataFrame, limit: int = 10) -> DataFrame:
     """Customers by revenue, top ``limit``; ``line_count`` counts item lines
     (the reference's ``totalOrders``), ``order_count`` distinct invoices."""
-    return (_customer_totals(unwind_items(tx))
+    rows = item_fields(tx, ["Quantity", "UnitPrice"], keep=["InvoiceNo", "CustomerID"])
+    return (_customer_totals(rows)
             .orderBy(F.desc("totalRevenue"), F.asc("CustomerID")).limit(limit))
 
 
 def top_customers_nested(customers: DataFrame, limit: int = 10) -> DataFrame:
-    from quarry.operators.docs import unwind_two_level
-    return (_customer_totals(unwind_two_level(customers))
+    rows = customer_invoice_item_fields(customers, ["Quantity", "UnitPrice"], keep=["CustomerID"])
+    return (_customer_totals(rows)
             .orderBy(F.desc("totalRevenue"), F.asc("CustomerID")).limit(limit))
 
 
@@ -172,7 +174,7 @@ def sales_by_country(tx: DataFrame, refs: DataFrame) -> DataFrame:
     count per country with a plain count over already-unique customers, and
     the join moves one row per customer instead of one per item.
     """
-    per_customer = (unwind_items(tx).groupBy("CustomerID")
+    per_customer = (item_fields(tx, ["Quantity", "UnitPrice"], keep=["CustomerID"]).groupBy("CustomerID")
                     .agg(F.sum(revenue()).alias("rev"), F.sum("Quantity").alias("qty")))
     joined = per_customer.join(refs, "CustomerID", "inner")
     return _country_rollup(joined)
@@ -180,15 +182,14 @@ def sales_by_country(tx: DataFrame, refs: DataFrame) -> DataFrame:
 
 def sales_by_country_nested(customers: DataFrame) -> DataFrame:
     """Same question on the customer layout: no join, Country is in the document."""
-    per_customer = (customer_items(customers).groupBy("CustomerID", "Country")
+    per_customer = (customer_item_fields(customers, ["Quantity", "UnitPrice"]).groupBy("CustomerID", "Country")
                     .agg(F.sum(revenue()).alias("rev"), F.sum("Quantity").alias("qty")))
     return _country_rollup(per_customer)
 
 
 def sales_by_country_embedded(tx_with_country: DataFrame) -> DataFrame:
     """Variant where Country is embedded in every transaction document."""
-    rows = (tx_with_country.select("CustomerID", "Country", F.explode("Items").alias("_it"))
-            .select("CustomerID", "Country", "_it.Quantity", "_it.UnitPrice"))
+    rows = item_fields(tx_with_country, ["Quantity", "UnitPrice"], keep=["CustomerID", "Country"])
     per_customer = (rows.groupBy("Country", "CustomerID")
                     .agg(F.sum(revenue()).alias("rev"), F.sum("Quantity").alias("qty")))
     return _country_rollup(per_customer)
