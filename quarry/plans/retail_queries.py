@@ -354,7 +354,7 @@ def q_product_search_nested(spark: SparkSession, sf: str) -> DataFrame:
 @query("fn_regex_ci", with_views(f"""
 SELECT StockCode, count(*) AS n_rows FROM tx_items WHERE regexp_matches(Description, '(?i){TERM}') GROUP BY StockCode""", "tx_items"))
 def q_fn_regex_ci(spark: SparkSession, sf: str) -> DataFrame:
-    rows = docs.unwind_items(layouts(spark, sf)["transactions"])
+    rows = docs.item_fields(layouts(spark, sf)["transactions"], ["StockCode", "Description"], keep=[])
     return rows.filter(F.col("Description").rlike("(?i)" + TERM)).groupBy("StockCode").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -486,14 +486,15 @@ def q_sort_desc(spark: SparkSession, sf: str) -> DataFrame:
 @query("distinct_set_size", with_views("""
 SELECT Country, count(DISTINCT CustomerID) AS n_customers FROM cust_items GROUP BY Country""", "cust_items"))
 def q_distinct_set_size(spark: SparkSession, sf: str) -> DataFrame:
-    rows = docs.unwind_two_level(layouts(spark, sf)["customers"])
-    return retail.distinct_set_size(rows, "Country", "CustomerID", "n_customers")
+    # customers that own at least one item, no item fields needed
+    c = layouts(spark, sf)["customers"].filter(F.exists("Invoices", lambda i: F.size(i["Items"]) > 0))
+    return retail.distinct_set_size(c, "Country", "CustomerID", "n_customers")
 
 
 @query("fn_multiply_sum", with_views("""
 SELECT InvoiceNo, CAST(sum(Quantity * UnitPrice) AS DOUBLE) AS revenue FROM tx_items GROUP BY InvoiceNo""", "tx_items"))
 def q_fn_multiply_sum(spark: SparkSession, sf: str) -> DataFrame:
-    rows = docs.unwind_items(layouts(spark, sf)["transactions"])
+    rows = docs.item_fields(layouts(spark, sf)["transactions"], ["Quantity", "UnitPrice"], keep=["InvoiceNo"])
     return rows.groupBy("InvoiceNo").agg(F.sum(retail.revenue()).cast("double").alias("revenue"))
 
 
