@@ -113,3 +113,14 @@ def test_drift_noise_is_partition_independent(spark):
     assert sorted(a) == sorted(b)
     mean = sum(r["x"] for r in a) / len(a)
     assert 0.45 < mean < 0.55
+
+
+def test_rank_within_spreads_a_hot_group(spark):
+    """A group with most of the rows is numbered by many bucket tasks, and
+    the numbering is still exact."""
+    df = spark.range(0, 5000).select(F.col("id"), F.when(F.col("id") < 4500, 0).otherwise(F.col("id") % 5 + 1).alias("g"))
+    df = df.withColumn("k", rank_key("id", 3))
+    out = rank_within(df, ["g"], "k", ["id"], n_buckets=32)
+    hot = out.filter("g = 0")
+    assert hot.select(F.floor(F.col("k") / (2 ** 31 // 32)).alias("b")).distinct().count() >= 16
+    assert sorted(r["rank"] for r in hot.select("rank").collect()) == list(range(1, 4501))
