@@ -118,35 +118,46 @@ def term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
-def tfidf(docs: DataFrame, id_col: str = "id", text_col: str = "text", max_features: int = 5000) -> DataFrame:
-    """Long TF-IDF ``(id, term, weight)`` with smoothed idf and L2 rows.
-
-    Vocabulary = the ``max_features`` terms of largest total count (ties by
-    term); idf = ln((1+n)/(1+df)) + 1; weights are L2-normalised per document.
-    The vocabulary is a top-k of at most ``max_features`` rows, so its
-    broadcast is bounded by construction.
-    """
+def tfidf_fit(docs: DataFrame, id_col: str = "id", text_col: str = "text", max_features: int = 5000) -> DataFrame:
+    """Fit a TF-IDF vocabulary on ``docs``: ``(term, idf)`` for the
+    ``max_features`` terms of largest total count (ties by term), with
+    idf = ln((1+n)/(1+df)) + 1.  At most ``max_features`` rows, so applying
+    it is a broadcast bounded by construction."""
     tc = term_counts(docs, id_col, text_col)
     vocab = (tc.groupBy("term").agg(F.sum("tf").alias("_total"), F.count(F.lit(1)).alias("_df"))
              .orderBy(F.desc("_total"), F.asc("term")).limit(max_features))
     n_docs = docs.agg(F.count(F.lit(1)).alias("_n"))
-    idf = (with_scalars(vocab, n_docs)
-           .select("term", (F.log((1 + F.col("_n")) / (1 + F.col("_df"))) + 1).alias("_idf")))
-    w = tc.join(F.broadcast(idf), "term").withColumn("_w", F.col("tf") * F.col("_idf"))
+    return (with_scalars(vocab, n_docs)
+            .select("term", (F.log((1 + F.col("_n")) / (1 + F.col("_df"))) + 1).alias("idf")))
+
+
+def tfidf_transform(docs: DataFrame, model: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
+    """Long TF-IDF ``(id, term, weight)`` of ``docs`` under a fitted
+    vocabulary; weights are L2-normalised per document."""
+    tc = term_counts(docs, id_col, text_col)
+    w = tc.join(F.broadcast(model), "term").withColumn("_w", F.col("tf") * F.col("idf"))
     norm = Window.partitionBy(id_col)
     return (w.withColumn("weight", F.col("_w") / F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(norm)))
             .select(id_col, "term", "weight"))
 
 
+def tfidf(docs: DataFrame, id_col: str = "id", text_col: str = "text", max_features: int = 5000) -> DataFrame:
+    """Fit on ``docs`` and transform the same documents."""
+    return tfidf_transform(docs, tfidf_fit(docs, id_col, text_col, max_features), id_col, text_col)
+
+
 def vocabulary_index(weights: DataFrame) -> DataFrame:
     """Term → column index (alphabetical, as a fitted vectorizer orders it)."""
     terms = weights.select("term").distinct()  # at most max_features rows
     return terms.select("term", (F.row_number().over(Window.orderBy("term")) - 1).cast("int").alias("index"))
 
 
-def to_sparse_vectors(weights: DataFrame, id_col: str, vocab: DataFrame, size: int) -> DataFrame:
+def to_sparse_vectors(weights: DataFrame, id_col: str, vocab: DataFrame, size: int,
+                      ids: DataFrame | None = None) -> DataFrame:
     """``(id, features)`` sparse vectors from the long weights (one small
-    Python helper per row to build the vector object)."""
+    Python helper per row to build the vector object).  With ``ids``, every
+    listed document gets a vector — all zeros when none of its terms is in
+    the vocabulary, as a fitted vectorizer gives."""
     from pyspark.ml.linalg import SparseVector, VectorUDT
 
     @F.udf(VectorUDT())
@@ -157,6 +168,10 @@ def to_sparse_vectors(weights: DataFrame, id_col: str, vocab: DataFrame, size: i
     # one row per document; the entries of a row are bounded by the vocabulary size
     per_doc = (weights.join(F.broadcast(vocab), "term")
                .groupBy(id_col).agg(F.collect_list("index").alias("_i"), F.collect_list("weight").alias("_v")))
+    if ids is not None:
+        per_doc = (ids.select(id_col).join(per_doc, id_col, "left")
+                   .select(id_col, F.coalesce("_i", F.array().cast("array<int>")).alias("_i"),
+                           F.coalesce("_v", F.array().cast("array<double>")).alias("_v")))
     return per_doc.select(id_col, build("_i", "_v").alias("features"))
 
 

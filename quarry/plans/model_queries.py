@@ -110,19 +110,22 @@ def q_drift_compare(spark: SparkSession, sf: str) -> DataFrame:
 def q_weak_vs_full(spark: SparkSession, sf: str) -> DataFrame:
     """One classifier on TF-IDF features trained twice — on majority-vote weak
     labels and on the true labels — and evaluated on the same labelled test rows."""
+    from quarry.functions import text as tx
     from quarry.operators import weak
-    from quarry.plans.ml_queries import review_tfidf
     from quarry.plans.weak_queries import REVIEW_LFS, review_matrix
+    from quarry.sources.text import reviews
 
     checkpoint_dir(spark)
-    w = review_tfidf(spark, sf).checkpoint()          # lineage cut: reused by vocab, vectors
-    vocab = ml.vocabulary_index(w).checkpoint()
-    n_terms = vocab.count()
-    vecs = ml.to_sparse_vectors(w, "id", vocab, n_terms)
+    docs = reviews(spark, sf).select("id", tx.clean_text("text").alias("text"))
     L = review_matrix(spark, sf).withColumn("weak", weak.majority_vote(REVIEW_LFS))
-    data = vecs.join(L.select("id", "label", "weak"), "id")
-    sp = ml.split_holdout(data, "id", 0.2, SEED).checkpoint()   # read by two fits and evaluations
-    train, test = sp.filter("split = 'train'"), sp.filter("split = 'test' AND label IS NOT NULL")
+    sp = ml.split_holdout(docs.join(L.select("id", "label", "weak"), "id"), "id", 0.2, SEED).checkpoint()
+    # the vectorizer is fitted on the training documents only, then applied to both splits
+    model = ml.tfidf_fit(sp.filter("split = 'train'"), "id", "text", 5000).checkpoint()
+    vocab = ml.vocabulary_index(model).checkpoint()
+    n_terms = vocab.count()
+    vecs = ml.to_sparse_vectors(ml.tfidf_transform(sp, model, "id", "text"), "id", vocab, n_terms, ids=sp)
+    data = vecs.join(sp.select("id", "label", "weak", "split"), "id").checkpoint()   # read by two fits
+    train, test = data.filter("split = 'train'"), data.filter("split = 'test' AND label IS NOT NULL")
     out = None
     for source, col, rows in [("weak", "weak", train.filter(F.col("weak") != weak.ABSTAIN)),
                               ("full", "label", train.filter(F.col("label").isNotNull()))]:

@@ -124,3 +124,14 @@ def test_rank_within_spreads_a_hot_group(spark):
     hot = out.filter("g = 0")
     assert hot.select(F.floor(F.col("k") / (2 ** 31 // 32)).alias("b")).distinct().count() >= 16
     assert sorted(r["rank"] for r in hot.select("rank").collect()) == list(range(1, 4501))
+
+
+def test_tfidf_fit_on_train_transform_unseen(spark):
+    train = spark.createDataFrame([(1, "aa bb"), (2, "bb cc")], "id int, text string")
+    test = spark.createDataFrame([(3, "bb zz"), (4, "zz yy")], "id int, text string")
+    model = ml.tfidf_fit(train, "id", "text")
+    w = ml.tfidf_transform(test, model, "id", "text")
+    assert {(r["id"], r["term"]) for r in w.collect()} == {(3, "bb")}
+    vocab = ml.vocabulary_index(model)
+    vecs = {r["id"]: r["features"] for r in ml.to_sparse_vectors(w, "id", vocab, 3, ids=test).collect()}
+    assert vecs[4].numNonzeros() == 0 and vecs[3].numNonzeros() == 1 and vecs[3].size == 3
