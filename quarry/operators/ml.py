@@ -135,7 +135,7 @@ def tfidf_transform(docs: DataFrame, model: DataFrame, id_col: str = "id", text_
     """Long TF-IDF ``(id, term, weight)`` of ``docs`` under a fitted
     vocabulary; weights are L2-normalised per document."""
     tc = term_counts(docs, id_col, text_col)
-    w = tc.join(F.broadcast(model), "term").withColumn("_w", F.col("tf") * F.col("idf"))
+    w = tc.join(F.broadcast(model), "term").withColumn("_w", F.col("tf") * F.col("idf"))  # ≤ max_features rows
     norm = Window.partitionBy(id_col)
     return (w.withColumn("weight", F.col("_w") / F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(norm)))
             .select(id_col, "term", "weight"))
@@ -166,7 +166,7 @@ def to_sparse_vectors(weights: DataFrame, id_col: str, vocab: DataFrame, size: i
         return SparseVector(size, [p[0] for p in pairs], [float(p[1]) for p in pairs])
 
     # one row per document; the entries of a row are bounded by the vocabulary size
-    per_doc = (weights.join(F.broadcast(vocab), "term")
+    per_doc = (weights.join(F.broadcast(vocab), "term")  # vocabulary: ≤ max_features rows
                .groupBy(id_col).agg(F.collect_list("index").alias("_i"), F.collect_list("weight").alias("_v")))
     if ids is not None:
         per_doc = (ids.select(id_col).join(per_doc, id_col, "left")
