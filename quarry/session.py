@@ -38,8 +38,14 @@ def get_spark(master: str | None = None, app: str = "quarry", shuffle_partitions
             "spark.sql.session.timeZone": "UTC",
             "spark.driver.memory": os.environ.get("QUARRY_DRIVER_MEMORY", "16g"),
         })
-    elif shuffle_partitions:
-        defaults["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    else:
+        # sizes for ~100 TB inputs, used only when the launch did not choose
+        defaults.update({
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+            "spark.sql.files.maxPartitionBytes": "256m",
+        })
+        if shuffle_partitions:
+            defaults["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for k, v in defaults.items():
         if cluster and launched.contains(k):
             continue  # the launch decided
@@ -90,6 +96,8 @@ def ship_package(spark: SparkSession) -> None:
     if id(sc) in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(quarry.__file__))
+    # The zip is a code artifact made from the driver's own copy of the
+    # package; addPyFile ships it to every executor, so no data lives here.
     out = tempfile.mkdtemp(prefix="quarry-pyfiles-")
     archive = shutil.make_archive(os.path.join(out, "quarry"), "zip",
                                   root_dir=os.path.dirname(pkg_dir), base_dir="quarry")
