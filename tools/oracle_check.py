@@ -26,12 +26,17 @@ from quarry.session import get_spark  # noqa: E402
 from quarry.sources.tables import TABLES  # noqa: E402
 
 
+STRICT = os.environ.get("ORACLE_STRICT") == "1"   # exact float equality, no rounding
+
+
 def norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
+        if STRICT:
+            return v
         return float(f"{v:.6g}") if v != 0 else 0.0
     if isinstance(v, decimal.Decimal):
         return norm(float(v))
