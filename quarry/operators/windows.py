@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.sources.tables import join_small, with_scalars
+from quarry.sources.tables import join_small
 
 KEY_SPACE = 2 ** 31
 LCG_A, LCG_C = 1103515245, 12345
@@ -50,6 +50,29 @@ def rank_within(df: DataFrame, groups: Sequence[str], key: str, tiebreak: Sequen
     n_buckets = max(1, min(n_buckets, key_space))
     width = max(1, -(-key_space // n_buckets))
     b = df.withColumn("_bucket", F.floor(F.col(key) / F.lit(width)).cast("int"))
+    return _number_buckets(b, groups, key, tiebreak, name)
+
+
+def rank_within_quantiles(df: DataFrame, groups: Sequence[str], key: str, tiebreak: Sequence[str] = (),
+                          n_buckets: int | None = None, name: str = "rank") -> DataFrame:
+    """``rank_within`` for any numeric ordering key, however it is spread:
+    buckets are equal-depth ranges cut at approximate quantiles of the key
+    (at most ``n_buckets - 1`` cut points, applied by binary search), so a
+    clustered key still gives task-sized buckets; ranks stay exact because a
+    bucket is a contiguous key range."""
+    from pyspark.ml.feature import Bucketizer
+    if n_buckets is None:
+        n_buckets = max(64, -(-df.count() // ROWS_PER_BUCKET))
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    cuts = df.agg(F.percentile_approx(F.col(key).cast("double"), probs, 10_000).alias("q")).first()["q"] or []
+    splits = [float("-inf")] + sorted(set(float(c) for c in cuts)) + [float("inf")]
+    keyed = df.withColumn("_kd", F.col(key).cast("double"))
+    b = (Bucketizer(splits=splits, inputCol="_kd", outputCol="_bd").transform(keyed)
+         .withColumn("_bucket", F.col("_bd").cast("int")).drop("_kd", "_bd"))
+    return _number_buckets(b, groups, key, tiebreak, name)
+
+
+def _number_buckets(b: DataFrame, groups: Sequence[str], key: str, tiebreak: Sequence[str], name: str) -> DataFrame:
     gcols = list(groups)
     counts = b.groupBy(*gcols, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     w_off = Window.partitionBy(*gcols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -61,13 +84,10 @@ def rank_within(df: DataFrame, groups: Sequence[str], key: str, tiebreak: Sequen
 
 
 def per_class_sequence(df: DataFrame, label: str, id_col: str, n_buckets: int | None = None) -> DataFrame:
-    """Running number per class in id order, starting at 0 (per-class file counters)."""
-    ids = df.agg(F.min(id_col).alias("lo"), F.max(id_col).alias("hi"))
-    span = with_scalars(df, ids)
-    keyed = span.withColumn("_k", (F.col(id_col) - F.col("lo")).cast("long")).drop("lo", "hi")
-    hi = keyed.agg(F.max("_k")).first()[0] or 0
-    out = rank_within(keyed, [label], "_k", [id_col], n_buckets=n_buckets, key_space=int(hi) + 1, name="_seq")
-    return out.withColumn("seq", F.col("_seq") - 1).drop("_k", "_seq")
+    """Running number per class in id order, starting at 0 (per-class file counters).
+    Ids may be clustered, so buckets are cut at quantiles of the id."""
+    out = rank_within_quantiles(df, [label], id_col, [id_col], n_buckets=n_buckets, name="_seq")
+    return out.withColumn("seq", F.col("_seq") - 1).drop("_seq")
 
 
 def best_so_far(df: DataFrame, groups: Sequence[str], order: Sequence[str], value: str, bucket: Column,

@@ -135,3 +135,13 @@ def test_tfidf_fit_on_train_transform_unseen(spark):
     vocab = ml.vocabulary_index(model)
     vecs = {r["id"]: r["features"] for r in ml.to_sparse_vectors(w, "id", vocab, 3, ids=test).collect()}
     assert vecs[4].numNonzeros() == 0 and vecs[3].numNonzeros() == 1 and vecs[3].size == 3
+
+
+def test_quantile_buckets_handle_clustered_keys(spark):
+    from quarry.operators.windows import rank_within_quantiles
+    # 3000 ids packed near 0 plus a few far outliers: equal-width buckets would put almost all in one
+    ids = [(i, i % 2) for i in range(3000)] + [(10 ** 12 + i, i % 2) for i in range(5)]
+    df = spark.createDataFrame(ids, "id long, g int")
+    out = rank_within_quantiles(df, ["g"], "id", ["id"], n_buckets=16)
+    ref = df.select("id", F.row_number().over(Window.partitionBy("g").orderBy("id")).alias("rank"))
+    assert sorted(out.select("id", "rank").collect()) == sorted(ref.collect())
