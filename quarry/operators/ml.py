@@ -272,6 +272,38 @@ def epoch_loss_weighted(batches: DataFrame, keys: Sequence[str]) -> DataFrame:
         (F.sum("correct") / F.sum("n")).alias("accuracy"))
 
 
+def fixed_point_ratio(numer: str, denom: str, places: int = 6) -> Column:
+    """``numer / denom`` rounded half-up to ``places`` decimals with integer
+    division (``numer`` ≥ 0, ``denom`` > 0 are SQL expressions of integers).
+    Exact, so every engine gives the same double; plain double means round
+    differently near ties depending on summation order."""
+    s = 10 ** places
+    n, d = f"CAST(({numer}) AS DECIMAL(38,0))", f"CAST(({denom}) AS DECIMAL(38,0))"
+    return F.expr(f"({n} * {2 * s} + {d}) div (2 * {d})") / F.lit(float(s))
+
+
+def epoch_loss_weighted_fixed(batches: DataFrame, keys: Sequence[str], unit: int = 100, places: int = 6) -> DataFrame:
+    """Sample-weighted epoch loss and accuracy from integer batch totals:
+    ``loss_units`` = Σ per-sample loss in 1/``unit``; exact to ``places``."""
+    agg = batches.groupBy(*keys).agg(F.sum("loss_units").alias("_lu"), F.sum("n").alias("_n"),
+                                     F.sum("correct").alias("_c"))
+    return agg.select(*keys, fixed_point_ratio("_lu", f"_n * {unit}", places).alias("loss"),
+                      fixed_point_ratio("_c", "_n", places).alias("accuracy"))
+
+
+def epoch_loss_batch_mean_fixed(batches: DataFrame, keys: Sequence[str], unit: int = 100, places: int = 6) -> DataFrame:
+    """Unweighted mean of batch losses (each batch loss first fixed to
+    ``places`` decimals) and accuracy in percent, exact."""
+    s = 10 ** places
+    per_batch = batches.withColumn("_micro", F.expr(
+        f"(CAST(loss_units AS DECIMAL(38,0)) * {2 * s} + CAST(n AS DECIMAL(38,0)) * {unit}) "
+        f"div (2 * CAST(n AS DECIMAL(38,0)) * {unit})"))
+    agg = per_batch.groupBy(*keys).agg(F.sum("_micro").alias("_m"), F.count(F.lit(1)).alias("_b"),
+                                       F.sum("correct").alias("_c"), F.sum("n").alias("_n"))
+    return agg.select(*keys, (fixed_point_ratio("_m", "_b", 0) / F.lit(float(s))).alias("loss"),
+                      fixed_point_ratio("_c * 100", "_n", places).alias("accuracy_pct"))
+
+
 def epoch_loss_batch_mean(batches: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Unweighted mean of batch losses, accuracy in percent."""
     return batches.groupBy(*keys).agg(

@@ -283,29 +283,43 @@ def q_train_test_gap(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------------------ batch / epoch metrics
 
 register_view("batches", """
-SELECT event_type AS run_id, CAST(ts AS DATE) AS epoch, hour(ts) AS batch, avg(value) AS loss, count(*) AS n,
+SELECT event_type AS run_id, CAST(ts AS DATE) AS epoch, hour(ts) AS batch,
+       CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS loss_units, count(*) AS n,
        count(*) FILTER (WHERE value > 25) AS correct
 FROM events GROUP BY event_type, CAST(ts AS DATE), hour(ts)""", [])
 
 
 def batches(spark: SparkSession, sf: str) -> DataFrame:
-    """Batch metric rows derived from events: one batch per (type, day, hour)."""
+    """Batch metric rows derived from events: one batch per (type, day, hour);
+    the per-sample loss is the event value, kept as an integer total in
+    hundredths (``loss_units``) so epoch metrics are exact; ``loss`` is the
+    batch mean."""
     e = table(spark, sf, "events", "event_type", "ts", "value")
-    return e.groupBy(F.col("event_type").alias("run_id"), F.to_date("ts").alias("epoch"), F.hour("ts").alias("batch")).agg(
-        F.avg("value").alias("loss"), F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("value") > 25, 1)).alias("correct"))
+    return (e.groupBy(F.col("event_type").alias("run_id"), F.to_date("ts").alias("epoch"), F.hour("ts").alias("batch")).agg(
+        F.sum(F.round(F.col("value") * 100).cast("long")).alias("loss_units"), F.count(F.lit(1)).alias("n"),
+        F.count(F.when(F.col("value") > 25, 1)).alias("correct"))
+        .withColumn("loss", F.col("loss_units") / (F.col("n") * F.lit(100.0))))
 
 
-@query("epoch_loss_weighted", with_views("""
-SELECT run_id, epoch, round(sum(loss * n) / sum(n), 6) AS loss, round(sum(correct) / sum(n), 6) AS accuracy
+def _fx(numer: str, denom: str) -> str:
+    """SQL twin of ``ml.fixed_point_ratio`` (6 places)."""
+    n, d = f"CAST(({numer}) AS HUGEINT)", f"CAST(({denom}) AS HUGEINT)"   # // on HUGEINT is integer division
+    return f"(CAST(({n} * 2000000 + {d}) // (2 * {d}) AS BIGINT) / 1000000.0)"
+
+
+@query("epoch_loss_weighted", with_views(f"""
+SELECT run_id, epoch, {_fx('sum(loss_units)', 'sum(n) * 100')} AS loss, {_fx('sum(correct)', 'sum(n)')} AS accuracy
 FROM batches GROUP BY run_id, epoch""", "batches"))
 def q_epoch_weighted(spark: SparkSession, sf: str) -> DataFrame:
-    out = ml.epoch_loss_weighted(batches(spark, sf), ["run_id", "epoch"])
-    return out.select("run_id", "epoch", F.round("loss", 6).alias("loss"), F.round("accuracy", 6).alias("accuracy"))
+    return ml.epoch_loss_weighted_fixed(batches(spark, sf), ["run_id", "epoch"])
 
 
-@query("epoch_loss_batch_mean", with_views("""
-SELECT run_id, epoch, round(avg(loss), 6) AS loss, round(100.0 * sum(correct) / sum(n), 6) AS accuracy_pct
-FROM batches GROUP BY run_id, epoch""", "batches"))
+@query("epoch_loss_batch_mean", with_views(f"""
+SELECT run_id, epoch,
+       CAST((2 * CAST(sum(micro) AS HUGEINT) + count(*)) // (2 * CAST(count(*) AS HUGEINT)) AS BIGINT) / 1000000.0 AS loss,
+       {_fx('sum(correct) * 100', 'sum(n)')} AS accuracy_pct
+FROM (SELECT *, CAST((CAST(loss_units AS HUGEINT) * 2000000 + CAST(n AS HUGEINT) * 100)
+                     // (2 * CAST(n AS HUGEINT) * 100) AS BIGINT) AS micro FROM batches)
+GROUP BY run_id, epoch""", "batches"))
 def q_epoch_mean(spark: SparkSession, sf: str) -> DataFrame:
-    out = ml.epoch_loss_batch_mean(batches(spark, sf), ["run_id", "epoch"])
-    return out.select("run_id", "epoch", F.round("loss", 6).alias("loss"), F.round("accuracy_pct", 6).alias("accuracy_pct"))
+    return ml.epoch_loss_batch_mean_fixed(batches(spark, sf), ["run_id", "epoch"])

@@ -17,7 +17,9 @@ from quarry.session import scratch_path
 from quarry.sources.tables import table
 
 register_view("run_metrics", """
-SELECT 'run_' || CAST(user_id AS VARCHAR) AS run_id, user_id AS run_order, event_type AS key, avg(value) AS value
+SELECT 'run_' || CAST(user_id AS VARCHAR) AS run_id, user_id AS run_order, event_type AS key,
+       CAST((CAST(sum(CAST(round(value * 100) AS BIGINT)) AS HUGEINT) * 2000000 + CAST(count(*) AS HUGEINT) * 100)
+            // (2 * CAST(count(*) AS HUGEINT) * 100) AS BIGINT) / 1000000.0 AS value
 FROM events GROUP BY user_id, event_type""", [])
 register_view("run_params", """
 SELECT 'run_' || CAST(user_id AS VARCHAR) AS run_id, arg_min(event_type, (ts, event_id)) AS model_type
@@ -32,9 +34,13 @@ FROM run_metrics m LEFT JOIN run_params p ON m.run_id = p.run_id GROUP BY m.run_
 
 
 def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    """Long metric table ``(run_id, run_order, key, value)``."""
+    """Long metric table ``(run_id, run_order, key, value)``; the value is the
+    mean of the run's values, fixed to 6 decimals with exact integer
+    arithmetic (the values have two decimals), so ties cannot flip."""
     e = table(spark, sf, "events", "user_id", "event_type", "value")
-    return (e.groupBy("user_id", "event_type").agg(F.avg("value").alias("value"))
+    return (e.groupBy("user_id", "event_type")
+            .agg(F.sum(F.round(F.col("value") * 100).cast("long")).alias("_cents"), F.count(F.lit(1)).alias("_n"))
+            .withColumn("value", ml.fixed_point_ratio("_cents", "_n * 100"))
             .select(F.concat(F.lit("run_"), F.col("user_id").cast("string")).alias("run_id"),
                     F.col("user_id").alias("run_order"), F.col("event_type").alias("key"), "value"))
 

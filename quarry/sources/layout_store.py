@@ -46,8 +46,14 @@ def literal_bucket(value, dtype: str, n_buckets: int) -> int:
 
 
 def write_table(df: DataFrame, path: str, key: str, n_buckets: int) -> str:
+    """Write ``df`` hash-bucketed by ``key`` into partition folders.
+
+    ``rebalance`` (not ``repartition``) groups rows by bucket so each folder
+    gets few files, while AQE may split a bucket that holds a hot key's many
+    chunk documents over several writer tasks.
+    """
     (df.withColumn("bucket", bucket_of(F.col(key), n_buckets))
-       .repartition(n_buckets, "bucket")
+       .hint("rebalance", "bucket")
        .sortWithinPartitions(key)
        .write.mode("overwrite").partitionBy("bucket").parquet(path))
     return path
@@ -100,7 +106,7 @@ def rewrite_buckets(spark: SparkSession, path: str, key: str, keys: DataFrame, n
         return []
     part = read_table(spark, path).filter(F.col("bucket").isin(buckets))
     new = change(part.drop("bucket")).withColumn("bucket", bucket_of(F.col(key), n_buckets)).checkpoint(eager=True)
-    (new.repartition(len(buckets), "bucket").sortWithinPartitions(key).write.mode("overwrite")
+    (new.hint("rebalance", "bucket").sortWithinPartitions(key).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
     return sorted(buckets)
 
