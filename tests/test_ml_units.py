@@ -145,3 +145,13 @@ def test_quantile_buckets_handle_clustered_keys(spark):
     out = rank_within_quantiles(df, ["g"], "id", ["id"], n_buckets=16)
     ref = df.select("id", F.row_number().over(Window.partitionBy("g").orderBy("id")).alias("rank"))
     assert sorted(out.select("id", "rank").collect()) == sorted(ref.collect())
+
+
+def test_fixed_point_ratio_is_exact_half_up(spark):
+    from fractions import Fraction
+    rows = [(380917, 8), (5, 2), (1, 3), (2, 3), (123456789, 1000), (0, 7), (47614687 * 2 + 1, 2 * 10 ** 6)]
+    df = spark.createDataFrame(rows, "a long, b long").select("a", "b", ml.fixed_point_ratio("a", "b", 6).alias("r"))
+    for r in df.collect():
+        q = Fraction(r["a"], r["b"]) * 10 ** 6
+        want = (q + Fraction(1, 2)).__floor__() / 10 ** 6      # half-up
+        assert r["r"] == want, (r["a"], r["b"], r["r"], want)
