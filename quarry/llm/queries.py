@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import digest_index, host_rules, secret_scan
+import public_tokenizers
+
+from quarry.llm import chunked_bpe, digest_index, host_rules, secret_scan
 from quarry.llm.common import documents
 from quarry.session import scratch_path
 
@@ -24,6 +26,16 @@ def llm_query(name: str, sql: str | None = None):
     return add
 
 
+@llm_query("op1_chunked_bpe")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = chunked_bpe.encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
+    told = ids.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), "ids")
+    return (chunked_bpe.decode(told, ranks)
+            .select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256")))
+
+
 @llm_query("op4_password_guess_cost")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(documents(spark, sf_dir))
