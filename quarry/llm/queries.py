@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from quarry.llm import chunked_bpe, digest_index, host_rules, secret_scan
+from quarry.llm import chunked_bpe, digest_index, host_rules, lexical_packing, secret_scan
 from quarry.llm.common import documents
 from quarry.session import scratch_path
 
@@ -48,6 +48,13 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
                         joined(F.col("spans")).alias("spans"), count("guess").alias("n_guess"))
 
 
+@llm_query("op5_lexical_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = lexical_packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("token_ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset", "seed_id")
+
+
 @llm_query("op8_digest_index", """
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS c,
                   sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')) AS h FROM documents)
