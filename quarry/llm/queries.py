@@ -9,8 +9,17 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from quarry.llm import chunked_bpe, digest_index, host_rules, lexical_packing, secret_scan
-from quarry.llm.common import documents
+from quarry.llm import (
+    chunked_bpe,
+    digest_index,
+    host_rules,
+    lexical_packing,
+    secret_scan,
+    sentence_spans,
+    snapshots,
+    url_trees,
+)
+from quarry.llm.common import documents, table
 from quarry.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +64,16 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset", "seed_id")
 
 
+@llm_query("op6_sentence_spans")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_spans.dedup(documents(spark, sf_dir))
+
+
+@llm_query("op7_url_trees")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_trees.judge(table(spark, sf_dir, "pages"))
+
+
 @llm_query("op8_digest_index", """
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS c,
                   sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')) AS h FROM documents)
@@ -72,3 +91,16 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = host_rules.judge(documents(spark, sf_dir))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", "kept", "host_failed")
+
+
+@llm_query("op10_snapshot_collapse", """
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+c AS (SELECT conv_id, count(*) AS n_turns,
+             string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn) AS text,
+             first(text ORDER BY turn) AS head
+      FROM t GROUP BY conv_id),
+k AS (SELECT min(conv_id) AS conv_id, n_turns, count(*) AS copies, text, any_value(head) AS head FROM c GROUP BY n_turns, text)
+SELECT conv_id, n_turns, copies, text FROM k
+WHERE NOT EXISTS (SELECT 1 FROM k o WHERE o.head = k.head AND o.n_turns > k.n_turns AND starts_with(o.text, k.text))""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return snapshots.render(table(spark, sf_dir, "conversations"))
