@@ -14,6 +14,7 @@ from quarry.llm import (
     digest_index,
     host_rules,
     lexical_packing,
+    order_minhash,
     secret_scan,
     sentence_spans,
     snapshots,
@@ -45,6 +46,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256")))
 
 
+@llm_query("op3_order_minhash")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (order_minhash.classes(documents(spark, sf_dir))
+            .select("doc_id", "class_id", "class_size", "kept"))
+
+
 @llm_query("op4_password_guess_cost")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(documents(spark, sf_dir))
