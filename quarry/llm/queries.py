@@ -15,6 +15,7 @@ from quarry.llm import (
     host_rules,
     lexical_packing,
     order_minhash,
+    pii_surrogates,
     secret_scan,
     sentence_spans,
     snapshots,
@@ -46,6 +47,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256")))
 
 
+@llm_query("op2_pii_surrogates")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_surrogates.replace(documents(spark, sf_dir), key="quarry")
+
+
 @llm_query("op3_order_minhash")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (order_minhash.classes(documents(spark, sf_dir))
