@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quarry.session import checkpoint_dir, ship_package
 from quarry.sources.tables import table
 
-__all__ = ["cut", "documents", "id_text", "known_groups", "salted", "ship_package", "table", "texts", "slices"]
+__all__ = ["cut", "documents", "drop_path", "id_text", "known_groups", "salted", "ship_package", "table", "texts", "slices"]
 
 #: Sub-groups that one key is dealt into before its rows meet.
 SALTS = 256
@@ -36,6 +36,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder, in whatever file system it is."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def salted(*row: str | Column, salts: int = SALTS) -> Column:
     """Sub-group of a row, from columns that differ inside a hot group."""
     return F.pmod(F.xxhash64(*row), F.lit(salts)).cast("int")
