@@ -84,8 +84,8 @@ def guess_bits(value: str, words: dict[str, float] | None = None) -> float:
     low = low if len(low) == n else value
     plain = low.translate(LEET)
     brute = _class_bits(value)
-    best = [0.0] + [math.inf] * n
-    spent = [False] * (n + 1)  # True: the best way to here ends in a brute-force span
+    best = [0.0] + [math.inf] * n  # cheapest way to each place
+    spent = [math.inf] * (n + 1)  # the same, ending in a brute-force span
     run = walk = turns = 0  # length of the run of one character, of the keyboard walk, its changes of direction
     heading = 0
     for j in range(1, n + 1):
@@ -96,23 +96,24 @@ def guess_bits(value: str, words: dict[str, float] | None = None) -> float:
             walk, heading = walk + 1, step
         else:
             walk, turns, heading = 1, 0, 0
-        ways = [(best[j - 1] + brute[j - 1] + (not spent[j - 1] and j > 1), True)]
+        spent[j] = min(spent[j - 1], best[j - 1] + (j > 1)) + brute[j - 1]
+        ways = [spent[j]]
         for size in range(3, min(longest, j) + 1):
             i = j - size
             for form, extra in ((low[i:j], 0.0), (plain[i:j], 1.0)):
                 if form in ranks:
-                    ways.append((best[i] + ranks[form] + extra + (value[i:j] != low[i:j]) + (i > 0), False))
+                    ways.append(best[i] + ranks[form] + extra + (value[i:j] != low[i:j]) + (i > 0))
         for size in (4, 8, 10):
             if j >= size and DATE.fullmatch(value, j - size, j):
-                ways.append((best[j - size] + DATE_BITS[size] + (j > size), False))
+                ways.append(best[j - size] + DATE_BITS[size] + (j > size))
         if run >= 3:
-            ways.append((best[j - run] + brute[j - 1] + math.log2(run) + (j > run), False))
+            ways.append(best[j - run] + brute[j - 1] + math.log2(run) + (j > run))
         if walk >= 4:
-            ways.append((best[j - walk] + math.log2(47) + math.log2(walk) + 2.0 * (turns + 1) + (j > walk), False))
+            ways.append(best[j - walk] + math.log2(47) + math.log2(walk) + 2.0 * (turns + 1) + (j > walk))
         for unit in (2, 3, 4, 5, 6):  # a repeated unit ends here: price its last copy as a reference
             if j >= 2 * unit and low[j - unit:j] == low[j - 2 * unit:j - unit]:
-                ways.append((best[j - unit] + 1.0 + math.log2(unit), False))
-        best[j], spent[j] = min(ways)
+                ways.append(best[j - unit] + 1.0 + math.log2(unit))
+        best[j] = min(ways)
     return best[n]
 
 
