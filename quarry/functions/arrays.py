@@ -41,3 +41,19 @@ def argmax(arr) -> Column:
 def prob_map(names: Sequence[str], probs) -> Column:
     """Class name → probability."""
     return F.map_from_arrays(F.array(*[F.lit(n) for n in names]), _c(probs))
+
+
+def _every(a: Column, step: int, first: int) -> Column:
+    return F.filter(a, lambda x, i: i % F.lit(step) == F.lit(first))
+
+
+def class_scores(vec, n_classes: int) -> Column:
+    """Score of class c = the largest element whose 0-based position is c
+    modulo ``n_classes``; every element counts, and no sum is rounded."""
+    a = F.transform(_c(vec), lambda x: x.cast("double"))
+    return F.array(*[F.array_max(_every(a, n_classes, k)) for k in range(n_classes)])
+
+
+def class_scores_sql(vec: str, n_classes: int) -> str:
+    """SQL twin of ``class_scores``."""
+    return "[" + ", ".join(f"CAST(list_max({vec}[{k + 1}:len({vec}):{n_classes}]) AS DOUBLE)" for k in range(n_classes)) + "]"

@@ -13,64 +13,68 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.windows import rank_key, rank_within
+from quarry.operators.windows import rank_key, smallest
 from quarry.sources.tables import join_small, with_scalars
 
 
 # ------------------------------------------------------------------ splits / samples
 
-def _with_rank(df: DataFrame, id_col: str, seed: int, groups: Sequence[str] = ()) -> DataFrame:
-    keyed = df.withColumn("_key", rank_key(id_col, seed))
-    return rank_within(keyed, list(groups), "_key", [id_col], name="_rank")
+def _keyed(df: DataFrame, id_col: str, seed: int) -> DataFrame:
+    return df.withColumn("_key", rank_key(id_col, seed))
 
 
 def sample_n(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
-    """Exactly ``min(n, count)`` rows without replacement, seeded."""
-    return _with_rank(df, id_col, seed).filter(F.col("_rank") <= n).drop("_key", "_rank")
+    """Exactly ``min(n, count)`` rows without replacement, seeded: a top-k of
+    the order key (no full sort)."""
+    return _keyed(df, id_col, seed).orderBy("_key", id_col).limit(n).drop("_key")
 
 
 def split_holdout(df: DataFrame, id_col: str, test_size: float = 0.2, seed: int = 42,
                   stratify: str | None = None) -> DataFrame:
-    """Adds ``split`` ∈ {train, test}: ``ceil(test_size·n)`` test rows, per
-    class when ``stratify`` names the label column (class shares kept)."""
-    groups = [stratify] if stratify else []
-    ranked = _with_rank(df, id_col, seed, groups)
-    sizes = ranked.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")) if groups else \
-        ranked.agg(F.count(F.lit(1)).alias("_n"))
-    sizes = sizes.withColumn("_n_test", F.ceil(F.col("_n") * F.lit(test_size)))
-    j = (join_small(ranked, sizes, groups, "inner", max_rows=100_000) if groups
-         else with_scalars(ranked, sizes))
-    return (j.withColumn("split", F.when(F.col("_rank") <= F.col("_n_test"), "test").otherwise("train"))
-            .drop("_key", "_rank", "_n", "_n_test"))
+    """Adds ``split`` ∈ {train, test}: ``ceil(test_size·n)`` test rows in all.
+
+    With ``stratify`` they are allotted to the classes in proportion, by
+    largest remainder (ties by class): every class gets the floor of its
+    share, and what is left goes to the largest fractions.  Rows of a null
+    class are a class of their own.
+    """
+    keyed = _keyed(df, id_col, seed)
+    if stratify is None:
+        taken = smallest(keyed, [], "_key", [id_col], None, F.ceil(F.col("_n") * F.lit(test_size)))
+    else:
+        per = df.groupBy(stratify).agg(F.count(F.lit(1)).alias("_class_n"))  # one row per class
+        total = per.agg(F.sum("_class_n").alias("_all"), F.sum(F.floor(F.col("_class_n") * F.lit(test_size))).alias("_floors"))
+        rest = F.col("_class_n") * F.lit(test_size) - F.floor(F.col("_class_n") * F.lit(test_size))
+        nth = F.row_number().over(Window.orderBy(F.round(rest, 9).desc(), F.col(stratify).asc_nulls_first()))
+        sizes = with_scalars(per, total).withColumn("_nth", nth).select(
+            stratify, (F.floor(F.col("_class_n") * F.lit(test_size))
+                       + (F.col("_nth") <= F.ceil(F.col("_all") * F.lit(test_size)) - F.col("_floors")).cast("long")).alias("_n_test"))
+        taken = smallest(keyed, [stratify], "_key", [id_col], sizes, F.col("_n_test"))
+    return taken.withColumn("split", F.when(F.col("taken"), "test").otherwise("train")).drop("_key", "taken")
 
 
 def split_ratio(df: DataFrame, id_col: str, first: float = 0.8, seed: int = 42,
                 names: tuple[str, str] = ("train", "val")) -> DataFrame:
     """``random_split(ds, [int(first·n), n − int(first·n)])`` with exact sizes."""
-    ranked = _with_rank(df, id_col, seed)
-    n = ranked.agg(F.count(F.lit(1)).alias("_n"))
-    j = with_scalars(ranked, n)
-    cut = F.floor(F.col("_n") * F.lit(first))
-    return (j.withColumn("split", F.when(F.col("_rank") <= cut, names[0]).otherwise(names[1]))
-            .drop("_key", "_rank", "_n"))
+    taken = smallest(_keyed(df, id_col, seed), [], "_key", [id_col], None, F.floor(F.col("_n") * F.lit(first)))
+    return taken.withColumn("split", F.when(F.col("taken"), names[0]).otherwise(names[1])).drop("_key", "taken")
 
 
 def balanced_subset(df: DataFrame, id_col: str, label: str, limit: int, seed: int = 42) -> DataFrame:
     """``limit // k`` random rows per class, the remainder filled at random
-    from the leftovers; ``limit == -1`` or ``limit ≥ n`` keeps all rows."""
-    stats = df.agg(F.count(F.lit(1)).alias("_n"), F.count_distinct(label).alias("_k"))
-    per_class = F.floor(F.lit(limit) / F.col("_k"))
-    ranked = with_scalars(_with_rank(df, id_col, seed, [label]), stats)
-    keep_all = (F.lit(limit) == -1) | (F.lit(limit) >= F.col("_n"))
-    first_pass = ranked.withColumn("_take", keep_all | (F.col("_rank") <= per_class))
-    taken = first_pass.agg(F.count(F.when(F.col("_take"), 1)).alias("_taken"))
-    left = (first_pass.filter(~F.col("_take")).drop("_rank")
-            .transform(lambda d: rank_within(d, [], "_key", [id_col], name="_rank2"))
-            .transform(lambda d: with_scalars(d, taken))
-            .filter(F.col("_rank2") <= F.lit(limit) - F.col("_taken"))
-            .drop("_rank2", "_taken"))
-    chosen = first_pass.filter("_take").drop("_rank", "_take")
-    return chosen.unionByName(left.drop("_take")).drop("_key", "_n", "_k")
+    from the leftovers; ``limit == -1`` or ``limit ≥ n`` keeps all rows.  A
+    null label is a class of its own."""
+    if limit == -1:
+        return df
+    classes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_class_n"))
+    stats = classes.agg(F.sum("_class_n").alias("_all"), F.count(F.lit(1)).alias("_k"))
+    sizes = with_scalars(classes, stats).select(
+        label, F.when(F.lit(limit) >= F.col("_all"), F.col("_class_n")).otherwise(F.floor(F.lit(limit) / F.col("_k"))).alias("_quota"))
+    first = smallest(_keyed(df, id_col, seed), [label], "_key", [id_col], sizes, F.col("_quota"))
+    got = sizes.join(classes.withColumnRenamed(label, "_label"), F.col(label).eqNullSafe(F.col("_label"))).agg(
+        F.sum(F.least("_quota", "_class_n")).alias("_got"))
+    more = smallest(first.filter("NOT taken").drop("taken"), [], "_key", [id_col], got, F.lit(limit) - F.col("_got"))
+    return first.filter("taken").drop("taken", "_key").unionByName(more.filter("taken").drop("taken", "_key"))
 
 
 # ------------------------------------------------------------------ scaling

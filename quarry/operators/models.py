@@ -30,7 +30,9 @@ def with_features(df: DataFrame, vec: str | None = None, cols: Sequence[str] = (
 
 def random_forest(n_estimators: int = 100, max_depth: int | None = None, seed: int = 42,
                   label: str = "label") -> RandomForestClassifier:
-    depth = MAX_TREE_DEPTH if max_depth is None else min(max_depth, MAX_TREE_DEPTH)
+    if max_depth is not None and max_depth > MAX_TREE_DEPTH:
+        raise ValueError(f"Spark's trees are at most {MAX_TREE_DEPTH} deep; max_depth={max_depth}")
+    depth = MAX_TREE_DEPTH if max_depth is None else max_depth
     return RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=n_estimators,
                                   maxDepth=depth, seed=seed)
 

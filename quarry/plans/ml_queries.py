@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quarry.functions import arrays
 from quarry.functions import text as tx
 from quarry.operators import ml
-from quarry.operators.windows import KEY_SPACE, LCG_A, LCG_C, best_so_far, per_class_sequence
+from quarry.operators.windows import best_so_far, per_class_sequence, rank_key_sql
 from quarry.plans.registry import query
 from quarry.plans.sqlviews import register_view, with_views
 from quarry.sources.tables import table
@@ -19,14 +19,14 @@ CLASS_NAMES = [f"class_{i}" for i in range(10)]
 
 
 def _key_sql(id_col: str, seed: int = SEED) -> str:
-    return f"((({id_col} % {KEY_SPACE}) * {LCG_A} + {LCG_C + seed}) % {KEY_SPACE})"
+    return rank_key_sql(id_col, seed)
 
 
 register_view("emb", f"""
 SELECT vec_id, label, embedding, {_key_sql('vec_id')} AS k FROM embeddings""", [])
-register_view("emb_pred", """
+register_view("emb_pred", f"""
 SELECT vec_id, label, CAST(list_position(s, list_max(s)) - 1 AS INTEGER) AS pred, s, embedding, k
-FROM (SELECT vec_id, label, embedding, k, list_transform(embedding[1:10], lambda x: CAST(x AS DOUBLE)) AS s FROM emb)""", ["emb"])
+FROM (SELECT vec_id, label, embedding, k, {arrays.class_scores_sql('embedding', 10)} AS s FROM emb)""", ["emb"])
 register_view("emb_split", """
 SELECT *, CASE WHEN row_number() OVER (ORDER BY k, vec_id) <= ceil(0.2 * count(*) OVER ()) THEN 'test' ELSE 'train' END AS split
 FROM emb_pred""", ["emb_pred"])
@@ -37,9 +37,9 @@ def embeddings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
-    """Deterministic scores → prediction: argmax of the first ten elements."""
+    """Deterministic scores of ten classes from all elements → prediction: argmax."""
     e = embeddings(spark, sf)
-    s = F.transform(F.slice("embedding", 1, 10), lambda x: x.cast("double"))
+    s = arrays.class_scores("embedding", len(CLASS_NAMES))
     return e.select("vec_id", "label", "embedding", s.alias("s"), arrays.argmax(s).alias("pred"))
 
 
@@ -62,10 +62,15 @@ def q_split_holdout(spark: SparkSession, sf: str) -> DataFrame:
     return ml.split_holdout(embeddings(spark, sf), "vec_id", 0.2, SEED).select("vec_id", "split")
 
 
+register_view("strat_quota", """
+SELECT label, floor(n * 0.2) + CASE WHEN row_number() OVER (ORDER BY round(n * 0.2 - floor(n * 0.2), 9) DESC, label)
+             <= ceil(sum(n) OVER () * 0.2) - sum(floor(n * 0.2)) OVER () THEN 1 ELSE 0 END AS quota
+FROM (SELECT label, count(*) AS n FROM emb GROUP BY label)""", ["emb"])
+
+
 @query("split_stratified", with_views("""
-SELECT vec_id, label, CASE WHEN row_number() OVER (PARTITION BY label ORDER BY k, vec_id)
-                               <= ceil(0.2 * count(*) OVER (PARTITION BY label)) THEN 'test' ELSE 'train' END AS split
-FROM emb""", "emb"))
+SELECT e.vec_id, e.label, CASE WHEN row_number() OVER (PARTITION BY e.label ORDER BY e.k, e.vec_id) <= q.quota THEN 'test' ELSE 'train' END AS split
+FROM emb e JOIN strat_quota q ON q.label = e.label""", "emb", "strat_quota"))
 def q_split_stratified(spark: SparkSession, sf: str) -> DataFrame:
     return ml.split_holdout(embeddings(spark, sf), "vec_id", 0.2, SEED, stratify="label").select("vec_id", "label", "split")
 
@@ -231,14 +236,17 @@ def q_align(spark: SparkSession, sf: str) -> DataFrame:
     return p.join(truth, "vec_id").select("vec_id", "pred", "label", (F.col("pred") == F.col("label")).alias("correct"))
 
 
-@query("rename_predict_output", with_views("""
-SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS f0, CAST(embedding[2] AS DOUBLE) AS f1, CAST(embedding[3] AS DOUBLE) AS f2,
-       CAST(embedding[4] AS DOUBLE) AS f3, pred AS predicted_class, 'class_' || CAST(pred AS VARCHAR) AS predicted_name
+N_FEATURES = 64
+
+
+@query("rename_predict_output", with_views(f"""
+SELECT vec_id, {", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS f{i}" for i in range(N_FEATURES))},
+       pred AS predicted_class, 'class_' || CAST(pred AS VARCHAR) AS predicted_name
 FROM emb_pred""", "emb_pred"))
 def q_rename_predict_output(spark: SparkSession, sf: str) -> DataFrame:
     p = predictions(spark, sf)
     names = F.array(*[F.lit(n) for n in CLASS_NAMES])
-    return p.select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"f{i}") for i in range(4)],
+    return p.select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"f{i}") for i in range(N_FEATURES)],
                     F.col("pred").alias("predicted_class"), F.element_at(names, F.col("pred") + 1).alias("predicted_name"))
 
 

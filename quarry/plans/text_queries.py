@@ -233,7 +233,7 @@ def q_dict_merge(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ vectors
 
-_SCORES = "list_transform(embedding[1:10], lambda x: CAST(x AS DOUBLE))"
+_SCORES = arrays.class_scores_sql('embedding', 10)
 
 
 @query("fn_normalize_array", """
@@ -252,7 +252,7 @@ SELECT vec_id, pos - 1 AS pos, round(p, 6) AS p FROM (
   FROM (SELECT vec_id, {_SCORES} AS s FROM embeddings))""")
 def q_softmax(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "embeddings", "vec_id", "embedding")
-    sm = arrays.softmax(F.slice("embedding", 1, 10))
+    sm = arrays.softmax(arrays.class_scores("embedding", 10))
     return (e.select("vec_id", F.posexplode(sm).alias("pos", "p"))
             .select("vec_id", F.col("pos").cast("long").alias("pos"), F.round("p", 6).alias("p")))
 
@@ -261,7 +261,7 @@ def q_softmax(spark: SparkSession, sf: str) -> DataFrame:
 SELECT vec_id, CAST(list_position(s, list_max(s)) - 1 AS INTEGER) AS pred, list_max(s) AS top FROM (SELECT vec_id, {_SCORES} AS s FROM embeddings)""")
 def q_argmax(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "embeddings", "vec_id", "embedding")
-    s = F.transform(F.slice("embedding", 1, 10), lambda x: x.cast("double"))
+    s = arrays.class_scores("embedding", 10)
     return e.select("vec_id", arrays.argmax(s).alias("pred"), F.array_max(s).alias("top"))
 
 
@@ -275,7 +275,7 @@ SELECT vec_id, 'class_' || CAST(pos - 1 AS VARCHAR) AS class_name, round(p, 6) A
   FROM (SELECT vec_id, {_SCORES} AS s FROM embeddings))""")
 def q_prob_map(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "embeddings", "vec_id", "embedding")
-    m = arrays.prob_map(CLASS_NAMES, arrays.softmax(F.slice("embedding", 1, 10)))
+    m = arrays.prob_map(CLASS_NAMES, arrays.softmax(arrays.class_scores("embedding", 10)))
     return (e.select("vec_id", F.explode(m).alias("class_name", "prob"))
             .withColumn("prob", F.round("prob", 6)))
 

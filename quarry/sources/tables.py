@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,3 +50,12 @@ def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     broadcasts a single row; no pairs are generated.
     """
     return df.crossJoin(F.broadcast(one_row))
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on the columns ``on`` in which null equals null; the result
+    has the left side's columns and the right side's others.  The strategy is
+    left to Catalyst and AQE."""
+    marked = right.select(*[F.col(c).alias(f"_right_{c}") for c in on], *[F.col(c) for c in right.columns if c not in on])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in on])
+    return left.join(marked, same, how).drop(*[f"_right_{c}" for c in on])
