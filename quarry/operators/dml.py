@@ -16,9 +16,24 @@ from pyspark.sql import functions as F
 from quarry.sources.tables import join_small, with_scalars
 
 
-def insert_rows(table: DataFrame, new: DataFrame) -> DataFrame:
-    """Add documents (``insert_one`` / ``create_new_customer``)."""
-    return table.unionByName(new)
+def insert_rows(table: DataFrame, new: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Add documents (``insert_one`` / ``create_new_customer``).  With
+    ``keys`` (the unique index) a document whose key exists already is
+    rejected, and of equal keys in ``new`` one is added."""
+    return bulk_insert(table, new, keys) if keys else table.unionByName(new)
+
+
+def one_per_key(batch: DataFrame, keys: Sequence[str], order: str | None = None, last: bool = False) -> DataFrame:
+    """One row per key: the first (or last) by ``order``, then by all other
+    columns; without ``order`` by those alone.  Chunks of one document
+    (column ``Chunk``) are told apart."""
+    keys = [*keys, *(["Chunk"] if "Chunk" in batch.columns and "Chunk" not in keys else [])]
+    cols = [c for c in batch.columns if c not in keys]
+    if not cols:
+        return batch.distinct()
+    value = F.struct(*cols)
+    pick = (F.max_by if last else F.min_by)(value, F.struct(*([F.col(order)] if order else []), *cols))
+    return batch.groupBy(*keys).agg(pick.alias("_row")).select(*keys, "_row.*").select(*batch.columns)
 
 
 def push_invoice(customers: DataFrame, customer_id: int, invoice: Column) -> DataFrame:
@@ -81,12 +96,7 @@ def pull_invoice(customers: DataFrame, invoice_no: str) -> DataFrame:
 def bulk_insert(table: DataFrame, new: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
     """Insert many; keys that exist already (or repeat in the batch) are
     rejected, the rest kept — an unordered insert against a unique index."""
-    batch = new
-    if order is not None:
-        from quarry.operators.clean import keep_first
-        cols = [c for c in new.columns if c not in keys]
-        batch = keep_first(new, keys, order, cols).select(*new.columns)
-    fresh = batch.join(table.select(*keys), list(keys), "left_anti")
+    fresh = one_per_key(new, keys, order).join(table.select(*keys), list(keys), "left_anti")
     return table.unionByName(fresh)
 
 
@@ -118,18 +128,13 @@ def bulk_delete(table: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> Da
 
 def upsert_replace(target: DataFrame, source: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
     """Keyed replace-or-insert: every source row replaces the target rows
-    with its key; within the source the last row per key (by ``order``) wins.
+    with its key; within the source the last row per key (by ``order``, then
+    by all other columns) wins.
 
     ``target ⋉̸ source ∪ source`` — idempotent: running it twice with the
     same source gives the same table.
     """
-    src = source
-    if order is not None:
-        cols = [c for c in source.columns if c not in keys]
-        last = F.max_by(F.struct(*cols), F.struct(F.col(order), F.struct(*cols))).alias("_last")
-        src = (source.groupBy(*keys).agg(last)
-               .select(*keys, *[F.col(f"_last.{c}").alias(c) for c in cols])
-               .select(*source.columns))
+    src = one_per_key(source, keys, order, last=True)
     kept = target.join(src.select(*keys), list(keys), "left_anti")
     return kept.unionByName(src.select(*target.columns))
 

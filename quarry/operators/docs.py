@@ -131,6 +131,44 @@ def embed_country(transactions: DataFrame, refs: DataFrame) -> DataFrame:
     return transactions.join(refs, "CustomerID", "left")
 
 
+# ---------------------------------------------------------------- whole documents
+
+def whole_transactions(tx: DataFrame) -> DataFrame:
+    """One document per invoice, whatever its chunks: the chunks of a split
+    invoice are put together again, with items sorted by stock code.  Invoices
+    of one chunk pass through."""
+    split = tx.groupBy("InvoiceNo").agg(F.count(F.lit(1)).alias("_chunks")).filter("_chunks > 1").select("InvoiceNo")
+    merged = tx.join(split, "InvoiceNo", "left_semi").groupBy("InvoiceNo").agg(
+        F.first("InvoiceDate").alias("InvoiceDate"), F.first("CustomerID").alias("CustomerID"),
+        F.array_sort(F.flatten(F.collect_list("Items"))).alias("Items"))
+    one = tx.join(split, "InvoiceNo", "left_anti").select("InvoiceNo", "InvoiceDate", "CustomerID", "Items")
+    return one.unionByName(merged)
+
+
+def whole_customers(customers: DataFrame) -> DataFrame:
+    """One document per customer and one entry per invoice, whatever the
+    chunks of either.  A customer's entries are put together only if it has
+    several chunks or an invoice in several entries."""
+    sizes = customers.groupBy("CustomerID").agg(
+        F.count(F.lit(1)).alias("_chunks"),
+        F.max((F.size(F.array_distinct("Invoices.InvoiceNo")) < F.size("Invoices")).cast("int")).alias("_parts"))
+    split = sizes.filter("_chunks > 1 OR _parts = 1").select("CustomerID")
+    entries = (customers.join(split, "CustomerID", "left_semi")
+               .select("CustomerID", "Country", F.explode_outer("Invoices").alias("_inv"))
+               .groupBy("CustomerID", "Country", "_inv.InvoiceNo").agg(
+                   F.first("_inv.InvoiceDate").alias("InvoiceDate"), F.array_sort(F.flatten(F.collect_list("_inv.Items"))).alias("Items")))
+    merged = entries.groupBy("CustomerID", "Country").agg(F.array_sort(F.collect_list(
+        F.when(F.col("InvoiceNo").isNotNull(), F.struct("InvoiceNo", "InvoiceDate", "Items")))).alias("Invoices"))
+    one = customers.join(split, "CustomerID", "left_anti").select("CustomerID", "Country", "Invoices")
+    return one.unionByName(merged)
+
+
+def invoice_counts(customers: DataFrame) -> DataFrame:
+    """Distinct invoices of each customer, over all its chunks."""
+    return (customers.select("CustomerID", F.explode_outer("Invoices.InvoiceNo").alias("InvoiceNo"))
+            .groupBy("CustomerID").agg(F.count_distinct("InvoiceNo").alias("n_invoices")))
+
+
 # ---------------------------------------------------------------- unwinding
 
 def unwind_items(transactions: DataFrame, outer: bool = False) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators.docs import (ITEM_FIELDS, customer_invoice_item_fields, customer_item_fields,
                                    item_fields)
+from quarry.operators.docs import whole_customers, whole_transactions
 from quarry.sources.tables import join_small
 
 
@@ -98,22 +99,27 @@ def _ci_pattern(term: str) -> str:
 
 
 def product_search(tx: DataFrame, term: str, limit: int = 20) -> DataFrame:
-    """Documents with an item description matching ``term`` (case-insensitive).
+    """Whole documents with an item description matching ``term``
+    (case-insensitive).
 
-    The reference's ``limit`` has no order; here the first ``limit``
-    invoices by key are returned (a top-k, planned as TakeOrderedAndProject).
+    The reference's ``limit`` has no order; here the first ``limit`` invoices
+    by key are returned: a top-k of the distinct keys, then all chunks of
+    those (a broadcast of at most ``limit`` keys).
     """
     pat = _ci_pattern(term)
     hit = tx.filter(F.exists("Items", lambda i: i["Description"].rlike(pat)))
-    return hit.select("InvoiceNo", "Chunk", "Items").orderBy("InvoiceNo", "Chunk").limit(limit)
+    keys = hit.select("InvoiceNo").distinct().orderBy("InvoiceNo").limit(limit)
+    return whole_transactions(tx.join(F.broadcast(keys), "InvoiceNo", "left_semi")).select("InvoiceNo", "Items")
 
 
 def product_search_nested(customers: DataFrame, term: str, limit: int = 20) -> DataFrame:
+    """The first ``limit`` whole customer documents with a matching item."""
     pat = _ci_pattern(term)
     hit = customers.filter(F.exists("Invoices", lambda inv: F.exists(
         inv["Items"], lambda i: i["Description"].rlike(pat))))
-    return (hit.select("CustomerID", "Chunk", F.col("Invoices.Items").alias("Items"))
-            .orderBy("CustomerID", "Chunk").limit(limit))
+    keys = hit.select("CustomerID").distinct().orderBy("CustomerID").limit(limit)
+    found = whole_customers(customers.join(F.broadcast(keys), "CustomerID", "left_semi"))
+    return found.select("CustomerID", F.col("Invoices.Items").alias("Items"))
 
 
 # ------------------------------------------------------------ aggregations
@@ -203,16 +209,12 @@ def distinct_set_size(df: DataFrame, group: str, value: str, name: str = "n_dist
 
 
 def lookup_array(left: DataFrame, right: DataFrame, key: str, as_: str) -> DataFrame:
-    """Left join that delivers the match as an array (empty when none).
-
-    The right side is keyed uniquely (the store's unique index), so the array
-    holds at most one element and no grouping is needed.
-    """
+    """Left join that delivers all matches as one array (empty when none),
+    sorted by their fields; each left row stays one row."""
     payload = [c for c in right.columns if c != key]
-    r = right.select(F.col(key), F.struct(*[F.col(c) for c in [key, *payload]]).alias("_m"))
+    r = right.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in [key, *payload]]))).alias("_m"))
     return (left.join(r, key, "left")
-            .withColumn(as_, F.when(F.col("_m").isNotNull(), F.array("_m"))
-                        .otherwise(F.array().cast(f"array<{r.schema['_m'].dataType.simpleString()}>")))
+            .withColumn(as_, F.coalesce("_m", F.array().cast(r.schema["_m"].dataType.simpleString())))
             .drop("_m"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import dml
+from quarry.operators.docs import invoice_counts
 from quarry.plans.registry import query
 from quarry.plans.retail_queries import CUSTOMER, INVOICE, layouts
 from quarry.plans.sqlviews import register_view, with_views
@@ -52,7 +53,7 @@ def _one_invoice(spark: SparkSession) -> DataFrame:
 SELECT * FROM tx_docs UNION ALL SELECT '{NEW_INVOICE}', {CUSTOMER}, 1""", "tx_docs"))
 def q_insert_invoice(spark: SparkSession, sf: str) -> DataFrame:
     tx = layouts(spark, sf)["transactions"]
-    return _per_doc(dml.insert_rows(tx, _one_invoice(spark)))
+    return _per_doc(dml.insert_rows(tx, _one_invoice(spark), ["InvoiceNo"]))
 
 
 @query("insert_customer", with_views(f"""
@@ -60,7 +61,7 @@ SELECT CustomerID, Country FROM refs UNION ALL SELECT {NEW_CUSTOMER}, 'ATLANTIS'
 def q_insert_customer(spark: SparkSession, sf: str) -> DataFrame:
     refs = layouts(spark, sf)["customer_refs"]
     new = spark.range(1).select(F.lit(NEW_CUSTOMER).cast("int").alias("CustomerID"), F.lit("ATLANTIS").alias("Country"))
-    return dml.insert_rows(refs, new)
+    return dml.insert_rows(refs, new, ["CustomerID"])
 
 
 @query("push_invoice", with_views(f"""
@@ -74,8 +75,7 @@ def q_push_invoice(spark: SparkSession, sf: str) -> DataFrame:
                                       F.lit(2).cast("long").alias("Quantity"),
                                       F.lit(10.99).cast("decimal(18,2)").alias("UnitPrice"))).alias("Items"))
     out = dml.push_invoice(c, CUSTOMER, entry)
-    return (out.select("CustomerID", F.size("Invoices").alias("n"))
-            .groupBy("CustomerID").agg(F.sum("n").cast("long").alias("n_invoices")))
+    return invoice_counts(out)
 
 
 @query("update_item_qty", with_views(f"""
@@ -117,8 +117,7 @@ SELECT CustomerID, count(DISTINCT InvoiceNo) FILTER (WHERE InvoiceNo <> '{INVOIC
 FROM cust_items GROUP BY CustomerID""", "cust_items"))
 def q_pull_invoice(spark: SparkSession, sf: str) -> DataFrame:
     out = dml.pull_invoice(layouts(spark, sf)["customers"], INVOICE)
-    return (out.select("CustomerID", F.size("Invoices").alias("n"))
-            .groupBy("CustomerID").agg(F.sum("n").cast("long").alias("n_invoices")))
+    return invoice_counts(out)
 
 
 @query("fn_array_remove_where", with_views(f"""
@@ -155,7 +154,7 @@ SELECT InvoiceNo, CustomerID, count(*) AS n_items FROM tx_bulk GROUP BY InvoiceN
 def q_bulk_insert(spark: SparkSession, sf: str) -> DataFrame:
     lay = layouts(spark, sf)
     new = dml.synthetic_invoices(lay["customer_refs"])
-    return _per_doc(dml.bulk_insert(lay["transactions"], new, ["InvoiceNo"]))
+    return _per_doc(dml.bulk_insert(lay["transactions"], new.unionByName(new), ["InvoiceNo"]))  # every key repeats
 
 
 @query("bulk_update_qty", with_views("""
@@ -198,4 +197,6 @@ SELECT * FROM refs WHERE CustomerID NOT IN (SELECT CustomerID FROM ({_UPSERT_SRC
 UNION ALL {_UPSERT_SRC_SQL}""", "refs"))
 def q_upsert_replace(spark: SparkSession, sf: str) -> DataFrame:
     refs = layouts(spark, sf)["customer_refs"]
-    return dml.upsert_replace(refs, _upsert_source(spark, sf), ["CustomerID"])
+    src = _upsert_source(spark, sf)
+    older = src.withColumn("Country", F.lit(""))  # every key repeats; the last by value wins
+    return dml.upsert_replace(refs, src.unionByName(older), ["CustomerID"])

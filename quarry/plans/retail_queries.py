@@ -170,7 +170,7 @@ SELECT InvoiceNo, InvoiceDate, CustomerID,
        StockCode, Description, Quantity, CAST(UnitPrice AS DOUBLE) AS UnitPrice
 FROM tx_items""", "tx_items"))
 def q_nest_items(spark: SparkSession, sf: str) -> DataFrame:
-    return _items_flat(layouts(spark, sf)["transactions"])
+    return _items_flat(docs.whole_transactions(layouts(spark, sf)["transactions"]))
 
 
 @query("nest_invoices", with_views("""
@@ -179,7 +179,7 @@ SELECT CustomerID, Country, InvoiceNo, InvoiceDate,
 FROM (SELECT CustomerID, Country, InvoiceNo, InvoiceDate, count(*) AS n_items FROM cust_items
       GROUP BY CustomerID, Country, InvoiceNo, InvoiceDate)""", "cust_items"))
 def q_nest_invoices(spark: SparkSession, sf: str) -> DataFrame:
-    c = layouts(spark, sf)["customers"]
+    c = docs.whole_customers(layouts(spark, sf)["customers"])
     return (c.select("CustomerID", "Country", F.posexplode("Invoices").alias("pos", "_inv"))
             .select("CustomerID", "Country", "_inv.InvoiceNo", "_inv.InvoiceDate", "pos",
                     F.size("_inv.Items").cast("long").alias("n_items")))
@@ -190,9 +190,9 @@ SELECT InvoiceNo, InvoiceDate, CustomerID, count(*) AS n_items, CAST(sum(Quantit
 FROM tx_items GROUP BY InvoiceNo, InvoiceDate, CustomerID""", "tx_items"))
 def q_build_tx(spark: SparkSession, sf: str) -> DataFrame:
     tx = layouts(spark, sf)["transactions"]
-    return tx.select("InvoiceNo", "InvoiceDate", "CustomerID",
-                     F.size("Items").cast("long").alias("n_items"),
-                     F.aggregate("Items", F.lit(0).cast("long"), lambda a, x: a + x["Quantity"]).alias("qty"))
+    per_chunk = tx.select("InvoiceNo", "InvoiceDate", "CustomerID", F.size("Items").cast("long").alias("n"),
+                          F.aggregate("Items", F.lit(0).cast("long"), lambda a, x: a + x["Quantity"]).alias("q"))
+    return per_chunk.groupBy("InvoiceNo", "InvoiceDate", "CustomerID").agg(F.sum("n").alias("n_items"), F.sum("q").alias("qty"))
 
 
 @query("build_customer_refs", with_views("SELECT CustomerID, Country FROM refs", "refs"))
@@ -205,10 +205,10 @@ SELECT CustomerID, Country, count(DISTINCT InvoiceNo) AS n_invoices, count(*) AS
 FROM cust_items GROUP BY CustomerID, Country""", "cust_items"))
 def q_build_cust(spark: SparkSession, sf: str) -> DataFrame:
     c = layouts(spark, sf)["customers"]
-    per_doc = c.select("CustomerID", "Country", F.size("Invoices").alias("ni"),
-                       F.aggregate("Invoices", F.lit(0).cast("long"), lambda a, i: a + F.size(i["Items"])).alias("nit"))
+    per_doc = c.select("CustomerID", "Country", F.explode(F.transform("Invoices", lambda i: F.struct(
+        i["InvoiceNo"].alias("no"), F.size(i["Items"]).cast("long").alias("n")))).alias("i"))
     return per_doc.groupBy("CustomerID", "Country").agg(
-        F.sum("ni").cast("long").alias("n_invoices"), F.sum("nit").cast("long").alias("n_items"))
+        F.count_distinct("i.no").alias("n_invoices"), F.sum("i.n").alias("n_items"))
 
 
 @query("doc_count_check", with_views("""
@@ -394,7 +394,7 @@ SELECT h.InvoiceNo, h.CustomerID, CAST(CASE WHEN f.CustomerID IS NULL THEN 0 ELS
 FROM headers h LEFT JOIN refs f ON h.CustomerID = f.CustomerID""", "headers", "refs"))
 def q_lookup_array(spark: SparkSession, sf: str) -> DataFrame:
     lay = layouts(spark, sf)
-    tx = lay["transactions"].filter(F.col("Chunk") == 0).select("InvoiceNo", "CustomerID")
+    tx = lay["transactions"].select("InvoiceNo", "CustomerID").distinct()  # an invoice's chunks are one document
     out = retail.lookup_array(tx, lay["customer_refs"], "CustomerID", "customer_info")
     return out.select("InvoiceNo", "CustomerID", F.size("customer_info").alias("n_matches"),
                       F.col("customer_info")[0]["Country"].alias("Country"))
@@ -520,7 +520,7 @@ def q_fn_month_range(spark: SparkSession, sf: str) -> DataFrame:
 SELECT InvoiceNo, CustomerID FROM headers ORDER BY InvoiceNo LIMIT {SEARCH_LIMIT}""", "headers"))
 def q_limit_unordered(spark: SparkSession, sf: str) -> DataFrame:
     tx = layouts(spark, sf)["transactions"]
-    return tx.filter(F.col("Chunk") == 0).select("InvoiceNo", "CustomerID").orderBy("InvoiceNo").limit(SEARCH_LIMIT)
+    return tx.select("InvoiceNo", "CustomerID").distinct().orderBy("InvoiceNo").limit(SEARCH_LIMIT)
 
 
 @query("head_n", with_views("""
