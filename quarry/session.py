@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
@@ -68,6 +70,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="quarry-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():
@@ -78,7 +82,35 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/quarry-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/quarry-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append((spark.sparkContext, path))
+    return path
+
+
+_SCRATCH: list = []
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder in whatever file system it is; False if there is none."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders that this session has handed out.  Results
+    that still read them must have been written or collected before; runs at
+    exit for sessions that are still up."""
+    mine = [p for sc, p in _SCRATCH if sc is spark.sparkContext]
+    _SCRATCH[:] = [x for x in _SCRATCH if x[0] is not spark.sparkContext]
+    return sum(delete_path(spark, p) for p in mine)
+
+
+@atexit.register
+def _at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        with contextlib.suppress(Exception):  # the JVM may be gone by now
+            clear_scratch(spark)
 
 
 _SHIPPED: set[int] = set()

@@ -11,12 +11,15 @@ folder, because a job may not overwrite the files it is reading.
 
 from __future__ import annotations
 
+import hashlib
+import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import checkpoint_dir
+from quarry.session import checkpoint_dir, delete_path
 
 KEYS = {"transactions": "InvoiceNo", "customer_refs": "CustomerID", "customers": "CustomerID"}
 
@@ -54,7 +57,7 @@ def write_table(df: DataFrame, path: str, key: str, n_buckets: int) -> str:
     """
     (df.withColumn("bucket", bucket_of(F.col(key), n_buckets))
        .hint("rebalance", "bucket")
-       .sortWithinPartitions(key)
+       .sortWithinPartitions("bucket", key)  # the writer keeps an order that begins with its partition column
        .write.mode("overwrite").partitionBy("bucket").parquet(path))
     return path
 
@@ -85,11 +88,23 @@ def rewrite_bucket(spark: SparkSession, path: str, key: str, value, n_buckets: i
     b = literal_bucket(value, dict(table.dtypes)[key], n_buckets)
     part = table.filter(F.col("bucket") == b)
     new = change(part.drop("bucket")).withColumn("bucket", F.lit(b)).checkpoint(eager=True)
-    (new.sortWithinPartitions(key).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
+    _replace(spark, new, path, key, [b])
     return b
 
 
+def _replace(spark: SparkSession, new: DataFrame, path: str, key: str, buckets: list[int]) -> None:
+    """Put ``new`` (cut from its lineage) in place of ``buckets``; a bucket
+    that ``new`` has no row for is removed, since a dynamic overwrite leaves
+    partitions alone that it doesn't write."""
+    left = {r[0] for r in new.select("bucket").distinct().collect()}  # at most B numbers
+    if left:
+        (new.hint("rebalance", "bucket").sortWithinPartitions("bucket", key).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
+    for b in buckets:
+        if b not in left:
+            delete_path(spark, f"{path.rstrip('/')}/bucket={b}")
+
+
 def append_rows(df: DataFrame, path: str, key: str, n_buckets: int) -> None:
     """Insert documents: an append into their bucket folders."""
     (df.withColumn("bucket", bucket_of(F.col(key), n_buckets))
@@ -106,8 +121,7 @@ def rewrite_buckets(spark: SparkSession, path: str, key: str, keys: DataFrame, n
         return []
     part = read_table(spark, path).filter(F.col("bucket").isin(buckets))
     new = change(part.drop("bucket")).withColumn("bucket", bucket_of(F.col(key), n_buckets)).checkpoint(eager=True)
-    (new.hint("rebalance", "bucket").sortWithinPartitions(key).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
+    _replace(spark, new, path, key, buckets)
     return sorted(buckets)
 
 
@@ -164,44 +178,52 @@ def push_as_chunk(spark: SparkSession, path: str, customers: DataFrame, customer
 
 
 LAYOUT_TABLES = ("_rollup", "_headers", "customer_refs", "transactions", "customers")
-_FINGERPRINTS: dict = {}   # (context, folder, file listing) → (fingerprint, buckets) within a session
-_BUILD_LOCK = __import__("threading").Lock()
+_BUILD_LOCK = threading.Lock()
 ROWS_PER_BUCKET = 50_000_000
 
 
+def source_fingerprint(sources: dict[str, DataFrame]) -> tuple[str, dict[str, int]]:
+    """A digest of the sources' files (path, size and modification time) and
+    the row count of each source, by one job that reads no data column."""
+    rows = None
+    for name, t in sources.items():
+        part = t.select(F.lit(name).alias("source"), "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+        rows = part if rows is None else rows.unionByName(part)
+    by_file = rows.groupBy("source", "file_path", "file_size", "file_modification_time").agg(F.count(F.lit(1)).alias("n"))
+    mark = F.xxhash64("file_path", "file_size", F.col("file_modification_time").cast("double"), "n")
+    found = by_file.groupBy("source").agg(F.bit_xor(mark).alias("mark"), F.count(F.lit(1)).alias("files"), F.sum("n").alias("n")).collect()
+    told = sorted((r["source"], r["mark"], r["files"], r["n"]) for r in found)
+    return hashlib.sha256(repr(told).encode()).hexdigest()[:16], {name: 0 for name in sources} | {r["source"]: r["n"] for r in found}
+
+
 def stored_layouts(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], int]:
     """The document tables of a source folder, built once and then read.
 
     The reference ingests its collections once and queries them many times;
     so do we.  The tables are written under the shared checkpoint folder in a
-    sub-folder named by a fingerprint of the source (input file names and row
-    counts, both read from parquet metadata), so a changed source gets a fresh
-    build and an unchanged one is never rebuilt.  The bucket count follows
+    sub-folder named by a fingerprint of the source (file names, sizes,
+    modification times and row counts), so a changed source gets a fresh
+    build and an unchanged one is never rebuilt.  A build is written beside
+    its final name and renamed when it is complete, so several drivers may
+    build the same snapshot: the first rename stays.  The bucket count follows
     the data (one bucket per ~50M lines, at least 16).  Returns the tables
     (without the ``bucket`` column) and the bucket count.
     """
-    import hashlib
-
     from quarry.sources.retail import retail_view
     from quarry.sources.tables import table
 
     sources = {name: table(spark, sf_dir, name) for name in ("lineitem", "orders", "customer", "nation", "part")}
-    listing = tuple((name, tuple(sorted(t.inputFiles()))) for name, t in sources.items())
-    memo = (id(spark.sparkContext), sf_dir, listing)
-    if memo in _FINGERPRINTS:
-        key, n_buckets = _FINGERPRINTS[memo]
-    else:
-        counts = {name: t.count() for name, t in sources.items()}   # parquet footer metadata
-        parts = [f"{name}:{counts[name]}:{','.join(files)}" for name, files in listing]
-        key = hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
-        n_buckets = max(16, -(-counts["lineitem"] // ROWS_PER_BUCKET))
-        _FINGERPRINTS[memo] = (key, n_buckets)
+    key, counts = source_fingerprint(sources)
+    n_buckets = max(16, -(-counts["lineitem"] // ROWS_PER_BUCKET))
     base = f"{checkpoint_dir(spark).rstrip('/')}/quarry-layouts/{key}"
     ready = f"{base}/_READY"
     with _BUILD_LOCK:   # one build per snapshot even if queries run from several threads
         if not _exists(spark, ready):
-            build_and_write_layouts(spark, retail_view(spark, sf_dir), base, n_buckets)
-            spark.createDataFrame([(key,)], "key string").write.mode("overwrite").json(ready)
+            building = f"{base}.building-{uuid.uuid4().hex[:12]}"
+            build_and_write_layouts(spark, retail_view(spark, sf_dir), building, n_buckets)
+            spark.createDataFrame([(key,)], "key string").write.mode("overwrite").json(f"{building}/_READY")
+            if not _rename(spark, building, base):
+                delete_path(spark, building)  # another driver was first
     out = {}
     for name in LAYOUT_TABLES:
         df = spark.read.parquet(f"{base}/{name}")
@@ -210,6 +232,14 @@ def stored_layouts(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFram
     return out, n_buckets
 
 
+def _rename(spark: SparkSession, old: str, new: str) -> bool:
+    """Rename a folder unless ``new`` is there already."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    a, b = jvm.org.apache.hadoop.fs.Path(old), jvm.org.apache.hadoop.fs.Path(new)
+    fs = a.getFileSystem(conf)
+    return not fs.exists(b) and fs.rename(a, b)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.json(path).limit(1).collect()
