@@ -41,14 +41,23 @@ def round_half_even(x, places: int) -> Column:
     return F.bround(_c(x), places)
 
 
+# Python's literals: digits may be grouped by single underscores.
+_DIGITS = r"[0-9](?:_?[0-9])*"
+_PAD = r"[\s\p{Z}\x1c-\x1f\x{85}]*"
+INT_PATTERN = rf"^{_PAD}[+-]?{_DIGITS}{_PAD}$"
+FLOAT_PATTERN = (rf"(?i)^{_PAD}[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?"
+                 rf"|inf(?:inity)?|nan){_PAD}$")
+
+
 def is_int(s) -> Column:
-    """String parses as an integer (surrounding spaces allowed, as ``int(s)``)."""
-    return F.trim(_c(s)).try_cast("long").isNotNull()
+    """String parses as an integer, as ``int(s)``: no bound, blanks around it."""
+    return F.coalesce(_c(s).rlike(INT_PATTERN), F.lit(False))
 
 
 def is_float(s) -> Column:
-    """String parses as a float (``float(s)``)."""
-    return F.trim(_c(s)).try_cast("double").isNotNull()
+    """String parses as a float, as ``float(s)``: neither type suffixes nor
+    hexadecimal, which Java's parser takes."""
+    return F.coalesce(_c(s).rlike(FLOAT_PATTERN), F.lit(False))
 
 
 def add(a, b) -> Column:

@@ -13,13 +13,15 @@ def _c(x) -> Column:
 
 
 # Fixed values that must equal the reference's (cleaning patterns, LF regexes).
-BR_PATTERN = r"<br\s*/?>"
+# Python's ``\s`` and ``str.split`` take Unicode blanks; Java's ``\s`` is ASCII.
+BLANK = r"\s\p{Z}\x1c-\x1f\x{85}"
+BR_PATTERN = rf"<br[{BLANK}]*/?>"
 YEAR_PATTERN = r"^(19|20)\d{2}[.,]?$"
 ORG_SUFFIX_PATTERN = r"^(Inc|Inc\.|Corp|Corp\.|Ltd|Ltd\.)$"
 # Python's ``[^\w\s']`` with Unicode ``\w`` = letters, digits, underscore;
 # Java's ``\w`` is ASCII-only, so the classes are spelled out.
-NON_WORD_PATTERN = r"[^\p{L}\p{N}_\s']"
-WHITESPACE = r"\s+"
+NON_WORD_PATTERN = rf"[^\p{{L}}\p{{N}}_{BLANK}']"
+WHITESPACE = rf"[{BLANK}]+"
 
 
 def strip_br(text) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.functions import arrays
 from quarry.operators import clean, dml
 from quarry.plans.registry import query
 from quarry.plans.sqlviews import with_views
@@ -16,8 +17,16 @@ from quarry.sources.tables import table, with_scalars
 from quarry.sources.text import TAG_NAMES, sentences
 from quarry.streaming import jobs
 
+# descriptions with commas, doubled quotes and line breaks, as landing files have them
 RETAIL_SQL = with_views("""
-SELECT InvoiceNo, StockCode, Description, Quantity, InvoiceDate, CAST(UnitPrice AS DOUBLE) AS UnitPrice, CustomerID, Country FROM retail""", "retail")
+SELECT InvoiceNo, StockCode, Description || CASE CAST(StockCode AS BIGINT) % 3 WHEN 0 THEN ' "EXTREMELY BUSY", SIGN'
+         WHEN 1 THEN ', large' || chr(10) || 'second line ' ELSE '' END AS Description, Quantity, InvoiceDate, CAST(UnitPrice AS DOUBLE) AS UnitPrice, CustomerID, Country FROM retail""", "retail")
+
+
+def _quoted(spark: SparkSession, sf: str) -> DataFrame:
+    kind = F.pmod(F.col("StockCode").cast("bigint"), F.lit(3))
+    more = F.when(kind == 0, ' "EXTREMELY BUSY", SIGN').when(kind == 1, ", large\nsecond line ").otherwise("")
+    return retail_view(spark, sf, with_row_key=False).withColumn("Description", F.concat("Description", more))
 
 
 def _flat(df: DataFrame) -> DataFrame:
@@ -27,7 +36,7 @@ def _flat(df: DataFrame) -> DataFrame:
 @query("src_csv_scan", RETAIL_SQL)
 def q_src_csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     """CSV landing file (written from the tables) scanned with an explicit schema."""
-    path = write_csv(retail_view(spark, sf, with_row_key=False), scratch_path(spark, "retail-csv"))
+    path = write_csv(_quoted(spark, sf), scratch_path(spark, "retail-csv"))
     return _flat(read_csv(spark, path))
 
 
@@ -45,7 +54,7 @@ def q_sink_csv(spark: SparkSession, sf: str) -> DataFrame:
 @query("convert_format", RETAIL_SQL)
 def q_convert_format(spark: SparkSession, sf: str) -> DataFrame:
     """CSV → typed parquet rewrite."""
-    csv = write_csv(retail_view(spark, sf, with_row_key=False), scratch_path(spark, "retail-csv"))
+    csv = write_csv(_quoted(spark, sf), scratch_path(spark, "retail-csv"))
     return _flat(convert_csv_to_parquet(spark, csv, scratch_path(spark, "retail-parquet")))
 
 
@@ -220,23 +229,22 @@ def q_sink_json_result(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ streams
 
-@query("stream_score", """
+@query("stream_score", f"""
 SELECT vec_id, CAST(list_position(s, list_max(s)) - 1 AS INTEGER) AS pred,
        round(1.0 / list_sum(list_transform(s, lambda x: exp(x - list_max(s)))), 6) AS confidence
-FROM (SELECT vec_id, list_transform(embedding[1:10], lambda x: CAST(x AS DOUBLE)) AS s FROM embeddings)""")
+FROM (SELECT vec_id, {arrays.class_scores_sql('embedding', 10)} AS s FROM embeddings)""")
 def q_stream_score(spark: SparkSession, sf: str) -> DataFrame:
     """File stream of typed score requests: valid rows (64 floats) are scored,
     malformed rows (documents posted to the same endpoint) are quarantined."""
-    from quarry.functions import arrays
     src = scratch_path(spark, "score-in")
     e = table(spark, sf, "embeddings", "vec_id", "embedding")
-    e.repartition(4).write.mode("overwrite").json(src + "/good")
+    e.write.mode("overwrite").json(src + "/good")
     bad = table(spark, sf, "documents", "doc_id").select(F.col("doc_id").alias("vec_id"), F.lit(None).cast("array<float>").alias("embedding"))
     bad.write.mode("append").json(src + "/bad")
     schema = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType()))])
 
     def score(df: DataFrame) -> DataFrame:
-        s = F.transform(F.slice("embedding", 1, 10), lambda x: x.cast("double"))
+        s = arrays.class_scores("embedding", 10)
         probs = arrays.softmax(s)
         return df.select("vec_id", arrays.argmax(probs).alias("pred"), F.round(F.array_max(probs), 6).alias("confidence"))
 
@@ -263,7 +271,7 @@ def q_stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
                    F.concat("n_name", F.lit(" ("), "c_mktsegment", F.lit(")")).alias("Country"), "c_mktsegment"))
     src = scratch_path(spark, "upsert-in")
     for seg in ["BUILDING", "MACHINERY"]:  # two arriving files → two micro-batches
-        upd.filter(F.col("c_mktsegment") == seg).drop("c_mktsegment").coalesce(1).write.mode("append").parquet(src)
+        upd.filter(F.col("c_mktsegment") == seg).drop("c_mktsegment").write.mode("append").parquet(src)
     from quarry.sources import layout_store as store
     target = store.write_table(refs, scratch_path(spark, "refs-bucketed"), "CustomerID", 8)
     jobs.upsert_stream(spark, src, refs.schema, target, ["CustomerID"], scratch_path(spark, "upsert-ckpt"), 8)

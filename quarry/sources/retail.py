@@ -119,19 +119,28 @@ def raw_retail_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- file forms
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """CSV sink with a header row (reference: ``to_csv(index=False)``)."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """CSV sink with a header row (reference: ``to_csv(index=False)``): quotes
+    inside a field are doubled, line breaks and blanks are kept."""
+    (df.write.mode(mode).option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType = RETAIL_SCHEMA) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType = RETAIL_SCHEMA, corrupt_col: str | None = None,
+             multiline: bool = True) -> DataFrame:
     """CSV scan with an explicit schema; a missing path raises.
 
-    No schema inference: inference costs a full extra pass over the files
-    and guesses types per file.
+    Fields may be quoted, with doubled quotes and line breaks inside.  A row
+    that doesn't fit the schema raises, or with ``corrupt_col`` is returned
+    with its text in that column.  Files whose fields have no line breaks can
+    be read with ``multiline=False``, which lets Spark split large files.
+    No schema inference: it costs a full extra pass and guesses per file.
     """
-    return (spark.read.schema(schema).option("header", True)
-            .option("mode", "PERMISSIVE").csv(path))
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
+    if corrupt_col is None:
+        return reader.schema(schema).option("mode", "FAILFAST").csv(path)
+    full = T.StructType([*schema.fields, T.StructField(corrupt_col, T.StringType())])
+    return (reader.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_col).csv(path))
 
 
 def convert_csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str,
