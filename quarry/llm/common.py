@@ -8,10 +8,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import checkpoint_dir, ship_package
+from quarry.session import checkpoint_dir, scratch_path, ship_package
 from quarry.sources.tables import table
 
-__all__ = ["cut", "documents", "drop_path", "id_text", "known_groups", "salted", "ship_package", "table", "texts", "slices"]
+__all__ = ["cut", "documents", "drop_path", "id_text", "known_groups", "salted", "ship_package", "table", "texts", "slices", "written"]
 
 #: Sub-groups that one key is dealt into before its rows meet.
 SALTS = 256
@@ -36,6 +36,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str, old: list[str] | None = None) -> DataFrame:
+    """Cut the lineage by a written table in the shared folder, for loops:
+    unlike a checkpoint the new plan knows its size and nothing of the old
+    plan.  The path is added to ``old``, for ``drop_path``."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    if old is not None:
+        old.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder, in whatever file system it is."""
     jvm = spark.sparkContext._jvm

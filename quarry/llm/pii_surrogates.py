@@ -13,7 +13,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import cut, id_text, known_groups, salted
+from quarry.llm.common import cut, drop_path, id_text, known_groups, salted, written
 
 #: Titles by gender: fixed values.
 MALE = "Mr Mister Sir Herr Herrn Monsieur Señor Sr Don Signor Lord г-н господин κύριος".split()
@@ -116,8 +116,11 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
     card = F.concat(card, F.when(_luhn(norm) == 0, check).otherwise(F.substring(digits, -1, 1)))
     phone = F.concat(F.substring(norm, 1, 1), F.substring(digits, F.lit(2), F.length(norm) - 1))
     ip = F.concat_ws(".", *[(F.pmod(_byte(h, k), F.lit(254)) + 1).cast("string") for k in range(4)])
-    domain = F.concat(_letters(F.regexp_extract(norm, r"^(.*)\.[^.]*$", 1), h), F.regexp_extract(norm, r"\.[^.]*$", 0))
-    out = _letters(norm, h)
+    # where short values leave no room, letters are added after every four collisions
+    grown = F.when(attempt >= 4, F.array_join(F.transform(F.sequence(F.lit(40), 39 + F.floor(attempt / 4).cast("int")),
+                                                          lambda k: _pick(list(ALPHABETS["latin"]), _byte(h, k))), "")).otherwise("")
+    domain = F.concat(_letters(F.regexp_extract(norm, r"^(.*)\.[^.]*$", 1), h), grown, F.regexp_extract(norm, r"\.[^.]*$", 0))
+    out = F.concat(_letters(norm, h), grown)
     for script, syllables in SYLLABLES.items():
         name = _syllables(syllables, h, attempt)
         for gender, word in (("m", "given-m"), ("f", "given-f"), ("s", "surname")):
@@ -132,14 +135,17 @@ def surrogates(entities: DataFrame, key: str, max_rounds: int = 40) -> DataFrame
 
     An entity tries again while its surrogate is a real value of its kind or
     one that another entity (the least by ``norm``) has."""
+    old: list[str] = []
     rows = entities.select("kind", "norm").distinct().withColumn("attempt", F.lit(0))
     for _ in range(max_rounds):
-        rows = cut(rows.select("kind", "norm", "attempt").withColumn("fake", surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), key)))
+        rows = written(rows.select("kind", "norm", "attempt").withColumn("fake", surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), key)), "pii-fakes", old)
         owner = rows.groupBy("kind", "fake").agg(F.min(F.struct("attempt", "norm")).alias("owner"), F.count(F.lit(1)).alias("n")).filter("n > 1")
         taken = rows.select("kind", F.col("norm").alias("fake"), F.lit(True).alias("real"))
-        rows = cut(rows.join(owner, ["kind", "fake"], "left").join(taken, ["kind", "fake"], "left").select(
+        rows = written(rows.join(owner, ["kind", "fake"], "left").join(taken, ["kind", "fake"], "left").select(
             "kind", "norm", "attempt", "fake",
-            (F.coalesce("real", F.lit(False)) | (F.col("n").isNotNull() & (F.col("owner.norm") != F.col("norm")))).alias("again")))
+            (F.coalesce("real", F.lit(False)) | (F.col("n").isNotNull() & (F.col("owner.norm") != F.col("norm")))).alias("again")), "pii-fakes", old)
+        while len(old) > 1:
+            drop_path(entities.sparkSession, old.pop(0))
         if not rows.filter("again").limit(1).count():
             return rows.select("kind", "norm", "fake")
         rows = rows.withColumn("attempt", F.col("attempt") + F.col("again").cast("int"))
