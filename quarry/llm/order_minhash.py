@@ -8,6 +8,7 @@ candidates; a pair is linked if its words align at an edit similarity of 0.8.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,10 +17,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import cut, id_text, known_groups, salted, ship_package, slices, texts
-from quarry.llm.components import components
+from quarry.llm.common import cut, id_text, known_groups, salted, ship_package, slices, texts, written
+from quarry.llm.components import components, forest_roots
 
-SHINGLE, SAMPLE, SKETCHES, SIMILARITY = 5, 2, 24, 0.8
+SHINGLE, SKETCHES, SIMILARITY = 5, 24, 0.8
+#: Bins of the word signature; the share of equal bins from which a node joins
+#: a leader, and that below which a pair is passed over (a true share of 0.67,
+#: the least of a link, comes out below it by chance once in ten thousand).
+BINS, FIRM, LEAST_ALIKE = 32, 0.55, 0.35
 _WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -35,6 +40,16 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _labelled(values: np.ndarray) -> np.ndarray:
+    """Hash of each value and how often it occurred before."""
+    order = np.argsort(values, kind="stable")
+    ranked = values[order]
+    first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+    nth = np.empty(len(values), np.uint64)
+    nth[order] = np.arange(len(values)) - np.repeat(first, np.diff([*first, len(values)]))
+    return _mixed(values + nth * _MIX)
+
+
 class Sketcher:
     """Order MinHash sketches; hashes of recurring words are kept, bounded."""
 
@@ -52,7 +67,8 @@ class Sketcher:
         return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
     def sketch(self, words: list[str]) -> np.ndarray:
-        """One 64-bit value for each hash; none for no words."""
+        """One 64-bit value for each hash, then the packed word signature;
+        none for no words."""
         if not words:
             return np.empty(0, np.int64)
         with np.errstate(over="ignore"):
@@ -62,23 +78,32 @@ class Sketcher:
             shingles = np.zeros(n, np.uint64)
             for k in range(size):
                 shingles = _mixed(shingles * _MIX + w[k:n + k])
-            order = np.argsort(shingles, kind="stable")
-            ranked = shingles[order]
-            first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-            nth = np.empty(n, np.uint64)  # how often the shingle occurred before
-            nth[order] = np.arange(n) - np.repeat(first, np.diff([*first, n]))
-            labelled = _mixed(shingles + nth * _MIX)
+            labelled = _labelled(shingles)
             out = np.empty(len(self.seeds), np.uint64)
-            least = min(SAMPLE, n)
-            for j, seed in enumerate(self.seeds):
-                h = _mixed(labelled ^ seed)
-                at = np.sort(np.argpartition(h, least - 1)[:least]) if n > least else np.arange(n)
-                value = seed
-                for p in at:  # in text order
-                    value = (value ^ shingles[p]) * _MIX
-                    value ^= value >> np.uint64(32)
-                out[j] = value
-            return out.view(np.int64)
+            block = max((1 << 20) // n, 1)  # sketches at a time, so that memory stays bounded
+            for j in range(0, len(self.seeds), block):
+                seeds = self.seeds[j:j + block]
+                h = (labelled ^ seeds[:, None]) * _MIX
+                h ^= h >> np.uint64(32)
+                h *= _MIX
+                first = last = h.argmin(axis=1)
+                if n > 1:  # the two least, in text order
+                    h[np.arange(len(seeds)), first] = ~np.uint64(0)
+                    second = h.argmin(axis=1)
+                    first, last = np.minimum(first, second), np.maximum(first, second)
+                out[j:j + block] = _mixed(_mixed(seeds ^ shingles[first]) * _MIX + shingles[last])
+            return np.concatenate([out.view(np.int64), self.signature(w)])
+
+    def signature(self, hashes: np.ndarray) -> np.ndarray:
+        """One byte of the least hash in each of ``BINS`` bins of the
+        occurrence-labelled words (0 for an empty bin), packed: the share of
+        equal bytes estimates the Jaccard similarity of the word bags, which
+        two texts of edit similarity 0.8 have at 0.67 or more."""
+        ranked = np.sort(_labelled(hashes))
+        bins, first = np.unique(ranked & np.uint64(BINS - 1), return_index=True)
+        out = np.zeros(BINS, np.uint8)
+        out[bins.astype(np.int64)] = (ranked[first] >> np.uint64(8)) % np.uint64(255) + np.uint64(1)
+        return out.view(np.int64)
 
 
 def edit_distance(a: list, b: list, most: int) -> int:
@@ -128,54 +153,59 @@ def edit_distance(a: list, b: list, most: int) -> int:
 
 def alike(a: list, b: list, similarity: float = SIMILARITY) -> bool:
     """Edit similarity, 1 - distance / longer length, is ``similarity`` or more."""
-    most = int((1 - similarity) * max(len(a), len(b)) + 1e-9)
+    longer = max(len(a), len(b))
+    most = int((1 - similarity) * longer + 1e-9)
+    if longer - min(len(a), len(b)) > most or longer - (Counter(a) & Counter(b)).total() > most:
+        return False  # each word that the other lacks costs an edit
     return edit_distance(a, b, most) <= most
 
 
 def sketch_rows(df: DataFrame, id_col: str, text_col: str, sketches: int) -> DataFrame:
-    """``doc_id, text_hash, node, sketch``: node is a digest of the words, so
+    """``doc_id, text_hash, node, size, sketch``: size is in words, node a digest of the words, so
     texts that differ in case, blanks and signs alone are one node."""
     ship_package(df.sparkSession)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maker = Sketcher(sketches)
         for b in slices(batches):
-            nodes, rows = [], []
+            nodes, sizes, rows = [], [], []
             for t in texts(b.column(2)):
                 words = words_of(t)
+                sizes.append(len(words))
                 nodes.append(xxhash.xxh3_128_digest(" ".join(words)))
                 rows.append(maker.sketch(words))
             ends = np.cumsum([0, *map(len, rows)])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(rows) if rows else [], pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(nodes, pa.binary()), lists],
-                                             names=["doc_id", "text_hash", "node", "sketch"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int32()), lists],
+                                             names=["doc_id", "text_hash", "node", "size", "sketch"])
 
     src = id_text(df, id_col, text_col).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    return src.mapInArrow(each, "doc_id bigint, text_hash bigint, node binary, sketch array<bigint>")
+    return src.mapInArrow(each, "doc_id bigint, text_hash bigint, node binary, size int, sketch array<bigint>")
 
 
-def _leaders(sketches: int, firm: int, weak: int):
-    """Pass over rows ``h, node, sketch`` sorted by (h, node): within a run of
-    one h, a node that shares ``firm`` sketches with an earlier leader is
-    joined to the best such; any other is paired with every leader that shares
-    ``weak`` and becomes a leader.  Leaders of runs at a partition's edges are
-    returned too, as the run may go on in the next partition."""
+def _leaders(sketches: int, similarity: float):
+    """Pass over rows ``h, node, size, sketch`` sorted by (h, node): within a
+    run of one h, a node whose word signature and length firmly resemble an
+    earlier leader's is paired with the best such alone; any other is paired
+    with the leaders that it may resemble, and becomes one.  Leaders of runs
+    at a partition's edges are returned too, as the run may go on in the next."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["a", "b", "shared", "h", "sketch"]
+        names = ["a", "b", "shared", "h", "size", "sketch"]
         run, first = None, True
         nodes: list[bytes] = []
-        held = np.empty((16, sketches), np.int64)
+        width = sketches + BINS // 8
+        held, sizes = np.empty((16, width), np.int64), np.empty(16, np.int64)
         a, b, shared = [], [], []
 
         def edge_rows() -> pa.RecordBatch:
             k = len(nodes)
             return pa.RecordBatch.from_arrays(
                 [pa.array(nodes, pa.binary()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int32()), pa.array([run] * k, pa.int64()),
-                 pa.array([held[i].tolist() for i in range(k)], pa.list_(pa.int64()))], names=names)
+                 pa.array(sizes[:k], pa.int32()), pa.array([held[i].tolist() for i in range(k)], pa.list_(pa.int64()))], names=names)
 
         for batch in batches:
-            marks = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, sketches)
-            for h, node, mark in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), marks):
+            marks = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            for h, node, size, mark in zip(*(batch.column(c).to_pylist() for c in range(3)), marks):
                 if h != run:
                     if run is not None and first:
                         yield edge_rows()
@@ -183,21 +213,24 @@ def _leaders(sketches: int, firm: int, weak: int):
                     run, nodes = h, []
                 k = len(nodes)
                 if k:
-                    equal = (held[:k] == mark).sum(axis=1)
-                    best = int(equal.argmax())
-                    if equal[best] >= firm:
-                        a.append(nodes[best]), b.append(node), shared.append(int(equal[best]))
+                    bins, mine = held[:k, sketches:].copy().view(np.uint8), mark[sketches:].copy().view(np.uint8)
+                    filled = ((bins != 0) | (mine != 0)).sum(axis=1)
+                    share = ((bins == mine) & (mine != 0)).sum(axis=1) / np.maximum(filled, 1)
+                    share[np.minimum(sizes[:k], size) < similarity * np.maximum(sizes[:k], size) - 1] = 0
+                    best = int(share.argmax())
+                    chosen = [best] if share[best] >= FIRM else np.flatnonzero(share >= LEAST_ALIKE)
+                    for i in chosen:
+                        a.append(nodes[i]), b.append(node), shared.append(int((held[i, :sketches] == mark[:sketches]).sum()))
+                    if share[best] >= FIRM:
                         continue
-                    for i in np.flatnonzero(equal >= weak):
-                        a.append(nodes[i]), b.append(node), shared.append(int(equal[i]))
                 if k == len(held):
-                    held = np.concatenate([held, np.empty_like(held)])
-                held[k] = mark
+                    held, sizes = np.concatenate([held, np.empty_like(held)]), np.concatenate([sizes, np.empty_like(sizes)])
+                held[k], sizes[k] = mark, size
                 nodes.append(node)
             if a:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(shared, pa.int32()), pa.nulls(len(a), pa.int64()),
-                     pa.nulls(len(a), pa.list_(pa.int64()))], names=names)
+                     pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.list_(pa.int64()))], names=names)
                 a, b, shared = [], [], []
         if run is not None:
             yield edge_rows()
@@ -205,27 +238,27 @@ def _leaders(sketches: int, firm: int, weak: int):
     return each
 
 
-def candidates(nodes: DataFrame, sketches: int = SKETCHES, firm: int | None = None, weak: int = 1) -> DataFrame:
-    """``a, b, shared``: pairs of ``node`` that share sketches, a < b, and in
-    how many; linear in the number of nodes where they resemble each other."""
+def candidates(nodes: DataFrame, sketches: int = SKETCHES, similarity: float = SIMILARITY) -> DataFrame:
+    """``a, b, shared``: pairs of ``node`` that share sketches, a < b, and how
+    many; linear in the number of nodes where they resemble each other.
+    ``nodes`` has ``node, size, sketch``."""
     spark = nodes.sparkSession
     ship_package(spark)
-    firm = sketches // 2 if firm is None else firm
-    drawn = nodes.select("node", F.explode("sketch").alias("h"))
+    drawn = nodes.select("node", F.explode(F.slice("sketch", 1, sketches)).alias("h"))
     # a sketch that a third of the nodes share is dealt over salts
     drawn = drawn.withColumn("_salt", salted("node"))
     groups = known_groups(drawn, ["h"], {"n": F.count(F.lit(1))}, {"n": F.sum("n")}).filter("n > 1").drop("n")
     rows = drawn.join(groups, ["h", "_salt"]).select("h", "node")
-    rows = cut(rows.join(nodes.select("node", "sketch"), "node").select("h", "node", "sketch"))
+    rows = cut(rows.join(nodes.select("node", "size", "sketch"), "node").select("h", "node", "size", "sketch"))
     found, left = [], rows.count()
-    step = _leaders(sketches, firm, weak)
+    step = _leaders(sketches, similarity)
     while left:
         parts = max(left // 20_000, 1)
         dealt = rows.repartitionByRange(parts, "h", "node") if parts > 1 else rows.coalesce(1)
-        out = cut(dealt.sortWithinPartitions("h", "node").select("h", "node", "sketch")
-                  .mapInArrow(step, "a binary, b binary, shared int, h bigint, sketch array<bigint>"))
+        out = cut(dealt.sortWithinPartitions("h", "node").select("h", "node", "size", "sketch")
+                  .mapInArrow(step, "a binary, b binary, shared int, h bigint, size int, sketch array<bigint>"))
         found.append(out.filter("b IS NOT NULL").select("a", "b", "shared"))
-        rows = out.filter("b IS NULL").select("h", F.col("a").alias("node"), "sketch").distinct()
+        rows = out.filter("b IS NULL").select("h", F.col("a").alias("node"), "size", "sketch").distinct()
         now = rows.count()
         if parts == 1 or now > 0.8 * left:
             break
@@ -235,7 +268,7 @@ def candidates(nodes: DataFrame, sketches: int = SKETCHES, firm: int | None = No
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
-    return cut(pairs.groupBy("a", "b").agg(F.max("shared").alias("shared")))
+    return written(pairs.groupBy("a", "b").agg(F.max("shared").alias("shared")), "near-pairs")
 
 
 def verified(pairs: DataFrame, node_texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -256,7 +289,7 @@ def verified(pairs: DataFrame, node_texts: DataFrame, similarity: float = SIMILA
     leaders = rows.select("a", "_salt").distinct().join(node_texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     both = (rows.join(node_texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
             .join(leaders, ["a", "_salt"]).select("a", "b", "text_a", "text_b"))
-    return cut(both.mapInArrow(each, "a binary, b binary"))
+    return written(both.mapInArrow(each, "a binary, b binary"), "near-links")
 
 
 def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
@@ -267,37 +300,44 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", simil
 
     A class is a connected component of links: equal words, or candidates
     whose words align at ``similarity`` or more.  First every document's best
-    candidate is aligned, then all candidates that lie in different classes
-    still, so a group of thousands of near copies costs about one alignment
-    each.
+    candidate is aligned, then the best candidate of each two classes, then
+    all candidates that lie in different classes still; so a group of
+    thousands of near copies costs about one alignment each.
 
     A null text is empty; texts without a word are copies of each other.
     Texts shorter than a shingle have one shingle of all their words.  A null
     doc_id sorts after all others; identical rows are one document repeated,
     of which one can be kept.  An empty table gives an empty result.
     """
-    rows = cut(sketch_rows(df, id_col, text_col, sketches))
+    rows = written(sketch_rows(df, id_col, text_col, sketches), "near-sketches")
     docs = (rows.groupBy("doc_id", "text_hash", "node").agg(F.count(F.lit(1)).alias("copies"))
             .withColumn("_salt", salted("doc_id", "text_hash")))
-    docs = cut(docs)
+    docs = written(docs, "near-docs")
     order = F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("i"), F.col("text_hash").alias("t"))
     heads = (docs.groupBy("node").agg(F.min(order).alias("head")))
-    nodes = cut(rows.filter(F.size("sketch") > 0).groupBy("node").agg(F.first("sketch").alias("sketch")))
-    pairs = candidates(nodes, sketches)
-    asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    nodes = written(rows.filter(F.size("sketch") > 0).groupBy("node").agg(F.first("size").alias("size"), F.first("sketch").alias("sketch")), "near-nodes")
+    pairs = candidates(nodes, sketches, similarity)
+    asked = written(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "near-asked")
     wanted = heads.join(asked, "node").select("node", F.struct("head.i", "head.t").alias("_key"))
     source = id_text(df, id_col, text_col).select(F.struct(F.col("doc_id").alias("i"), F.xxhash64("text").alias("t")).alias("_key"), "text")
-    node_texts = cut(source.join(wanted.hint("shuffle_hash"), "_key").groupBy("node").agg(F.first("text").alias("text")))
+    node_texts = written(source.join(wanted.hint("shuffle_hash"), "_key").groupBy("node").agg(F.first("text").alias("text")), "near-texts")
     best = pairs.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("top")).select(F.col("top.a").alias("a"), "b")
-    links = verified(best, node_texts, similarity)
-    labels = components(links)
-    apart = (pairs.select("a", "b").join(best, ["a", "b"], "left_anti")
-             .join(labels.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b", "left").withColumn("_salt", salted("b")))
-    ends = (apart.select("a", "_salt").distinct().join(labels.select(F.col("node").alias("a"), F.col("label").alias("la")), "a", "left"))
-    apart = (apart.join(ends, ["a", "_salt"])
-             .filter(~F.coalesce("la", "a").eqNullSafe(F.coalesce("lb", "b"))).select("a", "b"))
-    more = verified(cut(apart), node_texts, similarity)
-    labels = components(links.unionByName(more))
+    roots = forest_roots(verified(best, node_texts, similarity))  # a document's best candidate: at most one parent
+    labels = written(asked.join(roots, "node", "left").select("node", F.coalesce("label", "node").alias("label")), "near-labels")
+    tried = best
+    for last in (False, True):  # the best pair of each two classes, then all pairs of different classes
+        apart = _apart(pairs.join(tried, ["a", "b"], "left_anti"), labels)
+        if not last:
+            top = F.max(F.struct("shared", "a", "b", "la", "lb")).alias("top")
+            apart = apart.groupBy(F.least("la", "lb"), F.greatest("la", "lb")).agg(top).select("top.*")
+        apart = written(apart, "near-apart")
+        if not last:
+            tried = written(tried.unionByName(apart.select("a", "b")), "near-tried")
+        links = verified(apart, node_texts, similarity)
+        if links.limit(1).count():  # classes that are linked become one
+            joined = components(apart.join(links, ["a", "b"]).select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct())
+            joined = joined.select(F.col("node").alias("label"), F.col("label").alias("joined"))
+            labels = written(labels.join(joined, "label", "left").select("node", F.coalesce("joined", "label").alias("label")), "near-labels")
     named = heads.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
     placed = docs.join(_spread(docs, named), ["node", "_salt"]).withColumn("_salt", salted("doc_id", "text_hash"))
     groups = known_groups(placed, ["label"], {"head": F.min(order), "n": F.sum("copies")},
@@ -309,6 +349,15 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", simil
             .select("doc_id", "text_hash", "class_id", "class_size", (F.col("first") & (F.col("copy") == 1)).alias("kept")))
 
 
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs with the class of each end, ``la`` and ``lb``, where they differ;
+    the class of a leader is sent to each (leader, salt) of its pairs."""
+    rows = (pairs.join(labels.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b", "left").withColumn("_salt", salted("b")))
+    ends = rows.select("a", "_salt").distinct().join(labels.select(F.col("node").alias("a"), F.col("label").alias("la")), "a", "left")
+    return (rows.join(ends, ["a", "_salt"]).select("a", "b", "shared", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb"))
+            .filter("la <> lb"))
+
+
 def _spread(docs: DataFrame, named: DataFrame) -> DataFrame:
     """``node, _salt, label`` for each (node, _salt) that occurs in ``docs``."""
     return docs.select("node", "_salt").distinct().join(named, "node")

@@ -27,13 +27,13 @@ def luhn(digits):
 def test_types_formats_and_coreference(spark):
     out = replaced(spark, [(1, TEXT)])[0]
     t = out.text
-    for old in ("John", "Smith", "smith1", "736", "4111 1111", "10.2.3.4", "123-45", "Петрова", "Corp"):
+    for old in ("John", "Smith", "smith1", "(736)", "4111 1111", "10.2.3.4", "123-45", "Петрова", "Corp"):
         assert old not in t
     m = re.match(r"Mr (\w+) (\w+) met Mrs\. (\w+) (\w+); mail (\S+)@(\S+) or (\S+)@(\S+), call \+1 \((\d{3})\) (\d{3})-(\d{4}) or \+(\d{11})\. "
                  r"Card (\d{4}) (\d{4}) (\d{4}) (\d{4}) and (\d{16}), ip (\d+\.\d+\.\d+\.\d+), ssn \d{3}-\d\d-\d{4}\. г-жа ([а-я]+) ([а-я]+) here\.", t, re.I)
     g = m.groups()
     assert g[1] == g[3]  # one surname
-    assert g[4].lower() == g[6].lower() and g[4][:4].isupper() and g[5].lower() == g[7].lower()  # one address, each in its own case
+    assert g[4].lower() == g[6].lower() and g[4][0].isupper() and g[5].lower() == g[7].lower()  # one address, each in its own case
     assert "1" + "".join(g[8:11]) == g[11] and "".join(g[12:16]) == g[16] and luhn(g[16]) and g[16][0] == "4"
     assert g[0][-1] not in "a" and g[2].endswith("a")  # a male and a female name
     assert out.n_entities == 10
