@@ -150,33 +150,20 @@ def tfidf(docs: DataFrame, id_col: str = "id", text_col: str = "text", max_featu
     return tfidf_transform(docs, tfidf_fit(docs, id_col, text_col, max_features), id_col, text_col)
 
 
-def vocabulary_index(weights: DataFrame) -> DataFrame:
-    """Term → column index (alphabetical, as a fitted vectorizer orders it)."""
-    terms = weights.select("term").distinct()  # at most max_features rows
-    return terms.select("term", (F.row_number().over(Window.orderBy("term")) - 1).cast("int").alias("index"))
-
-
-def to_sparse_vectors(weights: DataFrame, id_col: str, vocab: DataFrame, size: int,
-                      ids: DataFrame | None = None) -> DataFrame:
-    """``(id, features)`` sparse vectors from the long weights (one small
-    Python helper per row to build the vector object).  With ``ids``, every
-    listed document gets a vector — all zeros when none of its terms is in
-    the vocabulary, as a fitted vectorizer gives."""
-    from pyspark.ml.linalg import SparseVector, VectorUDT
-
-    @F.udf(VectorUDT())
-    def build(idx, vals):
-        pairs = sorted(zip(idx, vals))
-        return SparseVector(size, [p[0] for p in pairs], [float(p[1]) for p in pairs])
-
-    # one row per document; the entries of a row are bounded by the vocabulary size
-    per_doc = (weights.join(F.broadcast(vocab), "term")  # vocabulary: ≤ max_features rows
-               .groupBy(id_col).agg(F.collect_list("index").alias("_i"), F.collect_list("weight").alias("_v")))
-    if ids is not None:
-        per_doc = (ids.select(id_col).join(per_doc, id_col, "left")
-                   .select(id_col, F.coalesce("_i", F.array().cast("array<int>")).alias("_i"),
-                           F.coalesce("_v", F.array().cast("array<double>")).alias("_v")))
-    return per_doc.select(id_col, build("_i", "_v").alias("features"))
+def tfidf_vectors(docs: DataFrame, model: DataFrame, text_col: str = "text", out: str = "features") -> DataFrame:
+    """``docs`` with L2-normalised TF-IDF vectors of a fitted vocabulary (at
+    most ``max_features`` rows, which the driver reads), terms in alphabetical
+    order; a document without a known term gets the zero vector."""
+    from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+    from pyspark.ml.linalg import Vectors
+    terms = sorted((r["term"], r["idf"]) for r in model.collect())
+    if not terms:
+        raise ValueError("the vocabulary is empty")
+    counter = CountVectorizerModel.from_vocabulary([t for t, _ in terms], inputCol="_tokens", outputCol="_counts")
+    weigh = ElementwiseProduct(scalingVec=Vectors.dense([w for _, w in terms]), inputCol="_counts", outputCol="_weighted")
+    tokens = docs.withColumn("_tokens", F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(TOKEN_PATTERN), 0))
+    made = Normalizer(p=2.0, inputCol="_weighted", outputCol=out).transform(weigh.transform(counter.transform(tokens)))
+    return made.drop("_tokens", "_counts", "_weighted")
 
 
 # ------------------------------------------------------------------ metrics

@@ -11,7 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,7 +51,11 @@ def fit(train: DataFrame, estimator, scale: bool = False, label: str = "label")
     the saved model, so prediction always sees scaled features)."""
     stages = []
     if scale:
-        stages.append(StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True))
+        # Spark scales by the sample deviation; the factor makes it the population's
+        n, width = train.count(), len(train.select("features").first()[0])
+        factor = Vectors.dense([(n / (n - 1)) ** 0.5 if n > 1 else 1.0] * width)
+        stages.append(StandardScaler(inputCol="features", outputCol="_sample_scaled", withMean=True, withStd=True))
+        stages.append(ElementwiseProduct(scalingVec=factor, inputCol="_sample_scaled", outputCol="scaled"))
         estimator = estimator.copy().setFeaturesCol("scaled")
     stages.append(estimator)
     data = train.withColumn(label, F.col(label).cast("double"))
@@ -103,7 +108,7 @@ def sweep(train: DataFrame, test: DataFrame, settings: Sequence[dict], label: st
             name = f"LR_C_{params.get('C')}"
             mtype = "LogisticRegression"
         try:
-            model = fit(train, est, label=label)
+            model = fit(train, est, scale=True, label=label)
             tr = evaluate(model, train, label).first()
             te = evaluate(model, test, label).first()
             rows.append((order, name, mtype, json.dumps(params, sort_keys=True), "FINISHED",

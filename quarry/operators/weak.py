@@ -280,6 +280,7 @@ def label_model(L: DataFrame, lf_cols: Sequence[str], cardinality: int = 2, n_ep
     naive-Bayes model with Laplace smoothing.
     """
     max_patterns = (cardinality + 1) ** len(lf_cols)
+    L = L.withColumns({c: F.coalesce(F.col(c), F.lit(ABSTAIN)).cast("int") for c in lf_cols})  # no vote: abstains
     pat = L.groupBy(*lf_cols).agg(F.count(F.lit(1)).alias("_n"))
     rows = pat.limit(max_patterns + 1).collect()
     if len(rows) > max_patterns:

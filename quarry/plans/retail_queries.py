@@ -449,9 +449,18 @@ def q_top_customers_nested(spark: SparkSession, sf: str) -> DataFrame:
     return retail.top_customers_nested(layouts(spark, sf)["customers"], TOP_K).withColumn("totalRevenue", _dbl("totalRevenue"))
 
 
-@query("sort_limit_topk", with_views(_TOP_SQL.format(src="tx_items", k=25), "tx_items"))
+@query("sort_limit_topk", with_views(f"""
+SELECT *, row_number() OVER (ORDER BY totalRevenue DESC, CustomerID) AS position FROM ({_TOP_SQL.format(src="tx_items", k=25)})""", "tx_items"))
 def q_sort_limit_topk(spark: SparkSession, sf: str) -> DataFrame:
-    return retail.top_customers(layouts(spark, sf)["transactions"], 25).withColumn("totalRevenue", _dbl("totalRevenue"))
+    """The order is part of the result: ``position`` counts rows as they come."""
+    top = retail.top_customers(layouts(spark, sf)["transactions"], 25).withColumn("totalRevenue", _dbl("totalRevenue"))
+    return _positions(top)
+
+
+def _positions(ordered: DataFrame) -> DataFrame:
+    """Number the rows of a small sorted result in the order they come
+    (``coalesce`` of range partitions keeps it)."""
+    return ordered.coalesce(1).withColumn("position", F.monotonically_increasing_id() + 1)
 
 
 _COUNTRY_SQL = """
@@ -478,9 +487,10 @@ def q_sales_by_country_embedded(spark: SparkSession, sf: str) -> DataFrame:
     return retail.sales_by_country_embedded(emb).withColumn("totalRevenue", _dbl("totalRevenue"))
 
 
-@query("sort_desc", with_views(_COUNTRY_SQL, "cust_items"))
+@query("sort_desc", with_views(f"""
+SELECT *, row_number() OVER (ORDER BY totalRevenue DESC, Country) AS position FROM ({_COUNTRY_SQL})""", "cust_items"))
 def q_sort_desc(spark: SparkSession, sf: str) -> DataFrame:
-    return q_sales_by_country(spark, sf)
+    return _positions(q_sales_by_country(spark, sf))  # one row per country
 
 
 @query("distinct_set_size", with_views("""

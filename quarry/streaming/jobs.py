@@ -2,6 +2,7 @@
 
 * ``score_stream`` — typed input files are validated; good rows are scored
   and appended to the output table, malformed rows go to a quarantine table
+  with their text, where it could not be parsed, in ``_corrupt_record``
   (the request/response service of the reference, as a stream).
 * ``upsert_stream`` — micro-batches of keyed rows replace-or-insert into a
   hash-bucketed target table; each batch rewrites only the buckets it
@@ -21,17 +22,21 @@ from pyspark.sql import types as T
 
 from quarry.operators.dml import upsert_replace
 
+CORRUPT = "_corrupt_record"
+
 
 def score_stream(spark: SparkSession, source: str, schema: T.StructType, is_valid: Callable[[], F.Column],
                  score: Callable[[DataFrame], DataFrame], out: str, quarantine: str, checkpoint: str,
                  fmt: str = "json") -> None:
-    stream = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", 16).load(source)
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    stream = (spark.readStream.schema(full).format(fmt).option("columnNameOfCorruptRecord", CORRUPT)
+              .option("maxFilesPerTrigger", 16).load(source))
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        ok = is_valid()
+        ok = is_valid() & F.col(CORRUPT).isNull()
         flagged = batch.withColumn("_ok", F.coalesce(ok, F.lit(False)))
         # rows are written with the epoch id so a replayed epoch overwrites, not duplicates
-        (score(flagged.filter("_ok").drop("_ok")).withColumn("epoch", F.lit(epoch_id))
+        (score(flagged.filter("_ok").drop("_ok", CORRUPT)).withColumn("epoch", F.lit(epoch_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(out))
         (flagged.filter(~F.col("_ok")).drop("_ok").withColumn("epoch", F.lit(epoch_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(quarantine))

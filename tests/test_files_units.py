@@ -54,12 +54,15 @@ def test_csv_scan_missing_path_raises(spark):
 def test_score_stream_quarantines_malformed(spark):
     base = tempfile.mkdtemp()
     spark.createDataFrame([(1, [0.1, 0.9]), (2, [0.8, 0.2]), (3, None)], "id long, s array<float>").write.json(base + "/in")
+    with open(base + "/in/broken.json", "w") as f:
+        f.write('{"id": 7, "s": [0.1,\n')
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("s", T.ArrayType(T.FloatType()))])
     jobs.score_stream(spark, base + "/in", schema, lambda: F.size("s") == 2,
                       lambda df: df.select("id", (F.array_position("s", F.array_max("s")) - 1).alias("pred")),
                       base + "/out", base + "/bad", base + "/ckpt")
     assert sorted((r["id"], r["pred"]) for r in spark.read.parquet(base + "/out").collect()) == [(1, 1), (2, 0)]
-    assert [r["id"] for r in spark.read.parquet(base + "/bad").collect()] == [3]
+    bad = {r["_corrupt_record"]: r["id"] for r in spark.read.parquet(base + "/bad").collect()}
+    assert bad == {None: 3, '{"id": 7, "s": [0.1,': None}
 
 
 def test_create_tables_from_schemas(spark):

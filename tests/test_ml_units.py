@@ -132,9 +132,13 @@ def test_tfidf_fit_on_train_transform_unseen(spark):
     model = ml.tfidf_fit(train, "id", "text")
     w = ml.tfidf_transform(test, model, "id", "text")
     assert {(r["id"], r["term"]) for r in w.collect()} == {(3, "bb")}
-    vocab = ml.vocabulary_index(model)
-    vecs = {r["id"]: r["features"] for r in ml.to_sparse_vectors(w, "id", vocab, 3, ids=test).collect()}
+    vecs = {r["id"]: r["features"] for r in ml.tfidf_vectors(test, model).collect()}
     assert vecs[4].numNonzeros() == 0 and vecs[3].numNonzeros() == 1 and vecs[3].size == 3
+    # the vectors hold the weights of the long form, terms in alphabetical order
+    long = {(r["id"], r["term"]): r["weight"] for r in ml.tfidf_transform(train, model, "id", "text").collect()}
+    for r in ml.tfidf_vectors(train, model).collect():
+        assert {(r["id"], ["aa", "bb", "cc"][i]): round(v, 12) for i, v in zip(r["features"].indices, r["features"].values)} == \
+            {k: round(v, 12) for k, v in long.items() if k[0] == r["id"]}
 
 
 def test_quantile_buckets_handle_clustered_keys(spark):
