@@ -36,7 +36,7 @@ def test_types_formats_and_coreference(spark):
     assert g[4].lower() == g[6].lower() and g[4][0].isupper() and g[5].lower() == g[7].lower()  # one address, each in its own case
     assert "1" + "".join(g[8:11]) == g[11] and "".join(g[12:16]) == g[16] and luhn(g[16]) and g[16][0] == "4"
     assert g[0][-1] not in "a" and g[2].endswith("a")  # a male and a female name
-    assert out.n_entities == 10
+    assert out.n_entities == 11
 
 
 def test_same_key_same_surrogates(spark):
