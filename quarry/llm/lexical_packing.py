@@ -8,9 +8,11 @@ frequencies (at most one number for each token of the vocabulary) are global.
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import unicodedata
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,22 +20,35 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import id_text, ship_package, slices, texts
+from quarry.llm.common import by_size, id_text, ship_package, texts
+from quarry.llm.merges import PairMerges
 from quarry.session import scratch_path
 
 PIECES = ("doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, "
           "offset bigint, seed_id bigint, token_ids binary")
 K1, B = 1.2, 0.75
+_STOP = re.compile(r"(?<=[a-z])([.,])(?= |$)")
+
+
+def byte_symbols() -> list[str]:
+    """The printable character that stands for each byte in a byte-level
+    vocabulary: itself where printable, else one from code point 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(other)) for b in range(256)]
 
 
 class WordTokens:
-    """Token ids of texts by a ``tokenizers`` file that drops white space.
+    """Token ids of texts by a ``tokenizers`` file: normal form C, lower case,
+    white space dropped, byte-level BPE with word ends.
 
     Such a tokenizer splits at blanks first, so words are encoded once and
-    kept, in two generations of at most ``cache_words`` entries.
+    kept, in two generations of at most ``cache_words`` entries.  New words of
+    letters alone are merged together, many at a time, by the file's merges;
+    any other word is given to the library.
     """
 
-    def __init__(self, data: bytes, cache_words: int = 250_000):
+    def __init__(self, data: bytes, cache_words: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(data.decode())
@@ -41,52 +56,59 @@ class WordTokens:
         self.cache_words = cache_words
         self.young: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
+        model = json.loads(data)["model"]
+        vocab, end = model["vocab"], model["end_of_word_suffix"] or ""
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        self.pairs = PairMerges({(vocab[a], vocab[b]): (r, vocab[a + b]) for r, (a, b) in enumerate(merges)})
+        self.first = np.array([vocab[c] for c in byte_symbols()], np.int64)
+        self.last = np.array([vocab[c + end] for c in byte_symbols()], np.int64)
 
     def _look_up(self, words: set[str]) -> None:
         """Put the ids of ``words`` into the young generation."""
         young, old = self.young, self.old
-        plain, odd, joins = [], [], []
+        by_length: dict[int, tuple[list[str], list[bytes]]] = {}
+        odd = []
         for w in words:
             ids = old.get(w)
             if ids is not None:
                 young[w] = ids
-                continue
-            # a full stop or comma after an ASCII letter is a token of its own, and capitals are lowered
-            stem, tail = (w[:-1], w[-1]) if w[-1] in ".," and len(w) > 1 and w[-2].isascii() and w[-2].isalpha() else (w, "")
-            if stem.isascii():
-                stem = stem.lower()
-            if stem != w:
-                joins.append((w, stem, tail))
-            (plain if stem.isalpha() else odd).append(stem)
-            if tail:
-                odd.append(tail)
-        encode = self.tokenizer.encode_batch
-        plain = [w for w in dict.fromkeys(plain) if w not in young]
-        groups = [plain[i:i + 64] for i in range(0, len(plain), 64)]
-        for group, e in zip(groups, encode([" ".join(g) for g in groups], add_special_tokens=False)):
-            ids, of = np.array(e.ids, "<u4"), e.word_ids
-            ends = [k for k in range(1, len(of)) if of[k] != of[k - 1]]
-            if len(ends) + 1 != len(group):  # letters that normalise to something else
-                odd += group
-                continue
-            for w, part in zip(group, np.split(ids, ends)):
-                young[w] = part.tobytes()
-        odd = [w for w in dict.fromkeys(odd) if w not in young]
-        for w, e in zip(odd, encode(odd, add_special_tokens=False)):
+            elif w.isalpha():
+                raw = w.encode()
+                if len(raw) > 64:
+                    odd.append(w)
+                else:
+                    names, raws = by_length.setdefault(len(raw), ([], []))
+                    names.append(w)
+                    raws.append(raw)
+            else:
+                odd.append(w)
+        for length, (names, raws) in by_length.items():
+            data = np.frombuffer(b"".join(raws), np.uint8).reshape(-1, length)
+            ids = self.first[data]
+            ids[:, -1] = self.last[data[:, -1]]
+            young.update(zip(names, self.pairs.run(ids)))
+        for w, e in zip(odd, self.tokenizer.encode_batch(odd, add_special_tokens=False)):
             young[w] = np.array(e.ids, "<u4").tobytes()
-        for w, stem, tail in joins:
-            young[w] = young[stem] + young[tail]
 
     def encode(self, rows: list[str], end: bytes) -> list[bytes]:
         """Little-endian 32-bit ids of each text, then ``end``."""
         if len(self.young) >= self.cache_words:
             self.old, self.young = self.young, {"": b""}
-        split = [t.replace("\n", " ").split(" ") for t in rows]
-        new = {w for words in split for w in words if w not in self.young}
+        split = [words_of(t) for t in rows]
+        new = set().union(*split).difference(self.young)
         if new:
             self._look_up(new)
         get = self.young.__getitem__
-        return [b"".join(chain(map(get, words), (end,))) for words in split]
+        return [b"".join(map(get, words)) + end for words in split]
+
+
+def words_of(text: str) -> list[str]:
+    """Parts of ``text`` that the tokenizer treats separately: normalised as it
+    does (a capital sigma is always lowered alike there), split at blanks, with
+    a stop or comma between a letter and a blank as a part of its own."""
+    if not text.isascii():
+        text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3")
+    return _STOP.sub(r" \1", text.lower().replace("\n", " ")).split(" ")
 
 
 _LOADED: dict[int, WordTokens] = {}
@@ -109,7 +131,7 @@ def tokenise(df: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str =
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _word_tokens(vocabulary.value)
-        for b in slices(batches, 256):
+        for b in by_size(batches, 1):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(coder.encode(texts(b.column(1)), end), pa.binary())],
                                              names=["doc_id", "ids"])
 
@@ -122,14 +144,19 @@ def document_frequency(tokens: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(1 << 16, np.int64)
         docs = size = 0
+        here = np.zeros(1 << 16, bool)
         for b in batches:
             for ids in b.column(0).to_pylist():
-                terms = np.unique(np.frombuffer(ids, "<u4"))
-                if len(terms) and terms[-1] >= len(seen):
-                    seen = np.concatenate([seen, np.zeros(int(terms[-1]) + 1 - len(seen) + (1 << 16), np.int64)])
+                ids = np.frombuffer(ids, "<u4")
+                if len(ids) and ids.max() >= len(seen):
+                    more = int(ids.max()) + (1 << 16) - len(seen)
+                    seen, here = np.concatenate([seen, np.zeros(more, np.int64)]), np.concatenate([here, np.zeros(more, bool)])
+                here[ids] = True
+                terms = np.flatnonzero(here)
                 seen[terms] += 1
+                here[terms] = False
                 docs += 1
-                size += len(ids) // 4
+                size += len(ids)
         terms = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array([*terms, -1], pa.int64()), pa.array([*seen[terms], docs], pa.int64()),
                                           pa.array([0] * len(terms) + [size], pa.int64())], names=["term", "df", "size"])
