@@ -18,11 +18,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import cut, id_text, ship_package, slices, texts
+from quarry.llm.common import by_size, cut, id_text, ship_package, slices, texts
+from quarry.llm.merges import NEVER as _NEVER
+from quarry.llm.merges import PairMerges
 
+#: The pattern whose pre-tokens can be stitched, and split at blanks: fixed value.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: No pre-token can begin or end differently for characters this far behind it.
 LOOKAHEAD = 4
-_NEVER = 1 << 60
 #: A blank between two other characters: pre-tokens never cross into such a blank.
 _RESYNC = re.compile(r"(?<=\S) (?=\S)")
 _BLANK_RUN = re.compile(r"\s | \s")
@@ -34,18 +37,44 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
 
 
 class Encoder:
-    """Encodes text by merge ranks, each match of ``pattern`` separately.
+    """Encodes texts by merge ranks, each match of ``pattern`` separately.
 
     Ids of words that recur are kept in two generations of at most
-    ``cache_words`` entries each, so memory stays bounded.
+    ``cache_words`` entries each, so memory stays bounded.  Words that are new
+    in a batch are merged together, a round of merges for all at a time.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, cache_words: int = 150_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, cache_words: int = 120_000):
         self.ranks, self.cache_words = ranks, cache_words
         self.matches = regex.compile(pattern)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {}  # other pre-tokens
+        self.by_words = pattern == PATTERN
+        self.marks = {c: ranks[c.encode()].to_bytes(4, "little") for c in ".,"}
+        self.byte_ids = np.array([ranks[bytes([k])] for k in range(256)], np.int64)
+        self.pairs = PairMerges({(ranks[t[:k]], ranks[t[k:]]): (r, r) for t, r in ranks.items()
+                                 for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks})
+        every = np.arange(256)
+        self.byte_pairs = self.pairs.rank(self.byte_ids[np.repeat(every, 256)], self.byte_ids[np.tile(every, 256)])
+
+    def merge_many(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each pre-token, as little-endian 32-bit integers."""
+        out: list[bytes] = [b""] * len(pieces)
+        by_length: dict[int, list[int]] = {}
+        for k, p in enumerate(pieces):
+            rank = self.ranks.get(p)
+            if rank is not None:
+                out[k] = rank.to_bytes(4, "little")
+            elif len(p) > 48:
+                out[k] = np.array(self.merge(p), "<i4").tobytes()
+            else:
+                by_length.setdefault(len(p), []).append(k)
+        for length, rows in by_length.items():
+            data = np.frombuffer(b"".join(pieces[k] for k in rows), np.uint8).reshape(-1, length).astype(np.int64)
+            for k, ids in zip(rows, self.pairs.run(self.byte_ids[data], self.byte_pairs[data[:, :-1] << 8 | data[:, 1:]])):
+                out[k] = ids
+        return out
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one pre-token: lowest rank first, leftmost among equals."""
@@ -89,31 +118,67 @@ class Encoder:
                 heapq.heappush(heap, (r, before[i], z))
         return [self.ranks[piece[i:end[i]]] for i in range(n) if end[i]]
 
-    def _ids(self, part: str) -> bytes:
-        """Little-endian 32-bit ids of all pre-tokens of ``part``."""
+    def _prepare(self, parts: list[str]) -> None:
+        """Merge the short pre-tokens of many texts together."""
+        if len(self.signs) >= self.cache_words // 4:
+            self.signs.clear()
+        new = list({t for p in parts for t in self.matches.findall(p) if len(t) <= 32}.difference(self.signs))
+        self.signs.update(zip(new, self.merge_many([t.encode("utf-8", "surrogatepass") for t in new])))
+
+    def _general(self, part: str) -> bytes:
+        """Ids of any text, by the pattern."""
         out = []
-        for m in self.matches.findall(part):
-            ids = self.pieces.get(m)
+        for token in self.matches.findall(part):
+            ids = self.signs.get(token)
             if ids is None:
-                ids = np.array(self.merge(m.encode("utf-8", "surrogatepass")), "<i4").tobytes()
-                if len(m) <= 32:
-                    if len(self.pieces) >= self.cache_words:
-                        self.pieces.clear()
-                    self.pieces[m] = ids
+                ids = np.array(self.merge(token.encode("utf-8", "surrogatepass")), "<i4").tobytes()
+                if len(token) <= 32 and len(self.signs) < self.cache_words // 2:
+                    self.signs[token] = ids
             out.append(ids)
         return b"".join(out)
 
-    def encode(self, text: str) -> bytes:
-        """Ids of ``text`` as little-endian 32-bit integers."""
+    def _learn(self, new: set[str]) -> None:
+        """Put the ids of a blank and each word into the young generation:
+        words of letters (and one stop or comma) by merging them together."""
+        young, old = self.young, self.old
+        plain, stopped, odd = set(), [], []
+        for w in new:
+            ids = old.get(w)
+            if ids is not None:
+                young[w] = ids
+            elif w.isalpha():
+                plain.add(w)
+            elif w[-1:] in self.marks and w[:-1].isalpha():
+                stopped.append(w)
+                if w[:-1] not in young:
+                    plain.add(w[:-1])
+            else:
+                odd.append(w)
+        self._prepare([" " + w for w in odd])
+        for w in odd:
+            young[w] = self._general(" " + w)
+        words = list(plain)
+        young.update(zip(words, self.merge_many([b" " + w.encode() for w in words])))
+        for w in stopped:
+            young[w] = young[w[:-1]] + self.marks[w[-1]]
+
+    def encode_many(self, rows: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers."""
+        if not self.by_words:
+            return list(map(self._general, rows))
         if len(self.young) >= self.cache_words:
             self.old, self.young = self.young, {}
-        first, *words = _RESYNC.split(text) if _BLANK_RUN.search(text) else text.split(" ")
-        young, old = self.young, self.old
-        for w in words:
-            if w not in young:
-                ids = old.get(w)
-                young[w] = self._ids(" " + w) if ids is None else ids
-        return self._ids(first) + b"".join(map(young.__getitem__, words))
+        split = [_RESYNC.split(t) if _BLANK_RUN.search(t) else t.split(" ") for t in rows]
+        firsts = [words.pop(0) for words in split]
+        new = set().union(*split).difference(self.young)
+        if new:
+            self._learn(new)
+        self._prepare(firsts)
+        get = self.young.__getitem__
+        return [self._general(first) + b"".join(map(get, words)) for first, words in zip(firsts, split)]
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_many([text])[0]
 
     def boundaries(self, text: str) -> np.ndarray:
         """Ends of the pre-tokens of ``text``, with 0, in code points."""
@@ -136,13 +201,14 @@ def _lists(rows: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(rows), "<i4")))
 
 
-def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+def encode(df: DataFrame, ranks_path: str, pattern: str = PATTERN, id_col: str = "doc_id", text_col: str = "text",
            chunk_chars: int = 32_768, overlap: int = 2_048) -> DataFrame:
     """One row per input row: ``doc_id`` and ``ids`` (array of int).
 
     The vocabulary file is read on the driver and broadcast (its size is that
     of the file, whatever the data).  Texts beyond ``chunk_chars + overlap``
-    code points are encoded in chunks; one whose neighbouring chunks share no
+    code points are encoded in chunks (for another pattern than ``PATTERN``,
+    whole); one whose neighbouring chunks share no
     boundary in the overlap (a pre-token longer than that) is encoded whole.
     A null or empty text has no ids.  Null and repeated ids, and repeated
     rows, give a row each; an empty table gives an empty result.
@@ -156,8 +222,8 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _encoder(vocabulary.value, pattern)
-        for b in slices(batches):
-            rows = [coder.encode(t) for t in texts(b.column(b.num_columns - 1))]
+        for b in by_size(batches, 1):
+            rows = coder.encode_many(texts(b.column(1)))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], _lists(rows)], names=[*b.schema.names[:-1], "ids"])
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,12 +254,12 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _encoder(vocabulary.value, pattern)
-        for b in slices(batches, 64):
-            rows = [coder.encode(t[a:z]) for t, a, z in zip(texts(b.column(4)), b.column(5).to_pylist(), b.column(6).to_pylist())]
+        for b in by_size(batches, 4):
+            rows = coder.encode_many([t[a:z] for t, a, z in zip(texts(b.column(4)), b.column(5).to_pylist(), b.column(6).to_pylist())])
             yield pa.RecordBatch.from_arrays([*b.columns[:4], _lists(rows)], names=["doc_id", "digest", "chunk", "copies", "ids"])
 
     src = id_text(df, id_col, text_col)
-    is_long = F.length("text") > chunk_chars + overlap
+    is_long = (F.length("text") > chunk_chars + overlap) & F.lit(pattern == PATTERN)
     short = src.filter(~is_long).mapInArrow(whole, "doc_id bigint, ids array<int>")
 
     long = src.filter(is_long).select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest"), "text")
@@ -240,10 +306,27 @@ def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids", bytes_col: str
     names = [c for c in df.columns if c not in (ids_col, bytes_col)]
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = {i: t for t, i in read_ranks(vocabulary.value).items()}
-        for b in slices(batches):
-            rows = b.column(len(names)).to_pylist()
-            out = [None if ids is None else b"".join(map(tokens.__getitem__, ids)) for ids in rows]
+        ranks = read_ranks(vocabulary.value)
+        size = max(ranks.values()) + 1
+        length, start = np.full(size, -1, np.int64), np.zeros(size, np.int64)
+        data, at = [], 0
+        for token, i in ranks.items():
+            length[i], start[i] = len(token), at
+            data.append(token)
+            at += len(token)
+        store = np.frombuffer(b"".join(data), np.uint8)
+        for b in slices(batches, 128):
+            out = []
+            for ids in b.column(len(names)):
+                if not ids.is_valid:
+                    out.append(None)
+                    continue
+                ids = ids.values.to_numpy(zero_copy_only=False).astype(np.int64)
+                if len(ids) and (ids.min() < 0 or ids.max() >= size or (length[ids] < 0).any()):
+                    raise ValueError("an id that the vocabulary lacks")
+                n = length[ids]
+                ends = np.concatenate([[0], np.cumsum(n)])
+                out.append(store[np.repeat(start[ids] - ends[:-1], n) + np.arange(ends[-1])].tobytes())
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(out, pa.binary())], names=[*names, bytes_col])
 
     src = df.select(*names, ids_col)

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.session import checkpoint_dir, scratch_path, ship_package
 from quarry.sources.tables import table
 
-__all__ = ["cut", "documents", "drop_path", "id_text", "known_groups", "salted", "ship_package", "table", "texts", "slices", "written"]
+__all__ = ["by_size", "cut", "documents", "drop_path", "id_text", "known_groups", "salted", "ship_package", "table", "texts", "slices", "written"]
 
 #: Sub-groups that one key is dealt into before its rows meet.
 SALTS = 256
@@ -83,3 +85,16 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
     for b in batches:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
+
+
+def by_size(batches: Iterator[pa.RecordBatch], column: int, most: int = 1 << 21, rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Smaller batches of at most ``rows`` rows and about ``most`` bytes in a
+    string or binary column; a longer value is a batch of its own."""
+    for b in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < b.num_rows:
+            before = size[at - 1] if at else 0
+            end = min(max(int(np.searchsorted(size, before + most, "right")), at + 1), at + rows)
+            yield b.slice(at, min(end, b.num_rows) - at)
+            at = end
