@@ -1,6 +1,6 @@
 """Near-duplicate documents by Order MinHash, verified by banded alignment.
 
-Each sketch samples the two least occurrence-labelled five-word shingles under
+Each sketch samples the two least occurrence-labelled three-word shingles under
 its hash and keeps their order in the text.  Documents that share sketches are
 candidates; a pair is linked if its words align at an edit similarity of 0.8.
 """
@@ -20,7 +20,10 @@ from pyspark.sql import functions as F
 from quarry.llm.common import cut, id_text, known_groups, salted, ship_package, slices, texts, written
 from quarry.llm.components import components, forest_roots
 
-SHINGLE, SKETCHES, SIMILARITY = 5, 24, 0.8
+#: So many sketches that a pair at the least similarity shares one: an edit in
+#: every fifth word leaves a shingle share of 0.25, and 1 - (1 - 0.25 ** 2) ** 96
+#: is 0.998; edits at random places leave more.
+SHINGLE, SKETCHES, SIMILARITY = 3, 96, 0.8
 #: Bins of the word signature; the share of equal bins from which a node joins
 #: a leader, and that below which a pair is passed over (a true share of 0.67,
 #: the least of a link, comes out below it by chance once in ten thousand).
@@ -53,7 +56,7 @@ def _labelled(values: np.ndarray) -> np.ndarray:
 class Sketcher:
     """Order MinHash sketches; hashes of recurring words are kept, bounded."""
 
-    def __init__(self, sketches: int = SKETCHES, cache_words: int = 300_000):
+    def __init__(self, sketches: int = 24, cache_words: int = 300_000):
         self.seeds = _mixed(np.arange(1, sketches + 1, dtype=np.uint64) * _MIX)
         self.cache_words, self.known = cache_words, {}
 
@@ -183,17 +186,17 @@ def sketch_rows(df: DataFrame, id_col: str, text_col: str, sketches: int) -> Dat
     return src.mapInArrow(each, "doc_id bigint, text_hash bigint, node binary, size int, sketch array<bigint>")
 
 
-def _leaders(sketches: int, similarity: float):
-    """Pass over rows ``h, node, size, sketch`` sorted by (h, node): within a
+def _leaders(similarity: float):
+    """Pass over rows ``h, node, size, sign`` sorted by (h, node): within a
     run of one h, a node whose word signature and length firmly resemble an
     earlier leader's is paired with the best such alone; any other is paired
     with the leaders that it may resemble, and becomes one.  Leaders of runs
     at a partition's edges are returned too, as the run may go on in the next."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["a", "b", "shared", "h", "size", "sketch"]
+        names = ["a", "b", "shared", "h", "size", "sign"]
         run, first = None, True
         nodes: list[bytes] = []
-        width = sketches + BINS // 8
+        width = BINS // 8
         held, sizes = np.empty((16, width), np.int64), np.empty(16, np.int64)
         a, b, shared = [], [], []
 
@@ -213,14 +216,14 @@ def _leaders(sketches: int, similarity: float):
                     run, nodes = h, []
                 k = len(nodes)
                 if k:
-                    bins, mine = held[:k, sketches:].copy().view(np.uint8), mark[sketches:].copy().view(np.uint8)
+                    bins, mine = held[:k].view(np.uint8), mark.view(np.uint8)
                     filled = ((bins != 0) | (mine != 0)).sum(axis=1)
                     share = ((bins == mine) & (mine != 0)).sum(axis=1) / np.maximum(filled, 1)
                     share[np.minimum(sizes[:k], size) < similarity * np.maximum(sizes[:k], size) - 1] = 0
                     best = int(share.argmax())
                     chosen = [best] if share[best] >= FIRM else np.flatnonzero(share >= LEAST_ALIKE)
                     for i in chosen:
-                        a.append(nodes[i]), b.append(node), shared.append(int((held[i, :sketches] == mark[:sketches]).sum()))
+                        a.append(nodes[i]), b.append(node), shared.append(int(BINS * share[i]))
                     if share[best] >= FIRM:
                         continue
                 if k == len(held):
@@ -239,9 +242,9 @@ def _leaders(sketches: int, similarity: float):
 
 
 def candidates(nodes: DataFrame, sketches: int = SKETCHES, similarity: float = SIMILARITY) -> DataFrame:
-    """``a, b, shared``: pairs of ``node`` that share sketches, a < b, and how
-    many; linear in the number of nodes where they resemble each other.
-    ``nodes`` has ``node, size, sketch``."""
+    """``a, b, shared``: pairs of ``node`` that share a sketch, a < b, and how
+    many bins of their word signatures; linear in the number of nodes where
+    they resemble each other.  ``nodes`` has ``node, size, sketch``."""
     spark = nodes.sparkSession
     ship_package(spark)
     drawn = nodes.select("node", F.explode(F.slice("sketch", 1, sketches)).alias("h"))
@@ -249,16 +252,17 @@ def candidates(nodes: DataFrame, sketches: int = SKETCHES, similarity: float = S
     drawn = drawn.withColumn("_salt", salted("node"))
     groups = known_groups(drawn, ["h"], {"n": F.count(F.lit(1))}, {"n": F.sum("n")}).filter("n > 1").drop("n")
     rows = drawn.join(groups, ["h", "_salt"]).select("h", "node")
-    rows = cut(rows.join(nodes.select("node", "size", "sketch"), "node").select("h", "node", "size", "sketch"))
+    sign = F.slice("sketch", sketches + 1, BINS // 8).alias("sign")
+    rows = cut(rows.join(nodes.select("node", "size", sign), "node").select("h", "node", "size", "sign").distinct())
     found, left = [], rows.count()
-    step = _leaders(sketches, similarity)
+    step = _leaders(similarity)
     while left:
         parts = max(left // 20_000, 1)
         dealt = rows.repartitionByRange(parts, "h", "node") if parts > 1 else rows.coalesce(1)
-        out = cut(dealt.sortWithinPartitions("h", "node").select("h", "node", "size", "sketch")
-                  .mapInArrow(step, "a binary, b binary, shared int, h bigint, size int, sketch array<bigint>"))
+        out = cut(dealt.sortWithinPartitions("h", "node").select("h", "node", "size", "sign")
+                  .mapInArrow(step, "a binary, b binary, shared int, h bigint, size int, sign array<bigint>"))
         found.append(out.filter("b IS NOT NULL").select("a", "b", "shared"))
-        rows = out.filter("b IS NULL").select("h", F.col("a").alias("node"), "size", "sketch").distinct()
+        rows = out.filter("b IS NULL").select("h", F.col("a").alias("node"), "size", "sign").distinct()
         now = rows.count()
         if parts == 1 or now > 0.8 * left:
             break

@@ -105,6 +105,36 @@ def test_classes_against_all_pairs(spark):
     assert all(x.class_size == sizes[x.class_id] and x.kept == (x.doc_id == x.class_id) for x in got.values())
 
 
+def edited(r, words, similarity, evenly=False):
+    """A copy with as many substituted words as ``similarity`` allows, at
+    scattered or at evenly spaced places."""
+    out, n = list(words), int((1 - similarity) * len(words) + 1e-9)
+    for i in [k * len(words) // n + 2 for k in range(n)] if evenly else r.sample(range(len(words)), n):
+        out[min(i, len(words) - 1)] = f"e{r.randrange(10**9)}"
+    return out
+
+
+@pytest.mark.parametrize("evenly", [False, True])
+def test_recall_of_sketches_at_the_least_similarity(evenly):
+    r, k = random.Random(21), order_minhash.SKETCHES
+    maker, hits = order_minhash.Sketcher(k), 0
+    for _ in range(400):
+        a = [f"w{r.randrange(5000)}" for _ in range(200)]
+        b = edited(r, a, 0.8, evenly)
+        assert order_minhash.alike(a, b)
+        hits += bool((maker.sketch(a)[:k] == maker.sketch(b)[:k]).any())
+    assert hits >= 0.99 * 400
+
+
+def test_scattered_edits_against_all_pairs(spark):
+    r, docs = random.Random(22), {}
+    for i in range(0, 160, 2):
+        t = [f"w{r.randrange(3000)}" for _ in range(r.randrange(120, 250))]
+        docs |= {i: " ".join(t), i + 1: " ".join(edited(r, t, r.choice([0.8, 0.81, 0.82, 0.84, 0.87])))}
+    got = order_minhash.classes(spark.createDataFrame(list(docs.items()), "doc_id bigint, text string").repartition(3)).collect()
+    assert {x.doc_id: x.class_id for x in got} == brute_classes(docs)
+
+
 def test_group_of_near_copies(spark):
     """A thousand near copies of one text, and clean texts that share a passage."""
     r = random.Random(11)
