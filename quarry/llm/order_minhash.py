@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,8 @@ SHINGLE, SKETCHES, SIMILARITY = 3, 96, 0.8
 #: a leader, and that below which a pair is passed over (a true share of 0.67,
 #: the least of a link, comes out below it by chance once in ten thousand).
 BINS, FIRM, LEAST_ALIKE = 32, 0.55, 0.35
+#: Rows of a bucket that one task holds.
+RUN_ROWS = 20_000
 _WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -186,29 +189,42 @@ def sketch_rows(df: DataFrame, id_col: str, text_col: str, sketches: int) -> Dat
     return src.mapInArrow(each, "doc_id bigint, text_hash bigint, node binary, size int, sketch array<bigint>")
 
 
+def _shares(held: np.ndarray, sizes: np.ndarray, sign: np.ndarray, size: int, similarity: float) -> np.ndarray:
+    """Share of equal bins of each held signature; 0 where the lengths differ too much."""
+    bins, mine = held.view(np.uint8), sign.view(np.uint8)
+    filled = ((bins != 0) | (mine != 0)).sum(axis=1)
+    share = ((bins == mine) & (mine != 0)).sum(axis=1) / np.maximum(filled, 1)
+    share[np.minimum(sizes, size) < similarity * np.maximum(sizes, size) - 1] = 0
+    return share
+
+
+def _signs(batch: pa.RecordBatch, column: int) -> np.ndarray:
+    return batch.column(column).flatten().to_numpy(zero_copy_only=False).reshape(-1, BINS // 8)
+
+
 def _leaders(similarity: float):
     """Pass over rows ``h, node, size, sign`` sorted by (h, node): within a
     run of one h, a node whose word signature and length firmly resemble an
     earlier leader's is paired with the best such alone; any other is paired
     with the leaders that it may resemble, and becomes one.  Leaders of runs
-    at a partition's edges are returned too, as the run may go on in the next."""
+    at a partition's edges are returned too, with the partition as ``block``,
+    as the run may go on in the next."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["a", "b", "shared", "h", "size", "sign"]
-        run, first = None, True
+        names = ["a", "b", "shared", "h", "size", "sign", "block"]
+        block, run, first = TaskContext.get().partitionId(), None, True
         nodes: list[bytes] = []
-        width = BINS // 8
-        held, sizes = np.empty((16, width), np.int64), np.empty(16, np.int64)
+        held, sizes = np.empty((16, BINS // 8), np.int64), np.empty(16, np.int64)
         a, b, shared = [], [], []
 
         def edge_rows() -> pa.RecordBatch:
             k = len(nodes)
             return pa.RecordBatch.from_arrays(
                 [pa.array(nodes, pa.binary()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int32()), pa.array([run] * k, pa.int64()),
-                 pa.array(sizes[:k], pa.int32()), pa.array([held[i].tolist() for i in range(k)], pa.list_(pa.int64()))], names=names)
+                 pa.array(sizes[:k], pa.int32()), pa.array([held[i].tolist() for i in range(k)], pa.list_(pa.int64())),
+                 pa.array([block] * k, pa.int32())], names=names)
 
         for batch in batches:
-            marks = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-            for h, node, size, mark in zip(*(batch.column(c).to_pylist() for c in range(3)), marks):
+            for h, node, size, sign in zip(*(batch.column(c).to_pylist() for c in range(3)), _signs(batch, 3)):
                 if h != run:
                     if run is not None and first:
                         yield edge_rows()
@@ -216,10 +232,7 @@ def _leaders(similarity: float):
                     run, nodes = h, []
                 k = len(nodes)
                 if k:
-                    bins, mine = held[:k].view(np.uint8), mark.view(np.uint8)
-                    filled = ((bins != 0) | (mine != 0)).sum(axis=1)
-                    share = ((bins == mine) & (mine != 0)).sum(axis=1) / np.maximum(filled, 1)
-                    share[np.minimum(sizes[:k], size) < similarity * np.maximum(sizes[:k], size) - 1] = 0
+                    share = _shares(held[:k], sizes[:k], sign, size, similarity)
                     best = int(share.argmax())
                     chosen = [best] if share[best] >= FIRM else np.flatnonzero(share >= LEAST_ALIKE)
                     for i in chosen:
@@ -228,12 +241,13 @@ def _leaders(similarity: float):
                         continue
                 if k == len(held):
                     held, sizes = np.concatenate([held, np.empty_like(held)]), np.concatenate([sizes, np.empty_like(sizes)])
-                held[k], sizes[k] = mark, size
+                held[k], sizes[k] = sign, size
                 nodes.append(node)
             if a:
+                k = len(a)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(shared, pa.int32()), pa.nulls(len(a), pa.int64()),
-                     pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.list_(pa.int64()))], names=names)
+                    [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(shared, pa.int32()), pa.nulls(k, pa.int64()),
+                     pa.nulls(k, pa.int32()), pa.nulls(k, pa.list_(pa.int64())), pa.nulls(k, pa.int32())], names=names)
                 a, b, shared = [], [], []
         if run is not None:
             yield edge_rows()
@@ -241,10 +255,54 @@ def _leaders(similarity: float):
     return each
 
 
-def candidates(nodes: DataFrame, sketches: int = SKETCHES, similarity: float = SIMILARITY) -> DataFrame:
+def _across(left: DataFrame, right: DataFrame, similarity: float) -> DataFrame:
+    """``a, b, shared``, a < b: each row of ``left`` with each of ``right`` of
+    the same block pair (h, i, j) that it may resemble; both have ``h, i, j,
+    node, size, sign``.  A block pair's left rows are held by one task."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, nodes, signs, sizes, table = None, [], [], [], None
+        for batch in batches:
+            a, b, shared = [], [], []
+            rows = zip(*(batch.column(c).to_pylist() for c in range(6)), _signs(batch, 6))
+            for h, i, j, side, node, size, sign in rows:
+                if (h, i, j) != at:
+                    at, nodes, signs, sizes, table = (h, i, j), [], [], [], None
+                if not side:
+                    nodes.append(node), signs.append(sign.copy()), sizes.append(size)
+                    continue
+                if not nodes:
+                    continue
+                if table is None:
+                    table = np.array(signs), np.array(sizes, np.int64)
+                share = _shares(*table, sign, size, similarity)
+                for k in np.flatnonzero(share >= LEAST_ALIKE):
+                    if nodes[k] != node:
+                        a.append(min(nodes[k], node)), b.append(max(nodes[k], node)), shared.append(int(BINS * share[k]))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(shared, pa.int32())],
+                                             names=["a", "b", "shared"])
+
+    cols = ["h", "i", "j", "side", "node", "size", "sign"]
+    both = left.withColumn("side", F.lit(0)).select(*cols).unionByName(right.withColumn("side", F.lit(1)).select(*cols))
+    return (both.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "side")
+            .mapInArrow(each, "a binary, b binary, shared int"))
+
+
+def _block_pairs(edge: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of leaders of one run in different blocks: each block's leaders
+    meet those of every later block.  A block's leaders have met already."""
+    blocks = edge.select("h", "block").distinct()
+    meet = cut(blocks.withColumnRenamed("block", "i").join(blocks.withColumnRenamed("block", "j"), "h").filter("i < j"))
+    left = edge.withColumnRenamed("block", "i").join(meet, ["h", "i"])
+    right = edge.withColumnRenamed("block", "j").join(meet, ["h", "j"])
+    return cut(_across(left, right, similarity))
+
+
+def candidates(nodes: DataFrame, sketches: int = SKETCHES, similarity: float = SIMILARITY, run_rows: int = RUN_ROWS) -> DataFrame:
     """``a, b, shared``: pairs of ``node`` that share a sketch, a < b, and how
     many bins of their word signatures; linear in the number of nodes where
-    they resemble each other.  ``nodes`` has ``node, size, sketch``."""
+    they resemble each other.  ``nodes`` has ``node, size, sketch``.  About
+    ``run_rows`` rows are a partition; the leaders of a run that spans several
+    are passed again, and where that hardly lessens them, block by block."""
     spark = nodes.sparkSession
     ship_package(spark)
     drawn = nodes.select("node", F.explode(F.slice("sketch", 1, sketches)).alias("h"))
@@ -257,16 +315,19 @@ def candidates(nodes: DataFrame, sketches: int = SKETCHES, similarity: float = S
     found, left = [], rows.count()
     step = _leaders(similarity)
     while left:
-        parts = max(left // 20_000, 1)
+        parts = max(left // run_rows, 1)
         dealt = rows.repartitionByRange(parts, "h", "node") if parts > 1 else rows.coalesce(1)
         out = cut(dealt.sortWithinPartitions("h", "node").select("h", "node", "size", "sign")
-                  .mapInArrow(step, "a binary, b binary, shared int, h bigint, size int, sign array<bigint>"))
+                  .mapInArrow(step, "a binary, b binary, shared int, h bigint, size int, sign array<bigint>, block int"))
         found.append(out.filter("b IS NOT NULL").select("a", "b", "shared"))
-        rows = out.filter("b IS NULL").select("h", F.col("a").alias("node"), "size", "sign").distinct()
-        now = rows.count()
-        if parts == 1 or now > 0.8 * left:
+        if parts == 1:
+            break
+        edge = out.filter("b IS NULL").select("h", F.col("a").alias("node"), "size", "sign", "block")
+        now = edge.count()
+        if now > 0.8 * left:
+            found.append(_block_pairs(edge, similarity))
             break
-        left = now
+        rows, left = edge.drop("block"), now
     if not found:
         return spark.createDataFrame([], "a binary, b binary, shared int")
     pairs = found[0]

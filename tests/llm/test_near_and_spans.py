@@ -135,6 +135,20 @@ def test_scattered_edits_against_all_pairs(spark):
     assert {x.doc_id: x.class_id for x in got} == brute_classes(docs)
 
 
+def test_bucket_of_unlike_nodes_over_many_partitions(spark):
+    """Near copies far apart in a bucket that most leaders pass through."""
+    r, rows = random.Random(23), []
+    for i in range(150):
+        words = [f"w{r.randrange(10**6)}" for _ in range(100)]
+        twin = edited(r, words, 0.95)
+        for k, w in enumerate((words, twin)):
+            sketch = order_minhash.Sketcher(1).sketch(w).tolist()
+            rows.append((f"{k}{i:04}".encode(), len(w), [7, *sketch[1:]]))
+    nodes = spark.createDataFrame(rows, "node binary, size int, sketch array<bigint>")
+    got = {(bytes(x.a).decode(), bytes(x.b).decode()) for x in order_minhash.candidates(nodes, 1, run_rows=30).collect()}
+    assert {(f"0{i:04}", f"1{i:04}") for i in range(150)} <= got
+
+
 def test_group_of_near_copies(spark):
     """A thousand near copies of one text, and clean texts that share a passage."""
     r = random.Random(11)
