@@ -31,6 +31,9 @@ SHINGLE, SKETCHES, SIMILARITY = 3, 96, 0.8
 BINS, FIRM, LEAST_ALIKE = 32, 0.55, 0.35
 #: Rows of a bucket that one task holds.
 RUN_ROWS = 20_000
+#: Rounds in which nodes whose leader is not of their class elect new leaders;
+#: in the next all that are left lead.
+ROUNDS = 3
 _WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -202,19 +205,20 @@ def _signs(batch: pa.RecordBatch, column: int) -> np.ndarray:
     return batch.column(column).flatten().to_numpy(zero_copy_only=False).reshape(-1, BINS // 8)
 
 
-def _leaders(similarity: float):
+def _leaders(similarity: float, firm: float = FIRM):
     """Pass over rows ``h, node, size, sign`` sorted by (h, node): within a
     run of one h, a node whose word signature and length firmly resemble an
     earlier leader's is paired with the best such alone; any other is paired
-    with the leaders that it may resemble, and becomes one.  Leaders of runs
-    at a partition's edges are returned too, with the partition as ``block``,
-    as the run may go on in the next."""
+    with the leaders that it may resemble, and becomes one.  A pair's ``h`` is
+    set where b has this leader alone.  Leaders of runs at a partition's edges
+    are returned too, with the partition as ``block``, as the run may go on in
+    the next."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["a", "b", "shared", "h", "size", "sign", "block"]
         block, run, first = TaskContext.get().partitionId(), None, True
         nodes: list[bytes] = []
         held, sizes = np.empty((16, BINS // 8), np.int64), np.empty(16, np.int64)
-        a, b, shared = [], [], []
+        a, b, shared, alone = [], [], [], []
 
         def edge_rows() -> pa.RecordBatch:
             k = len(nodes)
@@ -234,10 +238,10 @@ def _leaders(similarity: float):
                 if k:
                     share = _shares(held[:k], sizes[:k], sign, size, similarity)
                     best = int(share.argmax())
-                    chosen = [best] if share[best] >= FIRM else np.flatnonzero(share >= LEAST_ALIKE)
+                    chosen = [best] if share[best] >= firm else np.flatnonzero(share >= LEAST_ALIKE)
                     for i in chosen:
-                        a.append(nodes[i]), b.append(node), shared.append(int(BINS * share[i]))
-                    if share[best] >= FIRM:
+                        a.append(nodes[i]), b.append(node), shared.append(int(BINS * share[i])), alone.append(h if share[best] >= firm else None)
+                    if share[best] >= firm:
                         continue
                 if k == len(held):
                     held, sizes = np.concatenate([held, np.empty_like(held)]), np.concatenate([sizes, np.empty_like(sizes)])
@@ -246,9 +250,9 @@ def _leaders(similarity: float):
             if a:
                 k = len(a)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(shared, pa.int32()), pa.nulls(k, pa.int64()),
+                    [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(shared, pa.int32()), pa.array(alone, pa.int64()),
                      pa.nulls(k, pa.int32()), pa.nulls(k, pa.list_(pa.int64())), pa.nulls(k, pa.int32())], names=names)
-                a, b, shared = [], [], []
+                a, b, shared, alone = [], [], [], []
         if run is not None:
             yield edge_rows()
 
@@ -297,45 +301,83 @@ def _block_pairs(edge: DataFrame, similarity: float) -> DataFrame:
     return cut(_across(left, right, similarity))
 
 
-def candidates(nodes: DataFrame, sketches: int = SKETCHES, similarity: float = SIMILARITY, run_rows: int = RUN_ROWS) -> DataFrame:
-    """``a, b, shared``: pairs of ``node`` that share a sketch, a < b, and how
-    many bins of their word signatures; linear in the number of nodes where
-    they resemble each other.  ``nodes`` has ``node, size, sketch``.  About
-    ``run_rows`` rows are a partition; the leaders of a run that spans several
-    are passed again, and where that hardly lessens them, block by block."""
-    spark = nodes.sparkSession
-    ship_package(spark)
-    drawn = nodes.select("node", F.explode(F.slice("sketch", 1, sketches)).alias("h"))
+def buckets(nodes: DataFrame, sketches: int = SKETCHES) -> DataFrame:
+    """``h, node, size, sign`` for each sketch that several nodes share."""
+    ship_package(nodes.sparkSession)
+    drawn = nodes.select("node", F.explode(F.slice("sketch", 1, sketches)).alias("h")).distinct()
     # a sketch that a third of the nodes share is dealt over salts
     drawn = drawn.withColumn("_salt", salted("node"))
     groups = known_groups(drawn, ["h"], {"n": F.count(F.lit(1))}, {"n": F.sum("n")}).filter("n > 1").drop("n")
     rows = drawn.join(groups, ["h", "_salt"]).select("h", "node")
     sign = F.slice("sketch", sketches + 1, BINS // 8).alias("sign")
-    rows = cut(rows.join(nodes.select("node", "size", sign), "node").select("h", "node", "size", "sign").distinct())
+    return cut(rows.join(nodes.select("node", "size", sign), "node").select("h", "node", "size", "sign"))
+
+
+def _passed(rows: DataFrame, similarity: float, firm: float = FIRM, run_rows: int = RUN_ROWS) -> DataFrame:
+    """``a, b, shared, h`` of the passes over ``rows``.  About ``run_rows`` rows
+    are a partition; the leaders of a run that spans several are passed again,
+    and where that hardly lessens them, block by block.  ``h`` is the bucket
+    in which a is b's only leader, else null."""
     found, left = [], rows.count()
-    step = _leaders(similarity)
+    step = _leaders(similarity, firm)
     while left:
         parts = max(left // run_rows, 1)
         dealt = rows.repartitionByRange(parts, "h", "node") if parts > 1 else rows.coalesce(1)
         out = cut(dealt.sortWithinPartitions("h", "node").select("h", "node", "size", "sign")
                   .mapInArrow(step, "a binary, b binary, shared int, h bigint, size int, sign array<bigint>, block int"))
-        found.append(out.filter("b IS NOT NULL").select("a", "b", "shared"))
+        found.append(out.filter("b IS NOT NULL").select("a", "b", "shared", "h"))
         if parts == 1:
             break
         edge = out.filter("b IS NULL").select("h", F.col("a").alias("node"), "size", "sign", "block")
         now = edge.count()
         if now > 0.8 * left:
-            found.append(_block_pairs(edge, similarity))
+            found.append(_block_pairs(edge, similarity).withColumn("h", F.lit(None).cast("bigint")))
             break
         rows, left = edge.drop("block"), now
     if not found:
-        return spark.createDataFrame([], "a binary, b binary, shared int")
+        return rows.sparkSession.createDataFrame([], "a binary, b binary, shared int, h bigint")
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
+    return pairs
+
+
+def _single(pairs: DataFrame) -> DataFrame:
     return written(pairs.groupBy("a", "b").agg(F.max("shared").alias("shared")), "near-pairs")
 
 
+def candidates(nodes: DataFrame, sketches: int = SKETCHES, similarity: float = SIMILARITY, run_rows: int = RUN_ROWS) -> DataFrame:
+    """``a, b, shared``: pairs of ``node`` that share a sketch, a < b, and how
+    many bins of their word signatures; linear in the number of nodes where
+    they resemble each other.  ``nodes`` has ``node, size, sketch``."""
+    return _single(_passed(buckets(nodes, sketches), similarity, run_rows=run_rows))
+
+
+def _led_again(rows: DataFrame, failed: DataFrame, similarity: float, firm: float) -> DataFrame:
+    """Pairs, as of ``_passed``, of the nodes ``failed`` (``h, node``): passed
+    among themselves, and those that lead with all other rows of the bucket."""
+    again = cut(rows.join(failed, ["h", "node"]))
+    pairs = _passed(again, similarity, firm)
+    led = pairs.filter("h IS NOT NULL").select("h", F.col("b").alias("node")).distinct()
+    leads = again.join(led, ["h", "node"], "left_anti").withColumn("_salt", salted("node"))
+    rest = rows.join(failed, ["h", "node"], "left_anti").withColumn("_salt", salted("node"))
+    blocks = lambda r, n: (r.groupBy("h", "_salt").agg(F.count(F.lit(1)).alias("n"))
+                           .groupBy("h").agg(F.ceil(F.sum("n") / RUN_ROWS).cast("int").alias(n)))
+    n_leads = cut(blocks(leads, "ni"))
+    both = cut(n_leads.join(blocks(rest.join(_salts_of(rest, n_leads).drop("ni"), ["h", "_salt"]), "nj"), "h"))
+    place = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = leads.join(_salts_of(leads, both), ["h", "_salt"]).withColumn("i", place("ni")).withColumn("j", each("nj"))
+    right = rest.join(_salts_of(rest, both), ["h", "_salt"]).withColumn("j", place("nj")).withColumn("i", each("ni"))
+    more = _across(left, right, similarity).withColumn("h", F.lit(None).cast("bigint"))
+    return pairs.unionByName(cut(more))
+
+
+def _salts_of(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """``groups`` (by ``h``), sent to each (h, _salt) that occurs in ``rows``."""
+    return rows.select("h", "_salt").distinct().join(groups, "h")
+
+
 def verified(pairs: DataFrame, node_texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The pairs ``a, b`` whose words align; ``node_texts`` has ``node, text``.
 
@@ -367,7 +409,9 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", simil
     whose words align at ``similarity`` or more.  First every document's best
     candidate is aligned, then the best candidate of each two classes, then
     all candidates that lie in different classes still; so a group of
-    thousands of near copies costs about one alignment each.
+    thousands of near copies costs about one alignment each.  A node that is
+    not of its only leader's class after that leads in the bucket itself, and
+    so on until no such node is left.
 
     A null text is empty; texts without a word are copies of each other.
     Texts shorter than a shingle have one shingle of all their words.  A null
@@ -381,16 +425,52 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", simil
     order = F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("i"), F.col("text_hash").alias("t"))
     heads = (docs.groupBy("node").agg(F.min(order).alias("head")))
     nodes = written(rows.filter(F.size("sketch") > 0).groupBy("node").agg(F.first("size").alias("size"), F.first("sketch").alias("sketch")), "near-nodes")
-    pairs = candidates(nodes, sketches, similarity)
-    asked = written(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "near-asked")
-    wanted = heads.join(asked, "node").select("node", F.struct("head.i", "head.t").alias("_key"))
+    bucket_rows = buckets(nodes, sketches)
+    passed = written(_passed(bucket_rows, similarity), "near-passed")
+    pairs = _single(passed)
     source = id_text(df, id_col, text_col).select(F.struct(F.col("doc_id").alias("i"), F.xxhash64("text").alias("t")).alias("_key"), "text")
-    node_texts = written(source.join(wanted.hint("shuffle_hash"), "_key").groupBy("node").agg(F.first("text").alias("text")), "near-texts")
+
+    def texts_of(asked: DataFrame) -> DataFrame:
+        wanted = heads.join(asked, "node").select("node", F.struct("head.i", "head.t").alias("_key"))
+        return written(source.join(wanted.hint("shuffle_hash"), "_key").groupBy("node").agg(F.first("text").alias("text")), "near-texts")
+
+    asked = written(_ends(pairs), "near-asked")
+    node_texts = texts_of(asked)
     best = pairs.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("top")).select(F.col("top.a").alias("a"), "b")
     roots = forest_roots(verified(best, node_texts, similarity))  # a document's best candidate: at most one parent
     labels = written(asked.join(roots, "node", "left").select("node", F.coalesce("label", "node").alias("label")), "near-labels")
-    tried = best
-    for last in (False, True):  # the best pair of each two classes, then all pairs of different classes
+    tried, turn = written(best, "near-tried"), 0
+    while True:
+        labels = _merged(pairs, tried, labels, node_texts, similarity)
+        failed = written(_apart(passed.filter("h IS NOT NULL"), labels, "h").select("h", F.col("b").alias("node")).distinct(), "near-failed")
+        if not failed.limit(1).count():
+            break
+        turn += 1
+        tried = written(tried.unionByName(pairs.select("a", "b")).distinct(), "near-tried")  # or of one class
+        passed = written(_led_again(bucket_rows, failed, similarity, FIRM if turn <= ROUNDS else 2.0), "near-passed")
+        pairs = _single(passed)
+        new = written(_ends(pairs).join(labels, "node", "left_anti"), "near-asked")
+        node_texts = node_texts.unionByName(texts_of(new))
+        labels = written(labels.unionByName(new.select("node", F.col("node").alias("label"))), "near-labels")
+    named = heads.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+    placed = docs.join(_spread(docs, named), ["node", "_salt"]).withColumn("_salt", salted("doc_id", "text_hash"))
+    groups = known_groups(placed, ["label"], {"head": F.min(order), "n": F.sum("copies")},
+                          {"head": F.min("head"), "class_size": F.sum("n")})
+    return (placed.join(groups, ["label", "_salt"])
+            .select("doc_id", "text_hash", F.col("head.i").alias("class_id"), "class_size",
+                    F.col("head").eqNullSafe(order).alias("first"),
+                    F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy"))
+            .select("doc_id", "text_hash", "class_id", "class_size", (F.col("first") & (F.col("copy") == 1)).alias("kept")))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+
+
+def _merged(pairs: DataFrame, tried: DataFrame, labels: DataFrame, node_texts: DataFrame, similarity: float) -> DataFrame:
+    """``labels`` after the alignment of all ``pairs`` of different classes but
+    those ``tried`` before: the best pair of each two classes, then the rest."""
+    for last in (False, True):
         apart = _apart(pairs.join(tried, ["a", "b"], "left_anti"), labels)
         if not last:
             top = F.max(F.struct("shared", "a", "b", "la", "lb")).alias("top")
@@ -403,23 +483,15 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", simil
             joined = components(apart.join(links, ["a", "b"]).select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct())
             joined = joined.select(F.col("node").alias("label"), F.col("label").alias("joined"))
             labels = written(labels.join(joined, "label", "left").select("node", F.coalesce("joined", "label").alias("label")), "near-labels")
-    named = heads.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
-    placed = docs.join(_spread(docs, named), ["node", "_salt"]).withColumn("_salt", salted("doc_id", "text_hash"))
-    groups = known_groups(placed, ["label"], {"head": F.min(order), "n": F.sum("copies")},
-                          {"head": F.min("head"), "class_size": F.sum("n")})
-    return (placed.join(groups, ["label", "_salt"])
-            .select("doc_id", "text_hash", F.col("head.i").alias("class_id"), "class_size",
-                    F.col("head").eqNullSafe(order).alias("first"),
-                    F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy"))
-            .select("doc_id", "text_hash", "class_id", "class_size", (F.col("first") & (F.col("copy") == 1)).alias("kept")))
+    return labels
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+def _apart(pairs: DataFrame, labels: DataFrame, keep: str = "shared") -> DataFrame:
     """Pairs with the class of each end, ``la`` and ``lb``, where they differ;
     the class of a leader is sent to each (leader, salt) of its pairs."""
     rows = (pairs.join(labels.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b", "left").withColumn("_salt", salted("b")))
     ends = rows.select("a", "_salt").distinct().join(labels.select(F.col("node").alias("a"), F.col("label").alias("la")), "a", "left")
-    return (rows.join(ends, ["a", "_salt"]).select("a", "b", "shared", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb"))
+    return (rows.join(ends, ["a", "_salt"]).select("a", "b", keep, F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb"))
             .filter("la <> lb"))
 
 

@@ -149,6 +149,22 @@ def test_bucket_of_unlike_nodes_over_many_partitions(spark):
     assert {(f"0{i:04}", f"1{i:04}") for i in range(150)} <= got
 
 
+def test_failed_leader_does_not_part_near_copies(spark):
+    """Two near copies that meet in one bucket alone, whose least node
+    resembles both firmly but aligns with neither."""
+    r, docs, maker = random.Random(24), {}, order_minhash.Sketcher(1)
+    digest = lambda words: order_minhash.xxhash.xxh3_128_digest(" ".join(words))
+    while len(docs) < 60:
+        a = [f"w{r.randrange(5000)}" for _ in range(200)]
+        b = edited(r, a, 0.77)
+        trio = (a, b, edited(r, b, 0.94))
+        if (digest(a) == min(map(digest, trio)) and len({int(maker.sketch(w)[0]) for w in trio}) == 1
+                and not order_minhash.alike(a, b) and not order_minhash.alike(a, trio[2])):
+            docs |= {len(docs) + k: " ".join(w) for k, w in enumerate(trio)}
+    df = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string").repartition(3)
+    assert {x.doc_id: x.class_id for x in order_minhash.classes(df, sketches=1).collect()} == brute_classes(docs)
+
+
 def test_group_of_near_copies(spark):
     """A thousand near copies of one text, and clean texts that share a passage."""
     r = random.Random(11)
