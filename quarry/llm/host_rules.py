@@ -1,8 +1,8 @@
 """Quality rules with host-level verdicts.
 
-Each document is measured once; rule failures are aggregated by host, a
-host's failure rate is shrunk towards all hosts' by an empirical beta prior,
-and the host verdicts are joined back to the documents.
+Each document is measured once; all rule failures are aggregated by host, a
+host's failure rate is shrunk towards the other hosts' by an empirical beta
+prior, and the verdicts on hosts clearly above it are joined back.
 """
 
 from __future__ import annotations
@@ -31,6 +31,9 @@ SOFT_RULES = {
 }
 BASE_RULE = "n_words < 50 OR 100 * n_repeat_words > 50 * n_words"
 
+#: Name of the failure of the base rule or of any other rule, for hosts.
+ANY = "_any"
+
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
 
@@ -84,44 +87,54 @@ def measure(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     return src.mapInArrow(_measure, "doc_id bigint, host string, text_hash bigint, " + ", ".join(f"{m} bigint" for m in MEASURES))
 
 
-def _prior(rate: str) -> list:
-    return [F.avg(rate).alias(f"{rate}_m"), F.var_pop(rate).alias(f"{rate}_v")]
-
-
 def host_verdicts(measured: DataFrame, threshold: float = 0.5, rules: dict[str, str] | None = None) -> DataFrame:
-    """One row per (host, _salt): the host's shrunk failure rate of each rule
-    and ``bad_<rule>``, true where that rate is ``threshold`` or more.
+    """One row per (host, _salt): the host's shrunk failure rate of each rule,
+    and of any rule with the base rule (``ANY``), and ``bad_<rule>``.
 
     The prior of a rule is the beta distribution whose mean and variance are
-    those of the hosts' raw rates (method of moments; its weight is between 1
-    and 1000 documents, and 1 where the variance is none).
+    those of the other hosts' raw rates (method of moments; its weight is
+    between 1 and 1000 documents, and 1 where the variance is none).  A host is
+    bad if its rate, less two standard deviations of its own, lies above the
+    prior's mean by two of the prior's, or if it is ``threshold`` or more.  A
+    host is not in its own prior, so a bad one does not raise its own cut; a
+    host alone has its own rate for a mean.
     """
     rules = SOFT_RULES if rules is None else rules
+    rules = rules | {ANY: " OR ".join(f"({c})" for c in (BASE_RULE, *rules.values()))}
     rows = measured.filter(F.col("host").isNotNull())
     rows = rows.select("host", "_salt", *[F.expr(f"int({c})").alias(r) for r, c in rules.items()])
     hosts = known_groups(rows, ["host"], {"n": F.count(F.lit(1)), **{r: F.sum(r) for r in rules}},
                          {"n_host": F.sum("n"), **{f"n_{r}": F.sum(r) for r in rules}})
     hosts = cut(hosts)
     rates = (hosts.groupBy("host").agg(*[F.first(F.col(f"n_{r}") / F.col("n_host")).alias(r) for r in rules]))
-    prior = rates.agg(*[x for r in rules for x in _prior(r)])
-    out = with_scalars(hosts, prior)
+    sums = rates.agg(F.count(F.lit(1)).alias("hosts"), *[f(F.col(r)).alias(f"{r}_{n}") for r in rules
+                                                         for n, f in (("s", F.sum), ("q", lambda x: F.sum(x * x)))])
+    out = with_scalars(hosts, sums)
     for r in rules:
-        m, v = F.col(f"{r}_m"), F.col(f"{r}_v")
+        x, others = F.col(f"n_{r}") / F.col("n_host"), F.greatest(F.col("hosts") - 1, F.lit(1))
+        alone = F.col("hosts") == 1
+        m = F.when(alone, x).otherwise(F.greatest((F.col(f"{r}_s") - x) / others, F.lit(0.0)))
+        v = F.when(alone, 0.0).otherwise((F.col(f"{r}_q") - x * x) / others - F.col(f"{r}_m") ** 2)
+        out = out.withColumn(f"{r}_m", m).withColumn(f"{r}_v", v)
+        m, v = F.col(f"{r}_m"), F.when(F.col(f"{r}_v") > 1e-12, F.col(f"{r}_v")).otherwise(0.0)
         weight = F.when(v > 0, F.least(F.greatest(m * (1 - m) / v - 1, F.lit(1.0)), F.lit(1000.0))).otherwise(F.lit(1.0))
         out = out.withColumn(f"rate_{r}", (F.col(f"n_{r}") + m * weight) / (F.col("n_host") + weight))
-    return out.select("host", "_salt", "n_host", *[f"rate_{r}" for r in rules],
-                      *[(F.col(f"rate_{r}") >= threshold).alias(f"bad_{r}") for r in rules])
+        rate = F.col(f"rate_{r}")
+        own = F.sqrt(F.greatest(rate * (1 - rate), F.lit(0.0)) / (F.col("n_host") + weight + 1))
+        out = out.withColumn(f"bad_{r}", (rate >= threshold) | (rate - 2 * own > m + 2 * F.sqrt(v)))
+    return out.select("host", "_salt", "n_host", *[f"rate_{r}" for r in rules], *[f"bad_{r}" for r in rules])
 
 
 def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
           threshold: float = 0.5, rules: dict[str, str] | None = None) -> DataFrame:
     """One row per input row: ``doc_id, host, text_hash``, the measures, ``base_failed``,
-    ``host_failed`` (the soft rules that the document and its host both fail,
-    comma-joined) and ``kept``.
+    ``host_failed`` (the soft rules that the document fails and that its host
+    fails clearly more often than the others, or where the host fails all
+    rules together so; comma-joined) and ``kept``.
 
-    A document goes if it fails the base rule, or a soft rule that its host
-    fails at a shrunk rate of ``threshold`` or more.  A document that fails no
-    rule stays, whatever its host.  A null text has no words (base rule); a
+    A document goes if it fails the base rule, or a soft rule of
+    ``host_failed``; see ``host_verdicts``.  A document that fails no rule
+    stays, whatever its host.  A null text has no words (base rule); a
     null host has no verdict.  Repeated rows and ids are judged one by one; an
     empty table gives an empty result.
     """
@@ -130,7 +143,7 @@ def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_co
     hosts = host_verdicts(rows, threshold, rules)
     out = rows.join(hosts, ["host", "_salt"], "left")
     base = F.expr(BASE_RULE)
-    both = [F.when(F.expr(c) & F.coalesce(f"bad_{r}", F.lit(False)), F.lit(r)) for r, c in rules.items()]
+    both = [F.when(F.expr(c) & F.coalesce(F.col(f"bad_{r}") | F.col(f"bad_{ANY}"), F.lit(False)), F.lit(r)) for r, c in rules.items()]
     failed = F.concat_ws(",", *both)
     return out.select("doc_id", "host", "text_hash", *MEASURES, base.alias("base_failed"), failed.alias("host_failed"),
                       (~base & (failed == "")).alias("kept"))

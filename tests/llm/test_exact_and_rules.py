@@ -105,6 +105,27 @@ def test_host_rules(spark):
     assert host_rules.judge(docs_of(spark, rows)).count() == len(rows)
 
 
+def test_hosts_clearly_above_the_others(spark):
+    """A bad host with a third of all rows, below a rate of a half in every
+    soft rule; a host of base failures; good hosts with a few failures."""
+    clean = " ".join(f"w{k}" for k in range(60))
+    symbols = clean + " ####" * 3
+    short = "too short"
+    rows, n = [], 0
+    for h in range(12):
+        for k in range(40):
+            rows.append((n := n + 1, symbols if k < h % 3 + 1 else clean, f"good{h}"))
+    for k in range(300):
+        rows.append((n := n + 1, symbols if k % 20 < 9 else clean, "bad"))
+    for k in range(100):
+        rows.append((n := n + 1, short if k < 90 else symbols if k < 95 else clean, "short"))
+    got = host_rules.judge(docs_of(spark, rows)).collect()
+    kept = {r.doc_id: r.kept for r in got}
+    assert len(got) == len(rows) and {i for i, _, _ in rows} == set(kept)
+    assert all(kept[i] == (t == clean if h in ("bad", "short") else True) for i, t, h in rows)
+    assert {r.host_failed for r in got if not r.kept and not r.base_failed} == {"many_symbols"}
+
+
 def test_base_spans():
     r = random.Random(3)
     assert secret_scan.base_spans('x PASSWORD = "abcdefgh" y') == [(2, 22, "assign")]
