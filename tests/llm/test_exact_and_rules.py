@@ -174,6 +174,22 @@ def test_guess_cost_is_the_minimum():
         assert secret_scan.guess_bits(v, words) <= best + 1e-9
 
 
+def test_short_random_values_and_quoted_passphrases():
+    r = random.Random(4)
+    found = lambda t: [t[a:b] for a, b, _ in secret_scan.guess_spans(t)]
+    assert found("pwd: xK9mQ2vT") == ["xK9mQ2vT"]
+    assert found("postgres://user:Xk9#mQ2!@host/db") == ["Xk9#mQ2!"]
+    assert found('passphrase="four random words here"') == ["four random words here"]
+    alphabet, hits = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 0
+    for _ in range(1000):
+        hits += bool(found("pwd: " + "".join(r.choice(alphabet) for _ in range(8))))
+    assert hits >= 970
+    for v in ("password1", "Passw0rd", "different", "Elephant", "elephant7", "Summer2024!", "1987-05-12", "20240131", "qwertyuiop", "123456789",
+              "asdfghjkl;", "aaaaaaaaaaaa", "changeme2024", "letmein123"):
+        assert not found(f"pwd: {v} ."), v
+    assert not found('token: "not required here"') and not found('auth: "none"')
+
+
 def test_scan_and_redact(spark):
     long = "x" * 200_000 + ' pwd: "h7Kq9ZtR2mXw8" ' + "y" * 10
     rows = [(1, 'token = "9f3c07b2e85d41a6c0d97e12b4f86a35"', "s"), (2, None, "s"), (3, long, "s"), (3, long, "s"), (None, "clean", None)]
