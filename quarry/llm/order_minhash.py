@@ -310,7 +310,7 @@ def buckets(nodes: DataFrame, sketches: int = SKETCHES) -> DataFrame:
     groups = known_groups(drawn, ["h"], {"n": F.count(F.lit(1))}, {"n": F.sum("n")}).filter("n > 1").drop("n")
     rows = drawn.join(groups, ["h", "_salt"]).select("h", "node")
     sign = F.slice("sketch", sketches + 1, BINS // 8).alias("sign")
-    return cut(rows.join(nodes.select("node", "size", sign), "node").select("h", "node", "size", "sign"))
+    return written(rows.join(nodes.select("node", "size", sign), "node").select("h", "node", "size", "sign"), "near-buckets")
 
 
 def _passed(rows: DataFrame, similarity: float, firm: float = FIRM, run_rows: int = RUN_ROWS) -> DataFrame:
@@ -323,8 +323,8 @@ def _passed(rows: DataFrame, similarity: float, firm: float = FIRM, run_rows: in
     while left:
         parts = max(left // run_rows, 1)
         dealt = rows.repartitionByRange(parts, "h", "node") if parts > 1 else rows.coalesce(1)
-        out = cut(dealt.sortWithinPartitions("h", "node").select("h", "node", "size", "sign")
-                  .mapInArrow(step, "a binary, b binary, shared int, h bigint, size int, sign array<bigint>, block int"))
+        out = written(dealt.sortWithinPartitions("h", "node").select("h", "node", "size", "sign")
+                      .mapInArrow(step, "a binary, b binary, shared int, h bigint, size int, sign array<bigint>, block int"), "near-out")
         found.append(out.filter("b IS NOT NULL").select("a", "b", "shared", "h"))
         if parts == 1:
             break
@@ -426,7 +426,7 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", simil
     heads = (docs.groupBy("node").agg(F.min(order).alias("head")))
     nodes = written(rows.filter(F.size("sketch") > 0).groupBy("node").agg(F.first("size").alias("size"), F.first("sketch").alias("sketch")), "near-nodes")
     bucket_rows = buckets(nodes, sketches)
-    passed = written(_passed(bucket_rows, similarity), "near-passed")
+    passed = _passed(bucket_rows, similarity)
     pairs = _single(passed)
     source = id_text(df, id_col, text_col).select(F.struct(F.col("doc_id").alias("i"), F.xxhash64("text").alias("t")).alias("_key"), "text")
 
@@ -447,7 +447,7 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", simil
             break
         turn += 1
         tried = written(tried.unionByName(pairs.select("a", "b")).distinct(), "near-tried")  # or of one class
-        passed = written(_led_again(bucket_rows, failed, similarity, FIRM if turn <= ROUNDS else 2.0), "near-passed")
+        passed = _led_again(bucket_rows, failed, similarity, FIRM if turn <= ROUNDS else 2.0)
         pairs = _single(passed)
         new = written(_ends(pairs).join(labels, "node", "left_anti"), "near-asked")
         node_texts = node_texts.unionByName(texts_of(new))
