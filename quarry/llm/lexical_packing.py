@@ -8,10 +8,6 @@ frequencies (at most one number for each token of the vocabulary) are global.
 
 from __future__ import annotations
 
-import json
-import os
-import re
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,105 +16,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import by_size, id_text, ship_package, texts
-from quarry.llm.merges import PairMerges
+from quarry.llm.common import by_size, id_text, ship_package
+from quarry.llm.word_tokens import word_tokens
 from quarry.session import scratch_path
 
 PIECES = ("doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, "
           "offset bigint, seed_id bigint, token_ids binary")
 K1, B = 1.2, 0.75
-_STOP = re.compile(r"(?<=[a-z])([.,])(?= |$)")
-
-
-def byte_symbols() -> list[str]:
-    """The printable character that stands for each byte in a byte-level
-    vocabulary: itself where printable, else one from code point 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    other = iter(range(256, 512))
-    return [chr(b) if b in plain else chr(next(other)) for b in range(256)]
-
-
-class WordTokens:
-    """Token ids of texts by a ``tokenizers`` file: normal form C, lower case,
-    white space dropped, byte-level BPE with word ends.
-
-    Such a tokenizer splits at blanks first, so words are encoded once and
-    kept, in two generations of at most ``cache_words`` entries.  New words of
-    letters alone are merged together, many at a time, by the file's merges;
-    any other word is given to the library.
-    """
-
-    def __init__(self, data: bytes, cache_words: int = 200_000):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_str(data.decode())
-        self.tokenizer.encode_special_tokens = True
-        self.cache_words = cache_words
-        self.young: dict[str, bytes] = {"": b""}
-        self.old: dict[str, bytes] = {}
-        model = json.loads(data)["model"]
-        vocab, end = model["vocab"], model["end_of_word_suffix"] or ""
-        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        self.pairs = PairMerges({(vocab[a], vocab[b]): (r, vocab[a + b]) for r, (a, b) in enumerate(merges)})
-        self.first = np.array([vocab[c] for c in byte_symbols()], np.int64)
-        self.last = np.array([vocab[c + end] for c in byte_symbols()], np.int64)
-
-    def _look_up(self, words: set[str]) -> None:
-        """Put the ids of ``words`` into the young generation."""
-        young, old = self.young, self.old
-        by_length: dict[int, tuple[list[str], list[bytes]]] = {}
-        odd = []
-        for w in words:
-            ids = old.get(w)
-            if ids is not None:
-                young[w] = ids
-            elif w.isalpha():
-                raw = w.encode()
-                if len(raw) > 64:
-                    odd.append(w)
-                else:
-                    names, raws = by_length.setdefault(len(raw), ([], []))
-                    names.append(w)
-                    raws.append(raw)
-            else:
-                odd.append(w)
-        for length, (names, raws) in by_length.items():
-            data = np.frombuffer(b"".join(raws), np.uint8).reshape(-1, length)
-            ids = self.first[data]
-            ids[:, -1] = self.last[data[:, -1]]
-            young.update(zip(names, self.pairs.run(ids)))
-        for w, e in zip(odd, self.tokenizer.encode_batch(odd, add_special_tokens=False)):
-            young[w] = np.array(e.ids, "<u4").tobytes()
-
-    def encode(self, rows: list[str], end: bytes) -> list[bytes]:
-        """Little-endian 32-bit ids of each text, then ``end``."""
-        if len(self.young) >= self.cache_words:
-            self.old, self.young = self.young, {"": b""}
-        split = [words_of(t) for t in rows]
-        new = set().union(*split).difference(self.young)
-        if new:
-            self._look_up(new)
-        get = self.young.__getitem__
-        return [b"".join(map(get, words)) + end for words in split]
-
-
-def words_of(text: str) -> list[str]:
-    """Parts of ``text`` that the tokenizer treats separately: normalised as it
-    does (a capital sigma is always lowered alike there), split at blanks, with
-    a stop or comma between a letter and a blank as a part of its own."""
-    if not text.isascii():
-        text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3")
-    return _STOP.sub(r" \1", text.lower().replace("\n", " ")).split(" ")
-
-
-_LOADED: dict[int, WordTokens] = {}
-
-
-def _word_tokens(data: bytes) -> WordTokens:
-    key = hash(data)
-    if key not in _LOADED:
-        _LOADED[key] = WordTokens(data)
-    return _LOADED[key]
 
 
 def tokenise(df: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -130,10 +34,9 @@ def tokenise(df: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str =
     end = np.array([end_id], "<u4").tobytes()
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _word_tokens(vocabulary.value)
-        for b in by_size(batches, 1):
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(coder.encode(texts(b.column(1)), end), pa.binary())],
-                                             names=["doc_id", "ids"])
+        coder = word_tokens(vocabulary.value)
+        for b in by_size(batches, 1, 1 << 23, 8192):
+            yield pa.RecordBatch.from_arrays([b.column(0), coder.column(b.column(1), end)], names=["doc_id", "ids"])
 
     return id_text(df, id_col, text_col).mapInArrow(each, "doc_id bigint, ids binary")
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from quarry.llm import (
+    addressable_codes,
     chunked_bpe,
     digest_index,
     host_rules,
@@ -117,3 +118,11 @@ SELECT conv_id, n_turns, copies, text FROM k
 WHERE NOT EXISTS (SELECT 1 FROM k o WHERE o.head = k.head AND o.n_turns > k.n_turns AND starts_with(o.text, k.text))""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.render(table(spark, sf_dir, "conversations"))
+
+
+@llm_query("op12_addressable_codes")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    addressable_codes.write(documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return addressable_codes.read(spark, path).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))

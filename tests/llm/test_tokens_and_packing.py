@@ -91,19 +91,7 @@ def test_op1_on_whole_table(spark, library):
 
 @pytest.fixture(scope="module")
 def word_library():
-    t = Tokenizer.from_file(WORDS)
-    t.encode_special_tokens = True
-    return t
-
-
-def test_word_tokens_against_library(word_library):
-    w = lexical_packing.WordTokens(open(WORDS, "rb").read(), cache_words=200)
-    r = random.Random(1)
-    alphabet = [*ODD, *"ΣΟİẞ.,'t", "<|endoftext|>", "Å", "The", "can't", "..", "Ab.", "b,"]
-    for _ in range(300):
-        texts = ["".join(r.choice(alphabet) for _ in range(r.randrange(40))) for _ in range(4)]
-        got = [np.frombuffer(x, "<u4").tolist() for x in w.encode(texts, b"")]
-        assert got == [e.ids for e in word_library.encode_batch(texts, add_special_tokens=False)]
+    return Tokenizer.from_file(WORDS)
 
 
 def check_pieces(rows, docs, window, encode):
@@ -138,7 +126,7 @@ def test_packing_joins_neighbours(spark, word_library):
     r = random.Random(9)
     topics = [[f"{a}{b}" for a in ("ba", "ko", "ti", "mu") for b in s] for s in (("lor", "nim", "sat"), ("gex", "pud", "wiv"), ("zon", "fey", "jat"))]
     docs = {i: " ".join(r.choice(topics[i % 3]) for _ in range(20)) for i in range(60)}
-    docs |= {100: "", 101: "word " * 500}
+    docs |= {100: "", 101: "word " * 500, 102: "a <|endoftext|> b<|startoftext|>"}
     rows = [(i, t, 5) for i, t in docs.items()]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, start int").coalesce(1)
     out = lexical_packing.pack(df, WORDS, window=256).collect()
