@@ -16,6 +16,7 @@ from quarry.llm import (
     host_rules,
     lexical_packing,
     order_minhash,
+    periodic_runs,
     pii_surrogates,
     secret_scan,
     sentence_spans,
@@ -120,6 +121,30 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.render(table(spark, sf_dir, "conversations"))
 
 
+@llm_query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's words: of one document in ten, those from word ``a`` on
+    repeat the first ``p`` of them."""
+    docs = documents(spark, sf_dir).select("doc_id", "text").withColumn("h", F.crc32(F.col("doc_id").cast("string")))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    looped = (docs.filter("h % 10 = 0").withColumn("w", words).withColumn("n", F.size("w")).filter("n > 0")
+              .withColumn("g", F.expr("h div 10")).withColumn("a", F.expr("cast(g % n AS int)"))
+              .withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) AS int)"))
+              .withColumn("text", F.expr("array_join(slice(concat(slice(w, 1, a), flatten(array_repeat(slice(w, a + 1, p), "
+                                         "cast(ceil((n - a) / p) AS int)))), 1, n), ' ')"))
+              .select("doc_id", "text"))
+    plain = docs.filter(F.coalesce(F.col("h") % 10 != 0, F.lit(True)) | ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
+    found = periodic_runs.runs(plain.select("doc_id", "text").union(looped))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    # greatest length, then least start, then least period
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p"))))
+    told = found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("b"),
+                        F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return told.select("doc_id", "n_runs", F.col("b.s").alias("start"), (-F.col("b.l")).alias("length"), F.col("b.p").alias("period"),
+                       F.expr("(-1000 * b.l) div b.p").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 @llm_query("op12_addressable_codes")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
