@@ -21,6 +21,7 @@ from quarry.llm import (
     secret_scan,
     sentence_spans,
     snapshots,
+    spelling_variants,
     url_trees,
 )
 from quarry.llm.common import documents, table
@@ -151,3 +152,14 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     addressable_codes.write(documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return addressable_codes.read(spark, path).select(
         "doc_id", "start", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+@llm_query("op13_spelling_variants")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's words: one occurrence in 97 lacks a letter."""
+    words = spelling_variants.occurrences(documents(spark, sf_dir))
+    h = F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("word")))
+    at = F.pmod(h, F.char_length("word")).cast("int")
+    cut = F.concat(F.substring("word", F.lit(1), at), F.substring("word", at + 2, F.char_length("word")))
+    words = words.select(F.when(h % 97 == 0, cut).otherwise(F.col("word")).alias("word"))
+    return spelling_variants.group(spelling_variants.vocabulary(words))
