@@ -13,18 +13,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import cut, id_text, known_groups, salted, ship_package, slices, texts, written
+from quarry.llm.common import cut, drop_path, id_text, known_groups, salted, ship_package, slices, texts, written
 from quarry.llm.components import components, forest_roots
 
 #: So many sketches that a pair at the least similarity shares one: an edit in
 #: every fifth word leaves a shingle share of 0.25, and 1 - (1 - 0.25 ** 2) ** 96
 #: is 0.998; edits at random places leave more.
 SHINGLE, SKETCHES, SIMILARITY = 3, 96, 0.8
+#: Words up to which a text has no shingles of three words but single words: in
+#: a shorter text few edits leave no shingle whole.  Texts of up to a fourth
+#: more words have sketches of both kinds, so any two that can be linked share
+#: a kind.
+SHORT = 24
 #: Bins of the word signature; the share of equal bins from which a node joins
 #: a leader, and that below which a pair is passed over (a true share of 0.67,
 #: the least of a link, comes out below it by chance once in ten thousand).
@@ -75,33 +81,38 @@ class Sketcher:
                 known[w] = xxhash.xxh3_64_intdigest(w)
         return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
-    def sketch(self, words: list[str]) -> np.ndarray:
-        """One 64-bit value for each hash, then the packed word signature;
-        none for no words."""
+    def sketch(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Sketches (one 64-bit value for each hash and kind of shingle) and
+        the packed word signature; none for no words."""
         if not words:
-            return np.empty(0, np.int64)
+            return np.empty(0, np.int64), np.empty(0, np.int64)
         with np.errstate(over="ignore"):
             w = self.word_hashes(words)
-            size = min(SHINGLE, len(words))
-            n = len(words) - size + 1
-            shingles = np.zeros(n, np.uint64)
-            for k in range(size):
-                shingles = _mixed(shingles * _MIX + w[k:n + k])
-            labelled = _labelled(shingles)
-            out = np.empty(len(self.seeds), np.uint64)
-            block = max((1 << 20) // n, 1)  # sketches at a time, so that memory stays bounded
-            for j in range(0, len(self.seeds), block):
-                seeds = self.seeds[j:j + block]
-                h = (labelled ^ seeds[:, None]) * _MIX
-                h ^= h >> np.uint64(32)
-                h *= _MIX
-                first = last = h.argmin(axis=1)
-                if n > 1:  # the two least, in text order
-                    h[np.arange(len(seeds)), first] = ~np.uint64(0)
-                    second = h.argmin(axis=1)
-                    first, last = np.minimum(first, second), np.maximum(first, second)
-                out[j:j + block] = _mixed(_mixed(seeds ^ shingles[first]) * _MIX + shingles[last])
-            return np.concatenate([out.view(np.int64), self.signature(w)])
+            kinds = [1] * (len(words) <= SHORT / SIMILARITY) + [SHINGLE] * (len(words) >= SHORT)
+            return np.concatenate([self.sampled(w, size) for size in kinds]), self.signature(w)
+
+    def sampled(self, w: np.ndarray, size: int) -> np.ndarray:
+        """The two least occurrence-labelled shingles of ``size`` words under
+        each hash, in text order, as one number."""
+        n = len(w) - size + 1
+        shingles = np.zeros(n, np.uint64)
+        for k in range(size):
+            shingles = _mixed(shingles * _MIX + w[k:n + k])
+        labelled = _labelled(shingles)
+        out = np.empty(len(self.seeds), np.uint64)
+        block = max((1 << 20) // n, 1)  # sketches at a time, so that memory stays bounded
+        for j in range(0, len(self.seeds), block):
+            seeds = self.seeds[j:j + block]
+            h = (labelled ^ seeds[:, None]) * _MIX
+            h ^= h >> np.uint64(32)
+            h *= _MIX
+            first = last = h.argmin(axis=1)
+            if n > 1:  # the two least, in text order
+                h[np.arange(len(seeds)), first] = ~np.uint64(0)
+                second = h.argmin(axis=1)
+                first, last = np.minimum(first, second), np.maximum(first, second)
+            out[j:j + block] = _mixed(_mixed(seeds ^ shingles[first]) * _MIX + shingles[last] + np.uint64(size))
+        return out.view(np.int64)
 
     def signature(self, hashes: np.ndarray) -> np.ndarray:
         """One byte of the least hash in each of ``BINS`` bins of the
@@ -170,26 +181,32 @@ def alike(a: list, b: list, similarity: float = SIMILARITY) -> bool:
 
 
 def sketch_rows(df: DataFrame, id_col: str, text_col: str, sketches: int) -> DataFrame:
-    """``doc_id, text_hash, node, size, sketch``: size is in words, node a digest of the words, so
-    texts that differ in case, blanks and signs alone are one node."""
+    """``doc_id, text_hash, node, size, sign, sketch``: size is in words, node a
+    digest of the words, so texts that differ in case, blanks and signs alone
+    are one node.  Within a task a node's sketches are given once, so a node
+    with a third of all rows has a few rows of them only."""
     ship_package(df.sparkSession)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maker = Sketcher(sketches)
+        maker, told = Sketcher(sketches), set()
+        lists = lambda rows: pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rows)]), pa.int32()), pa.array(np.concatenate(rows), pa.int64()))
+        none = np.empty(0, np.int64), np.empty(0, np.int64)
         for b in slices(batches):
             nodes, sizes, rows = [], [], []
             for t in texts(b.column(2)):
                 words = words_of(t)
+                node = xxhash.xxh3_128_digest(" ".join(words))
                 sizes.append(len(words))
-                nodes.append(xxhash.xxh3_128_digest(" ".join(words)))
-                rows.append(maker.sketch(words))
-            ends = np.cumsum([0, *map(len, rows)])
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(rows) if rows else [], pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int32()), lists],
-                                             names=["doc_id", "text_hash", "node", "size", "sketch"])
+                nodes.append(node)
+                rows.append(none if node in told else maker.sketch(words))
+                told.add(node)
+            if rows:
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int32()),
+                                                  lists([r[1] for r in rows]), lists([r[0] for r in rows])],
+                                                 names=["doc_id", "text_hash", "node", "size", "sign", "sketch"])
 
     src = id_text(df, id_col, text_col).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    return src.mapInArrow(each, "doc_id bigint, text_hash bigint, node binary, size int, sketch array<bigint>")
+    return src.mapInArrow(each, "doc_id bigint, text_hash bigint, node binary, size int, sign array<bigint>, sketch array<bigint>")
 
 
 def _shares(held: np.ndarray, sizes: np.ndarray, sign: np.ndarray, size: int, similarity: float) -> np.ndarray:
@@ -301,16 +318,53 @@ def _block_pairs(edge: DataFrame, similarity: float) -> DataFrame:
     return cut(_across(left, right, similarity))
 
 
-def buckets(nodes: DataFrame, sketches: int = SKETCHES) -> DataFrame:
-    """``h, node, size, sign`` for each sketch that several nodes share."""
+def shared(drawn: DataFrame) -> DataFrame:
+    """``h, node``, each once, where ``h`` occurs with several nodes.
+
+    Rows are sorted by (h, node) over all partitions, so a sketch that a third
+    of the nodes share is spread over many tasks; in its partition a row's
+    neighbours tell.  The first and last sketch of a partition stay, as they
+    may go on in the next."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, first = None, True  # the rows of the last sketch so far
+        for b in batches:
+            if held is not None:
+                b = pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
+            h = b.column(0).to_numpy()
+            node = b.column(1)
+            new = np.ones(len(h), bool)  # not the row before once more
+            new[1:] = (h[1:] != h[:-1]) | pc.not_equal(node.slice(1), node.slice(0, len(h) - 1)).to_numpy(zero_copy_only=False)
+            b, h = b.filter(pa.array(new)), h[new]
+            starts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+            size = np.diff(np.append(starts, len(h)))
+            keep = np.repeat(size > 1, size)
+            if first:
+                keep[:size[0]] = True
+            last = int(starts[-1])
+            if last:
+                first = False
+                yield b.slice(0, last).filter(pa.array(keep[:last]))
+            elif len(h) > RUN_ROWS:  # one sketch over many batches: all but its last row can go on
+                last = len(h) - 1
+                yield b.slice(0, last)
+                first = True
+            held = b.slice(last)
+        if held is not None:
+            yield held
+
+    return (drawn.repartitionByRange("h", "node").sortWithinPartitions("h", "node").select("h", "node")
+            .mapInArrow(each, "h bigint, node binary"))
+
+
+def buckets(drawn: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``h, node, size, sign`` for each sketch that several nodes share, from
+    ``drawn`` (``h, node``) and ``nodes`` (``node, size, sign``)."""
     ship_package(nodes.sparkSession)
-    drawn = nodes.select("node", F.explode(F.slice("sketch", 1, sketches)).alias("h")).distinct()
-    # a sketch that a third of the nodes share is dealt over salts
-    drawn = drawn.withColumn("_salt", salted("node"))
-    groups = known_groups(drawn, ["h"], {"n": F.count(F.lit(1))}, {"n": F.sum("n")}).filter("n > 1").drop("n")
-    rows = drawn.join(groups, ["h", "_salt"]).select("h", "node")
-    sign = F.slice("sketch", sketches + 1, BINS // 8).alias("sign")
-    return written(rows.join(nodes.select("node", "size", sign), "node").select("h", "node", "size", "sign"), "near-buckets")
+    old: list[str] = []
+    rows = written(shared(drawn), "near-shared", old)
+    made = written(rows.join(nodes.select("node", "size", "sign"), "node").select("h", "node", "size", "sign"), "near-buckets")
+    drop_path(nodes.sparkSession, old[0])
+    return made
 
 
 def _passed(rows: DataFrame, similarity: float, firm: float = FIRM, run_rows: int = RUN_ROWS) -> DataFrame:
@@ -346,11 +400,16 @@ def _single(pairs: DataFrame) -> DataFrame:
     return written(pairs.groupBy("a", "b").agg(F.max("shared").alias("shared")), "near-pairs")
 
 
-def candidates(nodes: DataFrame, sketches: int = SKETCHES, similarity: float = SIMILARITY, run_rows: int = RUN_ROWS) -> DataFrame:
+def candidates(rows: DataFrame, similarity: float = SIMILARITY, run_rows: int = RUN_ROWS) -> DataFrame:
     """``a, b, shared``: pairs of ``node`` that share a sketch, a < b, and how
     many bins of their word signatures; linear in the number of nodes where
-    they resemble each other.  ``nodes`` has ``node, size, sketch``."""
-    return _single(_passed(buckets(nodes, sketches), similarity, run_rows=run_rows))
+    they resemble each other.  ``rows`` are those of ``sketch_rows``, written."""
+    return _single(_passed(buckets(rows.select(F.explode("sketch").alias("h"), "node"), signed(rows)), similarity, run_rows=run_rows))
+
+
+def signed(rows: DataFrame) -> DataFrame:
+    """``node, size, sign`` of each node that has words."""
+    return rows.filter(F.size("sign") > 0).groupBy("node").agg(F.first("size").alias("size"), F.first("sign").alias("sign"))
 
 
 def _led_again(rows: DataFrame, failed: DataFrame, similarity: float, firm: float) -> DataFrame:
@@ -414,18 +473,20 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", simil
     so on until no such node is left.
 
     A null text is empty; texts without a word are copies of each other.
-    Texts shorter than a shingle have one shingle of all their words.  A null
-    doc_id sorts after all others; identical rows are one document repeated,
+    Texts of up to ``SHORT`` words are sketched by single words.  A null doc_id
+    sorts after all others; identical rows are one document repeated,
     of which one can be kept.  An empty table gives an empty result.
     """
-    rows = written(sketch_rows(df, id_col, text_col, sketches), "near-sketches")
+    spark, big = df.sparkSession, []
+    rows = written(sketch_rows(df, id_col, text_col, sketches), "near-sketches", big)
     docs = (rows.groupBy("doc_id", "text_hash", "node").agg(F.count(F.lit(1)).alias("copies"))
             .withColumn("_salt", salted("doc_id", "text_hash")))
     docs = written(docs, "near-docs")
     order = F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("i"), F.col("text_hash").alias("t"))
     heads = (docs.groupBy("node").agg(F.min(order).alias("head")))
-    nodes = written(rows.filter(F.size("sketch") > 0).groupBy("node").agg(F.first("size").alias("size"), F.first("sketch").alias("sketch")), "near-nodes")
-    bucket_rows = buckets(nodes, sketches)
+    nodes = written(signed(rows), "near-nodes")
+    bucket_rows = buckets(rows.select(F.explode("sketch").alias("h"), "node"), nodes)
+    drop_path(spark, big[0])
     passed = _passed(bucket_rows, similarity)
     pairs = _single(passed)
     source = id_text(df, id_col, text_col).select(F.struct(F.col("doc_id").alias("i"), F.xxhash64("text").alias("t")).alias("_key"), "text")

@@ -3,6 +3,7 @@
 import collections
 import random
 
+import numpy as np
 import pytest
 
 from quarry.llm import order_minhash, sentence_spans
@@ -39,12 +40,14 @@ def test_sketch_is_sensitive_to_order_and_repeats():
     s = order_minhash.Sketcher()
     a, b = [f"a{i}" for i in range(150)], [f"b{i}" for i in range(150)]
     # the same shingles in another order: a set sketch would hardly change
-    k = len(s.seeds)
-    assert (s.sketch(a + b)[:k] == s.sketch(b + a)[:k]).sum() < 20 < k
-    assert (s.sketch(a) == s.sketch(a)).all() and not (s.sketch(a)[:k] == s.sketch(b)[:k]).any()
-    once = [f"w{i}" for i in range(30)]
-    assert not (s.sketch(once) == s.sketch(once * 4)).all()
-    assert len(s.sketch(["a"])) == len(s.seeds) + order_minhash.BINS // 8 and len(s.sketch([])) == 0
+    k, of = len(s.seeds), lambda words: s.sketch(words)[0]
+    assert (of(a + b) == of(b + a)).sum() < 20 < k
+    assert (of(a) == of(a)).all() and not (of(a) == of(b)).any()
+    once = [f"w{i}" for i in range(60)]
+    assert not (of(once) == of(once * 4)).all()
+    assert [len(x) for x in s.sketch(["a"])] == [k, order_minhash.BINS // 8] and [len(x) for x in s.sketch([])] == [0, 0]
+    short = order_minhash.SHORT
+    assert [len(of(a[:n])) // k for n in (short - 1, short, short * 5 // 4, short * 5 // 4 + 1)] == [1, 2, 2, 1]
 
 
 @pytest.mark.parametrize("shape", ["path", "star", "random"])
@@ -122,10 +125,49 @@ def test_recall_of_sketches_at_the_least_similarity(evenly):
         a = [f"w{r.randrange(5000)}" for _ in range(200)]
         b = edited(r, a, 0.8, evenly)
         assert order_minhash.alike(a, b)
-        hits += bool((maker.sketch(a)[:k] == maker.sketch(b)[:k]).any())
+        hits += bool((maker.sketch(a)[0] == maker.sketch(b)[0]).any())
     assert hits >= 0.99 * 400
 
 
+@pytest.mark.parametrize("size", [5, 6, 8, 10, 12, 15, 20, 23, 24, 25, 29, 30, 31, 36])
+def test_recall_of_short_texts(size):
+    """Sketches and word signatures together, on pairs as unlike as a link may be."""
+    r, maker, hits = random.Random(size), order_minhash.Sketcher(order_minhash.SKETCHES), 0
+    for k in range(300):
+        a = [f"w{r.randrange(5000)}" for _ in range(size)]
+        b = edited(r, a, 0.8, k % 2)
+        if k % 3 == 0:  # deletions in place of substitutions
+            b = [w for w in b if w[0] == "w"]
+        assert order_minhash.alike(a, b)
+        (h, sign), (g, other) = maker.sketch(a), maker.sketch(b)
+        share = order_minhash._shares(sign[None, :], np.array([len(a)]), other, len(b), 0.8)
+        hits += bool(set(h.tolist()) & set(g.tolist()) and share[0] >= order_minhash.LEAST_ALIKE)
+    assert hits >= 0.99 * 300
+
+
+def test_short_texts_against_all_pairs(spark):
+    r, docs = random.Random(31), {}
+    for size in range(1, 41):
+        for _ in range(3):
+            words = [f"w{r.randrange(3000)}" for _ in range(size)]
+            docs |= {len(docs) + k: " ".join(w) for k, w in enumerate([words, edited(r, words, 0.8), edited(r, words, 0.8, True)])}
+    got = order_minhash.classes(spark.createDataFrame(list(docs.items()), "doc_id bigint, text string").repartition(3)).collect()
+    assert {x.doc_id: x.class_id for x in got} == brute_classes(docs)
+
+
+def test_shared_sketches(spark):
+    """Rows of single sketches go, whatever the partitions' edges."""
+    r = random.Random(32)
+    rows = [(h, bytes([r.randrange(5)])) for h in range(300) for _ in range(r.randrange(1, 4))] + [(7, f"n{i % 3000}".encode()) for i in range(9000)]
+    df = spark.createDataFrame(rows, "h bigint, node binary").repartition(5)
+    got = [(x.h, bytes(x.node)) for x in order_minhash.shared(df).collect()]
+    of = collections.defaultdict(set)
+    for h, n in rows:
+        of[h].add(n)
+    want = {(h, n) for h, nodes in of.items() for n in nodes if len(nodes) > 1}
+    assert len(got) == len(set(got)) and want <= set(got) <= set(rows) and len(got) < len(want) + 20
+
+
 def test_scattered_edits_against_all_pairs(spark):
     r, docs = random.Random(22), {}
     for i in range(0, 160, 2):
@@ -142,10 +184,9 @@ def test_bucket_of_unlike_nodes_over_many_partitions(spark):
         words = [f"w{r.randrange(10**6)}" for _ in range(100)]
         twin = edited(r, words, 0.95)
         for k, w in enumerate((words, twin)):
-            sketch = order_minhash.Sketcher(1).sketch(w).tolist()
-            rows.append((f"{k}{i:04}".encode(), len(w), [7, *sketch[1:]]))
-    nodes = spark.createDataFrame(rows, "node binary, size int, sketch array<bigint>")
-    got = {(bytes(x.a).decode(), bytes(x.b).decode()) for x in order_minhash.candidates(nodes, 1, run_rows=30).collect()}
+            rows.append((f"{k}{i:04}".encode(), len(w), order_minhash.Sketcher(1).sketch(w)[1].tolist(), [7]))
+    nodes = spark.createDataFrame(rows, "node binary, size int, sign array<bigint>, sketch array<bigint>")
+    got = {(bytes(x.a).decode(), bytes(x.b).decode()) for x in order_minhash.candidates(nodes, run_rows=30).collect()}
     assert {(f"0{i:04}", f"1{i:04}") for i in range(150)} <= got
 
 
@@ -158,7 +199,7 @@ def test_failed_leader_does_not_part_near_copies(spark):
         a = [f"w{r.randrange(5000)}" for _ in range(200)]
         b = edited(r, a, 0.77)
         trio = (a, b, edited(r, b, 0.94))
-        if (digest(a) == min(map(digest, trio)) and len({int(maker.sketch(w)[0]) for w in trio}) == 1
+        if (digest(a) == min(map(digest, trio)) and len({int(maker.sketch(w)[0][0]) for w in trio}) == 1
                 and not order_minhash.alike(a, b) and not order_minhash.alike(a, trio[2])):
             docs |= {len(docs) + k: " ".join(w) for k, w in enumerate(trio)}
     df = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string").repartition(3)
