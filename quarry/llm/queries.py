@@ -24,7 +24,7 @@ from quarry.llm import (
     spelling_variants,
     url_trees,
 )
-from quarry.llm.common import documents, table
+from quarry.llm.common import documents, known_groups, salted, table
 from quarry.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,8 +97,16 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
        doc_id = first_value(doc_id) OVER w AS kept, h AS text_sha256
 FROM d WINDOW w AS (PARTITION BY h ORDER BY c DESC, doc_id)""")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches, the longer texts first, so that the row which stays is in
+    the batch that comes first: the second batch meets the first's digests."""
     index = digest_index.DigestIndex(spark, scratch_path(spark, "op8-index"))
-    return (index.ingest(documents(spark, sf_dir))
+    docs = documents(spark, sf_dir)
+    size = F.length(F.coalesce("text", F.lit("")))
+    middle = docs.agg(F.percentile_approx(size, 0.5).alias("m")).first()["m"] or 0
+    longer = index.ingest(docs.filter(size >= middle), batch_id="longer")
+    rows = longer.unionByName(index.ingest(docs.filter(size < middle), batch_id="shorter")).withColumn("_salt", salted("doc_id"))
+    sizes = known_groups(rows, ["text_sha256"], {"n": F.count(F.lit(1))}, {"group_size": F.sum("n")})
+    return (rows.drop("group_size").join(sizes, ["text_sha256", "_salt"])
             .select("doc_id", "keep_id", "group_size", "kept", "text_sha256"))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import id_text, ship_package, slices, texts
 from quarry.session import scratch_path
 
-SPAN_ROWS = "doc_id bigint, tag int, begin int, end int, h bigint, check int"
+SPAN_ROWS = "doc_id bigint, tag bigint, tag2 bigint, begin int, end int, h bigint, check int"
 _END = re.compile(r"[.!?…。！？]+(?=\s)|\n+")
 _WORD = re.compile(r"\S+")
 #: A longer sentence is cut into clauses of some eight words.
@@ -24,6 +24,13 @@ LONG_WORDS = 16
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+def tagged(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, tag, tag2, text``: the tags are 128 bits of the text (two
+    independent seeds), so that documents of one id, null included, are told
+    apart."""
+    return id_text(df, id_col, text_col).select("doc_id", F.xxhash64("text").alias("tag"), F.xxhash64(F.lit(1), F.col("text")).alias("tag2"), "text")
+
+
 def sentences(text: str) -> list[tuple[int, int, str]]:
     """(begin, end, normalised) of each sentence or clause, in code points.
 
@@ -83,29 +90,28 @@ def span_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 128):
-            ids, tags, cols = [], [], []
-            for i, t, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts(b.column(2))):
+            rows, cols = [], []
+            for k, x in enumerate(texts(b.column(3))):
                 if (r := runs(x, size, least_words)) is not None:
-                    ids += [i] * len(r[0])
-                    tags += [t] * len(r[0])
+                    rows += [k] * len(r[0])
                     cols.append(r)
-            if ids:
+            if rows:
+                at = pa.array(rows, pa.int64())
                 joined = [pa.array(np.concatenate([c[k] for c in cols])) for k in range(4)]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(tags, pa.int32()), *joined], names=names)
+                yield pa.RecordBatch.from_arrays([*(b.column(k).take(at) for k in range(3)), *joined], names=names)
 
-    src = id_text(df, id_col, text_col)
-    return src.select("doc_id", F.hash("text").alias("tag"), "text").mapInArrow(each, SPAN_ROWS)
+    return tagged(df, id_col, text_col).mapInArrow(each, SPAN_ROWS)
 
 
 def repeated(spans: DataFrame, hot_share: int = 1000) -> DataFrame:
-    """``doc_id, tag, begin, end`` of the spans that occur before, in a
+    """``doc_id, tag, tag2, begin, end`` of the spans that occur before, in a
     document of smaller id or earlier in the same one.
 
     ``spans`` is read twice, so it should be a written table.  Runs that hold
     more than one in ``hot_share`` of all spans (fewer than ``hot_share`` runs
     can) are joined by broadcast, all others by a shuffle on the hash.
     """
-    place = F.struct("doc_id", "tag", "begin", "check")
+    place = F.struct("doc_id", "tag", "tag2", "begin", "check")
     firsts = (spans.groupBy("h").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
     path = scratch_path(spans.sparkSession, "span-firsts")
     firsts.write.parquet(path)
@@ -114,7 +120,7 @@ def repeated(spans: DataFrame, hot_share: int = 1000) -> DataFrame:
     hot = F.broadcast(firsts.filter(F.col("n") > share))
     later = ~place.eqNullSafe(F.col("first")) & (F.col("check") == F.col("first.check"))
     cold = spans.join(hot.select("h"), "h", "left_anti").join(firsts.filter(F.col("n") <= share), "h").filter(later)
-    return (spans.join(hot, "h").filter(later).unionByName(cold)).select("doc_id", "tag", "begin", "end")
+    return (spans.join(hot, "h").filter(later).unionByName(cold)).select("doc_id", "tag", "tag2", "begin", "end")
 
 
 def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -138,16 +144,17 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: i
     one before all, then position); its sentences go everywhere else.  Rows
     with the same id and text are one document.  A null text is empty; texts
     of fewer sentences have no run and stay whole.  An empty table gives an
-    empty result.
+    empty result.  Only the two named columns are read, so others never clash;
+    texts of any length are treated whole.
     """
     spark = df.sparkSession
     ship_package(spark)
     path = scratch_path(spark, "sentence-spans")
     span_rows(df, id_col, text_col, size, least_words).write.option("compression", "zstd").parquet(path)
     found = repeated(spark.read.parquet(path))
-    cuts = (found.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
-            .select(F.struct("doc_id", "tag").alias("_key"), "spans"))
-    docs = id_text(df, id_col, text_col).select(F.struct("doc_id", F.hash("text").alias("tag")).alias("_key"), "text")
+    key = F.struct("doc_id", "tag", "tag2").alias("_key")
+    cuts = found.groupBy("doc_id", "tag", "tag2").agg(F.collect_set(F.struct("begin", "end")).alias("spans")).select(key, "spans")
+    docs = tagged(df, id_col, text_col).select(key, "text")
     cut_type = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

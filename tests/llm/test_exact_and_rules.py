@@ -6,6 +6,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.llm import digest_index, host_rules, secret_scan, snapshots
 from quarry.session import scratch_path
@@ -55,6 +56,27 @@ def test_digest_index_is_persistent(spark):
     assert again.compact(scratch_path(spark, "t")).rows().count() == n
 
 
+def test_batch_that_comes_again(spark):
+    """A batch whose result was lost, before or after its append, is not known to itself."""
+    path = scratch_path(spark, "t")
+    index = digest_index.DigestIndex(spark, path, buckets=4)
+    index.ingest(docs_of(spark, [(1, "old", "s")]))
+    batch = [(10, "old", "s"), (11, "a", "s"), (12, " a", "s"), (13, "b", "s"), (14, None, "s")]
+    told = lambda df: sorted((r.doc_id, r.keep_id, r.group_size, r.kept, r.known) for r in df.collect())
+    first = told(index.ingest(docs_of(spark, batch)))
+    assert first == [(10, 1, 1, False, True), (11, 12, 2, False, False), (12, 12, 2, True, False), (13, 13, 1, True, False), (14, 14, 1, True, False)]
+    again = digest_index.DigestIndex(spark, path, buckets=4)
+    assert told(again.ingest(docs_of(spark, batch[::-1]))) == first and again.rows().count() == 4
+    # an append that came half way
+    half = digest_index.DigestIndex(spark, scratch_path(spark, "t"), buckets=4)
+    half.append(again.rows().filter("keep_id IN (1, 12)").withColumn("batch", F.when(F.col("keep_id") == 12, "x").otherwise("w")))
+    assert told(half.ingest(docs_of(spark, batch), batch_id="x")) == first and half.rows().count() == 4
+    # under another name it is another batch
+    assert not any(r[3] for r in told(half.ingest(docs_of(spark, batch), batch_id="y")))
+    half.close()
+    assert not spark.catalog.tableExists(half.name)
+
+
 def test_digest_index_hot_group(spark):
     rows = [(i, "same text", "s") for i in range(3000)] + [(i, f"t {i}", "s") for i in range(3000, 3050)]
     got = digest_index.DigestIndex(spark, scratch_path(spark, "t"), buckets=4).ingest(docs_of(spark, rows))

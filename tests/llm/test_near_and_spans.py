@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.llm import order_minhash, sentence_spans
 from quarry.llm.components import components
@@ -291,3 +292,42 @@ def test_spans_odd_rows(spark):
     got = sorted(((x.doc_id, x.text) for x in sentence_spans.dedup(df).collect()), key=repr)
     assert got == sorted([(None, text), (3, ""), (3, ""), (4, "short")], key=repr)
     assert sentence_spans.dedup(df.limit(0)).count() == 0
+
+
+def test_texts_of_one_id_are_told_apart(spark):
+    """Two texts under a null id whose 32-bit hashes are equal share no cuts."""
+    seen, pair = {}, None
+    for i in range(400_000):
+        t = f"Row number {i} stands here alone. It says {i * 7919 % 1_000_003} things. None of it comes twice."
+        h = hash32(t)
+        if h in seen:
+            pair = seen[h], t
+            break
+        seen[h] = t
+    assert pair is not None
+    hashes = [r[0] for r in spark.createDataFrame([(t,) for t in pair], "text string").select(F.hash("text")).collect()]
+    assert hashes[0] == hashes[1]
+    rows = [(None, pair[0]), (None, pair[0] + " "), (None, pair[1])]
+    got = {x.text: x.removed_chars for x in sentence_spans.dedup(spark.createDataFrame(rows, "doc_id bigint, text string"), least_words=5).collect()}
+    assert got[pair[1]] == 0 and sum(got.values()) > 0
+
+
+def hash32(text):
+    """Spark's 32-bit hash of a string: Murmur3, seed 42, its tail byte by byte."""
+    mask = 0xFFFFFFFF
+    def mix(h, k):
+        k = k * 0xCC9E2D51 & mask
+        k = (k << 15 | k >> 17) & mask
+        h ^= k * 0x1B873593 & mask
+        h = (h << 13 | h >> 19) & mask
+        return (h * 5 + 0xE6546B64) & mask
+    raw, h = text.encode(), 42
+    whole = len(raw) // 4 * 4
+    for k in range(0, whole, 4):
+        h = mix(h, int.from_bytes(raw[k:k + 4], "little"))
+    for c in raw[whole:]:
+        h = mix(h, (c - 256 if c > 127 else c) & mask)
+    h ^= len(raw)
+    h = (h ^ h >> 16) * 0x85EBCA6B & mask
+    h = (h ^ h >> 13) * 0xC2B2AE35 & mask
+    return h ^ h >> 16
