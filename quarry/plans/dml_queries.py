@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import dml
+from quarry.operators import dml, stored
 from quarry.operators.docs import invoice_counts
 from quarry.plans.registry import query
-from quarry.plans.retail_queries import CUSTOMER, INVOICE, layouts
+from quarry.plans.retail_queries import CUSTOMER, INVOICE, layouts, open_store
 from quarry.plans.sqlviews import register_view, with_views
+from quarry.session import scratch_path
 from quarry.sources.tables import table
+from quarry.sources.versioned_store import VersionedStore
 
 UPDATE_CODE = "646"
 NEW_QTY = 99
@@ -30,6 +32,18 @@ UNION ALL
 SELECT * FROM synth s WHERE NOT EXISTS (SELECT 1 FROM headers h WHERE h.InvoiceNo = s.InvoiceNo)""", ["tx_items", "synth", "headers"])
 
 
+def _fork(spark: SparkSession, sf: str) -> VersionedStore:
+    """A store of the query's own over the same files, to write to."""
+    return open_store(spark, sf).fork(scratch_path(spark, "store"))
+
+
+def _entry(quantity: int):
+    item = F.struct(F.lit("P01").alias("StockCode"), F.lit("Test Item").alias("Description"),
+                    F.lit(quantity).cast("long").alias("Quantity"), F.lit(10.99).cast("decimal(18,2)").alias("UnitPrice"))
+    return F.struct(F.lit(NEW_INVOICE).alias("InvoiceNo"), F.lit("2011-12-09 12:00:00").cast("timestamp_ntz").alias("InvoiceDate"),
+                    F.array(item).alias("Items"))
+
+
 def _per_doc(tx: DataFrame) -> DataFrame:
     return (tx.select("InvoiceNo", "CustomerID", F.size("Items").alias("n"))
             .groupBy("InvoiceNo", "CustomerID").agg(F.sum("n").cast("long").alias("n_items")))
@@ -52,8 +66,8 @@ def _one_invoice(spark: SparkSession) -> DataFrame:
 @query("insert_invoice", with_views(f"""
 SELECT * FROM tx_docs UNION ALL SELECT '{NEW_INVOICE}', {CUSTOMER}, 1""", "tx_docs"))
 def q_insert_invoice(spark: SparkSession, sf: str) -> DataFrame:
-    tx = layouts(spark, sf)["transactions"]
-    return _per_doc(dml.insert_rows(tx, _one_invoice(spark), ["InvoiceNo"]))
+    store = stored.insert_invoices(_fork(spark, sf), _one_invoice(spark))
+    return _per_doc(store.table("transactions"))
 
 
 @query("insert_customer", with_views(f"""
@@ -68,14 +82,8 @@ def q_insert_customer(spark: SparkSession, sf: str) -> DataFrame:
 SELECT CustomerID, count(DISTINCT InvoiceNo) + CASE WHEN CustomerID = {CUSTOMER} THEN 1 ELSE 0 END AS n_invoices
 FROM cust_items GROUP BY CustomerID""", "cust_items"))
 def q_push_invoice(spark: SparkSession, sf: str) -> DataFrame:
-    c = layouts(spark, sf)["customers"]
-    entry = F.struct(F.lit(NEW_INVOICE).alias("InvoiceNo"),
-                     F.lit("2011-12-09 12:00:00").cast("timestamp_ntz").alias("InvoiceDate"),
-                     F.array(F.struct(F.lit("P01").alias("StockCode"), F.lit("Test Item").alias("Description"),
-                                      F.lit(2).cast("long").alias("Quantity"),
-                                      F.lit(10.99).cast("decimal(18,2)").alias("UnitPrice"))).alias("Items"))
-    out = dml.push_invoice(c, CUSTOMER, entry)
-    return invoice_counts(out)
+    store = stored.push_invoice(_fork(spark, sf), CUSTOMER, _entry(2))
+    return invoice_counts(store.table("customers"))
 
 
 @query("update_item_qty", with_views(f"""
@@ -83,8 +91,8 @@ SELECT InvoiceNo, StockCode,
        CASE WHEN InvoiceNo = '{INVOICE}' AND StockCode = '{UPDATE_CODE}' THEN {NEW_QTY} ELSE Quantity END AS Quantity
 FROM tx_items""", "tx_items"))
 def q_update_item_qty(spark: SparkSession, sf: str) -> DataFrame:
-    tx = layouts(spark, sf)["transactions"]
-    return _flat_qty(dml.update_item_qty(tx, INVOICE, UPDATE_CODE, NEW_QTY))
+    store = stored.update_item_qty(_fork(spark, sf), INVOICE, UPDATE_CODE, NEW_QTY)
+    return _flat_qty(store.table("transactions"))
 
 
 @query("fn_array_update_where", with_views(f"""
@@ -92,7 +100,8 @@ SELECT InvoiceNo, StockCode,
        CASE WHEN InvoiceNo = '{INVOICE}' AND StockCode = '{UPDATE_CODE}' THEN {NEW_QTY} ELSE Quantity END AS Quantity
 FROM tx_items""", "tx_items"))
 def q_fn_array_update_where(spark: SparkSession, sf: str) -> DataFrame:
-    return q_update_item_qty(spark, sf)
+    """The array transform alone, over all documents."""
+    return _flat_qty(dml.update_item_qty(layouts(spark, sf)["transactions"], INVOICE, UPDATE_CODE, NEW_QTY))
 
 
 @query("update_item_qty_nested", with_views(f"""
@@ -101,37 +110,38 @@ SELECT CustomerID, InvoiceNo, StockCode,
 FROM cust_items""", "cust_items"))
 def q_update_item_qty_nested(spark: SparkSession, sf: str) -> DataFrame:
     from quarry.operators.docs import unwind_two_level
-    c = layouts(spark, sf)["customers"]
-    cust_of_invoice = CUSTOMER
-    out = dml.update_item_qty_nested(c, cust_of_invoice, INVOICE, UPDATE_CODE, NEW_QTY)
-    return unwind_two_level(out).select("CustomerID", "InvoiceNo", "StockCode", "Quantity")
+    store = stored.update_item_qty_nested(_fork(spark, sf), CUSTOMER, INVOICE, UPDATE_CODE, NEW_QTY)
+    return unwind_two_level(store.table("customers")).select("CustomerID", "InvoiceNo", "StockCode", "Quantity")
 
 
 @query("delete_invoice", with_views(f"SELECT * FROM tx_docs WHERE InvoiceNo <> '{INVOICE}'", "tx_docs"))
 def q_delete_invoice(spark: SparkSession, sf: str) -> DataFrame:
-    return _per_doc(dml.delete_invoice(layouts(spark, sf)["transactions"], INVOICE))
+    store = stored.delete_invoices(_fork(spark, sf), spark.range(1).select(F.lit(INVOICE).alias("InvoiceNo")))
+    return _per_doc(store.table("transactions"))
 
 
 @query("pull_invoice", with_views(f"""
 SELECT CustomerID, count(DISTINCT InvoiceNo) FILTER (WHERE InvoiceNo <> '{INVOICE}') AS n_invoices
 FROM cust_items GROUP BY CustomerID""", "cust_items"))
 def q_pull_invoice(spark: SparkSession, sf: str) -> DataFrame:
-    out = dml.pull_invoice(layouts(spark, sf)["customers"], INVOICE)
-    return invoice_counts(out)
+    store = stored.pull_invoice(_fork(spark, sf), INVOICE)
+    return invoice_counts(store.table("customers"))
 
 
 @query("fn_array_remove_where", with_views(f"""
 SELECT CustomerID, count(DISTINCT InvoiceNo) FILTER (WHERE InvoiceNo <> '{INVOICE}') AS n_invoices
 FROM cust_items GROUP BY CustomerID""", "cust_items"))
 def q_fn_array_remove_where(spark: SparkSession, sf: str) -> DataFrame:
-    return q_pull_invoice(spark, sf)
+    """The array filter alone, over all documents."""
+    return invoice_counts(dml.pull_invoice(layouts(spark, sf)["customers"], INVOICE))
 
 
 @query("fn_array_append", with_views(f"""
 SELECT CustomerID, count(DISTINCT InvoiceNo) + CASE WHEN CustomerID = {CUSTOMER} THEN 1 ELSE 0 END AS n_invoices
 FROM cust_items GROUP BY CustomerID""", "cust_items"))
 def q_fn_array_append(spark: SparkSession, sf: str) -> DataFrame:
-    return q_push_invoice(spark, sf)
+    """The array append alone, over all documents."""
+    return invoice_counts(dml.push_invoice(layouts(spark, sf)["customers"], CUSTOMER, _entry(2)))
 
 
 @query("synthetic_invoices", with_views("""
@@ -152,9 +162,9 @@ def q_synthetic_updates(spark: SparkSession, sf: str) -> DataFrame:
 @query("bulk_insert", with_views("""
 SELECT InvoiceNo, CustomerID, count(*) AS n_items FROM tx_bulk GROUP BY InvoiceNo, CustomerID""", "tx_bulk"))
 def q_bulk_insert(spark: SparkSession, sf: str) -> DataFrame:
-    lay = layouts(spark, sf)
-    new = dml.synthetic_invoices(lay["customer_refs"])
-    return _per_doc(dml.bulk_insert(lay["transactions"], new.unionByName(new), ["InvoiceNo"]))  # every key repeats
+    new = dml.synthetic_invoices(layouts(spark, sf)["customer_refs"])
+    store = stored.insert_invoices(_fork(spark, sf), new.unionByName(new))  # every key repeats
+    return _per_doc(store.table("transactions"))
 
 
 @query("bulk_update_qty", with_views("""
@@ -163,20 +173,19 @@ FROM tx_bulk t LEFT JOIN (SELECT CAST(800000 + CustomerID AS VARCHAR) AS invoice
                                  CustomerID % 15 + 5 AS new_quantity FROM refs) u
   ON t.InvoiceNo = u.invoice_no AND t.StockCode = u.stock_code""", "tx_bulk", "refs"))
 def q_bulk_update_qty(spark: SparkSession, sf: str) -> DataFrame:
-    lay = layouts(spark, sf)
-    tx = dml.bulk_insert(lay["transactions"], dml.synthetic_invoices(lay["customer_refs"]), ["InvoiceNo"])
-    return _flat_qty(dml.bulk_update_qty(tx, dml.synthetic_updates(lay["customer_refs"])))
+    refs = layouts(spark, sf)["customer_refs"]
+    store = stored.insert_invoices(_fork(spark, sf), dml.synthetic_invoices(refs))
+    return _flat_qty(stored.bulk_update_qty(store, dml.synthetic_updates(refs)).table("transactions"))
 
 
 @query("bulk_delete", with_views("""
 SELECT * FROM tx_docs WHERE InvoiceNo NOT IN (
   SELECT CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderpriority = '1-URGENT')""", "tx_docs"))
 def q_bulk_delete(spark: SparkSession, sf: str) -> DataFrame:
-    tx = layouts(spark, sf)["transactions"]
     urgent = (table(spark, sf, "orders", "o_orderkey", "o_orderpriority")
               .filter(F.col("o_orderpriority") == "1-URGENT")
               .select(F.col("o_orderkey").cast("string").alias("InvoiceNo")))
-    return _per_doc(dml.bulk_delete(tx, urgent, ["InvoiceNo"]))
+    return _per_doc(stored.delete_invoices(_fork(spark, sf), urgent).table("transactions"))
 
 
 _UPSERT_SRC_SQL = """

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import clean, docs, retail
+from quarry.operators import clean, docs, retail, stored
 from quarry.plans.registry import query
 from quarry.plans.sqlviews import with_views
 from quarry.sources.retail import raw_retail_view, retail_view
+from quarry.sources.versioned_store import VersionedStore
 
 # Fixed query parameters (present in every scale-factor folder).
 INVOICE = "42"
@@ -30,6 +31,15 @@ def layouts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return tables
 
 
+def open_store(spark: SparkSession, sf: str) -> VersionedStore:
+    """The versioned store over the layouts of ``sf``, with its indexes; built
+    by the first query that needs it."""
+    lay = layouts(spark, sf)
+    base = f"{lay['_base']}-store"
+    names = ("transactions", "customers", "customer_refs")
+    return VersionedStore.open(spark, base) or stored.build_store(spark, base, {n: f"{lay['_base']}/{n}" for n in names}, lay["_n_buckets"])
+
+
 def _dbl(c: str) -> F.Column:
     return F.col(c).cast("double").alias(c)
 
@@ -282,12 +292,10 @@ def q_find_invoice(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("find_invoice_nested", with_views(f"""
 SELECT CustomerID, Country, InvoiceNo, InvoiceDate, StockCode, Description, Quantity, CAST(UnitPrice AS DOUBLE) AS UnitPrice
-FROM cust_items WHERE CustomerID IN (SELECT CustomerID FROM cust_items WHERE InvoiceNo = '{INVOICE}')""", "cust_items"))
+FROM cust_items WHERE CustomerID = (SELECT min(o_custkey) FROM orders WHERE o_orderkey = {INVOICE})""", "cust_items"))
 def q_find_invoice_nested(spark: SparkSession, sf: str) -> DataFrame:
-    c = layouts(spark, sf)["customers"]
-    holders = retail.find_invoice_nested(c, INVOICE).select("CustomerID").distinct()
-    # the whole customer document: all its chunks
-    return docs.unwind_two_level(c.join(holders, "CustomerID", "left_semi")).withColumn("UnitPrice", _dbl("UnitPrice"))
+    found = stored.find_invoice_nested(open_store(spark, sf), INVOICE)
+    return docs.unwind_two_level(found).withColumn("UnitPrice", _dbl("UnitPrice"))
 
 
 @query("find_customer_info", with_views(f"SELECT CustomerID, Country FROM refs WHERE CustomerID = {CUSTOMER}", "refs"))
@@ -299,7 +307,7 @@ def q_customer_info(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("invoices_by_customer", with_views(f"SELECT {ITEM_COLS_SQL} FROM tx_items WHERE CustomerID = {CUSTOMER}", "tx_items"))
 def q_inv_by_cust(spark: SparkSession, sf: str) -> DataFrame:
-    tx = retail.invoices_by_customer(layouts(spark, sf)["transactions"], CUSTOMER)
+    tx = stored.invoices_by_customer(open_store(spark, sf), CUSTOMER)
     return docs.unwind_items(tx).withColumn("UnitPrice", _dbl("UnitPrice"))
 
 
@@ -319,7 +327,7 @@ _MONTH_SQL = (f"InvoiceDate >= make_timestamp({YEAR}, {MONTH}, 1, 0, 0, 0) AND "
 
 @query("invoices_by_month", with_views(f"SELECT {ITEM_COLS_SQL} FROM tx_items WHERE CustomerID = {CUSTOMER} AND {_MONTH_SQL}", "tx_items"))
 def q_inv_by_month(spark: SparkSession, sf: str) -> DataFrame:
-    tx = retail.invoices_by_month(layouts(spark, sf)["transactions"], CUSTOMER, YEAR, MONTH)
+    tx = stored.invoices_by_month(open_store(spark, sf), CUSTOMER, YEAR, MONTH)
     return docs.unwind_items(tx).withColumn("UnitPrice", _dbl("UnitPrice"))
 
 
@@ -327,7 +335,7 @@ def q_inv_by_month(spark: SparkSession, sf: str) -> DataFrame:
 SELECT InvoiceNo, InvoiceDate, StockCode, Description, Quantity, CAST(UnitPrice AS DOUBLE) AS UnitPrice
 FROM cust_items WHERE CustomerID = {CUSTOMER} AND {_MONTH_SQL}""", "cust_items"))
 def q_inv_by_month_nested(spark: SparkSession, sf: str) -> DataFrame:
-    inv = retail.invoices_by_month_nested(layouts(spark, sf)["customers"], CUSTOMER, YEAR, MONTH)
+    inv = retail.invoices_by_month_nested(open_store(spark, sf).lookup("customers", [CUSTOMER]), CUSTOMER, YEAR, MONTH)
     return (inv.select("InvoiceNo", "InvoiceDate", F.explode("Items").alias("_it"))
             .select("InvoiceNo", "InvoiceDate", *[F.col(f"_it.{c}").alias(c) for c in docs.ITEM_FIELDS])
             .withColumn("UnitPrice", _dbl("UnitPrice")))
@@ -338,7 +346,7 @@ SELECT InvoiceNo, StockCode, Description, Quantity, CAST(UnitPrice AS DOUBLE) AS
 WHERE InvoiceNo IN (SELECT InvoiceNo FROM tx_items WHERE regexp_matches(Description, '(?i){TERM}')
                     GROUP BY InvoiceNo ORDER BY InvoiceNo LIMIT {SEARCH_LIMIT})""", "tx_items"))
 def q_product_search(spark: SparkSession, sf: str) -> DataFrame:
-    found = retail.product_search(layouts(spark, sf)["transactions"], TERM, SEARCH_LIMIT)
+    found = stored.product_search(open_store(spark, sf), TERM, SEARCH_LIMIT)
     return retail.flatten_search(found, "InvoiceNo").withColumn("UnitPrice", _dbl("UnitPrice"))
 
 
@@ -347,7 +355,7 @@ SELECT CustomerID, StockCode, Description, Quantity, CAST(UnitPrice AS DOUBLE) A
 WHERE CustomerID IN (SELECT CustomerID FROM cust_items WHERE regexp_matches(Description, '(?i){TERM}')
                      GROUP BY CustomerID ORDER BY CustomerID LIMIT {SEARCH_LIMIT})""", "cust_items"))
 def q_product_search_nested(spark: SparkSession, sf: str) -> DataFrame:
-    found = retail.product_search_nested(layouts(spark, sf)["customers"], TERM, SEARCH_LIMIT)
+    found = stored.product_search_nested(open_store(spark, sf), TERM, SEARCH_LIMIT)
     return retail.flatten_search(found, "CustomerID").withColumn("UnitPrice", _dbl("UnitPrice"))
 
 
@@ -383,8 +391,9 @@ def q_join_customer_invoices(spark: SparkSession, sf: str) -> DataFrame:
 SELECT t.InvoiceNo, t.CustomerID, f.Country, t.StockCode FROM tx_items t LEFT JOIN refs f ON t.CustomerID = f.CustomerID
 WHERE t.InvoiceNo = '{INVOICE}'""", "tx_items", "refs"))
 def q_lookup_left_unwind(spark: SparkSession, sf: str) -> DataFrame:
-    lay = layouts(spark, sf)
-    found = retail.find_invoice_with_customer(lay["transactions"], lay["customer_refs"], INVOICE)
+    store = open_store(spark, sf)
+    tx = store.lookup("transactions", [INVOICE])
+    found = tx.join(stored.by_keys(store, "customer_refs", tx), "CustomerID", "left")
     return (found.select("InvoiceNo", "CustomerID", "Country", F.explode("Items").alias("_it"))
             .select("InvoiceNo", "CustomerID", "Country", "_it.StockCode"))
 
@@ -413,7 +422,7 @@ def q_lookup_inner(spark: SparkSession, sf: str) -> DataFrame:
 @query("semi_in_list", with_views(f"""
 SELECT InvoiceNo, count(*) AS n_items FROM tx_items WHERE InvoiceNo IN ({", ".join(repr(x) for x in IN_LIST)}) GROUP BY InvoiceNo""", "tx_items"))
 def q_semi_in_list(spark: SparkSession, sf: str) -> DataFrame:
-    tx = layouts(spark, sf)["transactions"].filter(F.col("InvoiceNo").isin(IN_LIST))
+    tx = open_store(spark, sf).lookup("transactions", IN_LIST)
     return tx.groupBy("InvoiceNo").agg(F.sum(F.size("Items")).cast("long").alias("n_items"))
 
 

@@ -228,6 +228,7 @@ def stored_layouts(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFram
     for name in LAYOUT_TABLES:
         df = spark.read.parquet(f"{base}/{name}")
         out[name.lstrip("_")] = df.drop("bucket") if "bucket" in df.columns else df
+    out["_base"] = base
     out["_bucketed"] = {n: spark.read.parquet(f"{base}/{n}") for n in ("transactions", "customers", "customer_refs")}
     return out, n_buckets
 
