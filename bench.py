@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from quarry.operators import dml, docs, retail  # noqa: E402
+from quarry.operators import dml, docs, retail, stored  # noqa: E402
 from quarry.session import get_spark  # noqa: E402
 from quarry.sources import layout_store as store  # noqa: E402
 from quarry.sources.retail import retail_view  # noqa: E402
@@ -70,31 +70,30 @@ def main() -> None:
         base + "/transactions_embedded", "InvoiceNo", n_buckets)
     ingest_embedded = round(time.perf_counter() - t0, 3)
 
-    tx_path, refs_path, cust_path = paths["transactions"], paths["customer_refs"], paths["customers"]
-    # One DataFrame handle per table, as a running server keeps its
-    # collections open; a handle is refreshed only after a write changed the
-    # table's files (its file index would be stale).
-    handles: dict[str, object] = {}
-
-    def handle(path):
-        if path not in handles:
-            handles[path] = store.read_table(spark, path)
-        return handles[path]
-
-    def changed(path):
-        handles.pop(path, None)
-
-    tx = lambda: handle(tx_path)        # noqa: E731
-    refs = lambda: handle(refs_path)
-    cust = lambda: handle(cust_path)
-    emb = lambda: handle(emb_path)      # noqa: E731
+    # the versioned store over these tables, with its indexes; reads and writes go through it
+    t0 = time.perf_counter()
+    kept = stored.build_store(spark, base + "/store", paths, n_buckets)
+    ingest_indexes = round(time.perf_counter() - t0, 3)
+    # One DataFrame handle per whole table and version, as a running server
+    # keeps its collections open.
+    handles: dict[tuple, object] = {}
+
+    def handle(name):
+        if (name, kept.version) not in handles:
+            handles[name, kept.version] = kept.table(name)
+        return handles[name, kept.version]
+
+    tx = lambda: handle("transactions")       # noqa: E731
+    refs = lambda: handle("customer_refs")
+    cust = lambda: handle("customers")        # noqa: E731
+    whole = store.read_table(spark, emb_path)
+    emb = lambda: whole                       # noqa: E731
     def reads():
         return [
-            lambda: store.lookup(tx(), "InvoiceNo", INVOICE, n_buckets).collect(),
-            lambda: store.find_holder(cust(), "CustomerID",
-                                      F.array_contains(F.col("Invoices.InvoiceNo"), F.lit(INVOICE)), n_buckets).collect(),
-            lambda: retail.invoices_by_customer(tx(), CUSTOMER).collect(),
-            lambda: retail.invoices_by_month(tx(), CUSTOMER, YEAR, MONTH).collect(),
+            lambda: kept.lookup("transactions", [INVOICE]).collect(),
+            lambda: stored.find_invoice_nested(kept, INVOICE).collect(),
+            lambda: stored.invoices_by_customer(kept, CUSTOMER).collect(),
+            lambda: stored.invoices_by_month(kept, CUSTOMER, YEAR, MONTH).collect(),
             lambda: retail.product_sales(tx(), STOCK).collect(),
             lambda: retail.product_sales_nested(cust(), STOCK).collect(),
             lambda: retail.top_customers(tx(), TOP).collect(),
@@ -102,8 +101,8 @@ def main() -> None:
             lambda: retail.sales_by_country(tx(), refs()).collect(),
             lambda: retail.sales_by_country_nested(cust()).collect(),
             lambda: retail.sales_by_country_embedded(emb()).collect(),
-            lambda: retail.product_search(tx(), TERM, LIMIT).collect(),
-            lambda: retail.product_search_nested(cust(), TERM, LIMIT).collect(),
+            lambda: stored.product_search(kept, TERM, LIMIT).collect(),
+            lambda: stored.product_search_nested(kept, TERM, LIMIT).collect(),
         ]
 
     # The reference timed a long-running, warm server: run every read once
@@ -122,23 +121,19 @@ def main() -> None:
                      F.array(item).alias("Items"))
 
     # Create Invoice
-    timed(q, "tx_create_invoice", lambda: store.append_rows(new_tx, tx_path, "InvoiceNo", n_buckets))
-    timed(q, "cust_create_invoice", lambda: store.push_as_chunk(spark, cust_path, cust(), CUSTOMER, entry, n_buckets))
-    changed(tx_path)
-    changed(cust_path)
-    tx().schema, cust().schema  # re-open the changed tables (untimed, like a server's cursor)
+    timed(q, "tx_create_invoice", lambda: stored.insert_invoices(kept, new_tx))
+    timed(q, "cust_create_invoice", lambda: stored.push_invoice(kept, CUSTOMER, entry))
     # Find by ID (cold), Single Invoice (same call, warm)
     for label in ("find_by_id", "single_invoice"):
-        timed(q, f"tx_{label}", lambda: store.lookup(tx(), "InvoiceNo", INVOICE, n_buckets).collect(), reps=REPS)
-        timed(q, f"cust_{label}", lambda: store.find_holder(
-            cust(), "CustomerID", F.array_contains(F.col("Invoices.InvoiceNo"), F.lit(INVOICE)), n_buckets).collect(), reps=REPS)
+        timed(q, f"tx_{label}", lambda: kept.lookup("transactions", [INVOICE]).collect(), reps=REPS)
+        timed(q, f"cust_{label}", lambda: stored.find_invoice_nested(kept, INVOICE).collect(), reps=REPS)
     # Customer Invoices
-    timed(q, "tx_customer_invoices", lambda: retail.invoices_by_customer(tx(), CUSTOMER).collect(), reps=REPS)
-    timed(q, "cust_customer_invoices", lambda: store.lookup(cust(), "CustomerID", CUSTOMER, n_buckets).collect(), reps=REPS)
+    timed(q, "tx_customer_invoices", lambda: stored.invoices_by_customer(kept, CUSTOMER).collect(), reps=REPS)
+    timed(q, "cust_customer_invoices", lambda: kept.lookup("customers", [CUSTOMER]).collect(), reps=REPS)
     # Customer Invoices by Month/Year
-    timed(q, "tx_invoices_by_month", lambda: retail.invoices_by_month(tx(), CUSTOMER, YEAR, MONTH).collect(), reps=REPS)
+    timed(q, "tx_invoices_by_month", lambda: stored.invoices_by_month(kept, CUSTOMER, YEAR, MONTH).collect(), reps=REPS)
     timed(q, "cust_invoices_by_month", lambda: retail.invoices_by_month_nested(
-        store.lookup(cust(), "CustomerID", CUSTOMER, n_buckets), CUSTOMER, YEAR, MONTH).collect(), reps=REPS)
+        kept.lookup("customers", [CUSTOMER]), CUSTOMER, YEAR, MONTH).collect(), reps=REPS)
     # Product Sales
     timed(q, "tx_product_sales", lambda: retail.product_sales(tx(), STOCK).collect(), reps=REPS)
     timed(q, "cust_product_sales", lambda: retail.product_sales_nested(cust(), STOCK).collect(), reps=REPS)
@@ -150,42 +145,24 @@ def main() -> None:
     timed(q, "cust_sales_by_country", lambda: retail.sales_by_country_nested(cust()).collect(), reps=REPS)
     timed(q, "emb_sales_by_country", lambda: retail.sales_by_country_embedded(emb()).collect(), reps=REPS)
     # Product Search
-    timed(q, "tx_product_search", lambda: retail.product_search(tx(), TERM, LIMIT).collect(), reps=REPS)
-    timed(q, "cust_product_search", lambda: retail.product_search_nested(cust(), TERM, LIMIT).collect(), reps=REPS)
+    timed(q, "tx_product_search", lambda: stored.product_search(kept, TERM, LIMIT).collect(), reps=REPS)
+    timed(q, "cust_product_search", lambda: stored.product_search_nested(kept, TERM, LIMIT).collect(), reps=REPS)
     # Update Item Quantity
-    timed(q, "tx_update_item_qty", lambda: store.rewrite_bucket(
-        spark, tx_path, "InvoiceNo", INVOICE, n_buckets, lambda d: dml.update_item_qty(d, INVOICE, "646", 99)))
-    timed(q, "cust_update_item_qty", lambda: store.rewrite_bucket(
-        spark, cust_path, "CustomerID", CUSTOMER, n_buckets,
-        lambda d: dml.update_item_qty_nested(d, CUSTOMER, INVOICE, "646", 99)))
-    changed(tx_path)
-    changed(cust_path)
+    timed(q, "tx_update_item_qty", lambda: stored.update_item_qty(kept, INVOICE, "646", 99))
+    timed(q, "cust_update_item_qty", lambda: stored.update_item_qty_nested(kept, CUSTOMER, INVOICE, "646", 99))
     # Delete Invoice
-    timed(q, "tx_delete_invoice", lambda: store.rewrite_bucket(
-        spark, tx_path, "InvoiceNo", INVOICE, n_buckets, lambda d: dml.delete_invoice(d, INVOICE)))
-    timed(q, "cust_delete_invoice", lambda: store.rewrite_bucket(
-        spark, cust_path, "CustomerID", CUSTOMER, n_buckets, lambda d: dml.pull_invoice(d, INVOICE)))
-    changed(tx_path)
-    changed(cust_path)
+    timed(q, "tx_delete_invoice", lambda: stored.delete_invoices(kept, spark.range(1).select(F.lit(INVOICE).alias("InvoiceNo"))))
+    timed(q, "cust_delete_invoice", lambda: stored.pull_invoice(kept, INVOICE))
     # Bulk insert 100 / update 50 / delete 100 (transaction layout)
     ids = spark.range(100).select(F.col("id").cast("int").alias("CustomerID"))
-    timed(q, "tx_bulk_insert_100", lambda: store.append_rows(
-        dml.synthetic_invoices(ids).join(tx().select("InvoiceNo"), "InvoiceNo", "left_anti"), tx_path, "InvoiceNo", n_buckets))
-
-    changed(tx_path)
-    upd = dml.synthetic_updates(ids.limit(50))
-    timed(q, "tx_bulk_update_50", lambda: store.rewrite_buckets(
-        spark, tx_path, "InvoiceNo", upd.select(F.col("invoice_no").alias("InvoiceNo")), n_buckets,
-        lambda d: dml.bulk_update_qty(d, upd)))
-    changed(tx_path)
-    gone = dml.synthetic_invoices(ids).select("InvoiceNo")
-    timed(q, "tx_bulk_delete_100", lambda: store.rewrite_buckets(
-        spark, tx_path, "InvoiceNo", gone, n_buckets, lambda d: dml.bulk_delete(d, gone, ["InvoiceNo"])))
+    timed(q, "tx_bulk_insert_100", lambda: stored.insert_invoices(kept, dml.synthetic_invoices(ids)))
+    timed(q, "tx_bulk_update_50", lambda: stored.bulk_update_qty(kept, dml.synthetic_updates(ids.limit(50))))
+    timed(q, "tx_bulk_delete_100", lambda: stored.delete_invoices(kept, dml.synthetic_invoices(ids).select("InvoiceNo")))
 
     sf_name = os.path.basename(SF_DIR.rstrip("/")).replace("sf", "")
     sf = float(sf_name) if sf_name.replace(".", "", 1).isdigit() else sf_name
     print(json.dumps({"metric": "retail_paired_ops_total", "value": round(sum(q.values()), 3), "unit": "sec",
-                      "queries": q, "sf": sf, "ingest_sec": ingest, "ingest_embedded_sec": ingest_embedded, "warmup_sec": warmup, "read_reps": REPS, "read_stat": "median", "cpus": CPUS, "buckets": n_buckets}))
+                      "queries": q, "sf": sf, "ingest_sec": ingest, "ingest_embedded_sec": ingest_embedded, "ingest_indexes_sec": ingest_indexes, "warmup_sec": warmup, "read_reps": REPS, "read_stat": "median", "cpus": CPUS, "buckets": n_buckets}))
     spark.stop()
 
 

@@ -8,12 +8,15 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark import inheritable_thread_target
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,31 +94,34 @@ def feature_importance(model: PipelineModel, feature_names: Sequence[str]) -> Da
             .orderBy(F.desc("importance"), F.asc("feature")))
 
 
-def sweep(train: DataFrame, test: DataFrame, settings: Sequence[dict], label: str = "label") -> DataFrame:
+def sweep(train: DataFrame, test: DataFrame, settings: Sequence[dict], label: str = "label", parallel: int = 4) -> DataFrame:
     """Fit each setting (``{"model": "rf"|"lr", ...params}``) and collect one
-    metric row per run, in run order.  Each fit is a distributed job."""
+    metric row per run, in run order.  Each fit is a distributed job;
+    ``parallel`` of them run at a time, so ``train`` and ``test`` should be
+    cut tables."""
     spark = train.sparkSession
     n = train.count()
-    rows = []
-    for order, s in enumerate(settings):
+
+    def run(order: int, s: dict) -> tuple:
         params = {k: v for k, v in s.items() if k != "model"}
         if s["model"] == "rf":
-            est = random_forest(params.get("n_estimators", 100), params.get("max_depth"), params.get("random_state", 42), label)
-            name = f"RF_estimators_{params.get('n_estimators')}_depth_{params.get('max_depth')}"
-            mtype = "RandomForestClassifier"
+            name, mtype = f"RF_estimators_{params.get('n_estimators')}_depth_{params.get('max_depth')}", "RandomForestClassifier"
         else:
-            est = logistic(params.get("C", 1.0), n, params.get("max_iter", 100), label)
-            name = f"LR_C_{params.get('C')}"
-            mtype = "LogisticRegression"
+            name, mtype = f"LR_C_{params.get('C')}", "LogisticRegression"
+        head = (order, name, mtype, json.dumps(params, sort_keys=True))
         try:
+            if s["model"] == "rf":
+                est = random_forest(params.get("n_estimators", 100), params.get("max_depth"), params.get("random_state", 42), label)
+            else:
+                est = logistic(params.get("C", 1.0), n, params.get("max_iter", 100), label)
             model = fit(train, est, scale=True, label=label)
-            tr = evaluate(model, train, label).first()
-            te = evaluate(model, test, label).first()
-            rows.append((order, name, mtype, json.dumps(params, sort_keys=True), "FINISHED",
-                         tr["accuracy"], te["accuracy"], te["precision"], te["recall"], te["f1"]))
-        except Exception as exc:  # a failed setting is a row, not a silent skip
-            rows.append((order, name, mtype, json.dumps(params, sort_keys=True), f"FAILED: {type(exc).__name__}",
-                         None, None, None, None, None))
+            tr, te = evaluate(model, train, label).first(), evaluate(model, test, label).first()
+        except (ValueError, PySparkException) as exc:  # a setting that can't be fitted is a row, not a silent skip
+            return (*head, f"FAILED: {type(exc).__name__}", None, None, None, None, None)
+        return (*head, "FINISHED", tr["accuracy"], te["accuracy"], te["precision"], te["recall"], te["f1"])
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        rows = list(pool.map(inheritable_thread_target(spark)(run), range(len(settings)), settings))
     return spark.createDataFrame(rows, "run_order int, run_name string, model_type string, params string, status string, "
                                        "train_accuracy double, test_accuracy double, test_precision double, "
                                        "test_recall double, test_f1_score double")
@@ -133,11 +139,13 @@ def save_model(model: PipelineModel, path: str, example: DataFrame | None = None
 
 
 def load_model(path: str) -> PipelineModel | None:
-    """Load a saved pipeline; an absent model gives ``None`` (not an exception)."""
-    try:
-        return PipelineModel.load(path)
-    except Exception:  # noqa: BLE001 - absent or unreadable model
+    """Load a saved pipeline; an absent model gives ``None`` (not an exception).
+    A damaged one, or a folder that may not be read, raises."""
+    spark = SparkSession.getActiveSession()
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
         return None
+    return PipelineModel.load(path)
 
 
 def model_signature(example: DataFrame, n: int = 3) -> DataFrame:

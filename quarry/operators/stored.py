@@ -16,12 +16,15 @@ documents and all their indexes in one commit.
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import dml
 from quarry.operators.retail import month_range, ntz
+from quarry.sources.layout_store import literal_bucket
 from quarry.sources.versioned_store import Conflict, VersionedStore
 
 MOST_KEYS = 10_000
@@ -147,6 +150,12 @@ def product_search_nested(store: VersionedStore, term: str, limit: int = 20) ->
 
 # ------------------------------------------------------------ writes
 
+def _together(store: VersionedStore, *makers) -> list[dict]:
+    """Stage independent changes at the same time."""
+    with ThreadPoolExecutor(max_workers=len(makers)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(store.spark)(m)) for m in makers]]
+
+
 def _without(store: VersionedStore, name: str, gone: DataFrame) -> dict:
     """Stage an index without the rows ``gone`` (all its columns)."""
     buckets = store.buckets_of(name, gone)
@@ -156,7 +165,7 @@ def _without(store: VersionedStore, name: str, gone: DataFrame) -> dict:
 def _new_trigrams(store: VersionedStore, words: DataFrame) -> dict:
     rows = trigrams(words)
     held = store.table("trigrams", store.buckets_of("trigrams", rows))
-    return store.stage("trigrams", rows.join(held, ["Trigram", "Description"], "left_anti"))
+    return store.stage("trigrams", rows.join(held, ["Trigram", "Description"], "left_anti"), few=True)
 
 
 def insert_invoices(store: VersionedStore, docs: DataFrame) -> VersionedStore:
@@ -166,8 +175,8 @@ def insert_invoices(store: VersionedStore, docs: DataFrame) -> VersionedStore:
     fresh = dml.one_per_key(docs, ["InvoiceNo"]).join(store.table("transactions", buckets).select("InvoiceNo"), "InvoiceNo", "left_anti")
     first = store.stage("transactions", fresh)
     added = store.staged(first)
-    words = store.stage("tx_words", tx_words(added))
-    return store.commit([first, store.stage("customer_invoices", customer_invoices(added)), words, _new_trigrams(store, store.staged(words))])
+    return store.commit([first, *_together(store, lambda: store.stage("customer_invoices", customer_invoices(added)),
+                                           lambda: store.stage("tx_words", tx_words(added)), lambda: _new_trigrams(store, tx_words(added)))])
 
 
 def delete_invoices(store: VersionedStore, keys: DataFrame) -> VersionedStore:
@@ -176,8 +185,10 @@ def delete_invoices(store: VersionedStore, keys: DataFrame) -> VersionedStore:
     buckets = store.buckets_of("transactions", keys)
     part = store.table("transactions", buckets)
     gone = part.join(keys.select("InvoiceNo"), "InvoiceNo", "left_semi")
-    rest = store.stage("transactions", part.join(keys.select("InvoiceNo"), "InvoiceNo", "left_anti"), replace=buckets)
-    return store.commit([rest, _without(store, "customer_invoices", customer_invoices(gone)), _without(store, "tx_words", tx_words(gone))])
+    rest = part.join(keys.select("InvoiceNo"), "InvoiceNo", "left_anti")
+    return store.commit(_together(store, lambda: store.stage("transactions", rest, replace=buckets),
+                                  lambda: _without(store, "customer_invoices", customer_invoices(gone)),
+                                  lambda: _without(store, "tx_words", tx_words(gone))))
 
 
 def update_item_qty(store: VersionedStore, invoice_no: str, stock_code: str, quantity: int) -> VersionedStore:
@@ -199,8 +210,8 @@ def update_item_qty_nested(store: VersionedStore, customer_id: int, invoice_no:
 
 def _changed(store: VersionedStore, name: str, keys: list, change) -> VersionedStore:
     """Commit ``change`` of the buckets that hold ``keys``."""
-    one = store.spark.createDataFrame([(k,) for k in keys], f"{store.key(name)} {store.schema(name)[store.key(name)].dataType.simpleString()}")
-    buckets = store.buckets_of(name, one)
+    kind = store.schema(name)[store.key(name)].dataType.simpleString()
+    buckets = {literal_bucket(k, kind, store.n_buckets(name)) for k in keys}
     return store.commit([store.stage(name, change(store.table(name, buckets)), replace=buckets)])
 
 
@@ -214,13 +225,14 @@ def push_invoice(store: VersionedStore, customer_id: int, entry: Column) -> Vers
     doc = store.spark.range(1).select(F.lit(customer_id).cast(schema["CustomerID"].dataType).alias("CustomerID"),
                                       F.lit(head["c"] + 1).cast("int").alias("Chunk"), F.lit(head["country"]).alias("Country"),
                                       F.array(entry).cast(schema["Invoices"].dataType).alias("Invoices"))
-    first = store.stage("customers", doc)
+    first = store.stage("customers", doc, few=True)
     added = store.staged(first)
     known = store.lookup("invoice_customers", [r[0] for r in invoice_customers(added).select("InvoiceNo").collect()])  # one entry
     words = customer_words(added)
     held = store.table("customer_words", store.buckets_of("customer_words", words))
-    return store.commit([first, store.stage("invoice_customers", invoice_customers(added).join(known, ["InvoiceNo", "CustomerID"], "left_anti")),
-                         store.stage("customer_words", words.join(held, ["Description", "CustomerID"], "left_anti")), _new_trigrams(store, words)])
+    return store.commit([first, *_together(
+        store, lambda: store.stage("invoice_customers", invoice_customers(added).join(known, ["InvoiceNo", "CustomerID"], "left_anti"), few=True),
+        lambda: store.stage("customer_words", words.join(held, ["Description", "CustomerID"], "left_anti"), few=True), lambda: _new_trigrams(store, words))])
 
 
 def pull_invoice(store: VersionedStore, invoice_no: str) -> VersionedStore:
@@ -232,4 +244,4 @@ def pull_invoice(store: VersionedStore, invoice_no: str) -> VersionedStore:
     touched = part.join(holders.select("CustomerID"), "CustomerID", "left_semi")
     after = store.staged(rest).join(holders.select("CustomerID"), "CustomerID", "left_semi")
     words = customer_words(touched).join(customer_words(after), ["Description", "CustomerID"], "left_anti")
-    return store.commit([rest, _without(store, "invoice_customers", holders), _without(store, "customer_words", words)])
+    return store.commit([rest, *_together(store, lambda: _without(store, "invoice_customers", holders), lambda: _without(store, "customer_words", words))])

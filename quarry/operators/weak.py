@@ -9,16 +9,18 @@ explicitly written in Python (``python_lf``, Arrow-batched).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions import text as tx
+from quarry.session import checkpoint_dir
 
 ABSTAIN = -1
 
@@ -227,74 +229,68 @@ def voter_quality(L: DataFrame, pred: str, truth: str, mask: Column, places: int
 
 # ------------------------------------------------------------------ label model
 
-def _em(patterns: np.ndarray, counts: np.ndarray, k: int, n_iter: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Dawid–Skene EM with conditionally independent LFs.
-
-    patterns: (P, m) votes in {-1, 0..k-1}; counts: (P,) multiplicities.
-    Returns class prior (k,) and posterior per pattern (P, k).
-    """
-    P, m = patterns.shape
-    rng = np.random.default_rng(seed)
-    obs = patterns + 1  # 0 = abstain, 1..k = class
-    # initialise posteriors from a soft majority vote
-    post = np.full((P, k), 1.0 / k)
-    for y in range(k):
-        post[:, y] += (patterns == y).sum(axis=1)
-    post += 1e-3 * rng.random((P, k))
-    post /= post.sum(axis=1, keepdims=True)
-    w = counts.astype(float)
-    prior = np.full(k, 1.0 / k)
-    for _ in range(n_iter):
-        # M step: prior and per-LF confusion P(obs | y), Laplace-smoothed
-        prior = (w[:, None] * post).sum(axis=0) + 1.0
-        prior /= prior.sum()
-        cond = np.ones((m, k, k + 1))
-        for j in range(m):
-            for o in range(k + 1):
-                sel = obs[:, j] == o
-                cond[j, :, o] += (w[sel, None] * post[sel]).sum(axis=0)
-        cond /= cond.sum(axis=2, keepdims=True)
-        # E step
-        logp = np.log(prior)[None, :].repeat(P, axis=0)
-        for j in range(m):
-            logp += np.log(cond[j][:, obs[:, j]].T)
-        logp -= logp.max(axis=1, keepdims=True)
-        new = np.exp(logp)
-        new /= new.sum(axis=1, keepdims=True)
-        if np.abs(new - post).max() < 1e-10:
-            post = new
-            break
-        post = new
-    return prior, post
-
-
-def label_model(L: DataFrame, lf_cols: Sequence[str], cardinality: int = 2, n_epochs: int = 500,
-                seed: int = 42) -> DataFrame:
+def _posterior(lf_cols: Sequence[str], prior: Sequence[float], cond: Sequence[Sequence[Sequence[float]]]) -> Column:
+    """P(class | votes) of a row as an array: the E step, in one expression.
+    ``cond[j][y][o]`` is the probability that LF ``j`` gives outcome ``o``
+    (0: abstains, then the classes) on a row of class ``y``."""
+    logs = [reduce(lambda a, b: a + b, [F.lit(math.log(prior[y]))] + [
+        F.element_at(F.array(*[F.lit(math.log(x)) for x in cond[j][y]]), F.col(c) + 2) for j, c in enumerate(lf_cols)])
+        for y in range(len(prior))]
+    table = F.array(*logs)
+    top = F.array_max(table)
+    odds = F.transform(table, lambda x: F.exp(x - top))
+    return F.transform(odds, lambda x: x / F.aggregate(odds, F.lit(0.0), lambda a, b: a + b))
+
+
+def _estimates(patterns: DataFrame, lf_cols: Sequence[str], k: int) -> tuple[list[float], list[list[list[float]]]]:
+    """Class prior and each LF's outcome shares by class, both with one added
+    row of each kind: the M step, one aggregate over ``patterns`` (``votes``,
+    ``_n``, ``_post``).  Only its ``len(lf_cols) * (k + 1)`` sums are collected."""
+    outcome = F.explode(F.array(*[F.struct(F.lit(j).alias("j"), (F.col(c) + 1).alias("o")) for j, c in enumerate(lf_cols)]))
+    sums = (patterns.select("_n", "_post", outcome.alias("v")).groupBy("v.j", "v.o")
+            .agg(*[F.sum(F.col("_n") * F.col("_post")[y]).alias(f"y{y}") for y in range(k)])).collect()
+    cond = [[[1.0] * (k + 1) for _ in range(k)] for _ in lf_cols]
+    prior = [1.0] * k
+    for r in sorted(sums, key=lambda r: (r["j"], r["o"])):
+        for y in range(k):
+            cond[r["j"]][y][r["o"]] += r[f"y{y}"]
+            prior[y] += r[f"y{y}"] if r["j"] == 0 else 0.0
+    whole = sum(prior)
+    return [x / whole for x in prior], [[[x / sum(row) for x in row] for row in lf] for lf in cond]
+
+
+def label_model(L: DataFrame, lf_cols: Sequence[str], cardinality: int = 2, n_epochs: int = 100,
+                seed: int | None = None, tolerance: float = 1e-7) -> DataFrame:
     """Probabilistic labels from LF votes (fit + predict_proba + predict).
 
-    The fit runs on the table of distinct vote patterns with their counts —
-    at most (cardinality + 1) ** len(lf_cols) rows whatever the data size — so
-    only that bounded summary reaches the driver; the posteriors are joined
-    back to every row on the vote pattern (broadcast of the same bounded
-    table).  Not bit-equal to other implementations: EM is over a
-    naive-Bayes model with Laplace smoothing.
+    Expectation maximisation over a naive-Bayes model of the votes, as Spark
+    aggregates: the distinct vote patterns are counted and written once,
+    however many they are, and every step is one aggregate over them.  Only
+    the model's parameters reach the driver.  It begins from the share of each
+    class among a row's votes (each class given ``1 / cardinality`` vote more),
+    and ends after ``n_epochs`` steps or once no parameter moves by
+    ``tolerance``.  The posteriors are then an expression of each row's votes:
+    nothing is joined.  The fit is the same whatever ``seed``.  A null vote abstains; a vote outside the classes
+    raises; equal posteriors give no label.  Not bit-equal to other solvers.
     """
-    max_patterns = (cardinality + 1) ** len(lf_cols)
-    L = L.withColumns({c: F.coalesce(F.col(c), F.lit(ABSTAIN)).cast("int") for c in lf_cols})  # no vote: abstains
-    pat = L.groupBy(*lf_cols).agg(F.count(F.lit(1)).alias("_n"))
-    rows = pat.limit(max_patterns + 1).collect()
-    if len(rows) > max_patterns:
-        raise ValueError("votes outside −1..cardinality−1")
-    patterns = np.array([[r[c] for c in lf_cols] for r in rows], dtype=int).reshape(len(rows), len(lf_cols))
-    counts = np.array([r["_n"] for r in rows], dtype=float)
-    _, post = _em(patterns, counts, cardinality, n_epochs, seed)
-    spark = L.sparkSession
-    table = spark.createDataFrame(
-        [tuple(int(v) for v in patterns[i]) + ([float(x) for x in post[i]],) for i in range(len(rows))],
-        T.StructType([*[T.StructField(c, T.IntegerType()) for c in lf_cols],
-                      T.StructField("probs", T.ArrayType(T.DoubleType()))]))
-    out = L.join(F.broadcast(table), list(lf_cols), "left")  # ≤ max_patterns rows
+    k = cardinality
+    L = L.withColumns({c: F.coalesce(F.col(c), F.lit(ABSTAIN)).cast("int") for c in lf_cols})
+    inside = reduce(lambda a, b: a & b, [F.col(c).between(ABSTAIN, k - 1) for c in lf_cols])
+    counted = L.groupBy(*lf_cols).agg(F.count(F.lit(1)).alias("_n"))
+    patterns = counted.withColumn("_n", F.when(inside, F.col("_n")).otherwise(F.raise_error(F.lit("votes outside -1..cardinality-1"))))
+    checkpoint_dir(L.sparkSession)
+    patterns = patterns.checkpoint()
+    votes = [reduce(lambda a, b: a + b, [(F.col(c) == y).cast("double") for c in lf_cols]) + 1.0 / k for y in range(k)]
+    post = F.array(*[v / reduce(lambda a, b: a + b, votes) for v in votes])
+    before: list[float] = []
+    for _ in range(n_epochs):
+        prior, cond = _estimates(patterns.withColumn("_post", post), lf_cols, k)
+        post = _posterior(lf_cols, prior, cond)
+        now = [*prior, *(x for lf in cond for row in lf for x in row)]
+        if before and max(abs(a - b) for a, b in zip(now, before)) < tolerance:
+            break
+        before = now
     top = F.array_max("probs")
     n_top = F.size(F.filter("probs", lambda p: p == top))
-    return out.withColumn("pred", F.when(n_top > 1, F.lit(ABSTAIN))
-                          .otherwise(F.array_position("probs", top) - 1).cast("int"))
+    return (L.withColumn("probs", post)
+            .withColumn("pred", F.when(n_top > 1, F.lit(ABSTAIN)).otherwise(F.array_position("probs", top) - 1).cast("int")))

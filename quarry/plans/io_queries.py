@@ -96,20 +96,21 @@ EVENT_DOC_SCHEMA = T.StructType([
 
 
 @query("src_json_document", """
-SELECT event_id, event_type, user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, NULL::VARCHAR AS missing, 1 AS n_tags FROM events""")
+SELECT event_id, event_type, user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, NULL::VARCHAR AS missing,
+       unnest([event_type, 'user ' || user_id]) AS tag FROM events""")
 def q_src_json_document(spark: SparkSession, sf: str) -> DataFrame:
-    """Nested JSON documents (written from ``events``) read with an explicit
-    schema: the absent ``missing`` key reads as null, arrays explode."""
+    """Nested JSON documents (written from ``events`` as files that hold one
+    array over many lines) read with an explicit schema: the absent
+    ``missing`` key reads as null, and each element of ``tags`` is a row."""
     e = table(spark, sf, "events", "event_id", "event_type", "user_id", "value", "props")
     docs = e.select("event_id",
                     F.struct(F.col("event_type").alias("type"), F.col("user_id").alias("user"), "value").alias("event"),
-                    F.from_json("props", "k long").alias("props"), F.array("event_type").alias("tags"))
+                    F.from_json("props", "k long").alias("props"), F.array("event_type", F.concat(F.lit("user "), "user_id")).alias("tags"))
     path = scratch_path(spark, "event-json")
-    docs.write.mode("overwrite").json(path)
-    back = files.read_json_documents(spark, path, EVENT_DOC_SCHEMA, multiline=False)
+    files.write_json_arrays(docs, path)
+    back = files.read_json_documents(spark, path, EVENT_DOC_SCHEMA)
     return back.select("event_id", F.col("event.type").alias("event_type"), F.col("event.user").alias("user_id"),
-                       F.col("props.k").alias("k"), F.col("props.missing").alias("missing"),
-                       F.size("tags").alias("n_tags"))
+                       F.col("props.k").alias("k"), F.col("props.missing").alias("missing"), F.explode("tags").alias("tag"))
 
 
 def _tree(spark: SparkSession, sf: str) -> str:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import ml, models
 from quarry.plans.ml_queries import CLASS_NAMES, SEED, embeddings
 from quarry.plans.registry import query
-from quarry.plans.sqlviews import register_view, with_views
 from quarry.session import checkpoint_dir, scratch_path
 
 # Fixed values that must equal the reference's sweep: four forests, three
@@ -36,39 +36,31 @@ def split_features(spark: SparkSession, sf: str, stratify: bool = True) -> tuple
     return sp.filter("split = 'train'"), sp.filter("split = 'test'")
 
 
-register_view("strat_test", """
-SELECT vec_id, label FROM (SELECT e.vec_id, e.label, row_number() OVER (PARTITION BY e.label ORDER BY e.k, e.vec_id) AS r, q.quota
-                           FROM emb e JOIN strat_quota q ON q.label = e.label) WHERE r <= quota""", ["emb", "strat_quota"])
-_KNOWN_SQL = with_views("SELECT vec_id, label, true AS known_class FROM strat_test", "strat_test")
+def _predicted(model, test: DataFrame) -> DataFrame:
+    """Each test row's class and the probability that the model gives it."""
+    out = model.transform(test)
+    return out.select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"),
+                      F.round(F.array_max(vector_to_array("probability")), 6).alias("probability"))
 
 
-def _known(model, test: DataFrame) -> DataFrame:
-    """Every test row gets one of the classes (what SQL can state of a model)."""
-    return model.transform(test).select("vec_id", "label", F.col("prediction").isin([float(i) for i in range(10)]).alias("known_class"))
-
-
-@query("train_random_forest", _KNOWN_SQL)
+@query("train_random_forest")
 def q_train_rf(spark: SparkSession, sf: str) -> DataFrame:
     train, test = split_features(spark, sf)
-    return _known(models.fit(train, models.random_forest(50, 5, SEED)), test)
+    return _predicted(models.fit(train, models.random_forest(50, 5, SEED)), test)
 
 
-@query("train_logistic", _KNOWN_SQL)
+@query("train_logistic")
 def q_train_lr(spark: SparkSession, sf: str) -> DataFrame:
     train, test = split_features(spark, sf)
-    return _known(models.fit(train, models.logistic(1.0, train.count(), 200), scale=True), test)
+    return _predicted(models.fit(train, models.logistic(1.0, train.count(), 200), scale=True), test)
 
 
-@query("predict_batch", with_views("""
-SELECT vec_id, true AS name_fits, true AS is_largest, 1.0::DOUBLE AS total FROM strat_test""", "strat_test"))
+@query("predict_batch")
 def q_predict_batch(spark: SparkSession, sf: str) -> DataFrame:
     train, test = split_features(spark, sf)
     model = models.fit(train, models.logistic(1.0, train.count(), 200), scale=True)
     out = models.predict_batch(model, test, CLASS_NAMES)
-    probs = F.map_values("probabilities")
-    return out.select("vec_id", (F.col("predicted_name") == F.concat(F.lit("class_"), F.col("predicted_class").cast("string"))).alias("name_fits"),
-                      (F.element_at("probabilities", F.col("predicted_name")) == F.array_max(probs)).alias("is_largest"),
-                      F.round(F.aggregate(probs, F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
+    return out.select("vec_id", "label", "predicted_class", "predicted_name", F.explode("probabilities").alias("class_name", "probability"))
 
 
 @query("feature_importance_rank")
@@ -79,31 +71,16 @@ def q_feature_importance(spark: SparkSession, sf: str) -> DataFrame:
     return models.feature_importance(model, names)
 
 
-def _runs_sql(rows: list[tuple[str, str]]) -> str:
-    values = ", ".join(f"({k}, '{name}', '{kind}', 'FINISHED', true)" for k, (name, kind) in enumerate(rows))
-    return f"SELECT * FROM (VALUES {values}) AS t(run_order, run_name, model_type, status, learned)"
-
-
-def _runs(found: DataFrame) -> DataFrame:
-    """Runs in order; ``learned``: all metrics are shares and the training
-    accuracy is above chance (ten classes)."""
-    shares = [F.col(c).between(0, 1) for c in ("test_accuracy", "test_precision", "test_recall", "test_f1_score")]
-    learned = F.col("train_accuracy").between(0.11, 1)
-    for s in shares:
-        learned = learned & s
-    return found.select("run_order", "run_name", "model_type", "status", learned.alias("learned"))
-
-
-@query("sweep_random_forest", _runs_sql([(f"RF_estimators_{s['n_estimators']}_depth_{s['max_depth']}", "RandomForestClassifier") for s in RF_SETTINGS]))
+@query("sweep_random_forest")
 def q_sweep_rf(spark: SparkSession, sf: str) -> DataFrame:
     train, test = split_features(spark, sf)
-    return _runs(models.sweep(train, test, RF_SETTINGS))
+    return models.sweep(train, test, RF_SETTINGS)
 
 
-@query("sweep_logistic", _runs_sql([(f"LR_C_{s['C']}", "LogisticRegression") for s in LR_SETTINGS]))
+@query("sweep_logistic")
 def q_sweep_lr(spark: SparkSession, sf: str) -> DataFrame:
     train, test = split_features(spark, sf)
-    return _runs(models.sweep(train, test, LR_SETTINGS))
+    return models.sweep(train, test, LR_SETTINGS)
 
 
 def _u_sql(seed: int, k: int) -> str:
@@ -145,7 +122,7 @@ def q_weak_vs_full(spark: SparkSession, sf: str) -> DataFrame:
 
     checkpoint_dir(spark)
     docs = reviews(spark, sf).select("id", tx.clean_text("text").alias("text"))
-    L = weak.label_model(review_matrix(spark, sf), REVIEW_LFS, cardinality=2, n_epochs=500, seed=SEED).withColumnRenamed("pred", "weak")
+    L = weak.label_model(review_matrix(spark, sf), REVIEW_LFS, cardinality=2, n_epochs=50).withColumnRenamed("pred", "weak")
     sp = ml.split_holdout(docs.join(L.select("id", "label", "weak"), "id"), "id", 0.2, SEED).checkpoint()
     # the vectorizer is fitted on the training documents only, then applied to both splits
     model = ml.tfidf_fit(sp.filter("split = 'train'"), "id", "text", 5000).checkpoint()
@@ -161,34 +138,25 @@ def q_weak_vs_full(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
-_SAME_SQL = with_views("SELECT vec_id, true AS same FROM strat_test", "strat_test")
-
-
-def _same(model, loaded, test: DataFrame) -> DataFrame:
-    """Whether the loaded model predicts each test row as the fitted one."""
-    both = loaded.transform(model.transform(test).select("vec_id", "features", F.col("prediction").alias("_fitted")))
-    return both.select("vec_id", (F.col("prediction") == F.col("_fitted")).alias("same"))
-
-
-@query("sink_model", _SAME_SQL)
+@query("sink_model")
 def q_sink_model(spark: SparkSession, sf: str) -> DataFrame:
     """Save a fitted pipeline with its signature, load it back, predict."""
     train, test = split_features(spark, sf)
     model = models.fit(train, models.logistic(1.0, train.count(), 100), scale=True)
     path = scratch_path(spark, "model")
     models.save_model(model, path, example=test.select("vec_id", "embedding"))
-    return _same(model, models.load_model(path), test)
+    return _predicted(models.load_model(path), test)
 
 
-@query("src_model", _SAME_SQL)
+@query("src_model")
 def q_src_model(spark: SparkSession, sf: str) -> DataFrame:
-    """A saved forest, loaded: its predictions are the fitted one's.  Loading
-    an absent model gives an error value, not an exception."""
+    """Predictions of a saved forest.  Loading an absent model gives an error
+    value, not an exception."""
     train, test = split_features(spark, sf)
     if models.load_model(scratch_path(spark, "absent-model")) is not None:
         raise AssertionError("an absent model was loaded")
     model = models.fit(train, models.random_forest(20, 4, SEED))
-    return _same(model, models.load_model(models.save_model(model, scratch_path(spark, "model"))), test)
+    return _predicted(models.load_model(models.save_model(model, scratch_path(spark, "model"))), test)
 
 
 @query("model_signature")

@@ -205,10 +205,38 @@ def q_voter_quality(spark: SparkSession, sf: str) -> DataFrame:
     return weak.voter_quality(L, "pred", "y_true", weak.any_vote(NER_LFS))
 
 
-@query("label_model")
+LABEL_STEPS = 10
+
+
+def _label_model_sql(cols: list[str], steps: int) -> str:
+    """The steps of the EM unrolled: each reads the patterns and the last step's sums."""
+    classes, outcomes = (0, 1), (0, 1, 2)
+    votes = {y: " + ".join(f"({c} = {y})::INT" for c in cols) for y in classes}
+    ctes = [f"pat AS MATERIALIZED (SELECT {', '.join(cols)}, count(*)::DOUBLE AS n FROM rev_L GROUP BY ALL)",
+            f"e0 AS MATERIALIZED (SELECT *, (0.5 + {votes[0]})::DOUBLE / (1.0 + {votes[0]} + {votes[1]})::DOUBLE AS q0, "
+            f"(0.5 + {votes[1]})::DOUBLE / (1.0 + {votes[0]} + {votes[1]})::DOUBLE AS q1 FROM pat)"]
+    def score(y: int) -> str:
+        parts = [f"ln(a{y} / (a0 + a1))"]
+        for j, c in enumerate(cols):
+            whole = " + ".join(f"s{j}_{o}_{y}" for o in outcomes)
+            parts.append(f"ln(CASE {c} " + " ".join(f"WHEN {o - 1} THEN s{j}_{o}_{y}" for o in outcomes) + f" END / ({whole}))")
+        return " + ".join(parts)
+    for t in range(steps):
+        sums = [f"1.0::DOUBLE + sum(n * q{y}) AS a{y}" for y in classes]
+        sums += [f"1.0::DOUBLE + coalesce(sum(n * q{y}) FILTER ({c} = {o - 1}), 0.0::DOUBLE) AS s{j}_{o}_{y}"
+                 for j, c in enumerate(cols) for o in outcomes for y in classes]
+        ctes.append(f"m{t} AS MATERIALIZED (SELECT {', '.join(sums)} FROM e{t})")
+        source = "pat" if t < steps - 1 else "rev_L"
+        ctes.append(f"l{t} AS MATERIALIZED (SELECT {source}.*, {score(0)} AS l0, {score(1)} AS l1 FROM {source}, m{t})")
+        ctes.append(f"e{t + 1} AS MATERIALIZED (SELECT * EXCLUDE (l0, l1), exp(l0 - greatest(l0, l1)) / (exp(l0 - greatest(l0, l1)) + exp(l1 - greatest(l0, l1))) AS q0, "
+                    f"exp(l1 - greatest(l0, l1)) / (exp(l0 - greatest(l0, l1)) + exp(l1 - greatest(l0, l1))) AS q1 FROM l{t})")
+    return with_views(f"""SELECT * FROM (WITH {", ".join(ctes)}
+SELECT id, label, CASE WHEN q0 > q1 THEN 0 WHEN q1 > q0 THEN 1 ELSE -1 END AS pred, round(q1, 6) AS p_pos FROM e{steps})""", "rev_L")
+
+
+@query("label_model", _label_model_sql(REVIEW_LFS, LABEL_STEPS))
 def q_label_model(spark: SparkSession, sf: str) -> DataFrame:
-    L = review_matrix(spark, sf)
-    out = weak.label_model(L, REVIEW_LFS, cardinality=2, n_epochs=500, seed=42)
+    out = weak.label_model(review_matrix(spark, sf), REVIEW_LFS, cardinality=2, n_epochs=LABEL_STEPS, tolerance=0.0)
     return out.select("id", "label", "pred", F.round(F.col("probs")[1], 6).alias("p_pos"))
 
 

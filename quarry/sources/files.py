@@ -3,6 +3,8 @@ labelled file trees, replaced tables and DDL."""
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -63,6 +65,21 @@ def read_json_documents(spark: SparkSession, path: str, schema: T.StructType, mu
     return spark.read.schema(schema).option("multiLine", multiline).json(path)
 
 
+def write_json_arrays(docs: DataFrame, path: str) -> None:
+    """One file for each partition: a JSON array with each document over
+    several lines, as ``read_json_documents`` takes it."""
+    def lines(batches):
+        import pyarrow as pa
+        begun = False
+        for b in batches:
+            rows = b.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array([("," if begun or k else "[") + "\n" + r for k, r in enumerate(rows)], pa.string())], names=["value"])
+            begun = begun or bool(rows)
+        yield pa.RecordBatch.from_arrays([pa.array(["]" if begun else "[]"])], names=["value"])
+
+    docs.select(F.to_json(F.struct(*docs.columns), {"pretty": "true"}).alias("value")).mapInArrow(lines, "value string").write.mode("overwrite").text(path)
+
+
 def explode_students(docs: DataFrame) -> DataFrame:
     return docs.select(F.explode("students").alias("s")).select("s.*")
 
@@ -73,18 +90,26 @@ def sink_labelled_tree(df: DataFrame, root: str, split: str, label: str, seq: st
                        ext: str = "bin") -> None:
     """Write one file per row at ``root/split/label/{seq:05d}.ext``.
 
-    Files are written by the executors (``foreachPartition`` through the
-    Arrow filesystem layer, so the root may be local, HDFS or an object
-    store); nothing passes through the driver.
+    Files are written by the executors through the Arrow filesystem layer;
+    a root without a scheme lies in Spark's default file system.  A file is
+    written aside and then takes its name, so a failed or repeated task leaves
+    no half file, and of two attempts at a file either is whole.
     """
+    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(root)
+    uri = str(at.getFileSystem(conf).makeQualified(at).toUri())
+    uri = re.sub(r"^file:/+", "file:///", uri)
+
     def write_partition(rows):
         from pyarrow import fs as pafs
-        filesystem, base = pafs.FileSystem.from_uri(root if "://" in root else "file://" + root)
+        filesystem, base = pafs.FileSystem.from_uri(uri)
         for r in rows:
-            d = f"{base}/{r[split]}/{r[label]}"
+            d, name = f"{base}/{r[split]}/{r[label]}", f"{int(r[seq]):05d}.{ext}"
             filesystem.create_dir(d, recursive=True)
-            with filesystem.open_output_stream(f"{d}/{int(r[seq]):05d}.{ext}") as out:
+            aside = f"{d}/.{name}.{uuid.uuid4().hex}"
+            with filesystem.open_output_stream(aside) as out:
                 out.write(bytes(r[content]))
+            filesystem.move(aside, f"{d}/{name}")
 
     df.select(split, label, seq, content).foreachPartition(write_partition)
 

@@ -56,3 +56,45 @@ def test_registry_versions(spark):
     both = models.register_versions(first, spark.createDataFrame([("m", "u3", 5), ("k", "v1", 0)], "name string, uri string, run_order bigint"))
     latest = {r["name"]: (r["version"], r["uri"]) for r in models.latest_versions(both).collect()}
     assert latest == {"m": (3, "u3"), "k": (1, "v1")}
+
+
+def test_damaged_model_raises(spark):
+    import os
+
+    import pytest
+    df = models.with_features(_blobs(spark, 30), cols=["x", "y"])
+    path = models.save_model(models.fit(df, models.random_forest(2, 2, 1)), tempfile.mkdtemp() + "/m")
+    for folder, _, names in os.walk(path + "/metadata"):
+        for n in names:
+            open(os.path.join(folder, n), "w").close()
+    with pytest.raises(Exception):
+        models.load_model(path)
+
+
+def test_sweep_keeps_order_and_bugs(spark):
+    import pytest
+    df = models.with_features(_blobs(spark, 60), cols=["x", "y"]).checkpoint()
+    settings = [{"model": "rf", "n_estimators": n, "max_depth": 2} for n in (7, 3, 5)] + [{"model": "rf", "n_estimators": 2, "max_depth": 99}]
+    rows = models.sweep(df, df, settings).collect()
+    assert [r["run_name"] for r in rows] == [f"RF_estimators_{n}_depth_{d}" for n, d in ((7, 2), (3, 2), (5, 2), (2, 99))]
+    assert [r["status"] for r in rows] == ["FINISHED"] * 3 + ["FAILED: ValueError"] and min(r["test_accuracy"] for r in rows[:3]) > 0.9
+    with pytest.raises(TypeError):  # a bug in the caller is no failed run
+        models.sweep(df, df, [{"model": "rf", "n_estimators": "many"}])
+
+
+def test_logistic_against_plain_gradient(spark):
+    """The fitted probabilities are those of the same loss minimised directly."""
+    import numpy as np
+    rows = _blobs(spark, 90).filter("label < 2").collect()
+    x, y = np.array([[r["x"], r["y"]] for r in rows]), np.array([r["label"] for r in rows], float)
+    df = models.with_features(_blobs(spark, 90).filter("label < 2"), cols=["x", "y"])
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    w, b, reg = np.zeros(2), 0.0, 1.0 / len(y)
+    for _ in range(20_000):
+        p = 1 / (1 + np.exp(-(z @ w + b)))
+        w -= 0.5 * (z.T @ (p - y) / len(y) + reg * w)
+        b -= 0.5 * (p - y).mean()
+    model = models.fit(df, models.logistic(1.0, len(y), 500), scale=True)
+    got = {r["id"]: r["probability"][1] for r in model.transform(df).collect()}
+    for r, p in zip(rows, 1 / (1 + np.exp(-(z @ w + b)))):
+        assert abs(got[r["id"]] - p) < 2e-3

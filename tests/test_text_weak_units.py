@@ -105,3 +105,42 @@ def test_label_model_weights_reliable_lfs(spark):
     acc_lm = voted.agg(F.avg((F.col("pred") == F.col("y")).cast("double"))).first()[0]
     acc_mv = voted.agg(F.avg((F.col("mv") == F.col("y")).cast("double"))).first()[0]
     assert acc_lm >= acc_mv - 0.01 and acc_lm > 0.8
+
+
+def numpy_em(patterns, counts, k, steps):
+    """The same model fitted by plain arrays."""
+    import numpy as np
+    obs = patterns + 1
+    post = np.stack([(patterns == y).sum(axis=1) + 1.0 / k for y in range(k)], axis=1)
+    post /= post.sum(axis=1, keepdims=True)
+    for _ in range(steps):
+        prior = (counts[:, None] * post).sum(axis=0) + 1.0
+        prior /= prior.sum()
+        logp = np.log(prior)[None, :].repeat(len(patterns), axis=0)
+        for j in range(patterns.shape[1]):
+            cond = np.array([[1.0 + (counts * post[:, y])[obs[:, j] == o].sum() for o in range(k + 1)] for y in range(k)])
+            cond /= cond.sum(axis=1, keepdims=True)
+            logp += np.log(cond[:, obs[:, j]].T)
+        post = np.exp(logp - logp.max(axis=1, keepdims=True))
+        post /= post.sum(axis=1, keepdims=True)
+    return post
+
+
+def test_label_model_with_many_functions_and_patterns(spark):
+    """Twenty LFs over three classes: thousands of patterns, nothing but parameters on the driver."""
+    import numpy as np
+    import pytest
+    rng = np.random.default_rng(4)
+    m, k = 20, 3
+    truth = rng.integers(0, k, 3000)
+    votes = np.where(rng.random((3000, m)) < 0.6, np.where(rng.random((3000, m)) < 0.5, truth[:, None], rng.integers(0, k, (3000, m))), -1)
+    cols = [f"v{j}" for j in range(m)]
+    L = spark.createDataFrame([(i, *map(int, row)) for i, row in enumerate(votes)], "id int, " + ", ".join(f"{c} int" for c in cols))
+    got = {r["id"]: r for r in weak.label_model(L, cols, cardinality=k, n_epochs=6, tolerance=0.0).select("id", "probs", "pred").collect()}
+    patterns, inverse, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    want = numpy_em(patterns, counts.astype(float), k, 6)[inverse.ravel()]
+    assert len(patterns) > 2900 and all(np.allclose(got[i]["probs"], want[i], atol=1e-9) for i in range(3000))
+    assert np.mean([got[i]["pred"] == truth[i] for i in range(3000)]) > 0.9
+    with pytest.raises(Exception, match="outside"):
+        weak.label_model(spark.createDataFrame([(1, 7)], "id int, a int"), ["a"])
+    assert weak.label_model(L.limit(0), cols, cardinality=k).count() == 0
