@@ -16,7 +16,6 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from quarry.llm import digest_index, host_rules, lexical_packing, order_minhash, secret_scan
 from quarry.llm.common import documents, drop_path
@@ -40,7 +39,7 @@ def _keep(docs: DataFrame, kept: DataFrame, once: bool = False) -> DataFrame:
     keys = kept.select(_key("doc_id", F.col("text_hash")).alias("_key")).distinct()
     rows = rows.join(keys.hint("shuffle_hash"), "_key", "left_semi")
     if once:
-        rows = (rows.withColumn("_nth", F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(1)))).filter("_nth = 1"))
+        rows = rows.dropDuplicates(["_key"])  # combined before the shuffle
     return rows.select("_row.*")
 
 
