@@ -50,19 +50,36 @@ def words_of(text: str) -> list[str]:
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def _labelled(values: np.ndarray) -> np.ndarray:
     """Hash of each value and how often it occurred before."""
     order = np.argsort(values, kind="stable")
     ranked = values[order]
-    first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-    nth = np.empty(len(values), np.uint64)
-    nth[order] = np.arange(len(values)) - np.repeat(first, np.diff([*first, len(values)]))
-    return _mixed(values + nth * _MIX)
+    again = np.flatnonzero(ranked[1:] == ranked[:-1]) + 1
+    if not len(again):
+        return _mixed(values)
+    place = np.arange(len(values))
+    first = place.copy()
+    first[again] = 0
+    ranked += (place - np.maximum.accumulate(first)).astype(np.uint64) * _MIX
+    out = np.empty_like(values)
+    out[order] = ranked
+    return _mixed(out)
+
+
+class _Hashes(dict):
+    """Hash of a word, as eight bytes, made when first asked for."""
+
+    def __missing__(self, word: str) -> bytes:
+        self[word] = h = xxhash.xxh3_64_digest(word)
+        return h
 
 
 class Sketcher:
@@ -70,16 +87,13 @@ class Sketcher:
 
     def __init__(self, sketches: int = 24, cache_words: int = 300_000):
         self.seeds = _mixed(np.arange(1, sketches + 1, dtype=np.uint64) * _MIX)
-        self.cache_words, self.known = cache_words, {}
+        self.cache_words, self.known = cache_words, _Hashes()
 
     def word_hashes(self, words: list[str]) -> np.ndarray:
         known = self.known
         if len(known) >= self.cache_words:
             known.clear()
-        for w in set(words):
-            if w not in known:
-                known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        return np.frombuffer(b"".join(map(known.__getitem__, words)), ">u8").astype(np.uint64)
 
     def sketch(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Sketches (one 64-bit value for each hash and kind of shingle) and
@@ -98,17 +112,18 @@ class Sketcher:
         shingles = np.zeros(n, np.uint64)
         for k in range(size):
             shingles = _mixed(shingles * _MIX + w[k:n + k])
-        labelled = _labelled(shingles)
+        labelled = (_labelled(shingles) >> np.uint64(32)).astype(np.uint32)  # 32 bits order them well enough, at half the cost
         out = np.empty(len(self.seeds), np.uint64)
-        block = max((1 << 20) // n, 1)  # sketches at a time, so that memory stays bounded
+        block = max((1 << 16) // n, 1)  # sketches at a time, so that they stay in the cache
         for j in range(0, len(self.seeds), block):
             seeds = self.seeds[j:j + block]
-            h = (labelled ^ seeds[:, None]) * _MIX
-            h ^= h >> np.uint64(32)
-            h *= _MIX
+            h = labelled ^ (seeds >> np.uint64(32)).astype(np.uint32)[:, None]
+            h *= np.uint32(0x9E3779B1)
+            h ^= h >> np.uint32(16)
+            h *= np.uint32(0x85EBCA6B)
             first = last = h.argmin(axis=1)
             if n > 1:  # the two least, in text order
-                h[np.arange(len(seeds)), first] = ~np.uint64(0)
+                h[np.arange(len(seeds)), first] = ~np.uint32(0)
                 second = h.argmin(axis=1)
                 first, last = np.minimum(first, second), np.maximum(first, second)
             out[j:j + block] = _mixed(_mixed(seeds ^ shingles[first]) * _MIX + shingles[last] + np.uint64(size))
@@ -210,7 +225,8 @@ def sketch_rows(df: DataFrame, id_col: str, text_col: str, sketches: int) -> Dat
 
 
 def _shares(held: np.ndarray, sizes: np.ndarray, sign: np.ndarray, size: int, similarity: float) -> np.ndarray:
-    """Share of equal bins of each held signature; 0 where the lengths differ too much."""
+    """Share of equal bins of each held signature with one signature, or with
+    its own; 0 where the lengths differ too much."""
     bins, mine = held.view(np.uint8), sign.view(np.uint8)
     filled = ((bins != 0) | (mine != 0)).sum(axis=1)
     share = ((bins == mine) & (mine != 0)).sum(axis=1) / np.maximum(filled, 1)
@@ -222,6 +238,30 @@ def _signs(batch: pa.RecordBatch, column: int) -> np.ndarray:
     return batch.column(column).flatten().to_numpy(zero_copy_only=False).reshape(-1, BINS // 8)
 
 
+def _plain_runs(batch: pa.RecordBatch, run: int | None, similarity: float, firm: float) -> tuple[pa.RecordBatch, pa.RecordBatch]:
+    """Pairs of the runs of ``h`` in ``batch`` that have two nodes, or whose
+    nodes all firmly resemble the first; and the rows of the other runs.  The
+    last run, which may go on, and one that goes on from ``run`` (None: the
+    partition's first) are among the others."""
+    h, node, size, sign = batch.column(0).to_numpy(), batch.column(1), batch.column(2).to_numpy(), _signs(batch, 3)
+    starts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+    counts = np.diff(np.append(starts, len(h)))
+    head = np.repeat(starts, counts)
+    share = _shares(sign[head], size[head], sign, size, similarity)
+    follows = head != np.arange(len(h))
+    plain = (counts == 2) | np.logical_and.reduceat((share >= firm) | ~follows, starts)
+    plain[-1] = False
+    plain[0] &= run is not None and h[0] != run
+    rows = np.repeat(plain, counts)
+    at = np.flatnonzero(rows & follows & (share >= LEAST_ALIKE))
+    k = len(at)
+    pairs = pa.RecordBatch.from_arrays(
+        [node.take(pa.array(head[at])), node.take(pa.array(at)), pa.array((BINS * share[at]).astype(np.int32)),
+         pa.array(h[at], mask=share[at] < firm), pa.nulls(k, pa.int32()), pa.nulls(k, pa.list_(pa.int64())), pa.nulls(k, pa.int32())],
+        names=["a", "b", "shared", "h", "size", "sign", "block"])
+    return pairs, batch.filter(pa.array(~rows))
+
+
 def _leaders(similarity: float, firm: float = FIRM):
     """Pass over rows ``h, node, size, sign`` sorted by (h, node): within a
     run of one h, a node whose word signature and length firmly resemble an
@@ -229,7 +269,11 @@ def _leaders(similarity: float, firm: float = FIRM):
     with the leaders that it may resemble, and becomes one.  A pair's ``h`` is
     set where b has this leader alone.  Leaders of runs at a partition's edges
     are returned too, with the partition as ``block``, as the run may go on in
-    the next."""
+    the next.
+
+    Runs inside a batch that have two nodes, or all of whose nodes firmly
+    resemble the first, have no other leader to choose from: these are paired
+    in one step for the whole batch, the others node by node."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["a", "b", "shared", "h", "size", "sign", "block"]
         block, run, first = TaskContext.get().partitionId(), None, True
@@ -245,7 +289,12 @@ def _leaders(similarity: float, firm: float = FIRM):
                  pa.array([block] * k, pa.int32())], names=names)
 
         for batch in batches:
-            for h, node, size, sign in zip(*(batch.column(c).to_pylist() for c in range(3)), _signs(batch, 3)):
+            if not batch.num_rows:
+                continue
+            plain, slow = _plain_runs(batch, run, similarity, firm)
+            if plain.num_rows:
+                yield plain
+            for h, node, size, sign in zip(*(slow.column(c).to_pylist() for c in range(3)), _signs(slow, 3)):
                 if h != run:
                     if run is not None and first:
                         yield edge_rows()
@@ -412,14 +461,24 @@ def signed(rows: DataFrame) -> DataFrame:
     return rows.filter(F.size("sign") > 0).groupBy("node").agg(F.first("size").alias("size"), F.first("sign").alias("sign"))
 
 
+def _few(keys: DataFrame, most: int = 100_000) -> DataFrame | None:
+    """``keys`` (under 100 bytes a row) for broadcast, if at most ``most`` rows."""
+    return F.broadcast(keys) if keys.limit(most + 1).count() <= most else None
+
+
 def _led_again(rows: DataFrame, failed: DataFrame, similarity: float, firm: float) -> DataFrame:
     """Pairs, as of ``_passed``, of the nodes ``failed`` (``h, node``): passed
     among themselves, and those that lead with all other rows of the bucket."""
     again = cut(rows.join(failed, ["h", "node"]))
     pairs = _passed(again, similarity, firm)
     led = pairs.filter("h IS NOT NULL").select("h", F.col("b").alias("node")).distinct()
-    leads = again.join(led, ["h", "node"], "left_anti").withColumn("_salt", salted("node"))
+    old: list[str] = []
+    leads = written(again.join(led, ["h", "node"], "left_anti").withColumn("_salt", salted("node")), "near-leads", old)
     rest = rows.join(failed, ["h", "node"], "left_anti").withColumn("_salt", salted("node"))
+    led_in = _few(leads.select("h").distinct())
+    if led_in is not None:  # else the joins below drop the buckets without a leader
+        rest = rest.join(led_in, "h", "left_semi")
+    rest = written(rest, "near-rest", old)
     blocks = lambda r, n: (r.groupBy("h", "_salt").agg(F.count(F.lit(1)).alias("n"))
                            .groupBy("h").agg(F.ceil(F.sum("n") / RUN_ROWS).cast("int").alias(n)))
     n_leads = cut(blocks(leads, "ni"))
@@ -428,8 +487,10 @@ def _led_again(rows: DataFrame, failed: DataFrame, similarity: float, firm: floa
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = leads.join(_salts_of(leads, both), ["h", "_salt"]).withColumn("i", place("ni")).withColumn("j", each("nj"))
     right = rest.join(_salts_of(rest, both), ["h", "_salt"]).withColumn("j", place("nj")).withColumn("i", each("ni"))
-    more = _across(left, right, similarity).withColumn("h", F.lit(None).cast("bigint"))
-    return pairs.unionByName(cut(more))
+    more = cut(_across(left, right, similarity).withColumn("h", F.lit(None).cast("bigint")))
+    for path in old:
+        drop_path(rows.sparkSession, path)
+    return pairs.unionByName(more)
 
 
 def _salts_of(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -492,8 +553,10 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", simil
     source = id_text(df, id_col, text_col).select(F.struct(F.col("doc_id").alias("i"), F.xxhash64("text").alias("t")).alias("_key"), "text")
 
     def texts_of(asked: DataFrame) -> DataFrame:
-        wanted = heads.join(asked, "node").select("node", F.struct("head.i", "head.t").alias("_key"))
-        return written(source.join(wanted.hint("shuffle_hash"), "_key").groupBy("node").agg(F.first("text").alias("text")), "near-texts")
+        wanted = cut(heads.join(asked, "node").select("node", F.struct("head.i", "head.t").alias("_key")))
+        few = _few(wanted)  # then no text but those asked for is shuffled
+        found = source.join(wanted.hint("shuffle_hash") if few is None else few, "_key")
+        return written(found.groupBy("node").agg(F.first("text").alias("text")), "near-texts")
 
     asked = written(_ends(pairs), "near-asked")
     node_texts = texts_of(asked)
