@@ -70,8 +70,20 @@ def sum_list(arr) -> Column:
 
 
 def factorial(n) -> Column:
-    """n! for 0 ≤ n ≤ 20; null otherwise (the reference prints a message for n < 0)."""
-    return F.factorial(_c(n).cast("int"))
+    """n! as a double, exact up to 22 and infinite above 170; null for n < 0
+    (the reference prints a message there)."""
+    n = _c(n).cast("int")
+    product = F.aggregate(F.sequence(F.lit(1), n), F.lit(1.0), lambda acc, x: acc * x.cast("double"))
+    return F.when(n == 0, 1.0).when(n > 0, product)
+
+
+def factorial_exact(n) -> Column:
+    """n! as decimal(38,0), the widest decimal, which holds 33!; null for
+    n < 0, and an error beyond 33."""
+    n, whole = _c(n).cast("int"), "decimal(38,0)"
+    product = F.aggregate(F.sequence(F.lit(1), n), F.lit(1).cast(whole), lambda acc, x: (acc * x.cast("decimal(2,0)")).cast(whole))
+    return (F.when(n == 0, F.lit(1).cast(whole)).when((n > 0) & (n <= 33), product)
+            .when(n > 33, F.raise_error(F.concat(F.lit("factorial beyond decimal(38,0): "), n.cast("string"))).cast(whole)))
 
 
 def min_threshold(x, minimum) -> Column:

@@ -154,3 +154,21 @@ def test_hot_invoice_is_split_into_bounded_chunks(spark):
     assert len(hot) == 10 and sum(r["n"] for r in hot) == 1000
     assert max(r["n"] for r in hot) < 200   # balls-in-bins load around 100
     assert tx.filter("InvoiceNo <> 'HOT'").filter("Chunk <> 0").count() == 0
+
+
+def test_country_is_joined_before_nesting(spark, tmp_path):
+    """Every chunk of a customer has the country, and the documents are
+    grouped by the last shuffle: none comes after it."""
+    for name, df in docs.build_layouts(_retail(spark)).items():
+        if name in ("transactions", "customer_refs"):
+            df.write.parquet(str(tmp_path / name))
+    tx, refs = (spark.read.parquet(str(tmp_path / n)) for n in ("transactions", "customer_refs"))
+    got = docs.nest_invoices(tx, refs, max_invoices=1)
+    want = {r["CustomerID"]: r["Country"] for r in refs.collect()}
+    rows = got.collect()
+    assert {r["CustomerID"] for r in rows} == set(want) - {None} and all(r["Country"] == want[r["CustomerID"]] for r in rows)
+    assert sum(len(r["Invoices"]) for r in rows) == tx.filter("CustomerID IS NOT NULL").count()
+    plan = got._jdf.queryExecution().sparkPlan().toString().splitlines()
+    joins = [i for i, line in enumerate(plan) if "Join" in line]
+    group = [i for i, line in enumerate(plan) if "Aggregate" in line and "collect_list" in line]
+    assert joins and min(joins) > max(group)  # the tree is printed from the top

@@ -1,5 +1,8 @@
 """Hand fixtures with the reference's exact patterns and word sets."""
 
+import math
+
+import pytest
 from pyspark.sql import functions as F
 
 from quarry.functions import scalars, text
@@ -71,8 +74,17 @@ def test_scalar_fixtures(spark):
     df = spark.createDataFrame([("10.5",), ("25",), ("abc",), ("",), (" 7 ",), ("1e3",), ("10.7",)], "s string")
     got = [(r["i"], r["f"]) for r in df.select(scalars.is_int("s").alias("i"), scalars.is_float("s").alias("f")).collect()]
     assert got == [(False, True), (True, True), (False, False), (False, False), (True, True), (False, True), (False, True)]
-    f = spark.createDataFrame([(-1,), (0,), (5,), (21,)], "n int").select(scalars.factorial("n").alias("f"))
-    assert [r["f"] for r in f.collect()] == [None, 1, 120, None]
+    ns = [None, -1, 0, 1, 5, 20, 21, 33]
+    f = spark.createDataFrame([(n,) for n in ns], "n int").select(scalars.factorial("n").alias("f"), scalars.factorial_exact("n").alias("x"))
+    want = [None if n is None or n < 0 else math.factorial(n) for n in ns]
+    rows = f.collect()
+    assert [r["x"] if r["x"] is None else int(r["x"]) for r in rows] == want
+    assert [r["f"] for r in rows] == [w if w is None else pytest.approx(w, rel=1e-14) for w in want]
+    big = spark.createDataFrame([(50,), (170,), (171,)], "n int")
+    assert [r[0] for r in big.select(scalars.factorial("n")).collect()] == [
+        pytest.approx(float(math.factorial(50)), rel=1e-13), pytest.approx(float(math.factorial(170)), rel=1e-13), math.inf]
+    with pytest.raises(Exception, match="factorial beyond"):
+        big.select(scalars.factorial_exact("n")).collect()
     r = spark.createDataFrame([(0.125,)], "x double").select(scalars.round_half_up("x", 2).alias("u"),
                                                              scalars.round_half_even("x", 2).alias("e")).first()
     assert (r["u"], r["e"]) == (0.13, 0.12)
