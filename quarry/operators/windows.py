@@ -104,22 +104,36 @@ def smallest(df: DataFrame, groups: Sequence[str], key: str, tiebreak: Sequence[
     return others.unionByName(inside).drop("_bucket", "_edge", "_left")
 
 
+#: Rows that a quantile bucket holds, about.
+ROWS_PER_BUCKET = 10_000_000
+
+
+def quantile_bucket(df: DataFrame, key: str, rows_per_bucket: int = ROWS_PER_BUCKET, name: str = "_bucket",
+                    n_buckets: int | None = None) -> DataFrame:
+    """``df`` with ``name``: equal-depth ranges of ``key`` (a number or a
+    timestamp; nulls come first), about one for ``rows_per_bucket`` rows
+    (or ``n_buckets`` of them), cut at approximate quantiles and applied by binary search.  Where many
+    rows lie close together the ranges are narrow; equal keys share one."""
+    from pyspark.ml.feature import Bucketizer
+    as_double = F.col(key).cast("double")
+    n = n_buckets or -(-df.count() // rows_per_bucket)
+    cuts = None
+    if n > 1:
+        cuts = df.agg(F.percentile_approx(as_double, [i / n for i in range(1, n)], 10 * n).alias("q")).first()["q"]
+    if not cuts:
+        return df.withColumn(name, F.lit(0))
+    splits = [float("-inf"), *sorted(set(map(float, cuts))), float("inf")]
+    keyed = df.withColumn("_kd", F.coalesce(as_double, F.lit(float("-inf"))))
+    return (Bucketizer(splits=splits, inputCol="_kd", outputCol="_bd").transform(keyed)
+            .withColumn(name, F.col("_bd").cast("int")).drop("_kd", "_bd"))
+
+
 def rank_within_quantiles(df: DataFrame, groups: Sequence[str], key: str, tiebreak: Sequence[str] = (),
-                          n_buckets: int = 1024, name: str = "rank") -> DataFrame:
+                          rows_per_bucket: int = ROWS_PER_BUCKET, name: str = "rank", n_buckets: int | None = None) -> DataFrame:
     """``rank_within`` for any numeric ordering key, however it is spread:
-    buckets are equal-depth ranges cut at approximate quantiles of the key
-    (at most ``n_buckets - 1`` cut points, applied by binary search), so a
-    clustered key still gives even buckets; ranks stay exact because a bucket
-    is a contiguous key range.  A bucket holds about 1/``n_buckets`` of the
-    rows: raise it with the data (the accuracy of the cuts follows)."""
-    from pyspark.ml.feature import Bucketizer
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = df.agg(F.percentile_approx(F.col(key).cast("double"), probs, 10 * n_buckets).alias("q")).first()["q"] or []
-    splits = [float("-inf")] + sorted(set(float(c) for c in cuts)) + [float("inf")]
-    keyed = df.withColumn("_kd", F.coalesce(F.col(key).cast("double"), F.lit(float("-inf"))))
-    b = (Bucketizer(splits=splits, inputCol="_kd", outputCol="_bd").transform(keyed)
-         .withColumn("_bucket", F.col("_bd").cast("int")).drop("_kd", "_bd"))
-    return _number_buckets(b, groups, key, tiebreak, name)
+    rows are numbered inside ``quantile_bucket`` ranges, whose number follows
+    the rows; ranks stay exact because a bucket is a contiguous key range."""
+    return _number_buckets(quantile_bucket(df, key, rows_per_bucket, n_buckets=n_buckets), groups, key, tiebreak, name)
 
 
 def _number_buckets(b: DataFrame, groups: Sequence[str], key: str, tiebreak: Sequence[str], name: str) -> DataFrame:
@@ -133,25 +147,27 @@ def _number_buckets(b: DataFrame, groups: Sequence[str], key: str, tiebreak: Seq
     return out.withColumn(name, (F.col("_off") + F.col("_rn")).cast("long")).drop("_bucket", "_rn", "_off")
 
 
-def per_class_sequence(df: DataFrame, label: str, id_col: str, n_buckets: int = 1024) -> DataFrame:
+def per_class_sequence(df: DataFrame, label: str, id_col: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Running number per class in id order, starting at 0 (per-class file counters).
     Ids may be clustered, so buckets are cut at quantiles of the id."""
-    out = rank_within_quantiles(df, [label], id_col, [id_col], n_buckets=n_buckets, name="_seq")
+    out = rank_within_quantiles(df, [label], id_col, [id_col], rows_per_bucket, name="_seq")
     return out.withColumn("seq", F.col("_seq") - 1).drop("_seq")
 
 
-def best_so_far(df: DataFrame, groups: Sequence[str], order: Sequence[str], value: str, bucket: Column,
-                start: float = 0.0) -> DataFrame:
+def best_so_far(df: DataFrame, groups: Sequence[str], order: Sequence[str], value: str, bucket: Column | None = None,
+                start: float = 0.0, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Rows whose ``value`` strictly beats every earlier value of its group
     (and ``start``): the save-the-best-checkpoint rule.
 
     A parallel prefix max: the running max inside each (group, bucket) plus
     the max of all earlier buckets of the group, taken from the small
-    per-bucket max table.  ``bucket`` must be monotone in ``order`` (e.g. the
-    day of a timestamp).
+    per-bucket max table.  Without ``bucket`` these are quantile ranges of
+    the first ``order`` column over all rows, so an hour that holds a third of
+    them is cut into a third of the ranges.  A given ``bucket`` must be
+    monotone in ``order`` (e.g. the day of a timestamp).
     """
     g = list(groups)
-    b = df.withColumn("_b", bucket)
+    b = quantile_bucket(df, order[0], rows_per_bucket, "_b") if bucket is None else df.withColumn("_b", bucket)
     bmax = b.groupBy(*g, "_b").agg(F.max(value).alias("_bmax"))
     w_prev_b = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     carry = bmax.select(*g, "_b", F.max("_bmax").over(w_prev_b).alias("_carry"))

@@ -103,7 +103,7 @@ SELECT event_id, user_id, value FROM (
 WHERE value > greatest(prev, 0.0)""")
 def q_best_so_far(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events", "event_id", "user_id", "ts", "value")
-    b = best_so_far(e, ["user_id"], ["ts", "event_id"], "value", F.date_trunc("hour", "ts"))
+    b = best_so_far(e, ["user_id"], ["ts", "event_id"], "value")
     return b.filter("is_best").select("event_id", "user_id", "value")
 
 
