@@ -1,7 +1,9 @@
 """Order MinHash, components and sentence spans against brute force."""
 
 import collections
+import functools
 import random
+import re
 
 import numpy as np
 import pytest
@@ -240,18 +242,36 @@ def test_op3_on_whole_table(spark):
     assert got == brute_classes(docs)
 
 
+@functools.cache
+def word_mark(w):
+    return int(sentence_spans.Words([w]).mark[0])
+
+
+def brute_clauses(t):
+    """(first word, last word) of each clause of ``t``, and its words."""
+    found = list(re.finditer(r"\S+", t))
+    n, window = len(found), sentence_spans.WINDOW
+    stop = [k == n - 1 or m.group()[-1] in ".!?…。！？" or "\n" in t[m.end():found[k + 1].start()] for k, m in enumerate(found)]
+    ends = {k for k in range(n) if stop[k]}
+    for k in range(n - window + 1):
+        ends.add(min(range(k, k + window), key=lambda j: (not stop[j], word_mark(found[j].group()) >> 1, -j)))
+    ends = sorted(ends)
+    return list(zip([0, *(e + 1 for e in ends)], ends)), found
+
+
 def brute_spans(docs, size=3, least=12):
     """Texts with later occurrences of sentence runs removed, by plain strings."""
     seen, left = set(), {}
     for i in sorted(docs, key=lambda x: (x is not None, x)):
         t = docs[i] or ""
-        s = sentence_spans.sentences(t)
+        clauses, found = brute_clauses(t)
         gone = []
-        for k in range(len(s) - size + 1):
-            run = tuple(x for _, _, x in s[k:k + size])
-            if sum(len(x.split()) for x in run) >= least:
+        for k, (a, _) in enumerate(clauses):
+            enough = [z for _, z in clauses[k + size - 1:] if z - a + 1 >= least]
+            if enough:
+                run = tuple(m.group().lower() for m in found[a:enough[0] + 1])
                 if run in seen:
-                    gone.append((s[k][0], s[k + size - 1][1]))
+                    gone.append((found[a].start(), found[enough[0] + 1].start() if enough[0] + 1 < len(found) else len(t)))
                 seen.add(run)
         keep = [True] * len(t)
         for a, z in gone:
@@ -260,11 +280,35 @@ def brute_spans(docs, size=3, least=12):
     return left
 
 
+@pytest.mark.parametrize("words", [51, 60, 80])
+def test_passages_in_the_middle_of_sentences(words):
+    """Passages at random word positions of other texts share a run, and most
+    of their words go; the same clauses come out whatever texts are beside."""
+    r = random.Random(words)
+    stop = lambda: r.choice(["", "", "", "", "", "", ".", ".", ",", "!"])
+    made = lambda n: [f"w{int(r.expovariate(0.01))}{stop()}" for _ in range(n)]
+    caught, share = 0, 0.0
+    for _ in range(300):
+        passage, pair = made(words), []
+        for _ in range(2):
+            d = made(150)
+            at = r.randrange(1, 149)
+            pair.append(" ".join(d[:at] + passage + d[at:]))
+        found = [sentence_spans.runs(["beside this."] * k + [t], 3, 12) for k, t in enumerate(pair)]
+        common = set(found[0][3].tolist()) & set(found[1][3].tolist())
+        spans = [(a, z) for a, z, h in zip(*(c.tolist() for c in found[1][1:4])) if h in common]
+        caught += bool(common)
+        share += sum(len(pair[1][a:z].split()) for a, z in sentence_spans.union(spans)) / words
+    assert caught >= 297 + 3 * (words >= 6 * sentence_spans.WINDOW)
+    assert share / 300 > 0.8
+
+
 def test_spans_against_brute_force(spark):
     r = random.Random(5)
     pool = [" ".join(f"w{r.randrange(40)}" for _ in range(r.randrange(1, 12))) + r.choice([".", "!", "?", ""]) for _ in range(60)]
     docs = {i: r.choice([" ", "\n"]).join(r.choice(pool) for _ in range(r.randrange(1, 30))) for i in range(150)}
-    docs |= {200: None, 201: "", 202: "é. " * 50, 203: "word " * 3000}
+    docs |= {200: None, 201: "", 202: "é. " * 50, 203: "word " * 3000, 204: "  İ Ab\u3000c.\t\nD" * 9, 205: "İ ab c.\n\nD" * 9 + "\x1c"}
+    docs |= {k: " ".join(f"W{r.randrange(9)}" for _ in range(60)) for k in range(206, 240)}
     df = spark.createDataFrame([(i, t, 1, "clash") for i, t in docs.items()], "doc_id bigint, text string, begin int, spans string").repartition(4)
     got = sentence_spans.dedup(df).collect()
     want = brute_spans(docs)
