@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import by_size, id_text, ship_package, slices, texts, written
+from quarry.llm.common import by_size, drop_path, id_text, ship_package, slices, texts, written
 from quarry.session import scratch_path
 
 SPAN_ROWS = "doc_id bigint, tag bigint, tag2 bigint, begin int, end int, h bigint, check int"
@@ -156,7 +156,7 @@ def span_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
     return tagged(df, id_col, text_col).mapInArrow(each, SPAN_ROWS)
 
 
-def repeated(spans: DataFrame, hot_share: int = 1000) -> DataFrame:
+def repeated(spans: DataFrame, hot_share: int = 1000, old: list[str] | None = None) -> DataFrame:
     """``doc_id, tag, tag2, begin, end`` of the spans that occur before, in a
     document of smaller id or earlier in the same one.
 
@@ -164,6 +164,7 @@ def repeated(spans: DataFrame, hot_share: int = 1000) -> DataFrame:
     counted first; the rest works on the runs that occur again.  Runs that
     hold more than one in ``hot_share`` of all spans (fewer than ``hot_share``
     runs can) are joined by broadcast, all others by a shuffle on the hash.
+    The folders ``old`` go once the runs that occur again are written.
     """
     place = F.struct("doc_id", "tag", "tag2", "begin", "check")
     counts = written(spans.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "span-counts")
@@ -172,6 +173,8 @@ def repeated(spans: DataFrame, hot_share: int = 1000) -> DataFrame:
     again = written(spans.join(hot, "h", "left_anti").join(counts.filter(F.col("n") <= share).select("h"), "h", "left_semi")
                     .withColumn("hot", F.lit(False))
                     .unionByName(spans.join(hot, "h", "left_semi").withColumn("hot", F.lit(True))), "span-again")
+    for path in old or ():
+        drop_path(spans.sparkSession, path)
     first = lambda rows: rows.groupBy("h").agg(F.min(place).alias("first"))
     later = ~place.eqNullSafe(F.col("first")) & (F.col("check") == F.col("first.check"))
     few, many = again.filter("NOT hot"), again.filter("hot")
@@ -211,7 +214,7 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: i
     ship_package(spark)
     path = scratch_path(spark, "sentence-spans")
     span_rows(df, id_col, text_col, size, least_words).write.option("compression", "zstd").parquet(path)
-    found = repeated(spark.read.parquet(path))
+    found = repeated(spark.read.parquet(path), old=[path])
     key = F.struct("doc_id", "tag", "tag2").alias("_key")
     cuts = found.groupBy("doc_id", "tag", "tag2").agg(F.collect_set(F.struct("begin", "end")).alias("spans")).select(key, "spans")
     docs = tagged(df, id_col, text_col).select(key, "text")
