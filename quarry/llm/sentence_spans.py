@@ -24,6 +24,8 @@ from quarry.session import scratch_path
 SPAN_ROWS = "doc_id bigint, tag bigint, tag2 bigint, begin int, end int, h bigint, check int"
 #: A clause has at most so many words.
 WINDOW = 10
+#: A run of fewer whole sentences than asked for has more words than this.
+LONG_WORDS = 16
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93  # odd, so it has an inverse
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -108,7 +110,9 @@ def runs(each: list[str], size: int, least_words: int) -> tuple[np.ndarray, ...]
 
     Clauses end at a word with a stop before a blank, at a line's end, at a
     text's end and at the chosen words.  From each clause goes the shortest
-    run that has ``size`` clauses and ``least_words`` words.  A run reaches to
+    run that has ``size`` clauses and ``least_words`` words, and ``size`` ends
+    of sentences or more than ``LONG_WORDS`` words; so a single sentence of up
+    to ``LONG_WORDS`` words is no run, however it is cut.  A run reaches to
     the word after it, blanks included; hash and check are 96 bits of its
     words in lower case.
     """
@@ -119,7 +123,10 @@ def runs(each: list[str], size: int, least_words: int) -> tuple[np.ndarray, ...]
     ends = np.flatnonzero(w.stop | chosen(w))
     starts = np.append(0, ends[:-1] + 1)
     k = np.arange(len(ends))
+    stops = np.append(np.flatnonzero(w.stop[ends]), np.full(size, len(ends)))
+    sentence = stops[np.minimum(np.searchsorted(stops, k) + size - 1, len(stops) - 1)]
     to = np.maximum(k + size - 1, np.searchsorted(ends, starts + least_words - 1))
+    to = np.maximum(to, np.minimum(sentence, np.searchsorted(ends, starts + LONG_WORDS)))
     ok = to < len(ends)
     ok[ok] = w.text[starts[ok]] == w.text[starts[to[ok]]]
     first, final = starts[ok], ends[to[ok]]

@@ -256,7 +256,7 @@ def brute_clauses(t):
     for k in range(n - window + 1):
         ends.add(min(range(k, k + window), key=lambda j: (not stop[j], word_mark(found[j].group()) >> 1, -j)))
     ends = sorted(ends)
-    return list(zip([0, *(e + 1 for e in ends)], ends)), found
+    return list(zip([0, *(e + 1 for e in ends)], ends)), found, stop
 
 
 def brute_spans(docs, size=3, least=12):
@@ -264,10 +264,11 @@ def brute_spans(docs, size=3, least=12):
     seen, left = set(), {}
     for i in sorted(docs, key=lambda x: (x is not None, x)):
         t = docs[i] or ""
-        clauses, found = brute_clauses(t)
+        clauses, found, stop = brute_clauses(t)
         gone = []
         for k, (a, _) in enumerate(clauses):
-            enough = [z for _, z in clauses[k + size - 1:] if z - a + 1 >= least]
+            enough = [z for _, z in clauses[k + size - 1:] if z - a + 1 >= least
+                      and (sum(stop[a:z + 1]) >= size or z - a + 1 > sentence_spans.LONG_WORDS)]
             if enough:
                 run = tuple(m.group().lower() for m in found[a:enough[0] + 1])
                 if run in seen:
@@ -330,6 +331,13 @@ def test_passage_in_many_documents(spark):
     assert all(got[i].text == docs[i] for i in range(420, 440))
 
 
+def test_one_sentence_is_no_run():
+    line = " ".join(f"x{k}" for k in range(16)) + ".\n"
+    found = [sentence_spans.runs([f"Alone here. {line}Other {k} end."], 3, 12) for k in "ab"]
+    assert all(len(f[0]) for f in found)
+    assert sentence_spans.runs([line], 3, 12)[0].tolist() == []
+
+
 def test_spans_odd_rows(spark):
     text = "One two three four five. Six seven eight nine ten. Eleven twelve thirteen."
     df = spark.createDataFrame([(None, text), (3, text), (3, text), (4, "short")], "doc_id bigint, text string")
