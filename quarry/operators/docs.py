@@ -26,7 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.sources.tables import with_scalars
+from quarry.sources.layout_store import bucket_of
+from quarry.sources.tables import join_small, with_scalars
 
 ITEM_FIELDS = ["StockCode", "Description", "Quantity", "UnitPrice"]
 MAX_ITEMS = 2048
@@ -74,45 +75,81 @@ def customer_refs(headers: DataFrame) -> DataFrame:
 
 def chunk_of(element_key: Sequence[str], n_elements: Column, max_elements: int) -> Column:
     """Chunk number of an element: hash of its key modulo ceil(n / max)."""
-    n_chunks = F.greatest(F.lit(1), F.ceil(n_elements / F.lit(max_elements)).cast("long"))
-    return F.pmod(F.xxhash64(*element_key), n_chunks).cast("int")
+    return F.pmod(F.xxhash64(*element_key), _n_chunks(n_elements, max_elements)).cast("int")
 
 
-def nest_items(rollup: DataFrame, headers: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
+def _cells(key: str, n_buckets: int, n_cells: int) -> dict[str, Column]:
+    """Columns that deal documents to writers: the storage bucket of ``key`` and
+    one of ``n_cells`` parts of it (chunks of one key may be in different parts)."""
+    return {"bucket": bucket_of(F.col(key), n_buckets),
+            "_cell": F.pmod(F.xxhash64(F.lit("cell"), key, "Chunk"), F.lit(n_cells))}
+
+
+def _grouped(rows: DataFrame, key: str, place: tuple[int, int] | None):
+    """``rows`` grouped by (key, Chunk) after one shuffle; with ``place`` (buckets,
+    cells of a bucket) that shuffle also brings a bucket's documents together."""
+    if place is None:
+        return rows.repartition(key, "Chunk").groupBy(key, "Chunk")
+    cells = _cells(key, *place)
+    return rows.withColumns(cells).repartition(place[0] * place[1], *cells).groupBy(*cells, key, "Chunk")
+
+
+def _n_chunks(n_elements: Column, max_elements: int) -> Column:
+    return F.greatest(F.lit(1), F.ceil(n_elements / F.lit(max_elements)).cast("long"))
+
+
+def _chunked(rows: DataFrame, sizes: DataFrame, key: str, n: str, element: Sequence[str], max_elements: int) -> DataFrame:
+    """``rows`` with their ``Chunk``.  ``sizes`` has the element count ``n`` of
+    each key; only the few keys that are split are joined to the rows."""
+    split = sizes.filter(F.col(n) > max_elements).select(key, n)
+    return (join_small(rows.filter(F.col(key).isNotNull()), split, key, "left")
+            .withColumn("_chunk", chunk_of(element, F.coalesce(n, F.lit(1)), max_elements))
+            .drop("Chunk", n).withColumnRenamed("_chunk", "Chunk"))
+
+
+def _per_chunk(heads: DataFrame, key: str, n: str, max_elements: int) -> DataFrame:
+    """A copy of each key's header row for every chunk of the key."""
+    last = (_n_chunks(F.col(n), max_elements) - 1).cast("int")
+    return heads.filter(F.col(key).isNotNull()).withColumn("Chunk", F.explode(F.sequence(F.lit(0), last))).drop(n)
+
+
+def nest_items(rollup: DataFrame, headers: DataFrame, max_items: int = MAX_ITEMS,
+               place: tuple[int, int] | None = None) -> DataFrame:
     """Transaction documents: items grouped per invoice, sorted by stock code.
 
     ``headers`` (one row per invoice) supplies date, customer and item count.
-    The group step is keyed by (invoice, chunk) so a very large invoice is
-    spread over tasks.
+    Header rows and item rows go through one shuffle together and meet in the
+    group, so items are not first moved by a join.  The group step is keyed by
+    (invoice, chunk) so a very large invoice is spread over tasks.  ``place``
+    deals the documents to storage buckets in that shuffle.
     """
-    h = headers.select("InvoiceNo", "InvoiceDate", "CustomerID", "_n_items")
-    items = (rollup.select("InvoiceNo", *ITEM_FIELDS)
-             .join(h, "InvoiceNo")
-             .withColumn("Chunk", chunk_of(["StockCode"], F.col("_n_items"), max_items))
-             .repartition("InvoiceNo", "Chunk"))
-    return items.groupBy("InvoiceNo", "Chunk").agg(
-        F.first("InvoiceDate").alias("InvoiceDate"),
-        F.first("CustomerID").alias("CustomerID"),
-        F.array_sort(F.collect_list(F.struct(*ITEM_FIELDS))).alias("Items"),
-    )
-
-
-def nest_invoices(transactions: DataFrame, refs: DataFrame, max_invoices: int = MAX_INVOICES) -> DataFrame:
+    h = headers.select("InvoiceNo", "_n_items", F.struct("InvoiceDate", "CustomerID").alias("_head"))
+    items = (_chunked(rollup.select("InvoiceNo", *ITEM_FIELDS), h, "InvoiceNo", "_n_items", ["StockCode"], max_items)
+             .select("InvoiceNo", "Chunk", F.struct(*ITEM_FIELDS).alias("_item")))
+    both = items.unionByName(_per_chunk(h, "InvoiceNo", "_n_items", max_items), allowMissingColumns=True)
+    return _grouped(both, "InvoiceNo", place).agg(
+        F.first("_head", ignorenulls=True).alias("_head"), F.array_sort(F.collect_list("_item")).alias("Items"),
+    ).filter("_head IS NOT NULL AND size(Items) > 0").select(
+        *(["bucket"] if place else []), "InvoiceNo", "Chunk", "_head.InvoiceDate", "_head.CustomerID", "Items")
+
+
+def nest_invoices(transactions: DataFrame, refs: DataFrame, max_invoices: int = MAX_INVOICES,
+                  place: tuple[int, int] | None = None) -> DataFrame:
     """Customer documents: invoice entries grouped per customer, sorted by invoice.
 
     Each transaction document becomes one entry ``{InvoiceNo, InvoiceDate,
-    Items}``; entries are chunked per customer like items per invoice.  The
-    country joins the narrow counts, so finished documents aren't shuffled.
+    Items}``; entries are chunked per customer like items per invoice, and meet
+    the country in the group's one shuffle.
     """
-    per_customer = (transactions.groupBy("CustomerID").agg(F.count(F.lit(1)).alias("_n_docs"))
-                    .join(refs.select("CustomerID", "Country"), "CustomerID"))
-    entries = (transactions.join(per_customer, "CustomerID")
-               .withColumn("Chunk", chunk_of(["InvoiceNo", "Chunk"], F.col("_n_docs"), max_invoices))
-               .select("CustomerID", "Chunk", "Country",
-                       F.struct("InvoiceNo", "InvoiceDate", "Items").alias("_inv"))
-               .repartition("CustomerID", "Chunk"))
-    return entries.groupBy("CustomerID", "Chunk").agg(
-        F.first("Country").alias("Country"), F.array_sort(F.collect_list("_inv")).alias("Invoices"))
+    sizes = transactions.groupBy("CustomerID").agg(F.count(F.lit(1)).alias("_n_docs"))
+    heads = refs.join(sizes, "CustomerID").select("CustomerID", "_n_docs", F.struct("Country").alias("_head"))
+    entries = (_chunked(transactions, sizes, "CustomerID", "_n_docs", ["InvoiceNo", "Chunk"], max_invoices)
+               .select("CustomerID", "Chunk", F.struct("InvoiceNo", "InvoiceDate", "Items").alias("_inv")))
+    both = entries.unionByName(_per_chunk(heads, "CustomerID", "_n_docs", max_invoices), allowMissingColumns=True)
+    return _grouped(both, "CustomerID", place).agg(
+        F.first("_head", ignorenulls=True).alias("_head"), F.array_sort(F.collect_list("_inv")).alias("Invoices"),
+    ).filter("_head IS NOT NULL AND size(Invoices) > 0").select(
+        *(["bucket"] if place else []), "CustomerID", "Chunk", "_head.Country", "Invoices")
 
 
 def build_layouts(retail: DataFrame, order: str = "RowKey", max_items: int = MAX_ITEMS,

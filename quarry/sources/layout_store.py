@@ -62,6 +62,14 @@ def write_table(df: DataFrame, path: str, key: str, n_buckets: int) -> str:
     return path
 
 
+def write_placed(df: DataFrame, path: str, key: str) -> str:
+    """Write documents that already have their ``bucket`` and whose tasks hold
+    few buckets each (``place`` of the nesting steps): no further shuffle."""
+    (df.sortWithinPartitions("bucket", key)
+       .write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(path))
+    return path
+
+
 def write_layouts(layouts: dict[str, DataFrame], base: str, n_buckets: int) -> dict[str, str]:
     paths = {}
     for name, key in KEYS.items():
@@ -126,25 +134,28 @@ def rewrite_buckets(spark: SparkSession, path: str, key: str, keys: DataFrame, n
 
 
 def build_and_write_layouts(spark: SparkSession, retail_df: DataFrame, base: str, n_buckets: int,
-                            order: str = "RowKey") -> dict[str, str]:
+                            order: str = "RowKey", n_cells: int = 1) -> dict[str, str]:
     """Ingest: flat rows → written document tables, each step reading the
     previous written table (no lineage is recomputed, and a lost executor
     only re-runs the current step).
 
     rollup (one row per invoice × stock code) → headers (one per invoice) →
     customer_refs, transactions → customers (from the written transactions).
+    Whole items are shuffled once for each document table; ``n_cells`` is the
+    number of parts that a bucket's documents are dealt to.
     """
     from quarry.operators import docs
     b = base.rstrip("/")
-    docs.item_rollup(retail_df, order).write.mode("overwrite").parquet(f"{b}/_rollup")
+    docs.item_rollup(retail_df, order).write.mode("overwrite").option("compression", "zstd").parquet(f"{b}/_rollup")
     rollup = spark.read.parquet(f"{b}/_rollup")
-    docs.invoice_headers(rollup).write.mode("overwrite").parquet(f"{b}/_headers")
+    docs.invoice_headers(rollup).write.mode("overwrite").option("compression", "zstd").parquet(f"{b}/_headers")
     headers = spark.read.parquet(f"{b}/_headers")
+    place = (n_buckets, n_cells)
     paths = {"customer_refs": write_table(docs.customer_refs(headers), f"{b}/customer_refs", "CustomerID", n_buckets),
-             "transactions": write_table(docs.nest_items(rollup, headers), f"{b}/transactions", "InvoiceNo", n_buckets)}
+             "transactions": write_placed(docs.nest_items(rollup, headers, place=place), f"{b}/transactions", "InvoiceNo")}
     tx = read_table(spark, paths["transactions"]).drop("bucket")
     refs = read_table(spark, paths["customer_refs"]).drop("bucket")
-    paths["customers"] = write_table(docs.nest_invoices(tx, refs), f"{b}/customers", "CustomerID", n_buckets)
+    paths["customers"] = write_placed(docs.nest_invoices(tx, refs, place=place), f"{b}/customers", "CustomerID")
     return paths
 
 
@@ -180,6 +191,7 @@ def push_as_chunk(spark: SparkSession, path: str, customers: DataFrame, customer
 LAYOUT_TABLES = ("_rollup", "_headers", "customer_refs", "transactions", "customers")
 _BUILD_LOCK = threading.Lock()
 ROWS_PER_BUCKET = 50_000_000
+ROWS_PER_CELL = 500_000   # what one task of the build sorts in memory
 
 
 def source_fingerprint(sources: dict[str, DataFrame]) -> tuple[str, dict[str, int]]:
@@ -220,7 +232,9 @@ def stored_layouts(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFram
     with _BUILD_LOCK:   # one build per snapshot even if queries run from several threads
         if not _exists(spark, ready):
             building = f"{base}.building-{uuid.uuid4().hex[:12]}"
-            build_and_write_layouts(spark, retail_view(spark, sf_dir), building, n_buckets)
+            n_cells = max(1, -(-counts["lineitem"] // (n_buckets * ROWS_PER_CELL)))
+            rows = retail_view(spark, sf_dir, n_parts=n_buckets * n_cells)
+            build_and_write_layouts(spark, rows, building, n_buckets, n_cells=n_cells)
             spark.createDataFrame([(key,)], "key string").write.mode("overwrite").json(f"{building}/_READY")
             if not _rename(spark, building, base):
                 delete_path(spark, building)  # another driver was first

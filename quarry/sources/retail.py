@@ -59,12 +59,15 @@ def _customer_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_small(cust, nation.withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey", max_rows=10_000)
 
 
-def retail_view(spark: SparkSession, sf_dir: str, with_row_key: bool = True) -> DataFrame:
+def retail_view(spark: SparkSession, sf_dir: str, with_row_key: bool = True, n_parts: int | None = None) -> DataFrame:
     """Flat retail rows: lineitem ⋈ orders ⋈ customer ⋈ nation ⋈ part.
 
     Join order keeps the big side (lineitem) to two equi-joins; orders are
     first enriched with the country so the customer join runs on the
-    smaller orders table.
+    smaller orders table.  The join by invoice comes last and on ``InvoiceNo``
+    itself, so its rows are already dealt by invoice: grouping them by invoice,
+    or by invoice and stock code, needs no further shuffle.  ``n_parts`` is the
+    number of parts of that join (default: the session's).
     """
     orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     cc = _customer_country(spark, sf_dir)
@@ -72,8 +75,10 @@ def retail_view(spark: SparkSession, sf_dir: str, with_row_key: bool = True) ->
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
                "l_linenumber", "l_quantity", "l_extendedprice")
     part = table(spark, sf_dir, "part", "p_partkey", "p_name")
-    j = (li.join(orders_c, li.l_orderkey == orders_c.o_orderkey, "inner")
-           .join(part, li.l_partkey == part.p_partkey, "inner"))
+    invoice = F.col("l_orderkey").cast("string")
+    lines = li.join(part, li.l_partkey == part.p_partkey, "inner")
+    lines = lines.repartition(n_parts, invoice) if n_parts else lines
+    j = lines.join(orders_c, invoice == F.col("o_orderkey").cast("string"), "inner")
     cols = [
         F.col("l_orderkey").cast("string").alias("InvoiceNo"),
         F.col("l_partkey").cast("string").alias("StockCode"),
