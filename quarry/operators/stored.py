@@ -28,26 +28,45 @@ from quarry.sources.layout_store import literal_bucket
 from quarry.sources.versioned_store import Conflict, VersionedStore
 
 MOST_KEYS = 10_000
+ROWS_PER_PART = 1_000_000   # index rows that one task of the build sorts
 _LITERAL = re.compile(r"[A-Za-z0-9 ]+")
 
 
 # ------------------------------------------------------------ index contents
 
 def customer_invoices(tx: DataFrame) -> DataFrame:
-    return tx.select("CustomerID", "InvoiceNo", "InvoiceDate").distinct()
+    return _customer_invoices(tx).distinct()
 
 
 def invoice_customers(customers: DataFrame) -> DataFrame:
-    return customers.select(F.explode("Invoices.InvoiceNo").alias("InvoiceNo"), "CustomerID").distinct()
+    return _invoice_customers(customers).distinct()
 
 
 def tx_words(tx: DataFrame) -> DataFrame:
-    return tx.select(F.explode("Items.Description").alias("Description"), "InvoiceNo").filter("Description IS NOT NULL").distinct()
+    return _tx_words(tx).distinct()
 
 
 def customer_words(customers: DataFrame) -> DataFrame:
-    items = F.flatten("Invoices.Items")["Description"]
-    return customers.select(F.explode(items).alias("Description"), "CustomerID").filter("Description IS NOT NULL").distinct()
+    return _customer_words(customers).distinct()
+
+
+# the rows of each index as they come; equal ones may repeat
+
+def _customer_invoices(tx: DataFrame) -> DataFrame:
+    return tx.select("CustomerID", "InvoiceNo", "InvoiceDate")
+
+
+def _invoice_customers(customers: DataFrame) -> DataFrame:
+    return customers.select(F.explode("Invoices.InvoiceNo").alias("InvoiceNo"), "CustomerID")
+
+
+def _tx_words(tx: DataFrame) -> DataFrame:
+    return tx.select(F.explode(F.array_distinct("Items.Description")).alias("Description"), "InvoiceNo").filter("Description IS NOT NULL")
+
+
+def _customer_words(customers: DataFrame) -> DataFrame:
+    items = F.array_distinct(F.flatten("Invoices.Items")["Description"])
+    return customers.select(F.explode(items).alias("Description"), "CustomerID").filter("Description IS NOT NULL")
 
 
 def trigrams(descriptions: DataFrame) -> DataFrame:
@@ -66,12 +85,14 @@ def build_store(spark: SparkSession, base: str, folders: dict[str, str], n_bucke
     for name, key in (("transactions", "InvoiceNo"), ("customers", "CustomerID"), ("customer_refs", "CustomerID")):
         store.define(name, key, n_buckets, spark.read.parquet(folders[name]).schema, folders[name])
     tx, customers = store.table("transactions"), store.table("customers")
-    made = {"customer_invoices": ("CustomerID", customer_invoices(tx)), "invoice_customers": ("InvoiceNo", invoice_customers(customers)),
-            "tx_words": ("Description", tx_words(tx)), "customer_words": ("Description", customer_words(customers))}
+    made = {"customer_invoices": ("CustomerID", _customer_invoices(tx)), "invoice_customers": ("InvoiceNo", _invoice_customers(customers)),
+            "tx_words": ("Description", _tx_words(tx)), "customer_words": ("Description", _customer_words(customers))}
+    n_items = tx.agg(F.sum(F.size("Items.StockCode"))).first()[0] or 0
+    parts = max(1, -(-n_items // (n_buckets * ROWS_PER_PART)))
     changes = []
     for name, (key, rows) in made.items():
         store.define(name, key, n_buckets, rows.schema)
-        changes.append(store.stage(name, rows))
+        changes.append(store.stage(name, rows, distinct=parts))   # the one shuffle by bucket also drops repeats
     words = store.staged(changes[2]).select("Description").unionByName(store.staged(changes[3]).select("Description"))
     store.define("trigrams", "Trigram", n_buckets, trigrams(words).schema)
     changes.append(store.stage("trigrams", trigrams(words)))

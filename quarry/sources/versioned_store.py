@@ -147,15 +147,22 @@ class VersionedStore:
         of = {c[7:]: [f"{folder}/{c}"] for c in _Files(self.spark, folder).children(folder) if c.startswith("bucket=")} if folder else {}
         self.manifest["tables"][name] = {"key": key, "buckets": n_buckets, "schema": plain.jsonValue(), "folders": of}
 
-    def stage(self, name: str, rows: DataFrame, replace: Iterable[int] | None = None, few: bool = False) -> dict:
+    def stage(self, name: str, rows: DataFrame, replace: Iterable[int] | None = None, few: bool = False,
+              distinct: int = 0) -> dict:
         """Write ``rows`` aside.  They are added to the table, or take the
         place of the buckets ``replace``, when the result is committed.
         ``few`` rows are written by the tasks that have them, without a
-        shuffle by bucket (``compact`` joins such files)."""
+        shuffle by bucket (``compact`` joins such files).  With ``distinct``
+        equal rows are written once: they meet in the shuffle by bucket, which
+        deals a bucket to that many parts."""
         folder = f"{self.base}/data/{name}/{uuid.uuid4().hex}"
         key = self.key(name)
         rows = rows.select(*self.schema(name).names).withColumn("bucket", bucket_of(F.col(key), self.n_buckets(name)))
-        rows = rows if few else rows.hint("rebalance", "bucket")
+        if distinct:
+            cell = F.pmod(F.xxhash64(F.lit("cell"), *self.schema(name).names), F.lit(distinct))
+            rows = (rows.withColumn("_cell", cell).repartition(self.n_buckets(name) * distinct, "bucket", "_cell").distinct().drop("_cell"))
+        elif not few:
+            rows = rows.hint("rebalance", "bucket")
         rows.sortWithinPartitions("bucket", key).write.partitionBy("bucket").parquet(folder)
         written = {c[7:]: f"{folder}/{c}" for c in _Files(self.spark, folder).children(folder) if c.startswith("bucket=")}
         return {"table": name, "folder": folder, "written": written, "replace": None if replace is None else [str(b) for b in replace]}

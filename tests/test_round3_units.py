@@ -1,12 +1,13 @@
-"""Round 3: shuffles of the layout build."""
+"""Round 3: shuffles of the layout build and the indexes."""
 
 import datetime as dt
 from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from quarry.operators import docs
+from quarry.operators import docs, stored
 from quarry.sources import layout_store
+from quarry.sources.versioned_store import VersionedStore
 
 SCHEMA = ("InvoiceNo string, StockCode string, Description string, Quantity int, InvoiceDate timestamp_ntz, "
           "UnitPrice decimal(18,2), CustomerID int, Country string, RowKey int")
@@ -50,3 +51,17 @@ def test_items_are_shuffled_once(spark, tmp_path):
     made = docs.nest_items(spark.read.parquet(str(tmp_path / "r")), spark.read.parquet(str(tmp_path / "h")), place=(4, 2))
     text = made._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text.replace("BroadcastHashJoin", "")
+
+
+def test_index_rows_are_written_once(spark, tmp_path):
+    store = VersionedStore.create(spark, str(tmp_path / "s"))
+    rows = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), ("a", 3)] * 5, "k string, v int")
+    store.define("t", "k", 4, rows.schema)
+    store.commit([store.stage("t", rows, distinct=2)])
+    assert sorted(tuple(r) for r in store.table("t").collect()) == [("a", 1), ("a", 3), ("b", 2)]
+    assert [r[0] for r in store.lookup("t", ["b"]).select("v").collect()] == [2]
+
+
+def test_words_of_an_index_do_not_repeat_within_a_document(spark):
+    tx = docs.nest_items(*(lambda r: (r, docs.invoice_headers(r)))(docs.item_rollup(_retail(spark))))
+    assert stored._tx_words(tx).count() == stored.tx_words(tx).count()
