@@ -116,9 +116,11 @@ TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"   # (?u)\b\w\w+\b on Unicode word character
 
 
 def term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, term, tf)`` after lower-casing and word-token extraction."""
+    """``(id, term, tf)`` after lower-casing and word-token extraction, dealt by
+    id: the texts are moved once, which is less than their terms, and neither
+    these counts nor sums over a document need a further shuffle."""
     toks = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN_PATTERN), 0)
-    return (docs.select(id_col, F.explode(toks).alias("term"))
+    return (docs.select(id_col, text_col).repartition(id_col).select(id_col, F.explode(toks).alias("term"))
             .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 

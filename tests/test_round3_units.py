@@ -1,11 +1,11 @@
-"""Round 3: shuffles of the layout build and the indexes."""
+"""Round 3: shuffles of the layout build, the indexes and TF-IDF."""
 
 import datetime as dt
 from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from quarry.operators import docs, stored
+from quarry.operators import docs, ml, stored
 from quarry.sources import layout_store
 from quarry.sources.versioned_store import VersionedStore
 
@@ -65,3 +65,12 @@ def test_index_rows_are_written_once(spark, tmp_path):
 def test_words_of_an_index_do_not_repeat_within_a_document(spark):
     tx = docs.nest_items(*(lambda r: (r, docs.invoice_headers(r)))(docs.item_rollup(_retail(spark))))
     assert stored._tx_words(tx).count() == stored.tx_words(tx).count()
+
+
+def test_tfidf_moves_each_text_once(spark):
+    rows = spark.createDataFrame([(1, "a1 bb bb"), (1, "bb cc"), (2, "cc"), (None, "dd"), (3, None)], "id long, text string")
+    w = ml.tfidf_transform(rows, ml.tfidf_fit(rows).localCheckpoint())
+    text = w._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1
+    got = {(r["id"], r["term"]): r["weight"] for r in w.collect()}
+    assert set(got) == {(1, "a1"), (1, "bb"), (1, "cc"), (2, "cc"), (None, "dd")} and got[(2, "cc")] == 1.0
