@@ -34,9 +34,12 @@ SHORT = 24
 #: Bins of the word signature; the share of equal bins from which a node joins
 #: a leader, and that below which a pair is passed over (a true share of 0.67,
 #: the least of a link, comes out below it by chance once in ten thousand).
-BINS, FIRM, LEAST_ALIKE = 32, 0.55, 0.35
-#: Rows of a bucket that one task holds.
-RUN_ROWS = 20_000
+#: Texts that share a passage alone come out below it as well.
+BINS, FIRM, LEAST_ALIKE = 256, 0.62, 0.49
+#: Bigints of a signature: a bit for each bin that is filled, and one of its least hash.
+SIGN = BINS // 32
+#: Rows of a bucket that one task holds, and pairs until a task gives them out.
+RUN_ROWS, PAIR_ROWS = 20_000, 20_000
 #: Rounds in which nodes whose leader is not of their class elect new leaders;
 #: in the next all that are left lead.
 ROUNDS = 3
@@ -130,15 +133,16 @@ class Sketcher:
         return out.view(np.int64)
 
     def signature(self, hashes: np.ndarray) -> np.ndarray:
-        """One byte of the least hash in each of ``BINS`` bins of the
-        occurrence-labelled words (0 for an empty bin), packed: the share of
-        equal bytes estimates the Jaccard similarity of the word bags, which
-        two texts of edit similarity 0.8 have at 0.67 or more."""
-        ranked = np.sort(_labelled(hashes))
-        bins, first = np.unique(ranked & np.uint64(BINS - 1), return_index=True)
-        out = np.zeros(BINS, np.uint8)
-        out[bins.astype(np.int64)] = (ranked[first] >> np.uint64(8)) % np.uint64(255) + np.uint64(1)
-        return out.view(np.int64)
+        """For each of ``BINS`` bins of the occurrence-labelled words, whether
+        it is filled, and one bit of its least hash, packed: these estimate
+        the Jaccard similarity of the word bags (``_shares``), which two texts
+        of edit similarity 0.8 have at 0.67 or more."""
+        ranked = np.sort(_labelled(hashes))[::-1]
+        bins = (ranked & np.uint64(BINS - 1)).astype(np.int64)
+        out = np.zeros(2 * BINS, np.uint8)
+        out[bins] = 1
+        out[BINS + bins] = (ranked >> np.uint64(32)) & np.uint64(1)  # the last of a bin, its least, stays
+        return np.packbits(out).view(np.int64)
 
 
 def edit_distance(a: list, b: list, most: int) -> int:
@@ -226,16 +230,19 @@ def sketch_rows(df: DataFrame, id_col: str, text_col: str, sketches: int) -> Dat
 
 def _shares(held: np.ndarray, sizes: np.ndarray, sign: np.ndarray, size: int, similarity: float) -> np.ndarray:
     """Share of equal bins of each held signature with one signature, or with
-    its own; 0 where the lengths differ too much."""
-    bins, mine = held.view(np.uint8), sign.view(np.uint8)
-    filled = ((bins != 0) | (mine != 0)).sum(axis=1)
-    share = ((bins == mine) & (mine != 0)).sum(axis=1) / np.maximum(filled, 1)
+    its own; 0 where the lengths differ too much.  Bins that differ have equal
+    bits half the time, so each that is seen to differ counts twice."""
+    held, sign, half = held.view(np.uint64), sign.view(np.uint64), SIGN // 2
+    count = lambda bits: np.bitwise_count(bits).sum(axis=-1, dtype=np.int64)
+    both = held[..., :half] & sign[..., :half]
+    equal = count(both) - 2 * count(both & (held[..., half:] ^ sign[..., half:]))
+    share = equal / np.maximum(count(held[..., :half] | sign[..., :half]), 1)
     share[np.minimum(sizes, size) < similarity * np.maximum(sizes, size) - 1] = 0
     return share
 
 
 def _signs(batch: pa.RecordBatch, column: int) -> np.ndarray:
-    return batch.column(column).flatten().to_numpy(zero_copy_only=False).reshape(-1, BINS // 8)
+    return batch.column(column).flatten().to_numpy(zero_copy_only=False).reshape(-1, SIGN)
 
 
 def _plain_runs(batch: pa.RecordBatch, run: int | None, similarity: float, firm: float) -> tuple[pa.RecordBatch, pa.RecordBatch]:
@@ -244,6 +251,7 @@ def _plain_runs(batch: pa.RecordBatch, run: int | None, similarity: float, firm:
     last run, which may go on, and one that goes on from ``run`` (None: the
     partition's first) are among the others."""
     h, node, size, sign = batch.column(0).to_numpy(), batch.column(1), batch.column(2).to_numpy(), _signs(batch, 3)
+    label = batch.column(4).to_numpy()
     starts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
     counts = np.diff(np.append(starts, len(h)))
     head = np.repeat(starts, counts)
@@ -253,21 +261,22 @@ def _plain_runs(batch: pa.RecordBatch, run: int | None, similarity: float, firm:
     plain[-1] = False
     plain[0] &= run is not None and h[0] != run
     rows = np.repeat(plain, counts)
-    at = np.flatnonzero(rows & follows & (share >= LEAST_ALIKE))
+    at = np.flatnonzero(rows & follows & ((share >= firm) | (share >= LEAST_ALIKE) & (label != label[head])))
     k = len(at)
     pairs = pa.RecordBatch.from_arrays(
         [node.take(pa.array(head[at])), node.take(pa.array(at)), pa.array((BINS * share[at]).astype(np.int32)),
-         pa.array(h[at], mask=share[at] < firm), pa.nulls(k, pa.int32()), pa.nulls(k, pa.list_(pa.int64())), pa.nulls(k, pa.int32())],
-        names=["a", "b", "shared", "h", "size", "sign", "block"])
+         pa.array(h[at], mask=share[at] < firm), pa.nulls(k, pa.int32()), pa.nulls(k, pa.list_(pa.int64())), pa.nulls(k, pa.int64()),
+         pa.nulls(k, pa.list_(pa.int64())), pa.nulls(k, pa.int32())], names=["a", "b", "shared", "h", "size", "sign", "label", "before", "block"])
     return pairs, batch.filter(pa.array(~rows))
 
 
 def _leaders(similarity: float, firm: float = FIRM):
-    """Pass over rows ``h, node, size, sign`` sorted by (h, node): within a
+    """Pass over rows ``h, node, size, sign, label, before`` sorted by (h, node): within a
     run of one h, a node whose word signature and length firmly resemble an
     earlier leader's is paired with the best such alone; any other is paired
-    with the leaders that it may resemble, and becomes one.  A pair's ``h`` is
-    set where b has this leader alone.  Leaders of runs at a partition's edges
+    with the leaders of other labels that it may resemble, and becomes one.  A pair's ``h`` is
+    set where b has this leader alone.  Leaders that have an earlier bucket in
+    ``before`` in common with the node have met it there.  Leaders of runs at a partition's edges
     are returned too, with the partition as ``block``, as the run may go on in
     the next.
 
@@ -275,17 +284,29 @@ def _leaders(similarity: float, firm: float = FIRM):
     resemble the first, have no other leader to choose from: these are paired
     in one step for the whole batch, the others node by node."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["a", "b", "shared", "h", "size", "sign", "block"]
+        names = ["a", "b", "shared", "h", "size", "sign", "label", "before", "block"]
         block, run, first = TaskContext.get().partitionId(), None, True
         nodes: list[bytes] = []
-        held, sizes = np.empty((16, BINS // 8), np.int64), np.empty(16, np.int64)
+        held, sizes, labels = np.empty((16, SIGN), np.int64), np.empty(16, np.int64), np.empty(16, np.int64)
+        earlier: list[set[int]] = []
         a, b, shared, alone = [], [], [], []
 
+        def pair_rows() -> pa.RecordBatch:
+            k = len(a)
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(shared, pa.int32()), pa.array(alone, pa.int64()),
+                 pa.nulls(k, pa.int32()), pa.nulls(k, pa.list_(pa.int64())), pa.nulls(k, pa.int64()), pa.nulls(k, pa.list_(pa.int64())),
+                 pa.nulls(k, pa.int32())], names=names)
+            for x in (a, b, shared, alone):
+                x.clear()
+            return out
+
         def edge_rows() -> pa.RecordBatch:
             k = len(nodes)
             return pa.RecordBatch.from_arrays(
                 [pa.array(nodes, pa.binary()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int32()), pa.array([run] * k, pa.int64()),
                  pa.array(sizes[:k], pa.int32()), pa.array([held[i].tolist() for i in range(k)], pa.list_(pa.int64())),
+                 pa.array(labels[:k], pa.int64()), pa.array([sorted(x) for x in earlier], pa.list_(pa.int64())),
                  pa.array([block] * k, pa.int32())], names=names)
 
         for batch in batches:
@@ -294,31 +315,31 @@ def _leaders(similarity: float, firm: float = FIRM):
             plain, slow = _plain_runs(batch, run, similarity, firm)
             if plain.num_rows:
                 yield plain
-            for h, node, size, sign in zip(*(slow.column(c).to_pylist() for c in range(3)), _signs(slow, 3)):
+            for h, node, size, label, before, sign in zip(*(slow.column(c).to_pylist() for c in (0, 1, 2, 4, 5)), _signs(slow, 3)):
                 if h != run:
                     if run is not None and first:
                         yield edge_rows()
                         first = False
-                    run, nodes = h, []
-                k = len(nodes)
+                    run, nodes, earlier = h, [], []
+                k, before = len(nodes), set(before or ())
                 if k:
                     share = _shares(held[:k], sizes[:k], sign, size, similarity)
                     best = int(share.argmax())
-                    chosen = [best] if share[best] >= firm else np.flatnonzero(share >= LEAST_ALIKE)
+                    chosen = [best] if share[best] >= firm else np.flatnonzero((share >= LEAST_ALIKE) & (labels[:k] != label))
                     for i in chosen:
+                        if share[best] < firm and not before.isdisjoint(earlier[i]):
+                            continue
                         a.append(nodes[i]), b.append(node), shared.append(int(BINS * share[i])), alone.append(h if share[best] >= firm else None)
                     if share[best] >= firm:
                         continue
                 if k == len(held):
-                    held, sizes = np.concatenate([held, np.empty_like(held)]), np.concatenate([sizes, np.empty_like(sizes)])
-                held[k], sizes[k] = sign, size
-                nodes.append(node)
+                    held, sizes, labels = (np.concatenate([x, np.empty_like(x)]) for x in (held, sizes, labels))
+                held[k], sizes[k], labels[k] = sign, size, label
+                nodes.append(node), earlier.append(before)
+                if len(a) > PAIR_ROWS:
+                    yield pair_rows()
             if a:
-                k = len(a)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(shared, pa.int32()), pa.array(alone, pa.int64()),
-                     pa.nulls(k, pa.int32()), pa.nulls(k, pa.list_(pa.int64())), pa.nulls(k, pa.int32())], names=names)
-                a, b, shared, alone = [], [], [], []
+                yield pair_rows()
         if run is not None:
             yield edge_rows()
 
@@ -327,31 +348,43 @@ def _leaders(similarity: float, firm: float = FIRM):
 
 def _across(left: DataFrame, right: DataFrame, similarity: float) -> DataFrame:
     """``a, b, shared``, a < b: each row of ``left`` with each of ``right`` of
-    the same block pair (h, i, j) that it may resemble; both have ``h, i, j,
-    node, size, sign``.  A block pair's left rows are held by one task."""
+    the same block pair (h, i, j) and another label that it may resemble; both
+    have ``h, i, j, node, size, sign, label, before``.  Rows that have a bucket
+    in ``before`` in common have met there.  A block pair's left rows are held
+    by one task."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, nodes, signs, sizes, table = None, [], [], [], None
+        at, nodes, signs, sizes, labels, earlier, table = None, [], [], [], [], [], None
+        a, b, shared = [], [], []
+
+        def pair_rows() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(shared, pa.int32())],
+                                             names=["a", "b", "shared"])
+            for x in (a, b, shared):
+                x.clear()
+            return out
+
         for batch in batches:
-            a, b, shared = [], [], []
-            rows = zip(*(batch.column(c).to_pylist() for c in range(6)), _signs(batch, 6))
-            for h, i, j, side, node, size, sign in rows:
+            rows = zip(*(batch.column(c).to_pylist() for c in range(8)), _signs(batch, 8))
+            for h, i, j, side, node, size, label, before, sign in rows:
                 if (h, i, j) != at:
-                    at, nodes, signs, sizes, table = (h, i, j), [], [], [], None
+                    at, nodes, signs, sizes, labels, earlier, table = (h, i, j), [], [], [], [], [], None
                 if not side:
-                    nodes.append(node), signs.append(sign.copy()), sizes.append(size)
+                    nodes.append(node), signs.append(sign.copy()), sizes.append(size), labels.append(label)
+                    earlier.append(set(before or ()))
                     continue
                 if not nodes:
                     continue
                 if table is None:
-                    table = np.array(signs), np.array(sizes, np.int64)
+                    table, known = (np.array(signs), np.array(sizes, np.int64)), np.array(labels, np.int64)
                 share = _shares(*table, sign, size, similarity)
-                for k in np.flatnonzero(share >= LEAST_ALIKE):
-                    if nodes[k] != node:
+                for k in np.flatnonzero((share >= LEAST_ALIKE) & (known != label)):
+                    if nodes[k] != node and earlier[k].isdisjoint(before or ()):
                         a.append(min(nodes[k], node)), b.append(max(nodes[k], node)), shared.append(int(BINS * share[k]))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(shared, pa.int32())],
-                                             names=["a", "b", "shared"])
+                if len(a) > PAIR_ROWS:
+                    yield pair_rows()
+            yield pair_rows()
 
-    cols = ["h", "i", "j", "side", "node", "size", "sign"]
+    cols = ["h", "i", "j", "side", "node", "size", "label", "before", "sign"]
     both = left.withColumn("side", F.lit(0)).select(*cols).unionByName(right.withColumn("side", F.lit(1)).select(*cols))
     return (both.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "side")
             .mapInArrow(each, "a binary, b binary, shared int"))
@@ -417,21 +450,26 @@ def buckets(drawn: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _passed(rows: DataFrame, similarity: float, firm: float = FIRM, run_rows: int = RUN_ROWS) -> DataFrame:
-    """``a, b, shared, h`` of the passes over ``rows``.  About ``run_rows`` rows
+    """``a, b, shared, h`` of the passes over ``rows`` (``h, node, size, sign``
+    and, where known, ``label``, a number of the node's class, and ``before``,
+    see ``_before``).  About ``run_rows`` rows
     are a partition; the leaders of a run that spans several are passed again,
     and where that hardly lessens them, block by block.  ``h`` is the bucket
     in which a is b's only leader, else null."""
     found, left = [], rows.count()
     step = _leaders(similarity, firm)
+    for name, plain in (("label", F.xxhash64("node")), ("before", F.lit(None).cast("array<bigint>"))):
+        rows = rows if name in rows.columns else rows.withColumn(name, plain)
     while left:
         parts = max(left // run_rows, 1)
         dealt = rows.repartitionByRange(parts, "h", "node") if parts > 1 else rows.coalesce(1)
-        out = written(dealt.sortWithinPartitions("h", "node").select("h", "node", "size", "sign")
-                      .mapInArrow(step, "a binary, b binary, shared int, h bigint, size int, sign array<bigint>, block int"), "near-out")
+        out = written(dealt.sortWithinPartitions("h", "node").select("h", "node", "size", "sign", "label", "before")
+                      .mapInArrow(step, "a binary, b binary, shared int, h bigint, size int, sign array<bigint>, label bigint, "
+                                        "before array<bigint>, block int"), "near-out")
         found.append(out.filter("b IS NOT NULL").select("a", "b", "shared", "h"))
         if parts == 1:
             break
-        edge = out.filter("b IS NULL").select("h", F.col("a").alias("node"), "size", "sign", "block")
+        edge = out.filter("b IS NULL").select("h", F.col("a").alias("node"), "size", "sign", "label", "before", "block")
         now = edge.count()
         if now > 0.8 * left:
             found.append(_block_pairs(edge, similarity).withColumn("h", F.lit(None).cast("bigint")))
@@ -466,33 +504,46 @@ def _few(keys: DataFrame, most: int = 100_000) -> DataFrame | None:
     return F.broadcast(keys) if keys.limit(most + 1).count() <= most else None
 
 
-def _led_again(rows: DataFrame, failed: DataFrame, similarity: float, firm: float) -> DataFrame:
+def _led_again(rows: DataFrame, failed: DataFrame, labels: DataFrame, similarity: float, firm: float) -> DataFrame:
     """Pairs, as of ``_passed``, of the nodes ``failed`` (``h, node``): passed
-    among themselves, and those that lead with all other rows of the bucket."""
-    again = cut(rows.join(failed, ["h", "node"]))
-    pairs = _passed(again, similarity, firm)
+    among themselves, and those that lead with all other rows of the bucket.
+    Nodes that ``labels`` (``node, label``) has in one class need not meet."""
+    classed = lambda r: (r.join(labels, "node", "left")
+                         .select("h", "node", "size", "sign", F.xxhash64(F.coalesce("label", "node")).alias("label")))
+    again = cut(classed(rows.join(failed, ["h", "node"])))
+    # where all lead, any two nodes of a bucket meet, so they need not meet in two
+    pairs = _passed(again if firm <= 1 else cut(_before(again)), similarity, firm)
     led = pairs.filter("h IS NOT NULL").select("h", F.col("b").alias("node")).distinct()
     old: list[str] = []
     leads = written(again.join(led, ["h", "node"], "left_anti").withColumn("_salt", salted("node")), "near-leads", old)
-    rest = rows.join(failed, ["h", "node"], "left_anti").withColumn("_salt", salted("node"))
+    rest = rows.join(failed, ["h", "node"], "left_anti")
     led_in = _few(leads.select("h").distinct())
     if led_in is not None:  # else the joins below drop the buckets without a leader
         rest = rest.join(led_in, "h", "left_semi")
-    rest = written(rest, "near-rest", old)
+    rest = written(classed(rest).withColumn("_salt", salted("node")), "near-rest", old)
     blocks = lambda r, n: (r.groupBy("h", "_salt").agg(F.count(F.lit(1)).alias("n"))
                            .groupBy("h").agg(F.ceil(F.sum("n") / RUN_ROWS).cast("int").alias(n)))
     n_leads = cut(blocks(leads, "ni"))
     both = cut(n_leads.join(blocks(rest.join(_salts_of(rest, n_leads).drop("ni"), ["h", "_salt"]), "nj"), "h"))
     place = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = leads.join(_salts_of(leads, both), ["h", "_salt"]).withColumn("i", place("ni")).withColumn("j", each("nj"))
-    right = rest.join(_salts_of(rest, both), ["h", "_salt"]).withColumn("j", place("nj")).withColumn("i", each("ni"))
+    left = _before(leads.join(_salts_of(leads, both), ["h", "_salt"])).withColumn("i", place("ni")).withColumn("j", each("nj"))
+    right = _before(rest.join(_salts_of(rest, both), ["h", "_salt"])).withColumn("j", place("nj")).withColumn("i", each("ni"))
     more = cut(_across(left, right, similarity).withColumn("h", F.lit(None).cast("bigint")))
     for path in old:
         drop_path(rows.sparkSession, path)
     return pairs.unionByName(more)
 
 
+def _before(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``before``: the buckets of the row's node in ``rows`` that
+    are less than its own ``h``.  Two rows of a bucket have met in another if
+    these have one in common: a pair is made in its least bucket only.  A node
+    has as many buckets as sketches at most."""
+    held = rows.groupBy("node").agg(F.collect_set("h").alias("_hs"))
+    return (rows.join(held, "node").withColumn("before", F.filter("_hs", lambda x: x < F.col("h"))).drop("_hs"))
+
+
 def _salts_of(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """``groups`` (by ``h``), sent to each (h, _salt) that occurs in ``rows``."""
     return rows.select("h", "_salt").distinct().join(groups, "h")
@@ -571,7 +622,7 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", simil
             break
         turn += 1
         tried = written(tried.unionByName(pairs.select("a", "b")).distinct(), "near-tried")  # or of one class
-        passed = _led_again(bucket_rows, failed, similarity, FIRM if turn <= ROUNDS else 2.0)
+        passed = _led_again(bucket_rows, failed, labels, similarity, FIRM if turn <= ROUNDS else 2.0)
         pairs = _single(passed)
         new = written(_ends(pairs).join(labels, "node", "left_anti"), "near-asked")
         node_texts = node_texts.unionByName(texts_of(new))

@@ -209,6 +209,34 @@ def test_failed_leader_does_not_part_near_copies(spark):
     assert {x.doc_id: x.class_id for x in order_minhash.classes(df, sketches=1).collect()} == brute_classes(docs)
 
 
+def test_pair_meets_in_one_bucket_only(spark):
+    """Nodes that share ten buckets are paired once, and not within a class."""
+    n, words = 30, [f"w{i}" for i in range(100)]
+    sign = order_minhash.Sketcher(1).sketch(words)[1].tolist()
+    name = lambda i: f"n{i:03}".encode()
+    rows = spark.createDataFrame([(h, name(i), len(words), sign) for h in range(10) for i in range(n)], "h bigint, node binary, size int, sign array<bigint>")
+    own = spark.createDataFrame([(name(i), name(i)) for i in range(n)], "node binary, label binary")
+    one = spark.createDataFrame([(name(i), name(i % 2)) for i in range(n)], "node binary, label binary")
+    every, some = rows.select("h", "node"), rows.filter(F.col("node") == F.lit(name(7))).select("h", "node")
+    met = lambda failed, labels: [(bytes(x.a), bytes(x.b)) for x in order_minhash._led_again(rows, failed, labels, 0.8, 2.0).collect()]
+    got = met(every, own)
+    assert len(got) == len(set(got)) == n * (n - 1) // 2
+    got = met(some, own)
+    assert len(got) == len(set(got)) == n - 1
+    assert len(met(every, one)) == n * n // 4 and len(met(some, one)) == n // 2
+
+
+def test_texts_of_a_common_passage_are_told_apart():
+    """Half of the words in common is under the least share of a link."""
+    r, maker, below = random.Random(33), order_minhash.Sketcher(1), 0
+    for _ in range(300):
+        a = [f"w{r.randrange(10**6)}" for _ in range(300)]
+        b = a[:150] + [f"w{r.randrange(10**6)}" for _ in range(150)]
+        x, y = maker.sketch(a)[1], maker.sketch(b)[1]
+        below += bool(order_minhash._shares(x[None, :], np.array([300]), y, 300, 0.8)[0] < order_minhash.LEAST_ALIKE)
+    assert below > 295
+
+
 def test_group_of_near_copies(spark):
     """A thousand near copies of one text, and clean texts that share a passage."""
     r = random.Random(11)
