@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,9 +40,9 @@ BINS, FIRM, LEAST_ALIKE = 256, 0.62, 0.49
 SIGN = BINS // 32
 #: Rows of a bucket that one task holds, and pairs until a task gives them out.
 RUN_ROWS, PAIR_ROWS = 20_000, 20_000
-#: Rounds in which nodes whose leader is not of their class elect new leaders;
-#: in the next all that are left lead.
-ROUNDS = 3
+#: Words of a block of texts that meet another, and the bits of a word's hash
+#: in a bag: a table of so many marks stays in the cache.
+BLOCK_WORDS, BAG_BITS = 250_000, (1 << 20) - 1
 _WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -504,49 +504,115 @@ def _few(keys: DataFrame, most: int = 100_000) -> DataFrame | None:
     return F.broadcast(keys) if keys.limit(most + 1).count() <= most else None
 
 
-def _led_again(rows: DataFrame, failed: DataFrame, labels: DataFrame, similarity: float, firm: float) -> DataFrame:
-    """Pairs, as of ``_passed``, of the nodes ``failed`` (``h, node``): passed
-    among themselves, and those that lead with all other rows of the bucket.
-    Nodes that ``labels`` (``node, label``) has in one class need not meet."""
-    classed = lambda r: (r.join(labels, "node", "left")
-                         .select("h", "node", "size", "sign", F.xxhash64(F.coalesce("label", "node")).alias("label")))
-    again = cut(classed(rows.join(failed, ["h", "node"])))
-    # where all lead, any two nodes of a bucket meet, so they need not meet in two
-    pairs = _passed(again if firm <= 1 else cut(_before(again)), similarity, firm)
-    led = pairs.filter("h IS NOT NULL").select("h", F.col("b").alias("node")).distinct()
-    old: list[str] = []
-    leads = written(again.join(led, ["h", "node"], "left_anti").withColumn("_salt", salted("node")), "near-leads", old)
-    rest = rows.join(failed, ["h", "node"], "left_anti")
-    led_in = _few(leads.select("h").distinct())
-    if led_in is not None:  # else the joins below drop the buckets without a leader
-        rest = rest.join(led_in, "h", "left_semi")
-    rest = written(classed(rest).withColumn("_salt", salted("node")), "near-rest", old)
-    blocks = lambda r, n: (r.groupBy("h", "_salt").agg(F.count(F.lit(1)).alias("n"))
-                           .groupBy("h").agg(F.ceil(F.sum("n") / RUN_ROWS).cast("int").alias(n)))
-    n_leads = cut(blocks(leads, "ni"))
-    both = cut(n_leads.join(blocks(rest.join(_salts_of(rest, n_leads).drop("ni"), ["h", "_salt"]), "nj"), "h"))
+def _led_again(rows: DataFrame, failed: DataFrame, labels: DataFrame, similarity: float, block_words: float = BLOCK_WORDS,
+               bags_of: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``a, b, shared``, each pair once: the nodes ``failed`` (``h, node``) with
+    all nodes of their buckets that they may resemble.  Nodes that ``labels``
+    (``node, label``) has in one class need not meet.
+
+    Buckets whose failed nodes are linked by other buckets are one group, and
+    a node is in a group once, in however many of its buckets.  A group meets
+    in blocks of about ``block_words`` words.  ``bags_of`` gives the word bags
+    (``_bags``) of the groups' nodes: then only pairs with enough words in
+    common are made."""
+    spark, old = rows.sparkSession, []
+    heads = failed.groupBy("h").agg(F.min("node").alias("a"))
+    links = failed.join(heads, "h").filter("a <> node").select("a", F.col("node").alias("b")).distinct()
+    joined = components(links).select("node", F.col("label").alias("g"))
+    group = F.coalesce("g", "node").alias("g")
+    leads = written(failed.select("node").distinct().join(joined, "node", "left").select("node", group, F.lit(True).alias("lead")), "near-leads", old)
+    placed = written(heads.withColumnRenamed("a", "node").join(joined, "node", "left").select("h", group), "near-groups", old)
+    few = _few(placed)
+    members = rows.join(placed if few is None else few, "h").groupBy("g", "node").agg(F.first("size").alias("size"), F.first("sign").alias("sign"))
+    members = (members.join(labels, "node", "left").join(leads, ["g", "node"], "left")
+               .select("g", "node", "size", "sign", F.xxhash64(F.coalesce("label", "node")).alias("label"), F.coalesce("lead", F.lit(False)).alias("lead"))
+               .withColumn("_salt", salted("node")))
+    members = written(members, "near-members", old)
+    count = {"nl": F.sum(F.col("lead").cast("int")), "wl": F.sum(F.when(F.col("lead"), F.col("size")).otherwise(0)),
+             "nr": F.count(F.lit(1)), "wr": F.sum("size")}
+    blocks = lambda words, n: F.greatest(F.least(F.ceil(F.col(words) / block_words), F.col(n)), F.lit(1)).cast("int")
+    groups = known_groups(members, ["g"], count, {n: F.sum(n) for n in count})
+    sized = members.join(groups.select("g", "_salt", blocks("wl", "nl").alias("ni"), blocks("wr", "nr").alias("nj")), ["g", "_salt"])
+    if bags_of is None:
+        sized = sized.withColumn("bag", F.lit(None).cast("array<int>"))
+    else:
+        sized = sized.join(bags_of(members), "node")
     place = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = _before(leads.join(_salts_of(leads, both), ["h", "_salt"])).withColumn("i", place("ni")).withColumn("j", each("nj"))
-    right = _before(rest.join(_salts_of(rest, both), ["h", "_salt"])).withColumn("j", place("nj")).withColumn("i", each("ni"))
-    more = cut(_across(left, right, similarity).withColumn("h", F.lit(None).cast("bigint")))
+    left = sized.filter("lead").withColumn("i", place("ni")).withColumn("j", each("nj"))
+    right = sized.withColumn("j", place("nj")).withColumn("i", each("ni"))
+    pairs = written(_met(left, right, similarity, bags_of is not None), "near-met")
     for path in old:
-        drop_path(rows.sparkSession, path)
-    return pairs.unionByName(more)
+        drop_path(spark, path)
+    return pairs
 
 
-def _before(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``before``: the buckets of the row's node in ``rows`` that
-    are less than its own ``h``.  Two rows of a bucket have met in another if
-    these have one in common: a pair is made in its least bucket only.  A node
-    has as many buckets as sketches at most."""
-    held = rows.groupBy("node").agg(F.collect_set("h").alias("_hs"))
-    return (rows.join(held, "node").withColumn("before", F.filter("_hs", lambda x: x < F.col("h"))).drop("_hs"))
+def _bags(node_texts: DataFrame) -> DataFrame:
+    """``node, bag``: hashes of the occurrence-labelled words of each text."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maker = Sketcher(1)
+        for b in slices(batches):
+            with np.errstate(over="ignore"):
+                bags = [(_labelled(maker.word_hashes(words_of(t))) & np.uint64(BAG_BITS)).astype(np.int32) for t in texts(b.column(1))]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bags, pa.list_(pa.int32()))], names=["node", "bag"])
 
+    return node_texts.select("node", "text").mapInArrow(each, "node binary, bag array<int>")
 
-def _salts_of(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """``groups`` (by ``h``), sent to each (h, _salt) that occurs in ``rows``."""
-    return rows.select("h", "_salt").distinct().join(groups, "h")
+
+def _met(left: DataFrame, right: DataFrame, similarity: float, exact: bool) -> DataFrame:
+    """``a, b, shared``, a < b: each row of ``left`` with each of ``right`` of
+    the same blocks (g, i, j) and another label that it may resemble; both have
+    ``node, size, sign, label, lead, bag``.  With ``exact`` a pair's bags have
+    as many hashes in common as the similarity asks for: each word that the
+    other lacks costs an edit, and hashes that are equal by chance only add
+    pairs.  The left rows of two blocks are held by one task."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, nodes, signs, sizes, labels, bags, table = None, [], [], [], [], [], None
+        a, b, shared = [], [], []
+        known_words = np.zeros(BAG_BITS + 1, bool)
+
+        def pair_rows() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(shared, pa.int32())],
+                                             names=["a", "b", "shared"])
+            for x in (a, b, shared):
+                x.clear()
+            return out
+
+        for batch in slices(batches):
+            ends, words = batch.column(9).offsets.to_numpy(), batch.column(9).values.to_numpy(zero_copy_only=False)
+            rows = zip(*(batch.column(c).to_pylist() for c in range(8)), _signs(batch, 8), ends, ends[1:])
+            for g, i, j, side, node, size, label, lead, sign, start, end in rows:
+                if (g, i, j) != at:
+                    at, nodes, signs, sizes, labels, bags, table = (g, i, j), [], [], [], [], [], None
+                bag = words[start:end].astype(np.intp)
+                if not side:
+                    nodes.append(node), signs.append(sign.copy()), sizes.append(size), labels.append(label), bags.append(bag)
+                    continue
+                if not nodes:
+                    continue
+                if table is None:
+                    table, known = (np.array(signs), np.array(sizes, np.int64)), np.array(labels, np.int64)
+                share = _shares(*table, sign, size, similarity)
+                known_words[bag] = True
+                for k in np.flatnonzero((share >= LEAST_ALIKE) & (known != label)):
+                    if lead and nodes[k] > node:
+                        continue  # two that lead meet both ways
+                    alike_bins = int(BINS * share[k])
+                    if exact:
+                        longer, common = max(size, sizes[k]), int(np.count_nonzero(known_words[bags[k]]))
+                        if longer - common > int((1 - similarity) * longer + 1e-9):
+                            continue
+                        alike_bins = BINS * common // max(size + sizes[k] - common, 1)
+                    a.append(min(nodes[k], node)), b.append(max(nodes[k], node)), shared.append(alike_bins)
+                known_words[bag] = False
+                if len(a) > PAIR_ROWS:
+                    yield pair_rows()
+            yield pair_rows()
+
+    cols = ["g", "i", "j", "side", "node", "size", "label", "lead", "sign", "bag"]
+    both = left.withColumn("side", F.lit(0)).select(*cols).unionByName(right.withColumn("side", F.lit(1)).select(*cols))
+    return (both.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "side")
+            .mapInArrow(each, "a binary, b binary, shared int"))
 
 
 def verified(pairs: DataFrame, node_texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -581,8 +647,8 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", simil
     candidate is aligned, then the best candidate of each two classes, then
     all candidates that lie in different classes still; so a group of
     thousands of near copies costs about one alignment each.  A node that is
-    not of its only leader's class after that leads in the bucket itself, and
-    so on until no such node is left.
+    not of its only leader's class after that meets all nodes of the bucket
+    itself that have enough words in common with it.
 
     A null text is empty; texts without a word are copies of each other.
     Texts of up to ``SHORT`` words are sketched by single words.  A null doc_id
@@ -605,7 +671,7 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", simil
 
     def texts_of(asked: DataFrame) -> DataFrame:
         wanted = cut(heads.join(asked, "node").select("node", F.struct("head.i", "head.t").alias("_key")))
-        few = _few(wanted)  # then no text but those asked for is shuffled
+        few = _few(wanted, 5_000)  # then no text but those asked for is shuffled
         found = source.join(wanted.hint("shuffle_hash") if few is None else few, "_key")
         return written(found.groupBy("node").agg(F.first("text").alias("text")), "near-texts")
 
@@ -614,19 +680,23 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", simil
     best = pairs.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("top")).select(F.col("top.a").alias("a"), "b")
     roots = forest_roots(verified(best, node_texts, similarity))  # a document's best candidate: at most one parent
     labels = written(asked.join(roots, "node", "left").select("node", F.coalesce("label", "node").alias("label")), "near-labels")
-    tried, turn = written(best, "near-tried"), 0
-    while True:
-        labels = _merged(pairs, tried, labels, node_texts, similarity)
-        failed = written(_apart(passed.filter("h IS NOT NULL"), labels, "h").select("h", F.col("b").alias("node")).distinct(), "near-failed")
-        if not failed.limit(1).count():
-            break
-        turn += 1
+    tried = written(best, "near-tried")
+    labels = _merged(pairs, tried, labels, node_texts, similarity)
+    failed = written(_apart(passed.filter("h IS NOT NULL"), labels, "h").select("h", F.col("b").alias("node")).distinct(), "near-failed")
+    if failed.limit(1).count():
+        found = []  # the texts of the failed nodes' buckets
+
+        def bags_of(members: DataFrame) -> DataFrame:
+            met = written(members.select("node").distinct(), "near-met-nodes")
+            more = texts_of(met.join(asked, "node", "left_anti"))
+            found.append(node_texts.join(met, "node", "left_semi").unionByName(more))
+            return _bags(found[0])
+
         tried = written(tried.unionByName(pairs.select("a", "b")).distinct(), "near-tried")  # or of one class
-        passed = _led_again(bucket_rows, failed, labels, similarity, FIRM if turn <= ROUNDS else 2.0)
-        pairs = _single(passed)
+        pairs = _led_again(bucket_rows, failed, labels, similarity, bags_of=bags_of)
         new = written(_ends(pairs).join(labels, "node", "left_anti"), "near-asked")
-        node_texts = node_texts.unionByName(texts_of(new))
         labels = written(labels.unionByName(new.select("node", F.col("node").alias("label"))), "near-labels")
+        labels = _merged(pairs, tried, labels, found[0], similarity)
     named = heads.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
     placed = docs.join(_spread(docs, named), ["node", "_salt"]).withColumn("_salt", salted("doc_id", "text_hash"))
     groups = known_groups(placed, ["label"], {"head": F.min(order), "n": F.sum("copies")},

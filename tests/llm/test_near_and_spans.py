@@ -226,6 +226,25 @@ def test_pair_meets_in_one_bucket_only(spark):
     assert len(met(every, one)) == n * n // 4 and len(met(some, one)) == n // 2
 
 
+def test_pairs_without_enough_common_words_are_not_made(spark):
+    """Texts whose signatures resemble each other by a passage: of all that
+    share a bucket, only those with enough words in common are paired."""
+    r, maker, docs = random.Random(34), order_minhash.Sketcher(1), []
+    for _ in range(40):  # 100 of 140 words in common
+        docs.append([f"p{i}" for i in range(100)] + [f"w{r.randrange(10**6)}" for _ in range(40)])
+    docs.append(edited(r, docs[7], 0.9))
+    name = lambda i: f"n{i:03}".encode()
+    rows = spark.createDataFrame([(h, name(i), len(w), maker.sketch(w)[1].tolist()) for h in range(3) for i, w in enumerate(docs)],
+                                 "h bigint, node binary, size int, sign array<bigint>")
+    labels = spark.createDataFrame([(name(i), name(i)) for i in range(len(docs))], "node binary, label binary")
+    told = spark.createDataFrame([(name(i), " ".join(w)) for i, w in enumerate(docs)], "node binary, text string")
+    failed = rows.select("h", "node")
+    assert order_minhash._led_again(rows, failed, labels, 0.8).count() > 200
+    for block_words in (order_minhash.BLOCK_WORDS, 1000):
+        got = order_minhash._led_again(rows, failed, labels, 0.8, block_words, lambda members: order_minhash._bags(told)).collect()
+        assert [(bytes(x.a), bytes(x.b)) for x in got] == [(name(7), name(40))]
+
+
 def test_texts_of_a_common_passage_are_told_apart():
     """Half of the words in common is under the least share of a link."""
     r, maker, below = random.Random(33), order_minhash.Sketcher(1), 0
