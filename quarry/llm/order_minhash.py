@@ -31,13 +31,13 @@ SHINGLE, SKETCHES, SIMILARITY = 3, 96, 0.8
 #: more words have sketches of both kinds, so any two that can be linked share
 #: a kind.
 SHORT = 24
-#: Bins of the word signature; the share of equal bins from which a node joins
+#: Bins of the word signature, a byte of four cells each; the share of equal cells from which a node joins
 #: a leader, and that below which a pair is passed over (a true share of 0.67,
 #: the least of a link, comes out below it by chance once in ten thousand).
 #: Texts that share a passage alone come out below it as well.
-BINS, FIRM, LEAST_ALIKE = 256, 0.62, 0.49
-#: Bigints of a signature: a bit for each bin that is filled, and one of its least hash.
-SIGN = BINS // 32
+BINS, FIRM, LEAST_ALIKE = 64, 0.62, 0.49
+#: Cells and bigints of a signature: a bit for each cell that is filled, and one of its least hash.
+CELLS, SIGN = 4 * BINS, BINS // 8
 #: Rows of a bucket that one task holds, and pairs until a task gives them out.
 RUN_ROWS, PAIR_ROWS = 20_000, 20_000
 #: Words of a block of texts that meet another, and the bits of a word's hash
@@ -133,15 +133,15 @@ class Sketcher:
         return out.view(np.int64)
 
     def signature(self, hashes: np.ndarray) -> np.ndarray:
-        """For each of ``BINS`` bins of the occurrence-labelled words, whether
+        """For each of ``CELLS`` cells of the occurrence-labelled words, whether
         it is filled, and one bit of its least hash, packed: these estimate
         the Jaccard similarity of the word bags (``_shares``), which two texts
         of edit similarity 0.8 have at 0.67 or more."""
         ranked = np.sort(_labelled(hashes))[::-1]
-        bins = (ranked & np.uint64(BINS - 1)).astype(np.int64)
-        out = np.zeros(2 * BINS, np.uint8)
-        out[bins] = 1
-        out[BINS + bins] = (ranked >> np.uint64(32)) & np.uint64(1)  # the last of a bin, its least, stays
+        cells = (ranked & np.uint64(CELLS - 1)).astype(np.int64)
+        out = np.zeros(2 * CELLS, np.uint8)
+        out[cells] = 1
+        out[CELLS + cells] = (ranked >> np.uint64(32)) & np.uint64(1)  # the last of a cell, its least, stays
         return np.packbits(out).view(np.int64)
 
 
@@ -229,8 +229,8 @@ def sketch_rows(df: DataFrame, id_col: str, text_col: str, sketches: int) -> Dat
 
 
 def _shares(held: np.ndarray, sizes: np.ndarray, sign: np.ndarray, size: int, similarity: float) -> np.ndarray:
-    """Share of equal bins of each held signature with one signature, or with
-    its own; 0 where the lengths differ too much.  Bins that differ have equal
+    """Share of equal cells of each held signature with one signature, or with
+    its own; 0 where the lengths differ too much.  Cells that differ have equal
     bits half the time, so each that is seen to differ counts twice."""
     held, sign, half = held.view(np.uint64), sign.view(np.uint64), SIGN // 2
     count = lambda bits: np.bitwise_count(bits).sum(axis=-1, dtype=np.int64)
@@ -264,7 +264,7 @@ def _plain_runs(batch: pa.RecordBatch, run: int | None, similarity: float, firm:
     at = np.flatnonzero(rows & follows & ((share >= firm) | (share >= LEAST_ALIKE) & (label != label[head])))
     k = len(at)
     pairs = pa.RecordBatch.from_arrays(
-        [node.take(pa.array(head[at])), node.take(pa.array(at)), pa.array((BINS * share[at]).astype(np.int32)),
+        [node.take(pa.array(head[at])), node.take(pa.array(at)), pa.array((CELLS * share[at]).astype(np.int32)),
          pa.array(h[at], mask=share[at] < firm), pa.nulls(k, pa.int32()), pa.nulls(k, pa.list_(pa.int64())), pa.nulls(k, pa.int64()),
          pa.nulls(k, pa.list_(pa.int64())), pa.nulls(k, pa.int32())], names=["a", "b", "shared", "h", "size", "sign", "label", "before", "block"])
     return pairs, batch.filter(pa.array(~rows))
@@ -329,7 +329,7 @@ def _leaders(similarity: float, firm: float = FIRM):
                     for i in chosen:
                         if share[best] < firm and not before.isdisjoint(earlier[i]):
                             continue
-                        a.append(nodes[i]), b.append(node), shared.append(int(BINS * share[i])), alone.append(h if share[best] >= firm else None)
+                        a.append(nodes[i]), b.append(node), shared.append(int(CELLS * share[i])), alone.append(h if share[best] >= firm else None)
                     if share[best] >= firm:
                         continue
                 if k == len(held):
@@ -379,7 +379,7 @@ def _across(left: DataFrame, right: DataFrame, similarity: float) -> DataFrame:
                 share = _shares(*table, sign, size, similarity)
                 for k in np.flatnonzero((share >= LEAST_ALIKE) & (known != label)):
                     if nodes[k] != node and earlier[k].isdisjoint(before or ()):
-                        a.append(min(nodes[k], node)), b.append(max(nodes[k], node)), shared.append(int(BINS * share[k]))
+                        a.append(min(nodes[k], node)), b.append(max(nodes[k], node)), shared.append(int(CELLS * share[k]))
                 if len(a) > PAIR_ROWS:
                     yield pair_rows()
             yield pair_rows()
@@ -489,7 +489,7 @@ def _single(pairs: DataFrame) -> DataFrame:
 
 def candidates(rows: DataFrame, similarity: float = SIMILARITY, run_rows: int = RUN_ROWS) -> DataFrame:
     """``a, b, shared``: pairs of ``node`` that share a sketch, a < b, and how
-    many bins of their word signatures; linear in the number of nodes where
+    many cells of their word signatures; linear in the number of nodes where
     they resemble each other.  ``rows`` are those of ``sketch_rows``, written."""
     return _single(_passed(buckets(rows.select(F.explode("sketch").alias("h"), "node"), signed(rows)), similarity, run_rows=run_rows))
 
@@ -597,13 +597,13 @@ def _met(left: DataFrame, right: DataFrame, similarity: float, exact: bool) -> D
                 for k in np.flatnonzero((share >= LEAST_ALIKE) & (known != label)):
                     if lead and nodes[k] > node:
                         continue  # two that lead meet both ways
-                    alike_bins = int(BINS * share[k])
+                    alike_cells = int(CELLS * share[k])
                     if exact:
                         longer, common = max(size, sizes[k]), int(np.count_nonzero(known_words[bags[k]]))
                         if longer - common > int((1 - similarity) * longer + 1e-9):
                             continue
-                        alike_bins = BINS * common // max(size + sizes[k] - common, 1)
-                    a.append(min(nodes[k], node)), b.append(max(nodes[k], node)), shared.append(alike_bins)
+                        alike_cells = CELLS * common // max(size + sizes[k] - common, 1)
+                    a.append(min(nodes[k], node)), b.append(max(nodes[k], node)), shared.append(alike_cells)
                 known_words[bag] = False
                 if len(a) > PAIR_ROWS:
                     yield pair_rows()
