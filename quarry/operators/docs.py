@@ -133,6 +133,25 @@ def nest_items(rollup: DataFrame, headers: DataFrame, max_items: int = MAX_ITEMS
         *(["bucket"] if place else []), "InvoiceNo", "Chunk", "_head.InvoiceDate", "_head.CustomerID", "Items")
 
 
+def nested_items(rollup: DataFrame, headers: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
+    """Items of each invoice as arrays ``{InvoiceNo, Chunk, Items[]}``, sorted by
+    stock code; ``headers`` tells which invoices are split into chunks."""
+    items = (_chunked(rollup.select("InvoiceNo", *ITEM_FIELDS), headers.select("InvoiceNo", "_n_items"), "InvoiceNo", "_n_items",
+                      ["StockCode"], max_items)
+             .select("InvoiceNo", "Chunk", F.struct(*ITEM_FIELDS).alias("_item")))
+    return _grouped(items, "InvoiceNo", None).agg(F.array_sort(F.collect_list("_item")).alias("Items"))
+
+
+def join_invoice_items(headers: DataFrame, nested: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
+    """Invoice documents by the inner equi-join of header and nested items.
+
+    Every chunk meets its copy of the header, so the nested side stays where
+    its group step put it and a split invoice stays spread over tasks.
+    """
+    heads = _per_chunk(headers.select("InvoiceNo", "InvoiceDate", "CustomerID", "_n_items"), "InvoiceNo", "_n_items", max_items)
+    return heads.join(nested, ["InvoiceNo", "Chunk"], "inner").select("InvoiceNo", "Chunk", "InvoiceDate", "CustomerID", "Items")
+
+
 def nest_invoices(transactions: DataFrame, refs: DataFrame, max_invoices: int = MAX_INVOICES,
                   place: tuple[int, int] | None = None) -> DataFrame:
     """Customer documents: invoice entries grouped per customer, sorted by invoice.

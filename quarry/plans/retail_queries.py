@@ -373,9 +373,8 @@ SELECT h.InvoiceNo, h.InvoiceDate, h.CustomerID, count(*) AS n_items
 FROM headers h JOIN rollup r ON h.InvoiceNo = r.InvoiceNo GROUP BY h.InvoiceNo, h.InvoiceDate, h.CustomerID""", "headers", "rollup"))
 def q_join_invoice_items(spark: SparkSession, sf: str) -> DataFrame:
     lay = layouts(spark, sf)
-    h = lay["headers"].select("InvoiceNo", "InvoiceDate", "CustomerID")
-    n = lay["rollup"].groupBy("InvoiceNo").agg(F.count(F.lit(1)).alias("n_items"))
-    return h.join(n, "InvoiceNo", "inner")
+    joined = docs.join_invoice_items(lay["headers"], docs.nested_items(lay["rollup"], lay["headers"]))
+    return joined.groupBy("InvoiceNo", "InvoiceDate", "CustomerID").agg(F.sum(F.size("Items")).cast("long").alias("n_items"))
 
 
 @query("join_customer_invoices", with_views("""
