@@ -20,7 +20,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import ml
+from quarry.operators import forest, ml
 
 MAX_TREE_DEPTH = 30   # Spark's limit; sklearn's max_depth=None (unlimited) maps here
 
@@ -51,7 +51,9 @@ def logistic(C: float, n_train: int, max_iter: int = 100, label: str = "label")
 
 def fit(train: DataFrame, estimator, scale: bool = False, label: str = "label") -> PipelineModel:
     """Fit ``[scaler?] → estimator`` as one pipeline (the scaler is a stage of
-    the saved model, so prediction always sees scaled features)."""
+    the saved model, so prediction always sees scaled features).  A forest
+    whose trees the driver could not hold is grown and kept by the executors
+    (``forest``)."""
     stages = []
     if scale:
         # Spark scales by the sample deviation; the factor makes it the population's
@@ -60,6 +62,8 @@ def fit(train: DataFrame, estimator, scale: bool = False, label: str = "label")
         stages.append(StandardScaler(inputCol="features", outputCol="_sample_scaled", withMean=True, withStd=True))
         stages.append(ElementwiseProduct(scalingVec=factor, inputCol="_sample_scaled", outputCol="scaled"))
         estimator = estimator.copy().setFeaturesCol("scaled")
+    if forest.too_deep(estimator, train):
+        estimator = forest.DeepForestClassifier(estimator)
     stages.append(estimator)
     data = train.withColumn(label, F.col(label).cast("double"))
     return Pipeline(stages=stages).fit(data)
