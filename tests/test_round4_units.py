@@ -114,3 +114,12 @@ def test_bags_are_poisson_draws():
     a, b = forest.bags(rows, 3, 42), forest.bags(rows, 4, 42)
     assert abs(a.mean() - 1) < 0.02 and abs(a.var() - 1) < 0.03 and abs(np.corrcoef(a, b)[0, 1]) < 0.02
     assert (forest.bags(rows[::-1], 3, 42) == a[::-1]).all()
+
+
+def test_sweep_sends_only_deep_forests_to_the_executors(spark, monkeypatch):
+    df = _blobs(spark, 60).checkpoint()
+    grown = []
+    monkeypatch.setattr(forest, "DRIVER_NODES", 400)
+    monkeypatch.setattr(forest.DeepForestClassifier, "_fit", lambda self, data, fit=forest.DeepForestClassifier._fit: grown.append(self.settings["trees"]) or fit(self, data))
+    runs = models.sweep(df, df, [{"model": "rf", "n_estimators": 9, "max_depth": 2}, {"model": "rf", "n_estimators": 12, "max_depth": None}]).collect()
+    assert grown == [12] and [r["status"] for r in runs] == ["FINISHED"] * 2 and min(r["test_accuracy"] for r in runs) > 0.9
